@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,13 +37,18 @@ def key_clashes(dimension: DataFrame, key: str) -> DataFrame:
     return dimension.groupBy(key).agg(F.count("*").alias("members")).where("members > 1")
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key in the given order, ties broken by all columns.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
+    """The first row of every key; order maps columns to "asc" or "desc", nulls last.
 
+    Ties are broken by all other columns, so every run picks the same row.
     Spark limits each key to one row inside every map task before the shuffle
     (WindowGroupLimit), so a key that holds a third of the rows sends one row
     per task, not the whole group, to its reducer.
     """
-    tie_break = [F.col(c) for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *tie_break)
+    first = [
+        F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last()
+        for c, way in order.items()
+    ]
+    tie_break = [F.col(c) for c in df.columns if c not in keys and c not in order]
+    window = Window.partitionBy(*keys).orderBy(*first, *tie_break)
     return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")

@@ -69,7 +69,7 @@ def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def deduplicated(df: DataFrame, keys: Sequence[str] = DEDUP_KEY) -> DataFrame:
     """One row per key: the lowest row_id, so every run keeps the same one."""
-    return first_per_key(df, keys, [F.col("row_id").asc_nulls_last()])
+    return first_per_key(df, keys, {"row_id": "asc"})
 
 
 def clean(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:

@@ -140,6 +140,15 @@ def future_months(monthly: DataFrame, horizon: int = HORIZON) -> DataFrame:
     )
 
 
+def last_month(dates: DataFrame) -> Column:
+    """Index of the last month of the date dimension, as a scalar subquery.
+
+    The last month of the fact it belongs to, without reading the fact.
+    """
+    index = month_index(F.col("year"), F.col("month"))
+    return dates.agg(F.max(index)).scalar()
+
+
 def _predicted(label: str, digits: int = 2):
     line = F.col(f"{label}_intercept") + F.col(f"{label}_slope") * F.col("month_index")
     return F.round(line, digits)
@@ -168,14 +177,20 @@ def forecast_overall(monthly: DataFrame, horizon: int = HORIZON) -> DataFrame:
 
 
 def forecast_by(
-    monthly: DataFrame, group: str, data_type: str, measure: str = "sales", horizon: int = HORIZON
+    monthly: DataFrame,
+    group: str,
+    data_type: str,
+    measure: str = "sales",
+    horizon: int = HORIZON,
+    last: Column | None = None,
 ) -> DataFrame:
     """One measure of the next months per group.
 
-    All groups are forecast for the same months, those after the last month of
-    any group, which is one value: a scalar subquery over the monthly series.
+    All groups are forecast for the same months: those after last, by default
+    the last month of any group in the series.
     """
-    last = monthly.agg(F.max("month_index")).scalar()
+    if last is None:
+        last = monthly.agg(F.max("month_index")).scalar()
     return _ahead(trend(monthly, [group]), last, horizon).select(
         "month_index",
         _predicted(measure).alias(f"predicted_{measure}"),

@@ -40,8 +40,7 @@ def newest(lines: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     match twice.
     """
     rows = lines.select(key, *attributes, "order_date", "row_id").where(F.col(key).isNotNull())
-    order = [F.col("order_date").desc_nulls_last(), F.col("row_id").asc_nulls_last()]
-    return first_per_key(rows, [key], order).select(key, *attributes)
+    return first_per_key(rows, [key], {"order_date": "desc", "row_id": "asc"}).select(key, *attributes)
 
 
 def dim_customer(lines: DataFrame) -> DataFrame:

@@ -175,13 +175,22 @@ def model_r2(t: Layers) -> DataFrame:
     return forecast.model_quality(monthly(t), monthly_by_category(t), monthly_by_region(t))
 
 
-def forecast_rank(t: Layers) -> DataFrame:
-    return forecast.forecast_rank(
-        forecast.forecast_category(monthly_by_category(t)),
-        forecast.forecast_region(monthly_by_region(t)),
+def forecast_category(t: Layers, measure: str = "sales") -> DataFrame:
+    return forecast.forecast_category(
+        monthly_by_category(t), measure=measure, last=forecast.last_month(t.table("dim_date"))
+    )
+
+
+def forecast_region(t: Layers) -> DataFrame:
+    return forecast.forecast_region(
+        monthly_by_region(t), last=forecast.last_month(t.table("dim_date"))
     )
 
 
+def forecast_rank(t: Layers) -> DataFrame:
+    return forecast.forecast_rank(forecast_category(t), forecast_region(t))
+
+
 def last_event_ist(spark: SparkSession, folder: str) -> DataFrame:
     """Latest event time, shown in India time; event times are UTC without zone."""
     events = spark.read.parquet(f"{folder}/events.parquet")
@@ -283,11 +292,9 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "future_months": lambda t: forecast.future_months(monthly(t)),
     "forecast_overall": lambda t: forecast.forecast_overall(monthly(t)),
     "forecast_with_stream": lambda t: forecast.forecast_overall(monthly_with_stream(t)),
-    "forecast_category": lambda t: forecast.forecast_category(monthly_by_category(t)),
-    "forecast_category_profit": lambda t: forecast.forecast_category(
-        monthly_by_category(t), measure="profit"
-    ),
-    "forecast_region": lambda t: forecast.forecast_region(monthly_by_region(t)),
+    "forecast_category": forecast_category,
+    "forecast_category_profit": lambda t: forecast_category(t, "profit"),
+    "forecast_region": forecast_region,
     "model_r2": model_r2,
     "forecast_rank": forecast_rank,
 }

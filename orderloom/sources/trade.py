@@ -21,6 +21,16 @@ def _padded(value: Column) -> Column:
     return F.when(F.col("l_linenumber") == 1, F.concat(F.lit("  "), value, F.lit(" "))).otherwise(value)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Share a scan with fewer splits than cores among all cores.
+
+    Only a small file is read in so few pieces; larger tables pass unchanged,
+    without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem with its order, customer, place and part.
 
@@ -36,7 +46,7 @@ def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     customer = table("customer").join(place, F.expr("c_nationkey = n_nationkey"), "left")
     orders = table("orders").join(customer, F.expr("o_custkey = c_custkey"), "left")
     return (
-        table("lineitem")
+        spread(table("lineitem"))
         .join(orders, F.expr("l_orderkey = o_orderkey"), "left")
         .join(table("part"), F.expr("l_partkey = p_partkey"), "left")
     )

@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.functions.keys import key_clashes, surrogate_key
+from orderloom.operators import star
+from orderloom.operators.cleaning import clean
+from tests.lines import GOOD, line, text_lines
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    """Ids that come with two names, two orders on one day, several places."""
+    df = clean(text_lines(
+        spark,
+        GOOD,
+        line(row_id="2", order_id="B", order_date="2017-01-05", product_name="Renamed", customer_name="C. Gute"),
+        line(row_id="3", order_id="C", order_date="2017-01-05", product_name="Later row", customer_name="Claire G."),
+        line(row_id="4", order_id="D", city="Louisville", product_id="P2", customer_id="X-1"),
+        line(row_id="5", order_id="E", state="Ohio", product_id="P2", customer_id="X-2"),
+    ))
+    return df.cache()
+
+
+def dimensions(lines):
+    return (star.dim_date(lines), star.dim_customer(lines), star.dim_product(lines), star.dim_region(lines))
+
+
+def test_one_row_per_id_with_the_newest_attributes(silver):
+    customers = {r.customer_id: r.customer_name for r in star.dim_customer(silver).collect()}
+    assert customers == {"CG-12520": "C. Gute", "X-1": "Claire Gute", "X-2": "Claire Gute"}
+    products = {r.product_id: r.product_name for r in star.dim_product(silver).collect()}
+    assert products == {"FUR-BO-10001798": "Renamed", "P2": "Bush Somerset"}
+
+
+def test_dim_date(spark, silver):
+    rows = {r.date_key: r for r in star.dim_date(silver).collect()}
+    assert set(rows) == {20161108, 20170105}
+    day = rows[20161108]
+    assert (day.year, day.month, day.quarter, day.day, day.month_name) == (2016, 11, 4, 8, "November")
+    assert star.dim_date(silver.withColumn("order_date", F.lit(None).cast("date"))).count() == 0
+
+
+def test_fact_keeps_every_line_and_every_key_resolves(silver):
+    dims = dimensions(silver)
+    fact = star.fact_orders(silver)
+    assert fact.columns == list(star.FACT_COLUMNS)
+    assert fact.count() == silver.count() == 5
+    for dimension, key in zip(dims, ("date_key", "customer_key", "product_key", "region_key")):
+        assert fact.join(dimension, key, "left_anti").count() == 0
+        assert key_clashes(dimension, key).count() == 0
+    assert star.fact_enriched(fact, *dims).count() == 5
+
+
+def test_joined_fact_equals_computed_fact(silver):
+    joined = star.fact_orders_joined(silver, *dimensions(silver))
+    computed = star.fact_orders(silver)
+    assert joined.exceptAll(computed).count() == 0 and computed.exceptAll(joined).count() == 0
+
+
+def test_line_without_a_date_stays_in_the_fact(spark, silver):
+    undated = silver.withColumn("order_date", F.when(F.col("row_id") > 1, F.col("order_date")))
+    for fact in (star.fact_orders(undated), star.fact_orders_joined(undated, *dimensions(undated))):
+        assert fact.count() == 5
+        assert fact.where("date_key IS NULL").count() == 1
+
+
+def test_null_place_still_has_a_region(silver):
+    nowhere = silver.withColumn("city", F.lit(None).cast("string"))
+    joined = star.fact_orders_joined(nowhere, *dimensions(nowhere))
+    assert joined.where("region_key IS NULL").count() == 0
+    assert joined.exceptAll(star.fact_orders(nowhere)).count() == 0
+
+
+def test_surrogate_key_tells_tuples_apart(spark):
+    rows = [("ab", "c"), ("a", "bc"), ("abc", None), (None, "abc"), ("abc", ""), ("", "abc"), (None, None)]
+    df = spark.createDataFrame(rows, "a STRING, b STRING").select(surrogate_key("a", "b").alias("k"))
+    assert df.distinct().count() == len(rows)
+
+
+def test_keys_do_not_depend_on_layout(spark, silver):
+    one = star.dim_customer(silver.repartition(1))
+    many = star.dim_customer(silver.repartition(7, "city"))
+    assert one.exceptAll(many).count() == 0
+
+
+def test_computing_the_fact_moves_no_rows(silver):
+    plan = star.fact_orders(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("InMemoryRelation")[0] and "Join" not in plan.split("InMemoryRelation")[0]
+
+
+def test_type_1_refresh(spark, silver):
+    before = star.dim_customer(silver)
+    old_keys = {r.customer_id: r.customer_key for r in before.collect()}
+    after = clean(text_lines(
+        spark,
+        line(row_id="10", order_id="N1", order_date="2018-01-01", customer_name="Claire Newname", segment="Corporate"),
+        line(row_id="11", order_id="N2", order_date="2018-01-01", customer_id="NEW-1", customer_name="New One"),
+    ))
+    rows = {r.customer_id: r for r in star.refreshed_customers(before, after).collect()}
+    assert set(rows) == {"CG-12520", "X-1", "X-2", "NEW-1"}
+    assert (rows["CG-12520"].customer_name, rows["CG-12520"].segment) == ("Claire Newname", "Corporate")
+    assert rows["X-1"].customer_name == "Claire Gute"
+    assert all(rows[c].customer_key == k for c, k in old_keys.items())
+    new_key = star.dim_customer(after).where("customer_id = 'NEW-1'").first().customer_key
+    assert rows["NEW-1"].customer_key == new_key
+
+
+def test_type_1_refresh_keeps_foreign_keys(spark, silver):
+    legacy = spark.createDataFrame(
+        [("CG-12520", "Old", "Old", 7)],
+        "customer_id STRING, customer_name STRING, segment STRING, customer_key BIGINT",
+    )
+    rows = {r.customer_id: r for r in star.refreshed_customers(legacy, silver).collect()}
+    assert rows["CG-12520"].customer_key == 7 and rows["CG-12520"].customer_name == "C. Gute"
