@@ -34,7 +34,7 @@ def run_batch(
 
     A run that fails leaves the tables as they were, and can simply be started
     again. An earlier customer dimension is refreshed (Type 1), not replaced.
-    Returns the row count of every layer, counted while it was written.
+    Returns the row count of every layer.
     """
     use_database(spark, database)
     layers = Layers(
@@ -52,5 +52,11 @@ def run_batch(
         if not key_clashes(layers.table(name), key).isEmpty():
             raise RuntimeError(f"two members of {name} share a key")
     for name in BATCH_LAYERS:
-        point_table_at(spark, f"{database}.{name}", layers.path(name))
+        point_table_at(
+            spark,
+            f"{database}.{name}",
+            layers.path(name),
+            layers.table(name).schema,
+            layers.partition_by(name),
+        )
     return counts

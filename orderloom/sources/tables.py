@@ -65,28 +65,45 @@ def scan_files(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def point_table_at(spark: SparkSession, name: str, path: str) -> None:
-    """Make a table show the files under path, all at once.
-
-    The files are complete before the switch, so a reader sees the old version
-    or the new one. Where the schema changed, the entry is made anew; the files
-    of an external table stay in either case.
+def point_table_at(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Make a table show the files under path, which are complete by then.
+
+    An external table of the same shape is switched in one step. Any other is
+    built under a second name first, so that the name is missing only between
+    a drop and a rename; files of external tables stay in either case.
     """
-    fresh = spark.read.parquet(path)
-    current = scan_if_exists(spark, name)
-    same = current is not None and [(f.name, f.dataType) for f in current.schema] == [
-        (f.name, f.dataType) for f in fresh.schema
-    ]
-    if same:
+    schema = schema or spark.read.parquet(path).schema
+    if not partition_by and _is_external_with(spark, name, schema):
         spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{path}'")
     else:
+        staged = f"{name}__next"
+        layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        drop(spark, staged)
+        spark.sql(
+            f"CREATE TABLE {quoted(staged)} ({schema.toDDL()}) USING PARQUET {layout} LOCATION '{path}'"
+        )
+        if partition_by:
+            spark.catalog.recoverPartitions(quoted(staged))
         drop(spark, name)
-        spark.catalog.createTable(quoted(name), path=path, source="parquet")
+        spark.sql(f"ALTER TABLE {quoted(staged)} RENAME TO {quoted(name)}")
     spark.catalog.refreshTable(quoted(name))
 
 
+def _is_external_with(spark: SparkSession, name: str, schema: T.StructType) -> bool:
+    current = scan_if_exists(spark, name)
+    if current is None or spark.catalog.getTable(quoted(name)).tableType != "EXTERNAL":
+        return False
+    return [(f.name, f.dataType) for f in current.schema] == [(f.name, f.dataType) for f in schema]
+
+
 def replace_table(df: DataFrame, name: str, root: str) -> None:
     """Replace a table, also from a query that reads that same table."""
     path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     write_files(df, path)
-    point_table_at(df.sparkSession, name, path)
+    point_table_at(df.sparkSession, name, path, df.schema)

@@ -110,7 +110,7 @@ def running_totals(
         path = totals_folder(totals_path, batch)
         with_last_updated(totals).coalesce(1).write.mode("overwrite").parquet(path)
         if table:
-            point_table_at(totals.sparkSession, table, path)
+            point_table_at(spark, table, path, LIVE_TOTALS_SCHEMA)
 
     return (
         category_region_totals(lines)

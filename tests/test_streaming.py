@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.operators.cleaning import prepared
+from orderloom.operators.measures import category_region_totals
+from orderloom.schema import CLEAN_STREAM_SCHEMA, LIVE_TOTALS_SCHEMA, ORDER_LINE_SCHEMA, STREAM
+from orderloom.sources import tables
+from orderloom.streaming import orders
+from tests.lines import GOOD, faulty_lines, line, text_lines
+
+
+def arrive(spark, folder, *rows):
+    """One more file of raw lines, typed to the declared schema."""
+    prepared(text_lines(spark, *rows), STREAM).coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.fixture()
+def folders(tmp_path):
+    return {n: str(tmp_path / n) for n in ("raw", "clean", "totals", "check_clean", "check_totals")}
+
+
+def clean_once(spark, folders):
+    lines = orders.arriving_lines(spark, folders["raw"], files_per_batch=1)
+    orders.append_available(orders.cleaned_stream(lines), folders["clean"], folders["check_clean"]).awaitTermination()
+    return spark.read.parquet(folders["clean"])
+
+
+def test_stream_result_equals_batch_result(spark, folders):
+    prepared(faulty_lines(spark), STREAM).repartition(3).write.parquet(folders["raw"])
+    streamed = clean_once(spark, folders)
+    batch = orders.cleaned_stream(spark.read.schema(ORDER_LINE_SCHEMA).parquet(folders["raw"]))
+    assert streamed.columns == CLEAN_STREAM_SCHEMA.fieldNames()
+    a, b = streamed.drop("processed_at"), batch.drop("processed_at")
+    assert a.count() == 2 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert streamed.where("processed_at IS NULL OR data_source <> 'streaming'").count() == 0
+
+
+def test_rerun_adds_nothing_and_new_files_only_their_rows(spark, folders):
+    arrive(spark, folders["raw"], GOOD)
+    assert clean_once(spark, folders).count() == 1
+    assert clean_once(spark, folders).count() == 1
+    arrive(spark, folders["raw"], line(row_id="2", order_id="B"), line(row_id="3", sales="0"))
+    assert sorted(r.order_id for r in clean_once(spark, folders).collect()) == ["B", "CA-2016-152156"]
+
+
+def totals_once(spark, folders, table=None):
+    orders.running_totals(
+        spark, folders["clean"], folders["totals"], folders["check_totals"], table=table
+    ).awaitTermination()
+    return orders.latest_totals(spark, folders["totals"])
+
+
+def test_running_totals_equal_a_recompute(spark, folders):
+    arrive(spark, folders["raw"], GOOD, line(row_id="2", order_id="B", region="West"))
+    clean_once(spark, folders)
+    first = totals_once(spark, folders)
+    assert first.schema == LIVE_TOTALS_SCHEMA
+    assert {(r.region, r.total_orders) for r in first.collect()} == {("South", 1), ("West", 1)}
+    arrive(spark, folders["raw"], line(row_id="3", order_id="C", discount="0.25"))
+    lines = clean_once(spark, folders)
+    second = totals_once(spark, folders).drop("last_updated")
+    again = category_region_totals(lines)
+    assert sorted(second.collect()) == sorted(again.collect())
+    assert {r.region: r.total_orders for r in second.collect()} == {"South": 2, "West": 1}
+    assert orders.recomputed_totals(lines).where("last_updated IS NULL").count() == 0
+    assert totals_once(spark, folders).count() == 2
+
+
+def test_totals_table_is_declared_empty_and_then_follows(spark, folders):
+    tables.drop(spark, "live_orders")
+    tables.create_empty(spark, "live_orders", LIVE_TOTALS_SCHEMA)
+    assert tables.scan(spark, "live_orders").count() == 0
+    arrive(spark, folders["raw"], GOOD)
+    clean_once(spark, folders)
+    totals_once(spark, folders, table="live_orders")
+    assert tables.scan(spark, "live_orders").first().total_orders == 1
+    arrive(spark, folders["raw"], line(row_id="2", order_id="B"))
+    clean_once(spark, folders)
+    totals_once(spark, folders, table="live_orders")
+    assert tables.scan(spark, "live_orders").first().total_orders == 2
+    tables.drop(spark, "live_orders")
+
+
+def test_stream_from_table_to_table(spark, folders):
+    for name in ("orders_raw", "orders_clean"):
+        tables.drop(spark, name)
+    tables.overwrite(prepared(faulty_lines(spark), STREAM), "orders_raw")
+    for _ in range(2):
+        lines = orders.cleaned_stream(orders.arriving_table(spark, "orders_raw"), "till")
+        orders.append_available_to_table(lines, "orders_clean", folders["check_clean"]).awaitTermination()
+        clean = tables.scan(spark, "orders_clean")
+        assert clean.count() == 2 and clean.where("data_source = 'till'").count() == 2
+    for name in ("orders_raw", "orders_clean"):
+        tables.drop(spark, name)
+
+
+def test_stream_schema_is_the_batch_schema(spark, folders):
+    arrive(spark, folders["raw"], GOOD)
+    lines = orders.arriving_lines(spark, folders["raw"])
+    assert lines.isStreaming and lines.schema == ORDER_LINE_SCHEMA
+    assert orders.cleaned_stream(lines).select(F.col("processed_at")).schema[0].dataType.simpleString() == "timestamp"
