@@ -322,6 +322,13 @@ def leading(amounts: str, measure: str, tie_break: str, n: int, way: str = "DESC
     return f"SELECT * FROM ({amounts}) AS a ORDER BY {measure} {way}, {tie_break} LIMIT {n}"
 
 
+def top_members(dimension: str, key: str, attributes: str, n: int) -> str:
+    return f"""SELECT {attributes}, total_sales FROM (
+        SELECT {key}, {attributes}, CAST(sum(sales) AS DOUBLE) AS total_sales
+        FROM fact_orders JOIN {dimension} USING ({key}) GROUP BY {key}, {attributes}
+      ) AS m ORDER BY total_sales DESC, {key} LIMIT {n}"""
+
+
 def row_counts(*layers: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{n}' AS layer, count(*) AS row_count FROM {n}" for n in layers
@@ -423,15 +430,11 @@ BODIES = {
     "profit_by_year": chart("profit", "dim_date", "year"),
     "profit_by_category": chart("profit", "dim_product", "category"),
     "sales_by_segment": chart("sales", "dim_customer", "segment"),
-    "top_customers": leading(
-        chart("sales", "dim_customer", "customer_id", "customer_name"), "total_sales", "customer_id", 5
-    ),
+    "top_customers": top_members("dim_customer", "customer_key", "customer_id, customer_name", 5),
     "orders_by_year": "SELECT year, count(DISTINCT order_id) AS total_orders"
     " FROM fact_orders LEFT JOIN dim_date USING (date_key) GROUP BY year",
     "segment_profit_share": share(chart("profit", "dim_customer", "segment"), "total_profit"),
-    "top_products": leading(
-        chart("sales", "dim_product", "product_id", "product_name"), "total_sales", "product_id", 5
-    ),
+    "top_products": top_members("dim_product", "product_key", "product_id, product_name", 5),
     "quantity_by_subcategory": "SELECT sub_category, CAST(sum(quantity) AS BIGINT) AS total_quantity"
     " FROM fact_orders LEFT JOIN dim_product USING (product_key) GROUP BY sub_category",
     "stream_silver": STREAM_LINES,

@@ -157,6 +157,22 @@ def top(amounts: DataFrame, measure: str, tie_break: str, n: int) -> DataFrame:
     return amounts.orderBy(F.col(measure).desc(), F.col(tie_break)).limit(n)
 
 
+def top_members(
+    fact: DataFrame, dimension: DataFrame, key: str, attributes: Sequence[str], n: int
+) -> DataFrame:
+    """The n members with the highest sales, ties broken by their key.
+
+    Names are looked up for the n found members only, so no member list is
+    shuffled however long it is.
+    """
+    sales = fact.where(F.col(key).isNotNull()).groupBy(key).agg(total("sales").alias("total_sales"))
+    return (
+        top(sales, "total_sales", key, n)
+        .join(dimension.select(key, *attributes), key)
+        .select(*attributes, "total_sales")
+    )
+
+
 def bottom(amounts: DataFrame, measure: str, tie_break: str, n: int) -> DataFrame:
     """The n smallest groups."""
     return amounts.orderBy(F.col(measure).asc(), F.col(tie_break)).limit(n)

@@ -14,7 +14,7 @@ from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V1, BATCH_V2, DATE_FORMAT, ORDER_LINE_SCHEMA, STREAM
 from orderloom.sources.files import rename_by_position
 from orderloom.sources.folders import new_folder
-from orderloom.sources.trade import raw_order_lines
+from orderloom.sources.trade import line_bytes, raw_order_lines
 from orderloom.streaming import orders as streaming
 
 # The Type 1 example refreshes the dimension of the orders before this day.
@@ -28,7 +28,10 @@ def layers_of(spark: SparkSession, folder: str) -> Layers:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _layers:
         _layers[key] = Layers(
-            spark, lambda: raw_order_lines(spark, folder), new_folder(spark, "layers")
+            spark,
+            lambda: raw_order_lines(spark, folder),
+            new_folder(spark, "layers"),
+            raw_bytes=lambda: line_bytes(spark, folder),
         )
     return _layers[key]
 
@@ -143,8 +146,6 @@ def orders_by_year(t: Layers) -> DataFrame:
 sales_by_year = _by("sales", "dim_date", "year")
 sales_by_category = _by("sales", "dim_product", "category")
 sales_by_state = _by("sales", "dim_region", "region", "state")
-sales_by_customer = _by("sales", "dim_customer", "customer_id", "customer_name")
-sales_by_product = _by("sales", "dim_product", "product_id", "product_name")
 profit_by_subcategory = _by("profit", "dim_product", "sub_category")
 profit_by_segment = _by("profit", "dim_customer", "segment")
 
@@ -257,10 +258,14 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "profit_by_year": _by("profit", "dim_date", "year"),
     "profit_by_category": _by("profit", "dim_product", "category"),
     "sales_by_segment": _by("sales", "dim_customer", "segment"),
-    "top_customers": lambda t: measures.top(sales_by_customer(t), "total_sales", "customer_id", 5),
+    "top_customers": lambda t: measures.top_members(
+        t.table("fact_orders"), t.table("dim_customer"), "customer_key", ["customer_id", "customer_name"], 5
+    ),
     "orders_by_year": orders_by_year,
     "segment_profit_share": _share(profit_by_segment, "total_profit"),
-    "top_products": lambda t: measures.top(sales_by_product(t), "total_sales", "product_id", 5),
+    "top_products": lambda t: measures.top_members(
+        t.table("fact_orders"), t.table("dim_product"), "product_key", ["product_id", "product_name"], 5
+    ),
     "quantity_by_subcategory": lambda t: measures.quantity_by(
         t.table("fact_orders"), t.table("dim_product"), "product_key", "sub_category"
     ),

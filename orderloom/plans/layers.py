@@ -16,6 +16,7 @@ from orderloom.operators import star
 from orderloom.operators.cleaning import clean, prepared
 from orderloom.schema import BATCH_V2, STREAM, Profile
 from orderloom.sources.files import rename_by_heading
+from orderloom.sources.sizing import scan_bytes, sized_shuffles
 from orderloom.sources.tables import write_files
 from orderloom.streaming.orders import cleaned_stream
 
@@ -31,9 +32,11 @@ class Layers:
         profile: Profile = BATCH_V2,
         known_customers: DataFrame | None = None,
         fact_by_year: bool = False,
+        raw_bytes: Callable[[], int] = lambda: 0,
     ):
         self.spark = spark
         self.raw = raw
+        self.raw_bytes = raw_bytes
         self.root = root.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
         self._partition_by = {"fact_orders": ("order_year",)} if fact_by_year else {}
@@ -68,10 +71,18 @@ class Layers:
         """
         if name not in self._schemas:
             layer = self._recipes[name]()
-            write_files(layer, self.path(name), self.partition_by(name))
+            with sized_shuffles(self.spark, self._input_bytes(name)):
+                write_files(layer, self.path(name), self.partition_by(name))
             self._schemas[name] = layer.schema
         return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
+    def _input_bytes(self, name: str) -> int:
+        """Size of what a layer is made from; the recipe has written it by now."""
+        if name == "bronze":
+            return self.raw_bytes()
+        sources = {"silver": "bronze", "arrivals": "bronze", "clean_arrivals": "arrivals"}
+        return scan_bytes(self.table(sources.get(name, "silver")))
+
     def row_count(self, name: str) -> int:
         """Rows of a written layer; reads no column, only the files' footers."""
         return self.table(name).count()

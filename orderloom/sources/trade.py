@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS
+from orderloom.sources.sizing import scan_bytes
 
 
 def _fault(quantity: int) -> Column:
@@ -21,16 +22,6 @@ def _padded(value: Column) -> Column:
     return F.when(F.col("l_linenumber") == 1, F.concat(F.lit("  "), value, F.lit(" "))).otherwise(value)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Share a scan with fewer splits than cores among all cores.
-
-    Only a small file is read in so few pieces; larger tables pass unchanged,
-    without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem with its order, customer, place and part.
 
@@ -46,12 +37,17 @@ def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     customer = table("customer").join(place, F.expr("c_nationkey = n_nationkey"), "left")
     orders = table("orders").join(customer, F.expr("o_custkey = c_custkey"), "left")
     return (
-        spread(table("lineitem"))
+        table("lineitem")
         .join(orders, F.expr("l_orderkey = o_orderkey"), "left")
         .join(table("part"), F.expr("l_partkey = p_partkey"), "left")
     )
 
 
+def line_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the files that hold the lines, by far the largest table joined."""
+    return scan_bytes(spark.read.parquet(f"{folder}/lineitem.parquet"))
+
+
 def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     sales = F.col("l_extendedprice").cast("decimal(18,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")

@@ -85,6 +85,13 @@ def test_top_and_bottom_break_ties_by_name(spark):
     assert [r.name for r in measures.bottom(df, "v", "name", 2).collect()] == ["a", "b"]
 
 
+def test_top_members_names_only_what_it_found(silver, fact):
+    found = measures.top_members(fact, star.dim_product(silver), "product_key", ["product_id"], 1)
+    assert rows(found, "product_id", "total_sales") == [("FUR-BO-10001798", 300.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
+
+
 def test_live_totals_count_lines(silver):
     totals = measures.category_region_totals(silver)
     furniture = totals.where("category = 'Furniture'").first()

@@ -114,3 +114,44 @@ def test_type_1_refresh_keeps_foreign_keys(spark, silver):
     )
     rows = {r.customer_id: r for r in star.refreshed_customers(legacy, silver).collect()}
     assert rows["CG-12520"].customer_key == 7 and rows["CG-12520"].customer_name == "C. Gute"
+
+
+def test_hot_keys_are_split_in_full_size_joins(spark, tmp_path):
+    """Half of all lines belong to one customer: the join reads them in pieces."""
+    number = F.col("id").cast("string")
+    hot = F.when(F.col("id") % 2 == 0, "hot").otherwise(number)
+    day = F.date_add(F.lit("2016-01-01"), (F.col("id") / 200).cast("int")).cast("string")
+    changed = {
+        "row_id": number, "order_id": number, "order_date": day, "customer_id": hot, "product_id": number,
+        "city": F.concat(F.lit("city "), number),
+    }
+    lines = spark.range(0, 40000, 1, 8).select(
+        *[changed.get(c, F.lit(GOOD[c])).alias(c) for c in GOOD]
+    )
+    clean(lines).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    star.fact_orders(silver).repartition(8).write.parquet(str(tmp_path / "fact"))
+    dims = []
+    for number, dimension in enumerate(dimensions(silver)):
+        dimension.write.parquet(str(tmp_path / f"dim{number}"))
+        dims.append(spark.read.parquet(str(tmp_path / f"dim{number}")))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = star.fact_enriched(spark.read.parquet(str(tmp_path / "fact")), *dims)
+        assert len(joined.collect()) == 40000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true) [customer_key" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -9,7 +9,7 @@ from orderloom.operators import star
 from orderloom.plans.batch import BATCH_LAYERS, run_batch
 from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V1, LIVE_TOTALS_SCHEMA, ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS
-from orderloom.sources import files, folders, tables
+from orderloom.sources import files, folders, sizing, tables
 from tests.lines import FAULTY, GOOD, faulty_lines, line, text_lines
 
 
@@ -155,6 +155,19 @@ def test_empty_batch(spark, tmp_path, database):
     assert set(counts.values()) == {0}
 
 
+def test_shuffles_grow_with_the_input(spark):
+    setting = sizing.PARTITIONS_SETTING
+    before = spark.conf.get(setting)
+    with sizing.sized_shuffles(spark, 1000):
+        assert spark.conf.get(setting) == before
+    with pytest.raises(KeyError):
+        with sizing.sized_shuffles(spark, 10 * 2**40):
+            assert spark.conf.get(setting) == str(sizing.MOST_PARTITIONS)
+            raise KeyError
+    assert spark.conf.get(setting) == before
+    assert sizing.partitions_for(64 * 2**30, 200) == 1024
+
+
 def test_layers_write_each_layer_once(spark, tmp_path):
     calls = []
 
