@@ -450,7 +450,9 @@ BODIES = {
     "monthly_sales": "SELECT * FROM monthly",
     "monthly_sales_by_category": "SELECT * FROM monthly_category",
     "monthly_sales_by_region": "SELECT * FROM monthly_region",
-    "stream_month_total": "SELECT * FROM monthly_arrivals",
+    "stream_month_total": "SELECT round(sum(total_sales), 2) AS total_sales,"
+    " CAST(sum(total_orders) AS BIGINT) AS total_orders, round(sum(total_profit), 2) AS total_profit FROM live",
+    "monthly_stream": "SELECT * FROM monthly_arrivals",
     "monthly_with_stream": "SELECT * FROM monthly_both",
     "trend_model": fit_table("monthly"),
     "trend_model_by_category": fit_table("monthly_category", "category"),

@@ -1,10 +1,10 @@
 """Business measures over the star schema.
 
-Charts by an attribute of a dimension first add up the fact per surrogate key
-and then look the attribute up. The sums are combined map-side, so a key with a
-third of all rows costs one line per task, and what is joined has at most one
-row per member instead of one per order line. Spark broadcasts the dimension
-when its size allows and shuffles both small sides otherwise.
+Charts by an attribute of a dimension never shuffle order lines. A dimension of
+checked small size is broadcast and the fact grouped by the attribute at once.
+Beyond that size the fact is first added up per surrogate key, which map tasks do
+before anything moves, and only those sums are joined: a key with a third of all
+rows costs one line per task either way.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.amounts import percent, ratio, total
+from orderloom.sources.sizing import fits_broadcast
 
 
 # --- key figures -----------------------------------------------------------
@@ -98,11 +99,15 @@ def per_member(
     key: str,
     attributes: Sequence[str],
     sums: Mapping[str, str | Column],
+    own: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact sums of the fact by attributes of one dimension."""
-    per_key = fact.groupBy(key).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
-    looked_up = per_key.join(dimension.select(key, *attributes), key, "left")
-    return looked_up.groupBy(*attributes).agg(*[F.sum(name).alias(name) for name in sums])
+    """Exact sums of the fact by attributes of one dimension and its own columns."""
+    members = dimension.select(key, *attributes)
+    added = [F.sum(c).alias(name) for name, c in sums.items()]
+    if fits_broadcast(members):
+        return fact.join(F.broadcast(members), key, "left").groupBy(*attributes, *own).agg(*added)
+    per_key = fact.groupBy(key, *own).agg(*added).join(members, key, "left")
+    return per_key.groupBy(*attributes, *own).agg(*[F.sum(name).alias(name) for name in sums])
 
 
 def amounts_by(

@@ -285,7 +285,8 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "monthly_sales": monthly,
     "monthly_sales_by_category": monthly_by_category,
     "monthly_sales_by_region": monthly_by_region,
-    "stream_month_total": lambda t: forecast.monthly_stream(t.table("clean_arrivals")),
+    "stream_month_total": lambda t: measures.live_totals(gold_category_region(t)),
+    "monthly_stream": lambda t: forecast.monthly_stream(t.table("clean_arrivals")),
     "monthly_with_stream": monthly_with_stream,
     "trend_model": lambda t: forecast.trend_table(forecast.trend(monthly(t))),
     "trend_model_by_category": lambda t: forecast.trend_table(

@@ -1,4 +1,4 @@
-"""As many shuffle partitions as the input needs."""
+"""What the size of an input decides: shuffle partitions and broadcasts."""
 
 from __future__ import annotations
 
@@ -14,12 +14,21 @@ BYTES_PER_PARTITION = 64 * 1024 * 1024
 # Beyond this the bookkeeping of map outputs costs more than larger partitions do.
 MOST_PARTITIONS = 100_000
 
+# Largest dimension, in bytes of the files read for it, that is sent to every
+# executor whole.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def scan_bytes(scan: DataFrame) -> int:
     """Bytes of the files a plain scan reads, as Spark's own statistics have it."""
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a table is small enough to broadcast; a plan too complex to judge is not."""
+    return scan_bytes(table) <= BROADCAST_BYTES
+
+
 def partitions_for(input_bytes: int, at_least: int) -> int:
     needed = -(-input_bytes // BYTES_PER_PARTITION)
     return max(at_least, min(needed, MOST_PARTITIONS))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.dates import index_month, index_year, ist_label, month_label
 from orderloom.operators import forecast, star
 from orderloom.operators.cleaning import clean
+from orderloom.sources import sizing
 from tests.lines import line, text_lines
 
 SERIES = (
@@ -63,6 +64,18 @@ def test_monthly_series(lines):
     }
 
 
+def test_large_dimensions_give_the_same_series(lines, monkeypatch):
+    fact, dates, products = star.fact_orders(lines), star.dim_date(lines), star.dim_product(lines)
+
+    def series_by_category():
+        return sorted(forecast.monthly_sales_by(fact, dates, products, "product_key", "category").collect())
+
+    small = series_by_category()
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    assert series_by_category() == small
+    assert forecast.monthly_sales(fact, dates).count() == 3
+
+
 def test_line_without_a_date_is_left_out_of_the_trend(lines):
     undated = lines.withColumn("order_date", F.when(F.col("row_id") != 4, F.col("order_date")))
     monthly = forecast.monthly_sales(star.fact_orders(undated), star.dim_date(lines))

@@ -4,6 +4,7 @@ import pytest
 
 from orderloom.operators import measures, star
 from orderloom.operators.cleaning import clean
+from orderloom.sources import sizing
 from tests.lines import GOOD, line, text_lines
 
 
@@ -108,14 +109,23 @@ def test_live_totals_count_lines(silver):
     ]
 
 
-def test_chart_adds_up_before_it_looks_up(silver, fact):
-    """The join sees one row per member, not one per order line."""
-    chart = measures.amounts_by(
-        fact, star.dim_product(silver), "product_key", ["category"], "sales", "total_sales"
-    )
-    plan = chart._jdf.queryExecution().optimizedPlan().toString()
-    above, below = plan.split("Join", 1)
+def test_size_of_the_dimension_decides_the_plan_not_the_result(silver, fact, monkeypatch):
+    def chart():
+        return measures.amounts_by(
+            fact, star.dim_product(silver), "product_key", ["category"], "sales", "total_sales"
+        )
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    small, small_plan = sorted(chart().collect()), plan(chart())
+    assert "Aggregate [category" in small_plan.split("Join", 1)[0] and "strategy=broadcast" in small_plan
+    assert "Aggregate [product_key" not in small_plan
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    above, below = plan(chart()).split("Join", 1)
     assert "Aggregate [category" in above and "Aggregate [product_key" in below
+    assert "strategy=broadcast" not in below
+    assert sorted(chart().collect()) == small
 
 
 def test_totals_are_exact(spark):
