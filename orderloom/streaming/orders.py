@@ -108,7 +108,7 @@ def running_totals(
 
     def publish(totals: DataFrame, batch: int) -> None:
         path = totals_folder(totals_path, batch)
-        with_last_updated(totals).coalesce(1).write.mode("overwrite").parquet(path)
+        with_last_updated(totals).repartition(1).write.mode("overwrite").parquet(path)
         if table:
             point_table_at(spark, table, path, LIVE_TOTALS_SCHEMA)
 
