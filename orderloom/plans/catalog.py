@@ -65,9 +65,9 @@ def stream_rules(t: Layers) -> DataFrame:
     return shown(streaming.cleaned_stream(t.table("arrivals")).drop("processed_at"))
 
 
-def dq_validation(t: Layers, profile) -> DataFrame:
-    """The second set of checks over what the given profile lets through."""
-    return quality.rule_report(cleaning.clean(t.table("bronze"), profile), BATCH_V2)
+def dq_validation(t: Layers, silver: str) -> DataFrame:
+    """The second set of checks over what a cleaning profile let through."""
+    return quality.rule_report(t.table(silver), BATCH_V2)
 
 
 def layer_row_counts(t: Layers) -> DataFrame:
@@ -211,9 +211,9 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_v1": lambda t: shown(cleaning.clean(t.table("bronze"), BATCH_V1)),
     "silver_v2": lambda t: shown(cleaning.clean(t.table("bronze"), BATCH_V2)),
     "dq_report": lambda t: quality.rule_report(cleaning.prepared(t.table("bronze"))),
-    "dq_validation_v1": lambda t: dq_validation(t, BATCH_V1),
-    "dq_validation_v2": lambda t: dq_validation(t, BATCH_V2),
-    "dq_checks_passed_v1": lambda t: quality.validation_summary(dq_validation(t, BATCH_V1)),
+    "dq_validation_v1": lambda t: dq_validation(t, "silver_v1"),
+    "dq_validation_v2": lambda t: dq_validation(t, "silver"),
+    "dq_checks_passed_v1": lambda t: quality.validation_summary(dq_validation(t, "silver_v1")),
     "dq_step_counts": lambda t: quality.step_counts(t.table("bronze")),
     "dq_quarantine": lambda t: shown(quality.quarantine(t.table("bronze"))),
     "dq_quarantine_stream": lambda t: shown(quality.quarantine(t.table("bronze"), STREAM)),

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from orderloom.operators import star
 from orderloom.operators.cleaning import clean, prepared
-from orderloom.schema import BATCH_V2, STREAM, Profile
+from orderloom.schema import BATCH_V1, BATCH_V2, STREAM, Profile
 from orderloom.sources.files import rename_by_heading
 from orderloom.sources.sizing import scan_bytes, sized_shuffles
 from orderloom.sources.tables import write_files
@@ -44,6 +44,7 @@ class Layers:
         self._recipes: dict[str, Callable[[], DataFrame]] = {
             "bronze": lambda: rename_by_heading(raw()),
             "silver": lambda: clean(table("bronze"), profile),
+            "silver_v1": lambda: clean(table("bronze"), BATCH_V1),
             "dim_date": lambda: star.dim_date(table("silver")),
             "dim_customer": lambda: star.dim_customer(table("silver"))
             if known_customers is None
@@ -80,7 +81,12 @@ class Layers:
         """Size of what a layer is made from; the recipe has written it by now."""
         if name == "bronze":
             return self.raw_bytes()
-        sources = {"silver": "bronze", "arrivals": "bronze", "clean_arrivals": "arrivals"}
+        sources = {
+            "silver": "bronze",
+            "silver_v1": "bronze",
+            "arrivals": "bronze",
+            "clean_arrivals": "arrivals",
+        }
         return scan_bytes(self.table(sources.get(name, "silver")))
 
     def row_count(self, name: str) -> int:
