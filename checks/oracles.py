@@ -418,10 +418,10 @@ BODIES = {
         "SELECT ship_mode, CAST(sum(sales) AS DOUBLE) AS total_sales FROM fact_orders GROUP BY ship_mode",
         "total_sales",
     ),
-    "sales_by_year": f"""SELECT year, total_sales,
-      round((total_sales - lag(total_sales) OVER (ORDER BY year)) * 100
-        / lag(total_sales) OVER (ORDER BY year), 4) AS growth_pct
-      FROM ({chart("sales", "dim_date", "year")}) AS y""",
+    "sales_by_year": f"""SELECT y.year, y.total_sales,
+      round((y.total_sales - b.total_sales) * 100 / nullif(b.total_sales, 0), 4) AS growth_pct
+      FROM ({chart("sales", "dim_date", "year")}) AS y
+      LEFT JOIN ({chart("sales", "dim_date", "year")}) AS b ON b.year + 1 = y.year""",
     "top_states": leading(chart("sales", "dim_region", "region", "state"), "total_sales", "state", 5),
     "profit_by_subcategory": SUBCATEGORY_PROFIT,
     "most_profitable_subcategories": leading(SUBCATEGORY_PROFIT, "total_profit", "sub_category", 5),

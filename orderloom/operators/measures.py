@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.amounts import percent, ratio, total
@@ -144,10 +144,28 @@ def amounts_by_ship_mode(fact: DataFrame) -> DataFrame:
 
 
 def with_growth(yearly: DataFrame, measure: str = "total_sales") -> DataFrame:
-    """Change against the year before, in percent; one row per year comes in."""
-    before = F.lag(measure).over(Window.orderBy("year"))
-    return yearly.withColumn(
-        "growth_pct", F.round(F.try_divide((F.col(measure) - before) * 100, before), 4)
+    """Change against the year before, in percent; null where that year has no sales.
+
+    Each year hands its amount on to the next one, so the yearly sums are
+    computed once: no self-join, no window over all years.
+    """
+    amount, nothing = F.col(measure), F.lit(None).cast("double")
+    own = F.struct("year", amount.alias(measure), nothing.alias("before"), F.lit(True).alias("own"))
+    handed_on = F.struct(
+        (F.col("year") + 1).alias("year"), nothing.alias(measure), amount.alias("before"),
+        F.lit(False).alias("own"),
+    )
+    change = F.try_divide((amount - F.col("before")) * 100, F.col("before"))
+    return (
+        yearly.select(F.inline(F.array(own, handed_on)))
+        .groupBy("year")
+        .agg(
+            F.max(measure).alias(measure),
+            F.max("before").alias("before"),
+            F.bool_or("own").alias("own"),
+        )
+        .where("own")
+        .select("year", measure, F.round(change, 4).alias("growth_pct"))
     )
 
 

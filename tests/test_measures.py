@@ -80,6 +80,13 @@ def test_charts(silver, fact):
     ]
 
 
+def test_growth_is_against_the_year_before(spark):
+    df = spark.createDataFrame([(2014, 50.0), (2015, 75.0), (2017, 10.0), (2018, 0.0), (2019, 4.0)],
+                               "year INT, total_sales DOUBLE")
+    growth = {r.year: r.growth_pct for r in measures.with_growth(df).collect()}
+    assert growth == {2014: None, 2015: 50.0, 2017: None, 2018: -100.0, 2019: None}
+
+
 def test_top_and_bottom_break_ties_by_name(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 3.0)], "name STRING, v DOUBLE")
     assert [r.name for r in measures.top(df, "v", "name", 2).collect()] == ["c", "a"]
