@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, line_dedup, quality
+from orderloom.llm import decontaminate, line_dedup, ngram_join, quality
 from orderloom.llm.queries import tokens_and_digests
 from orderloom.llm.rows import table, written
 
@@ -23,6 +23,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id; documents without words stay."""
+    groups = ngram_join.near_duplicates(docs)
+    kept = groups.filter("component_id = id").select("id").distinct()
+    return docs.join(kept, docs["doc_id"] == kept["id"], "left_semi")
+
+
 def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     found = decontaminate.with_overlap(docs, table(spark, sf_dir, "benchmark"))
@@ -37,6 +44,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality_stage),
     ("lines", line_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("contamination", contamination_stage),
     ("tokens", token_stage),
 ]

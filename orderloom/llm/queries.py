@@ -11,9 +11,11 @@ from orderloom.llm import (
     decontaminate,
     exact_dedup,
     line_dedup,
+    ngram_join,
     quality,
     token_counts,
     token_files,
+    toxicity,
     url_filter,
 )
 from orderloom.llm.rows import table
@@ -43,6 +45,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -75,6 +81,13 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(remainder("doc_id", 5) != 0)
+    scored = toxicity.with_toxicity(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.with_verdict(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -101,10 +114,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_ngram_join": op2_ngram_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_token_files": op6_token_files,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
