@@ -24,10 +24,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id; documents without words stay."""
+    """Of each group of near duplicates the document with the least id; documents without words stay.
+
+    An id names one document; rows without an id cannot be named and stay.
+    """
     groups = ngram_join.near_duplicates(docs)
-    kept = groups.filter("component_id = id").select("id").distinct()
-    return docs.join(kept, docs["doc_id"] == kept["id"], "left_semi")
+    gone = groups.filter("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
