@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.llm import quality, toxicity
+from orderloom.llm.queries import QUERIES
+from orderloom.llm.rows import table
+
+FOLDER = "/root/testdata/sf0.01"
+ODD = [(1, None), (2, ""), (3, " \n"), (4, "same text"), (4, "same text"), (5, "word " * 60_000), (6, "\x00é日" * 9)]
+
+
+def odd(spark):
+    return spark.createDataFrame([(d, t, "s", 3) for d, t in ODD], "doc_id int, text string, SCORE string, lang int")
+
+
+def test_an_interaction_needs_the_pair_tables():
+    rng = np.random.default_rng(0)
+    rows = rng.normal(size=(3000, 3))
+    labels = ((rows[:, 0] > 0) ^ (rows[:, 1] > 0)).astype(int)
+    model = quality.fit(rows[:2000], labels[:2000])
+    assert (0, 1) in model.pairs
+    assert ((model.scores(rows[2000:]) >= 0.5) == labels[2000:]).mean() > 0.9
+    assert ((quality.fit(rows[:2000], labels[:2000], most_pairs=0).scores(rows[2000:]) >= 0.5) == labels[2000:]).mean() < 0.7
+
+
+def test_scores_are_sums_of_table_values():
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(500, 4))
+    model = quality.fit(rows, (rows[:, 2] > 0.3).astype(int), rounds=20, pair_rounds=5)
+    for row in rows[:20]:
+        z = model.base + sum(t[(e <= x).sum()] for e, t, x in zip(model.edges, model.tables, row))
+        for (a, b), t in zip(model.pairs, model.pair_tables):
+            z += t[(model.pair_edges[a] <= row[a]).sum(), (model.pair_edges[b] <= row[b]).sum()]
+        assert model.logits(row[None])[0] == pytest.approx(z)
+
+
+@pytest.mark.parametrize("labels", [[], [1, 1], [0, 0, 0]])
+def test_without_two_classes_the_score_is_the_smoothed_share(labels):
+    expected = (sum(labels) + 1) / (len(labels) + 2)
+    model = quality.fit(np.zeros((len(labels), len(quality.FEATURES))), np.array(labels))
+    assert model.scores(np.ones((1, len(quality.FEATURES))))[0] == pytest.approx(expected)
+    other = toxicity.fit(["some text"] * len(labels), np.array(labels))
+    logit = other.logit(other.responses(np.zeros((4, 3), int)))
+    assert 1 / (1 + np.exp(-logit)) == pytest.approx(expected)
+
+
+def test_quality_of_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (None, 1), (2, None), (77, 0)], "doc_id int, quality int")
+    model = quality.train(odd(spark), labels)
+    scored = quality.with_quality(odd(spark), model)
+    assert scored.columns == ["doc_id", "text", "lang", "score", "predicted"]
+    check(scored)
+    assert quality.with_quality(odd(spark).limit(0), model).count() == 0
+    assert quality.train(odd(spark).limit(0), labels.limit(0)).base == 0
+
+
+def test_toxicity_of_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (None, 1), (2, None), (77, 0)], "doc_id int, toxic int")
+    model = toxicity.train(odd(spark), labels)
+    check(toxicity.with_toxicity(odd(spark), model))
+    check(toxicity.with_toxicity(odd(spark), model, most_words=1))
+    assert toxicity.with_toxicity(odd(spark).limit(0), model).count() == 0
+    toxicity.train(odd(spark).limit(0), labels.limit(0))
+
+
+def check(scored):
+    rows = scored.collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(d for d, _ in ODD)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(r["text"] or "", r["score"]) == r["score"]
+
+
+def test_stems_are_learned_across_words():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abdegiklmnorstu") for _ in range(rng.randint(4, 8)))
+    texts, labels = [], []
+    for k in range(1500):
+        words = [word() for _ in range(60)]
+        if k % 3 == 0:
+            for _ in range(3):
+                words[rng.randrange(60)] = rng.choice(["quaxo", "wyzzle"]) + word()[:3]
+        texts.append(" ".join(words))
+        labels.append(int(k % 3 == 0))
+    model = toxicity.fit(texts[:1000], np.array(labels[:1000]))
+    words = toxicity.Words()
+    rows = words.rows(texts[1000:])
+    responses = model.responses(words.buckets())
+    found = np.array([model.logit(responses[r]) for r in rows]) >= model.thresholds[toxicity.OTHER]
+    assert (found == np.array(labels[1000:])).mean() > 0.95
+
+
+def test_language_of_a_text():
+    words = toxicity.Words()
+    texts = ["the cat of the house is", "le chat et les chiens", "der Hund und die Katze", "el gato y los perros", "zzz qqq"]
+    rows = words.rows(texts)
+    votes = words.votes()
+    assert [toxicity.language(votes[r]) for r in rows] == [0, 1, 2, 3, toxicity.OTHER]
+
+
+@pytest.mark.parametrize("name,label,least", [("op1_quality_classifier", "quality", 0.95), ("op7_toxicity", "toxic", 0.93)])
+def test_held_out_accuracy(spark, name, label, least):
+    scored = QUERIES[name](spark, FOLDER).filter("held_out")
+    truth = table(spark, FOLDER, "labels").select("doc_id", F.col(label).alias("truth"))
+    rows = scored.join(truth, "doc_id").collect()
+    assert len(rows) > 50
+    assert np.mean([r["predicted"] == r["truth"] for r in rows]) > least
