@@ -34,7 +34,10 @@ from orderloom.llm.rows import to_rows, written
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 75  # percent
 
-BITMAP_BITS = 512
+# A bitmap grows with its set, so that it bounds large ones as well; tiles compare small
+# ones of one size first.
+LEAST_BITS = 512
+BITS_PER_SHINGLE = 2
 BAND_BASE = 4
 
 # Slots of the frequency estimate: a byte each, sent to every task; the size is fixed.
@@ -42,10 +45,8 @@ FREQUENCY_SLOTS = 1 << 22
 # A slot is noted by a task if this many of its documents hold it.
 NOTED = 8
 
-# Bits of the filter that keeps documents without a candidate link out of a shuffle. It is
-# sent to every task and fixed in size; when it is full it filters nothing, and the join
-# behind it does.
-FILTER_BITS = 1 << 20
+# Most bits (16 MB) of a filter that keeps rows without a partner out of a shuffle.
+FILTER_BITS = 1 << 27
 
 # Nodes of a block of a large tile.
 BLOCK = 2_000
@@ -53,11 +54,12 @@ BLOCK = 2_000
 # Shingles whose tiles one task sorts at a time.
 ENTRIES_PER_PARTITION = 2_000_000
 
-MOST_WORDS = 1_000_000
+# Bytes of a text hashed at a time; each takes some 40 bytes of working memory.
+CHUNK_BYTES = 1 << 20
 
-# Odd multipliers of the shingle hash, one per word. Fixed values.
+# Odd multipliers. Fixed values.
 _FACTORS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
 )
 
 
@@ -68,32 +70,69 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order."""
+    values = np.sort(values)
+    first = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
+
+
+# Bytes of white space, and A-Z as a-z.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_FOLD = np.arange(256)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+# A 64-bit number per byte, the same for both cases; white space is worth nothing.
+_BYTE_VALUES = np.where(_SPACE, np.uint64(0), mixed(_FOLD.astype(np.uint64) + _FACTORS[2]))
 
 
 class Shingler:
     def __init__(self, size: int = WORDS_PER_SHINGLE):
         self.size = size
         self.factors = mixed(np.arange(1, size + 1, dtype=np.uint64) * _FACTORS[0]) | np.uint64(1)
-        self.hashes = _WordHashes()
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def _words(self, raw: np.ndarray) -> np.ndarray:
+        """A hash of each word of a text: the sum of its bytes' numbers times powers of an odd factor, mixed."""
+        outside = np.ones(len(raw) + 2, bool)
+        outside[1:-1] = _SPACE[raw]
+        change = np.flatnonzero(outside[1:] != outside[:-1])
+        starts, ends = change[::2], change[1::2]
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        hashes, first = [], 0
+        while first < len(starts):  # whole words of some bytes at a time
+            last = max(first + 1, int(np.searchsorted(ends, starts[first] + CHUNK_BYTES)))
+            origin, end = int(starts[first]), int(ends[last - 1])
+            up, down = self._powers(end - origin)
+            sums = np.zeros(end - origin + 1, np.uint64)
+            np.cumsum(_BYTE_VALUES[raw[origin:end]] * up, out=sums[1:])
+            at = starts[first:last] - origin
+            hashes.append((sums[ends[first:last] - origin] - sums[at]) * down[at])
+            first = last
+        return mixed(hashes[0] if len(hashes) == 1 else np.concatenate(hashes))
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first n powers of an odd factor and of its inverse modulo 2^64."""
+        if n > len(self.up):
+            inverse = np.uint64(pow(int(_FACTORS[3]), -1, 1 << 64))
+            self.up, self.down = (
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, f)])) for f in (_FACTORS[3], inverse)
+            )
+        return self.up[:n], self.down[:n]
 
     def __call__(self, text: str | None) -> np.ndarray:
         """The sorted distinct shingles of a text; one for fewer words, none without words."""
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
+        h = self._words(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)) if text else ()
+        if not len(h):
             return np.zeros(0, np.uint64)
-        if len(self.hashes) > MOST_WORDS:
-            self.hashes.clear()
-        h = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        size = min(self.size, len(words))
-        n = len(words) - size + 1
+        size = min(self.size, len(h))
+        n = len(h) - size + 1
         total = np.full(n, np.uint64(size))
         for o in range(size):
             total += h[o : o + n] * self.factors[o]
-        return np.unique(mixed(total))
+        return distinct(mixed(total))
 
 
 def digest(shingles: np.ndarray) -> int:
@@ -115,9 +154,29 @@ def bands(n: int, similarity: int) -> list[int]:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_BITS, np.uint8)
-    bits[(shingles >> np.uint64(20)) % np.uint64(BITMAP_BITS)] = 1
-    return np.packbits(bits).tobytes()
+    """A bit per shingle, by its hash; the larger the set, the more bits."""
+    bits = LEAST_BITS
+    while bits < BITS_PER_SHINGLE * len(shingles):
+        bits *= 2
+    marks = np.zeros(bits, np.uint8)
+    marks[(shingles >> np.uint64(10)) & np.uint64(bits - 1)] = 1
+    return np.packbits(marks).tobytes()
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap made as small as another one: halves laid over each other."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), 0)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """The upper 48 bits of each key, six bytes a key."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(keys: bytes) -> np.ndarray:
+    out = np.zeros((len(keys) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(keys, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
 
 
 def similar(overlap, n, m, similarity: int):
@@ -126,8 +185,8 @@ def similar(overlap, n, m, similarity: int):
 
 def overlap_bound(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """At most this many shingles are shared: each bit of one side alone is a shingle of that side alone."""
-    only_left = np.bitwise_count(left & ~right).sum(1, dtype=np.int64)
-    only_right = np.bitwise_count(right & ~left).sum(1, dtype=np.int64)
+    only_left = np.bitwise_count(left & ~right).sum(-1, dtype=np.int64)
+    only_right = np.bitwise_count(right & ~left).sum(-1, dtype=np.int64)
     return np.minimum(n - only_left, m - only_right)
 
 
@@ -140,8 +199,11 @@ def shared(left: np.ndarray, right: np.ndarray) -> int:
     return int((right[at] == left).sum())
 
 
-def _bitmaps(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITMAP_BITS // 64)
+def _small(bitmaps: pa.Array) -> np.ndarray:
+    """Bitmaps of the least size, a row each."""
+    words = LEAST_BITS // 64
+    rows = [folded(np.frombuffer(b, np.uint64), words) for b in bitmaps.to_pylist()]
+    return np.array(rows, np.uint64).reshape(-1, words)
 
 
 def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
@@ -153,9 +215,9 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
         def run(batches):
             counts = np.zeros(FREQUENCY_SLOTS, np.int32)
             for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    slots = (shingle(text) >> np.uint64(42)).astype(np.int64)
-                    np.add.at(counts, slots, 1)
+                slots = [(shingle(t) >> np.uint64(42)).astype(np.int32) for t in batch.column("text").to_pylist()]
+                if slots:
+                    counts += np.bincount(np.concatenate(slots), minlength=FREQUENCY_SLOTS).astype(np.int32)
             noted = np.flatnonzero(counts >= NOTED + 4 * counts.mean())
             yield {"slot": pa.array(noted.astype(np.int32)), "n": pa.array(counts[noted].astype(np.int64))}
 
@@ -184,7 +246,7 @@ def _signatures(docs: DataFrame, size: int, similarity: int) -> DataFrame:
                     sizes.append(n)
                     bitmaps.append(bitmap(found))
                     first = found[np.argsort(classes[found >> np.uint64(42)], kind="stable")[: prefix_length(n, similarity)]]
-                    prefixes.append(first.tobytes() if n else b"")
+                    prefixes.append(packed(first) if n else b"")
                 yield {
                     "id": batch.column("id"),
                     "node": pa.array(nodes, pa.int64()),
@@ -198,16 +260,22 @@ def _signatures(docs: DataFrame, size: int, similarity: int) -> DataFrame:
     return to_rows(docs, make, "id long, node long, n long, bitmap binary, prefix binary")
 
 
+_TILE = ~np.uint64(0xFFFF)
+
+
 def _tile_keys(prefix: bytes, n: int, similarity: int) -> np.ndarray:
-    first = np.frombuffer(prefix, np.uint64)
-    return np.concatenate([mixed(first + np.array([b + 1], np.uint64) * _FACTORS[1]) for b in bands(n, similarity)])
+    """Tiles of a node, as the upper 48 bits of a hash of shingle and band."""
+    first = unpacked(prefix)
+    tiles = [mixed(first + np.array([b + 1], np.uint64) * _FACTORS[1]) for b in bands(n, similarity)]
+    return np.concatenate(tiles) & _TILE
 
 
 def _tile_entries(batch: pa.RecordBatch, similarity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tile and node of every prefix shingle of a batch."""
-    keys, nodes, counts = [], [], []
+    """Tile and node of every prefix shingle of a batch; a node that is there twice counts once."""
+    keys, nodes, counts, seen = [], [], [], set()
     for node, n, prefix in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "prefix"))):
-        if n:
+        if n and node not in seen:
+            seen.add(node)
             keys.append(_tile_keys(prefix, n, similarity))
             nodes.append(node)
             counts.append(len(keys[-1]))
@@ -216,81 +284,130 @@ def _tile_entries(batch: pa.RecordBatch, similarity: int) -> tuple[np.ndarray, n
     return np.concatenate(keys), np.repeat(np.array(nodes, np.int64), counts)
 
 
-def _to_least(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tiles with their least node, and (node, least node) of all others."""
+class Filter:
+    """Tells which numbers may be in a column; a set of bits, some 16 per distinct value.
+
+    It goes to every task, so it has at most FILTER_BITS bits. When a column has more
+    values than that serves it lets more pass; the joins behind it then do the work.
+    """
+
+    def __init__(self, column: DataFrame):
+        count = max(1, column.count())
+        self.bits = min(FILTER_BITS, 1 << (16 * count - 1).bit_length())
+        slots = column.select(F.pmod(F.col(column.columns[0]).cast("long"), F.lit(self.bits)).alias("slot"))
+        words = (
+            slots.selectExpr("slot div 64 as word", "shiftleft(1L, cast(slot % 64 as int)) as bit")
+            .groupBy("word")
+            .agg(F.bit_or("bit").alias("bits"))
+            .toPandas()
+        )
+        held = np.zeros(max(1, self.bits // 64), np.int64)
+        held[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64)
+        self.sent = column.sparkSession.sparkContext.broadcast(held)
+
+    def may_hold(self, values: np.ndarray) -> np.ndarray:
+        slot = values & (self.bits - 1)
+        return (self.sent.value[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
+def _to_least(keys: np.ndarray, nodes: np.ndarray, counts: np.ndarray):
+    """Tiles with their least node and count, and the distinct (node, least node) of all other nodes."""
     order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    first = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
-    least = nodes[first][np.cumsum(first) - 1] if len(keys) else nodes
+    keys, nodes, counts = keys[order], nodes[order], counts[order]
+    if not len(keys):
+        return keys, nodes, counts, np.zeros((0, 2), np.int64)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    least = np.repeat(nodes[first], np.diff(np.r_[first, len(keys)]))
     other = nodes != least
     pairs = np.unique(np.stack([nodes[other], least[other]], 1), axis=0)
-    return keys[first], nodes[first], pairs[:, 0], pairs[:, 1]
+    return keys[first], nodes[first], np.add.reduceat(counts, first), pairs
 
 
-def _star_pairs(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
-    """(a, b): every node of a tile with the tile's least one, or with that of its own task.
+def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
+    """Rows (a, b, null): a node of a tile and the tile's least one, or that of its own batch;
+    and rows (null, null, tile) of the tiles with three nodes or more.
 
-    A task first finds the least node of each of its tiles, so that it sends one entry per
-    tile and a tile that holds a third of all nodes reaches the next step as one entry
-    per task. Entries travel packed, by ranges of the tile hash.
+    A task first finds the least node of each of its tiles, so it sends one entry per tile,
+    and a tile that holds a third of all nodes reaches the next step as one entry per
+    batch. Entries travel packed, by ranges of the tile's hash. A tile of two nodes has
+    one pair, so it is done with these.
     """
-    parts = max(int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries // ENTRIES_PER_PARTITION))
-    nothing = pa.array([], pa.binary())
+    least_parts = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least_parts, -(-entries // ENTRIES_PER_PARTITION))
 
     def make_local():
         def run(batches):
             for batch in batches:
-                keys, least, a, b = _to_least(*_tile_entries(batch, similarity))
-                part = (keys % np.uint64(parts)).astype(np.int64)
+                keys, nodes = _tile_entries(batch, similarity)
+                keys, least, counts, pairs = _to_least(keys, nodes, np.ones(len(keys), np.int64))
+                part = ((keys >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
                 rows = [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+                more = [1] * bool(len(pairs))  # a row for the batch's own pairs
                 yield {
-                    "part": pa.array([p for p, _ in rows] + [p % parts for p in range(bool(len(a)))], pa.int32()),
-                    "tiles": pa.array([keys[i].tobytes() for _, i in rows] + [None] * bool(len(a)), pa.binary()),
-                    "a": pa.array([least[i].tobytes() for _, i in rows] + [a.tobytes()] * bool(len(a)), pa.binary()),
-                    "b": pa.array([None for _ in rows] + [b.tobytes()] * bool(len(a)), pa.binary()),
+                    "part": pa.array([p for p, _ in rows] + [int(pairs[0, 0]) % parts for _ in more], pa.int32()),
+                    "tiles": pa.array([packed(keys[i]) for _, i in rows] + [None for _ in more], pa.binary()),
+                    "nodes": pa.array([least[i].tobytes() for _, i in rows] + [pairs.tobytes() for _ in more], pa.binary()),
+                    "crowd": pa.array([np.minimum(counts[i], 3).astype(np.uint8).tobytes() for _, i in rows] + [None for _ in more], pa.binary()),
                 }
 
         return run
 
     def make_merged():
+        def rows(pairs, tiles):
+            none = lambda n: pa.nulls(n, pa.int64())
+            a, b = (pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1))
+            return {
+                "a": pa.concat_arrays([a, none(len(tiles))]),
+                "b": pa.concat_arrays([b, none(len(tiles))]),
+                "tile": pa.concat_arrays([none(len(pairs)), pa.array(tiles.view(np.int64))]),
+            }
+
         def run(batches):
-            held: list[tuple[bytes, bytes]] = []
+            held: list[tuple[bytes, bytes, bytes]] = []
+            no_tiles = np.zeros(0, np.uint64)
             for batch in batches:
-                for tiles, a, b in zip(*(batch.column(c).to_pylist() for c in ("tiles", "a", "b"))):
+                for tiles, nodes, crowd in zip(*(batch.column(c).to_pylist() for c in ("tiles", "nodes", "crowd"))):
                     if tiles is None:
-                        yield {"a": pa.array(np.frombuffer(a, np.int64)), "b": pa.array(np.frombuffer(b, np.int64))}
+                        yield rows(np.frombuffer(nodes, np.int64).reshape(-1, 2), no_tiles)
                     else:
-                        held.append((tiles, a))
-            keys = np.frombuffer(b"".join(t for t, _ in held), np.uint64)
-            nodes = np.frombuffer(b"".join(a for _, a in held), np.int64)
-            _, _, a, b = _to_least(keys, nodes)
-            yield {"a": pa.array(a), "b": pa.array(b)}
+                        held.append((tiles, nodes, crowd))
+            keys, nodes, crowd = (b"".join(h[k] for h in held) for k in range(3))
+            tiles, _, counts, pairs = _to_least(
+                unpacked(keys), np.frombuffer(nodes, np.int64), np.frombuffer(crowd, np.uint8).astype(np.int64)
+            )
+            yield rows(pairs, tiles[counts >= 3])
 
         return run
 
-    local = to_rows(signatures.select("node", "n", "prefix"), make_local, "part int, tiles binary, a binary, b binary")
-    return to_rows(local.repartition(parts, "part"), make_merged, "a long, b long").distinct()
+    local = to_rows(signatures.select("node", "n", "prefix"), make_local, "part int, tiles binary, nodes binary, crowd binary")
+    return to_rows(local.repartition(parts, "part"), make_merged, "a long, b long, tile long")
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     """Pairs whose sizes and bitmaps leave a link possible."""
-    side = nodes.select("node", "n", "bitmap")
-    joined = pairs.join(side.toDF("a", "n_a", "bitmap_a"), "a").filter("a <> b").join(side.toDF("b", "n_b", "bitmap_b"), "b")
+    sizes = nodes.select("node", "n")
     close = (100 * F.col("n_a") >= similarity * F.col("n_b")) & (100 * F.col("n_b") >= similarity * F.col("n_a"))
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").filter(close & (F.col("a") != F.col("b")))
+    bits = nodes.select("node", "bitmap")
+    joined = sized.join(bits.toDF("a", "bitmap_a"), "a").join(bits.toDF("b", "bitmap_b"), "b")
 
     def make():
         def run(batches):
             for batch in batches:
                 n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-                bound = overlap_bound(_bitmaps(batch.column("bitmap_a")), _bitmaps(batch.column("bitmap_b")), n, m)
+                bound = np.zeros(len(n), np.int64)
+                for k, (x, y) in enumerate(zip(batch.column("bitmap_a").to_pylist(), batch.column("bitmap_b").to_pylist())):
+                    words = min(len(x), len(y)) // 8
+                    sides = [folded(np.frombuffer(z, np.uint64), words) for z in (x, y)]
+                    bound[k] = overlap_bound(*sides, n[k], m[k])
                 left = pa.array(similar(bound, n, m, similarity))
                 yield {c: batch.column(c).filter(left) for c in ("a", "b")}
 
         return run
 
-    return to_rows(joined.filter(close), make, "a long, b long")
+    return to_rows(joined, make, "a long, b long")
 
 
 def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, similarity: int) -> DataFrame:
@@ -300,19 +417,16 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
     ids keeps other documents from being shingled and shuffled.
     """
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = nodes.join(wanted, "node", "left_semi").select(F.coalesce("least_id", F.lit(0)).alias("id"))
-    slots = ids.select(F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int").alias("slot")).distinct()
-    filled = np.zeros(FILTER_BITS, bool)
-    filled[slots.toPandas()["slot"].to_numpy(int)] = True
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(filled))
+    numbered = F.coalesce(F.col("id"), F.lit(0)).cast("long")
+    ids = Filter(nodes.join(wanted, "node", "left_semi").select(F.coalesce("least_id", F.lit(0)).alias("id")))
 
     def make_sets():
-        shingle, bits = Shingler(size), np.unpackbits(sent.value).astype(bool)
+        shingle = Shingler(size)
 
         def run(batches):
             for batch in batches:
-                chosen = np.flatnonzero(bits[batch.column("slot").to_numpy()])
-                found = [shingle(t) for t in batch.column("text").take(pa.array(chosen)).to_pylist()]
+                chosen = pa.array(np.flatnonzero(ids.may_hold(batch.column("number").to_numpy())))
+                found = [shingle(t) for t in batch.column("text").take(chosen).to_pylist()]
                 yield {
                     "node": pa.array([digest(f) for f in found], pa.int64()),
                     "set": pa.array([f.tobytes() for f in found], pa.binary()),
@@ -320,8 +434,7 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
 
         return run
 
-    slot = F.pmod(F.xxhash64(F.coalesce("id", F.lit(0))), F.lit(FILTER_BITS)).cast("int").alias("slot")
-    made = to_rows(docs.select(slot, "text"), make_sets, "node long, set binary")
+    made = to_rows(docs.select(numbered.alias("number"), "text"), make_sets, "node long, set binary")
     sets = written(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     def make_exact():
@@ -341,47 +454,56 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
     return to_rows(joined, make_exact, "a long, b long")
 
 
-def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, touched: DataFrame, similarity: int, block: int) -> DataFrame:
+def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, crowded: DataFrame, similarity: int, block: int) -> DataFrame:
     """Pairs of different components within a tile that sizes and bitmaps leave possible.
 
-    Only nodes that share a tile with another one are looked at. Tiles of one component
-    are found by an aggregate and dropped. A tile of more than `block` nodes is split
-    into blocks, and each pair of blocks is a task's work of its own.
+    Only tiles of three nodes or more are looked at; those of one component are found by
+    an aggregate and dropped. A tile of more than `block` nodes is split into blocks, and
+    each pair of blocks is work of its own.
     """
-    per_node = nodes.select("node", "n", "bitmap", "least_id").join(touched, "node", "left_semi")
-    per_node = per_node.join(classes, "node", "left").withColumn("class", F.coalesce("root", "node"))
-    # One document per node carries its prefix; equal sets have equal prefixes.
-    prefixes = signatures.select("node", "prefix").join(touched, "node", "left_semi").dropDuplicates(["node"])
-    held = written(per_node.select("node", "n", "bitmap", "class").join(prefixes, "node"), "tile-nodes")
 
-    def make_entries():
-        def run(batches):
-            for batch in batches:
-                keys, owners = _tile_entries(batch, similarity)
-                groups = dict(zip(batch.column("node").to_pylist(), batch.column("class").to_pylist()))
-                yield {
-                    "tile": pa.array(keys.view(np.int64)),
-                    "node": pa.array(owners),
-                    "class": pa.array([groups[o] for o in owners.tolist()], pa.int64()),
-                }
+    def entries(wanted: Filter) -> DataFrame:
+        def make():
+            def run(batches):
+                for batch in batches:
+                    keys, owners = _tile_entries(batch, similarity)
+                    keys = keys.view(np.int64)
+                    chosen = wanted.may_hold(keys >> 16)
+                    yield {"tile": pa.array(keys[chosen]), "node": pa.array(owners[chosen])}
 
-        return run
+            return run
 
-    entries = to_rows(held.select("node", "n", "class", "prefix"), make_entries, "tile long, node long, class long")
+        rows = to_rows(signatures.select("node", "n", "prefix"), make, "tile long, node long")
+        return rows.join(classes, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("class"))
+
+    short = F.shiftright("tile", 16).alias("tile")  # the lower 16 bits of a tile are empty
     mixed_tiles = written(
-        entries.groupBy("tile")
+        entries(Filter(crowded.select(short)))
+        .groupBy("tile")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"))
         .filter("low <> high")
         .select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
         "mixed-tiles",
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = written(
+        entries(Filter(mixed_tiles.select(short))).join(mixed_tiles, "tile").distinct().withColumn("own", own), "mixed-entries"
+    )
+
+    def make_small():
+        def run(batches):
+            for batch in batches:
+                small = [b.tobytes() for b in _small(batch.column("bitmap"))]
+                yield {c: batch.column(c) for c in ("node", "n")} | {"bitmap": pa.array(small, pa.binary())}
+
+        return run
+
+    concerned = nodes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "n", "bitmap")
+    small = to_rows(concerned, make_small, "node long, n long, bitmap binary")
     spread = (
-        entries.join(mixed_tiles, "tile")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "class")
-        .join(held.select("node", "n", "bitmap"), "node")
+        .join(small, "node")
     )
     ordered = spread.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
     return to_rows(ordered, partial(_make_tiles, similarity), "a long, b long").distinct()
@@ -417,7 +539,7 @@ def _make_tiles(similarity: int):
     def run(batches) -> Iterator[dict]:
         kept: dict[str, np.ndarray] | None = None
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy() for c in names} | {"bitmap": _bitmaps(batch.column("bitmap"))}
+            rows = {c: batch.column(c).to_numpy() for c in names} | {"bitmap": _small(batch.column("bitmap"))}
             if kept is not None:
                 rows = {c: np.concatenate([kept[c], rows[c]]) for c in rows}
             if not len(rows["tile"]):
@@ -456,19 +578,17 @@ def near_duplicates(
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     signatures = written(_signatures(docs, size, similarity), "signatures")
-    entries = int(signatures.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("bytes")).first()["bytes"]) // 8
+    entries = int(signatures.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("bytes")).first()["bytes"]) // 6
     nodes = written(
         signatures.filter("n > 0").groupBy("node", "n", "bitmap").agg(F.min("id").alias("least_id")), "nodes"
     )
-    stars = written(_star_pairs(signatures, similarity, entries), "star-pairs")
-    likely = written(_bounded(stars, nodes, similarity), "likely-pairs")
+    stars = written(_stars(signatures, similarity, entries), "stars")
+    pairs = stars.filter("a is not null").select("a", "b").distinct()
+    likely = written(_bounded(pairs, nodes, similarity), "likely-pairs")
     links = written(_links(likely, docs, nodes, size, similarity), "star-links")
-    touched = written(
-        stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct(), "touched"
-    )
-    cross = written(
-        _cross_pairs(signatures, nodes, components(links), touched, similarity, block), "cross-pairs"
-    )
+    crowded = stars.filter("tile is not null").select("tile")
+    cross = written(_cross_pairs(signatures, nodes, components(links), crowded, similarity, block), "cross-pairs")
+    cross = written(_bounded(cross, nodes, similarity), "likely-cross-pairs")
     if not cross.isEmpty():
         links = links.unionByName(_links(cross, docs, nodes, size, similarity))
     roots = nodes.select("node", "least_id").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
