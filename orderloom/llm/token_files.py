@@ -16,6 +16,7 @@ opens only the frames that hold the documents asked for.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -56,18 +57,32 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(file_text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        parts = json.loads(file_text)
+        steps = (parts["normalizer"] or {}).get("normalizers", [])
+        self.folds = any(step["type"] == "Lowercase" for step in steps)
+        # Special tokens are found before any folding, so a text that might hold one is left as it is.
+        self.marks = {t["content"][:2] for t in parts["added_tokens"]} | {t["content"][:2].upper() for t in parts["added_tokens"]}
         self.cache = UnitCache(WORDS, self._encode, most_units)
 
     def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts, lengths = [], []
+        flat, lengths = [], []
         for i in range(0, len(units), CHUNK):
+            ids: list[int] = []
             for found in self.tokenizer.encode_batch_fast(units[i : i + CHUNK], add_special_tokens=False):
-                parts.append(np.array(found.ids, np.uint32))
-                lengths.append(len(parts[-1]))
-        return np.concatenate(parts), np.array(lengths, np.int64)
+                own = found.ids
+                ids += own
+                lengths.append(len(own))
+            flat.append(np.array(ids, np.uint32))
+        return np.concatenate(flat), np.array(lengths, np.int64)
+
+    def _folded(self, text: str) -> str:
+        """A-Z as a-z where the tokenizer does so itself, so that fewer units are distinct."""
+        if not self.folds or any(s in text for s in self.marks):
+            return text
+        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return self.cache.ids(texts)
+        return self.cache.ids(map(self._folded, texts))
 
 
 class ShardWriter:

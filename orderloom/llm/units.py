@@ -14,8 +14,11 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 WORDS = re.compile(f"[^{SPACE}]+").findall
 SPACED_WORDS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
 
-# Distinct units a task remembers (some 300 MB with their ids); then it starts afresh.
-MOST_UNITS = 1_000_000
+# Distinct units a task remembers (some 200 MB with their ids); then it starts afresh.
+MOST_UNITS = 700_000
+
+# Characters of text whose units are encoded together.
+SLICE_CHARS = 12_000_000
 
 
 class _Numbers(dict):
@@ -46,6 +49,19 @@ class UnitCache:
         self.starts = np.zeros(1, np.int64)
 
     def ids(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """The ids of each text; texts are taken in slices of bounded length (or one longer text)."""
+        out: list[np.ndarray] = []
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > SLICE_CHARS:
+                out += self._slice(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        return out + self._slice(held)
+
+    def _slice(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.numbers) > self.most:
             self._forget()
         number = self.numbers.__getitem__
