@@ -25,21 +25,23 @@ def digit_widths() -> Iterator[int]:
 def _split(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     """One pass: the rows of a group that share the next digit form a group of their own.
 
-    Groups of one row and groups whose texts have ended are done: they keep no rest.
-    Counts are combined before the shuffle, so a hot group sends one row per task; the
-    join back is one that adaptive execution splits at a hot group.
+    Rows alone in their group and groups whose texts have ended are done: they keep no rest.
+    Counts are combined before the shuffle, so a hot group sends one row per task. The
+    groups of several rows are written, so the join back is one of two plain inputs, which
+    adaptive execution splits at a hot group, or broadcasts if there are few.
     """
     cut = rows.withColumn("digit", F.substring("rest", 1, width))
     name = F.min("row") if keys else F.first("digit")
-    groups = cut.groupBy(*keys, "digit").agg(F.count("*").alias("size"), name.alias("below"))
-    done = (F.col("size") == 1) | (F.length("digit") < width)
-    return cut.join(groups, [*keys, "digit"]).select(
+    counted = cut.groupBy(*keys, "digit").agg(F.count("*").alias("size"), name.alias("below"))
+    groups = written(counted.filter("size > 1"), "radix-groups")
+    more = F.col("size").isNotNull() & (F.length("digit") == width)
+    return cut.join(groups, [*keys, "digit"], "left").select(
         F.col("below").alias("group"),
         F.col("row") if keys else F.monotonically_increasing_id().alias("row"),
         "id",
         "carried",
-        "size",
-        F.when(~done, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
+        F.coalesce("size", F.lit(1)).cast("long").alias("size"),
+        F.when(more, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
     )
 
 
