@@ -2,18 +2,49 @@
 
 from __future__ import annotations
 
-from orderloom.plans.catalog import REFRESH_DAY
-from orderloom.schema import (
-    BASE_YEAR,
-    BATCH_TEXT_COLUMNS,
-    BATCH_V1,
-    BATCH_V2,
-    ORDER_LINE_COLUMNS,
-    STREAM,
-    STREAM_TEXT_COLUMNS,
-    Profile,
+# Written out here, not taken from the library, so that a wrong rule there cannot hide.
+REFRESH_DAY = "1999-01-01"
+BASE_YEAR = 2015
+
+BATCH_TEXT_COLUMNS = (
+    "order_id", "ship_mode", "customer_id", "customer_name", "segment", "country", "city", "state",
+    "region", "product_id", "category", "sub_category", "product_name",
+)
+STREAM_TEXT_COLUMNS = BATCH_TEXT_COLUMNS + ("postal_code",)
+ORDER_LINE_COLUMNS = (
+    "row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "customer_name",
+    "segment", "country", "city", "state", "postal_code", "region", "product_id", "category",
+    "sub_category", "product_name", "sales", "quantity", "discount", "profit",
 )
 
+# A rule's name, and what a row must fulfil to stay, in the order of testing.
+Rules = dict[str, str]
+V1: Rules = {
+    "null_order": "order_id IS NOT NULL",
+    "null_customer": "customer_id IS NOT NULL",
+    "null_product": "product_id IS NOT NULL",
+    "null_sales": "sales IS NOT NULL",
+}
+V2: Rules = {
+    "null_order": "order_id IS NOT NULL",
+    "null_customer": "customer_id IS NOT NULL",
+    "null_product": "product_id IS NOT NULL",
+    "blank_key": "order_id <> '' AND customer_id <> '' AND product_id <> ''",
+    "null_sales": "sales IS NOT NULL",
+    "bad_date": "order_date IS NOT NULL",
+    "negative_sales": "NOT sales < 0",
+}
+STREAM: Rules = {
+    "null_order": "order_id IS NOT NULL",
+    "null_customer": "customer_id IS NOT NULL",
+    "blank_key": "order_id <> '' AND customer_id <> ''",
+    "null_sales": "sales IS NOT NULL",
+    "bad_date": "order_date IS NOT NULL",
+    "sales_not_positive": "sales > 0",
+    "quantity_not_positive": "quantity > 0",
+    "discount_out_of_range": "discount >= 0 AND discount <= 1",
+}
+
 
 def fault(quantity: int) -> str:
     return f"(l_quantity = {quantity} AND l_tax < 0.035)"
@@ -79,16 +110,16 @@ def lines(trim_columns: tuple[str, ...] = (), cast: bool = True) -> str:
     return ", ".join(parts)
 
 
-def kept(profile: Profile) -> str:
-    return " AND ".join(f"({rule.keep})" for rule in profile.rules)
+def kept(rules: Rules) -> str:
+    return " AND ".join(f"({keep})" for keep in rules.values())
 
 
 def broken(keep: str) -> str:
     return f"NOT coalesce({keep}, false)"
 
 
-def reason(profile: Profile) -> str:
-    whens = " ".join(f"WHEN {broken(r.keep)} THEN '{r.name}'" for r in profile.rules)
+def reason(rules: Rules) -> str:
+    whens = " ".join(f"WHEN {broken(keep)} THEN '{name}'" for name, keep in rules.items())
     return f"CASE {whens} END"
 
 
@@ -251,9 +282,9 @@ def grouped_forecast(source: str, group: str, data_type: str, measure: str = "sa
 PREFIX = "WITH " + ",\n".join([
     BRONZE,
     f"prepared AS (SELECT {lines(BATCH_TEXT_COLUMNS)} FROM bronze)",
-    f"good AS (SELECT * FROM prepared WHERE {kept(BATCH_V2)})",
+    f"good AS (SELECT * FROM prepared WHERE {kept(V2)})",
     f"silver AS ({unique_lines('good')})",
-    f"silver_one AS ({unique_lines(f'(SELECT * FROM prepared WHERE {kept(BATCH_V1)})')})",
+    f"silver_one AS ({unique_lines(f'(SELECT * FROM prepared WHERE {kept(V1)})')})",
     f"stream_prepared AS (SELECT {lines(STREAM_TEXT_COLUMNS)} FROM bronze)",
     f"arrivals AS (SELECT * FROM stream_prepared WHERE {kept(STREAM)})",
     STAR,
@@ -276,8 +307,8 @@ FACT_COLUMNS = (
 
 def rule_report(source: str) -> str:
     rules = " UNION ALL ".join(
-        f"SELECT '{r.name}' AS rule, count(*) FILTER (WHERE {broken(r.keep)}) AS violations FROM {source}"
-        for r in BATCH_V2.rules
+        f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {broken(keep)}) AS violations FROM {source}"
+        for name, keep in V2.items()
     )
     duplicates = f"""SELECT 'duplicate_key' AS rule, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations
       FROM (SELECT count(*) AS n FROM {source} WHERE order_id IS NOT NULL AND product_id IS NOT NULL
@@ -286,10 +317,10 @@ def rule_report(source: str) -> str:
 
 
 def step_counts() -> str:
-    names = [r.name for r in BATCH_V2.rules]
+    names = list(V2)
     removed = " UNION ALL ".join(
         f"SELECT {i} AS step_number, '{n}' AS step,"
-        f" (SELECT count(*) FROM prepared WHERE {reason(BATCH_V2)} = '{n}') AS rows_removed"
+        f" (SELECT count(*) FROM prepared WHERE {reason(V2)} = '{n}') AS rows_removed"
         for i, n in enumerate(names, start=1)
     )
     last = (
@@ -319,13 +350,13 @@ def share(amounts: str, measure: str) -> str:
 
 
 def leading(amounts: str, measure: str, tie_break: str, n: int, way: str = "DESC") -> str:
-    return f"SELECT * FROM ({amounts}) AS a ORDER BY {measure} {way}, {tie_break} LIMIT {n}"
+    return f"SELECT * FROM ({amounts}) AS a ORDER BY {measure} {way} NULLS LAST, {tie_break} LIMIT {n}"
 
 
 def top_members(dimension: str, key: str, attributes: str, n: int) -> str:
     return f"""SELECT {attributes}, total_sales FROM (
         SELECT {key}, {attributes}, CAST(sum(sales) AS DOUBLE) AS total_sales
-        FROM fact_orders JOIN {dimension} USING ({key}) GROUP BY {key}, {attributes}
+        FROM fact_orders LEFT JOIN {dimension} USING ({key}) WHERE {key} IS NOT NULL GROUP BY {key}, {attributes}
       ) AS m ORDER BY total_sales DESC, {key} LIMIT {n}"""
 
 
@@ -363,7 +394,7 @@ BODIES = {
     f" count(*) AS checks_made FROM ({rule_report('silver_one')}) AS r",
     "dq_step_counts": step_counts(),
     "dq_quarantine": f"SELECT {as_shown()}, reject_reason FROM"
-    f" (SELECT *, {reason(BATCH_V2)} AS reject_reason FROM prepared) AS q WHERE reject_reason IS NOT NULL",
+    f" (SELECT *, {reason(V2)} AS reject_reason FROM prepared) AS q WHERE reject_reason IS NOT NULL",
     "dq_quarantine_stream": f"SELECT {as_shown()}, reject_reason FROM"
     f" (SELECT *, {reason(STREAM)} AS reject_reason FROM stream_prepared) AS q"
     " WHERE reject_reason IS NOT NULL",
@@ -451,7 +482,8 @@ BODIES = {
     "monthly_sales_by_category": "SELECT * FROM monthly_category",
     "monthly_sales_by_region": "SELECT * FROM monthly_region",
     "stream_month_total": "SELECT round(sum(total_sales), 2) AS total_sales,"
-    " CAST(sum(total_orders) AS BIGINT) AS total_orders, round(sum(total_profit), 2) AS total_profit FROM live",
+    " CAST(sum(total_orders) AS BIGINT) AS total_orders, round(sum(total_profit), 2) AS total_profit"
+    " FROM monthly_arrivals",
     "monthly_stream": "SELECT * FROM monthly_arrivals",
     "monthly_with_stream": "SELECT * FROM monthly_both",
     "trend_model": fit_table("monthly"),
@@ -485,6 +517,11 @@ BODIES = {
     ),
 }
 
+# Every key of the fact, over a customer dimension whose known keys come from elsewhere.
+BODIES["fact_keys_resolved"] = """SELECT * FROM (VALUES ('dim_date', CAST(0 AS BIGINT)),
+    ('dim_customer', CAST(0 AS BIGINT)), ('dim_product', CAST(0 AS BIGINT)), ('dim_region', CAST(0 AS BIGINT)))
+    AS t(dimension, unresolved_lines)"""
+
 ORACLES = {name: f"{PREFIX}\n{body}" for name, body in BODIES.items()}
 ORACLES["last_event_ist"] = (
     "SELECT strftime(max(ts) + INTERVAL 330 MINUTE, '%d-%m-%Y %H:%M:%S') AS last_updated_ist FROM events"

@@ -27,6 +27,11 @@ def month_label(index: Column, base_year: int = BASE_YEAR) -> Column:
     return F.date_format(first_day, "MMM yyyy")
 
 
-def ist_label(utc_time: Column) -> Column:
-    """A UTC time without zone as dd-MM-yyyy HH:mm:ss in India (UTC+5:30)."""
-    return F.date_format(utc_time + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), "dd-MM-yyyy HH:mm:ss")
+def ist_label(time: Column, zoned: bool = False) -> Column:
+    """A time as dd-MM-yyyy HH:mm:ss in India (UTC+5:30).
+
+    Without a zone it is taken as UTC; an instant (zoned) shows the same whatever the
+    session's zone is.
+    """
+    utc = F.to_utc_timestamp(time, F.current_timezone()) if zoned else time
+    return F.date_format(utc + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), "dd-MM-yyyy HH:mm:ss")

@@ -52,3 +52,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
     tie_break = [F.col(c) for c in df.columns if c not in keys and c not in order]
     window = Window.partitionBy(*keys).orderBy(*first, *tie_break)
     return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")
+
+
+def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
+    """first_per_key where few keys occur twice: only lines of such keys are moved.
+
+    Keys with several lines are found by a hash aggregate over the bare keys. All other
+    lines pass by an anti join; whether the found keys are broadcast is left to their
+    size. The input is read twice, which costs less than moving every line.
+    """
+    several = df.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(
+        *[F.col(k).alias(f"_{k}") for k in keys]
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    alone = df.join(several, same, "left_anti")
+    return alone.unionByName(first_per_key(df.join(several, same, "left_semi"), keys, order))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions.keys import first_per_key
+from orderloom.functions.keys import unique_per_key
 from orderloom.schema import (
     BATCH_TEXT_COLUMNS,
     BATCH_V2,
@@ -69,7 +69,7 @@ def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def deduplicated(df: DataFrame, keys: Sequence[str] = DEDUP_KEY) -> DataFrame:
     """One row per key: the lowest row_id, so every run keeps the same one."""
-    return first_per_key(df, keys, {"row_id": "asc"})
+    return unique_per_key(df, keys, {"row_id": "asc"})
 
 
 def clean(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:

@@ -39,7 +39,7 @@ def _finished(sums: DataFrame, groups: Sequence[str]) -> DataFrame:
         F.round("total_profit", 2).cast("double").alias("total_profit"),
         F.col("total_orders").cast("long").alias("total_orders"),
         month_index(F.col("year"), F.col("month")).alias("month_index"),
-    )
+    ).orderBy(*groups, "month_index")
 
 
 def monthly_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
@@ -77,10 +77,15 @@ def merged_months(*series: DataFrame) -> DataFrame:
     for other in series[1:]:
         union = union.unionByName(other)
     return union.groupBy("year", "month", "month_index").agg(
-        F.round(F.sum("total_sales"), 2).alias("total_sales"),
-        F.round(F.sum("total_profit"), 2).alias("total_profit"),
+        _exact_sum("total_sales").alias("total_sales"),
+        _exact_sum("total_profit").alias("total_profit"),
         F.sum("total_orders").alias("total_orders"),
-    )
+    ).orderBy("month_index")
+
+
+def _exact_sum(column: str) -> Column:
+    """Amounts to the cent, added up as decimals so that the order does not matter."""
+    return F.sum(F.col(column).cast("decimal(30,2)")).cast("double")
 
 
 def trend(monthly: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
@@ -120,8 +125,15 @@ def trend_table(model: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     return model.select(*groups, *columns, "months")
 
 
+def _checked(horizon: int) -> int:
+    if horizon < 1:
+        raise ValueError(f"a forecast needs at least one month ahead, not {horizon}")
+    return horizon
+
+
 def future_months(monthly: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """The next months after the last one of the series."""
+    """The next months after the last one of the series, in order."""
+    _checked(horizon)
     last = monthly.agg(F.max("month_index").alias("last"))
     return last.where("last IS NOT NULL").select(
         F.explode(F.sequence(F.col("last") + 1, F.col("last") + horizon)).alias("month_index")
@@ -149,7 +161,7 @@ def _predicted(label: str, digits: int = 2) -> Column:
 
 def _ahead(model: DataFrame, last_index: Column, horizon: int) -> DataFrame:
     return model.withColumn(
-        "month_index", F.explode(F.sequence(last_index + 1, last_index + horizon))
+        "month_index", F.explode(F.sequence(last_index + 1, last_index + _checked(horizon)))
     )
 
 
@@ -166,7 +178,7 @@ def forecast_overall(monthly: DataFrame, horizon: int = HORIZON) -> DataFrame:
         index_month(index).alias("month"),
         month_label(index).alias("month_name"),
         F.lit("Forecast").alias("data_type"),
-    )
+    ).orderBy("month_index")
 
 
 def forecast_by(
@@ -190,7 +202,7 @@ def forecast_by(
         group,
         month_label(F.col("month_index")).alias("month_name"),
         F.lit(data_type).alias("data_type"),
-    )
+    ).orderBy(group, "month_index")
 
 
 def forecast_category(monthly_by_category: DataFrame, **options) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.amounts import percent, ratio, total
+from orderloom.functions.dates import ist_label
 from orderloom.sources.sizing import fits_broadcast
 
 
@@ -55,12 +56,14 @@ def kpi_profit(fact: DataFrame) -> DataFrame:
 def kpi_customer(fact: DataFrame) -> DataFrame:
     """Customers, sales per customer, and customers with more than one order.
 
-    A customer has more than one order exactly when the smallest and the
-    largest order id differ, so no order is shuffled to count it.
+    A customer has more than one order when the smallest and the largest 64-bit
+    digest of its order ids differ, so no order is shuffled to count it, and numbers
+    (unlike texts) are aggregated by hash, without a sort.
     """
+    order = F.when(F.col("order_id").isNotNull(), F.xxhash64("order_id"))
     per_customer = fact.groupBy("customer_key").agg(
         F.sum("sales").alias("sales"),
-        (F.min("order_id") < F.max("order_id")).alias("repeats"),
+        (F.min(order) < F.max(order)).alias("repeats"),
     )
     known = F.col("customer_key").isNotNull()
     sums = per_customer.agg(
@@ -128,13 +131,18 @@ def quantity_by(fact: DataFrame, dimension: DataFrame, key: str, attribute: str)
     return per_member(fact, dimension, key, [attribute], {"total_quantity": "quantity"})
 
 
+def _exact(column: str, digits: int) -> Column:
+    """Sum of amounts shown as doubles, in any order the same: they are decimals of so many digits."""
+    return F.sum(F.col(column).cast(f"decimal(30,{digits})")).cast("double")
+
+
 def with_share(amounts: DataFrame, measure: str, name: str = "share_pct") -> DataFrame:
     """Each group's percentage of the sum over all groups.
 
     The sum is a scalar subquery over the grouped rows: no window that pulls
     all groups into one task.
     """
-    whole = amounts.agg(F.sum(measure)).scalar()
+    whole = amounts.agg(_exact(measure, 4)).scalar()
     return amounts.withColumn(name, percent(measure, whole))
 
 
@@ -177,7 +185,7 @@ def orders_by_year(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def top(amounts: DataFrame, measure: str, tie_break: str, n: int) -> DataFrame:
     """The n largest groups; Spark keeps n rows per task, never a full sort."""
-    return amounts.orderBy(F.col(measure).desc(), F.col(tie_break)).limit(n)
+    return amounts.orderBy(F.col(measure).desc_nulls_last(), F.col(tie_break)).limit(n)
 
 
 def top_members(
@@ -186,19 +194,17 @@ def top_members(
     """The n members with the highest sales, ties broken by their key.
 
     Names are looked up for the n found members only, so no member list is
-    shuffled however long it is.
+    shuffled however long it is. A member its dimension does not hold stays, without
+    a name. The few rows are put in order again after the look-up.
     """
     sales = fact.where(F.col(key).isNotNull()).groupBy(key).agg(total("sales").alias("total_sales"))
-    return (
-        top(sales, "total_sales", key, n)
-        .join(dimension.select(key, *attributes), key)
-        .select(*attributes, "total_sales")
-    )
+    found = top(sales, "total_sales", key, n).join(dimension.select(key, *attributes), key, "left")
+    return found.orderBy(F.col("total_sales").desc_nulls_last(), key).select(*attributes, "total_sales")
 
 
 def bottom(amounts: DataFrame, measure: str, tie_break: str, n: int) -> DataFrame:
-    """The n smallest groups."""
-    return amounts.orderBy(F.col(measure).asc(), F.col(tie_break)).limit(n)
+    """The n smallest groups; one without an amount comes last."""
+    return amounts.orderBy(F.col(measure).asc_nulls_last(), F.col(tie_break)).limit(n)
 
 
 # --- live totals -----------------------------------------------------------
@@ -226,11 +232,18 @@ def distinct_orders_by_category_region(lines: DataFrame) -> DataFrame:
 def live_totals(totals: DataFrame) -> DataFrame:
     """Sum over all rows of the live totals (no group)."""
     return totals.groupBy().agg(
-        F.round(F.sum("total_sales"), 2).alias("total_sales"),
+        _exact("total_sales", 2).alias("total_sales"),
         F.sum("total_orders").alias("total_orders"),
-        F.round(F.sum("total_profit"), 2).alias("total_profit"),
+        _exact("total_profit", 2).alias("total_profit"),
     )
 
 
 def live_by(totals: DataFrame, *columns: str) -> DataFrame:
-    return totals.groupBy(*columns).agg(F.round(F.sum("total_sales"), 2).alias("total_sales"))
+    return totals.groupBy(*columns).agg(_exact("total_sales", 2).alias("total_sales"))
+
+
+def last_updated_ist(totals: DataFrame) -> DataFrame:
+    """When the live totals were last written, in India time."""
+    return totals.agg(F.max("last_updated").alias("at")).select(
+        ist_label(F.col("at"), zoned=True).alias("last_updated_ist")
+    )

@@ -25,20 +25,25 @@ def rule_report(rows: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     """One line per rule: how many of the rows break it, and whether it passed.
 
     Expects typed, trimmed rows, raw or already cleaned. Duplicates are rows
-    beyond the first of their key. Counts are first taken per key, map-side,
-    so the pass shuffles one narrow line per key and task whatever the skew.
+    beyond the first of their key. The rules are counted in one global aggregate,
+    which shuffles one line per task; only bare keys are shuffled, for the duplicates.
     """
     names = [rule.name for rule in profile.rules]
-    key_known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in DEDUP_KEY])
-    per_key = rows.groupBy(*DEDUP_KEY).agg(
-        F.count("*").alias("copies"),
+    totals = rows.agg(
         *[F.count_if(_broken(rule.keep)).alias(rule.name) for rule in profile.rules],
+        F.count_if(_key_known()).alias("keyed"),
     )
-    totals = per_key.agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
-        F.coalesce(F.sum(F.when(key_known, F.col("copies") - 1)), F.lit(0)).alias("duplicate_key"),
-    )
-    return _unpivoted(totals, names + ["duplicate_key"])
+    surplus = (F.col("keyed") - _distinct_keys(rows.where(_key_known()))).alias("duplicate_key")
+    return _unpivoted(totals.select(*names, surplus), names + ["duplicate_key"])
+
+
+def _key_known() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in DEDUP_KEY])
+
+
+def _distinct_keys(rows: DataFrame) -> Column:
+    """How many keys the rows have, as a scalar subquery; only keys are shuffled."""
+    return rows.select(*DEDUP_KEY).distinct().agg(F.count("*")).scalar()
 
 
 def validation_summary(report: DataFrame) -> DataFrame:
@@ -63,26 +68,19 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 
 def step_counts(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
-    """Rows before, removed by and after each cleaning step, from one pass.
+    """Rows before, removed by and after each cleaning step.
 
+    Rules are counted in one global aggregate; only the keys of valid rows are shuffled.
     The rules are the first steps, in order; removing duplicates is the last.
     """
     names = [rule.name for rule in profile.rules]
-    reason = reject_reason(profile)
-    per_key = (
-        prepared(df, profile)
-        .withColumn("reason", reason)
-        .groupBy(*DEDUP_KEY)
-        .agg(
-            F.count_if(F.col("reason").isNull()).alias("valid_copies"),
-            *[F.count_if(F.col("reason") == n).alias(n) for n in names],
-        )
-    )
-    totals = per_key.agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
-        F.coalesce(F.sum("valid_copies"), F.lit(0)).alias("valid_rows"),
-        F.count_if(F.col("valid_copies") > 0).alias("unique_rows"),
+    judged = prepared(df, profile).withColumn("reason", reject_reason(profile))
+    counted = judged.agg(
+        F.count_if(F.col("reason").isNull()).alias("valid_rows"),
+        *[F.count_if(F.col("reason") == n).alias(n) for n in names],
     )
+    unique = _distinct_keys(judged.where("reason IS NULL"))
+    totals = counted.withColumn("unique_rows", unique)
     removed = [F.col(n) for n in names] + [F.col("valid_rows") - F.col("unique_rows")]
     rows_in = reduce(lambda a, b: a + b, [F.col(n) for n in names], F.col("valid_rows"))
     steps = []

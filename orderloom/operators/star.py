@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ CUSTOMER_ATTRIBUTES = ("customer_name", "segment")
 PRODUCT_ATTRIBUTES = ("product_name", "category", "sub_category")
 REGION_KEY = ("region", "state", "city")
 
+# The columns of the fact.
 FACT_COLUMNS = (
     "order_id", "ship_mode", "date_key", "customer_key", "product_key",
     "region_key", "sales", "quantity", "discount", "profit",
@@ -20,7 +22,7 @@ FACT_COLUMNS = (
 
 
 def dim_date(lines: DataFrame) -> DataFrame:
-    """One row per order date; lines without a date have none."""
+    """One row per order date, in order; lines without a date have none."""
     day = F.col("order_date")
     return lines.select("order_date").where(day.isNotNull()).distinct().select(
         "order_date",
@@ -30,7 +32,7 @@ def dim_date(lines: DataFrame) -> DataFrame:
         F.quarter(day).alias("quarter"),
         F.dayofmonth(day).alias("day"),
         F.date_format(day, "MMMM").alias("month_name"),
-    )
+    ).orderBy("order_date")
 
 
 def newest(lines: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -81,6 +83,37 @@ def fact_orders(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_known_customers(fact: DataFrame, customers: DataFrame) -> DataFrame:
+    """The fact with the keys a customer dimension really carries.
+
+    A dimension refreshed in place (Type 1) keeps the keys its customers had, which may
+    come from elsewhere. Only those that differ from the computed ones are looked up; if
+    there are none, nothing is joined but an empty table.
+    """
+    computed = surrogate_key("customer_id")
+    other = customers.where(F.col("customer_key") != computed).select(
+        computed.alias("customer_key"), F.col("customer_key").alias("_known")
+    )
+    return fact.join(other, "customer_key", "left").withColumn(
+        "customer_key", F.coalesce("_known", "customer_key")
+    ).select(*fact.columns)
+
+
+def unresolved_keys(fact: DataFrame, dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per dimension, how many fact lines carry a key that it does not hold; all must be 0.
+
+    Keys are made distinct before they are compared, map-side, so no line is moved.
+    """
+    counts = []
+    for name, (dimension, key) in dimensions.items():
+        used = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("lines"))
+        lost = used.join(dimension.select(key), key, "left_anti")
+        counts.append(lost.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("unresolved_lines")).select(
+            F.lit(name).alias("dimension"), "unresolved_lines"
+        ))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def with_order_year(fact: DataFrame) -> DataFrame:
     """The fact with the year of its date key, to lay files out by."""
     return fact.withColumn("order_year", F.floor(F.col("date_key") / 10000).cast("int"))

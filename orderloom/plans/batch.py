@@ -8,9 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.functions.keys import key_clashes
+from orderloom.operators import forecast
+from orderloom.operators.star import unresolved_keys
 from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V2, Profile
-from orderloom.sources.tables import point_table_at, scan_if_exists, use_database
+from orderloom.sources.tables import Switch, scan, scan_if_exists, switch_tables, use_database, write_files
 
 BATCH_LAYERS = (
     "bronze", "silver", "dim_date", "dim_customer", "dim_product", "dim_region", "fact_orders",
@@ -32,8 +34,8 @@ def run_batch(
 ) -> dict[str, int]:
     """Write all layers under a new folder of root, then switch the tables to it.
 
-    A run that fails leaves the tables as they were, and can simply be started
-    again. An earlier customer dimension is refreshed (Type 1), not replaced.
+    A run that fails, also while it switches tables, leaves them as they were, and can
+    simply be started again. An earlier customer dimension is refreshed (Type 1), not replaced.
     Returns the row count of every layer.
     """
     use_database(spark, database)
@@ -51,12 +53,50 @@ def run_batch(
     for name, key in DIMENSION_KEYS.items():
         if not key_clashes(layers.table(name), key).isEmpty():
             raise RuntimeError(f"two members of {name} share a key")
-    for name in BATCH_LAYERS:
-        point_table_at(
-            spark,
-            f"{database}.{name}",
-            layers.path(name),
-            layers.table(name).schema,
-            layers.partition_by(name),
-        )
+    dimensions = {name: (layers.table(name), key) for name, key in DIMENSION_KEYS.items()}
+    lost = unresolved_keys(layers.table("fact_orders"), dimensions).where("unresolved_lines > 0").collect()
+    if lost:
+        raise RuntimeError(f"fact keys that no dimension holds: {[tuple(r) for r in lost]}")
+    switch_tables(spark, [
+        Switch(f"{database}.{name}", layers.path(name), layers.table(name).schema, layers.partition_by(name))
+        for name in BATCH_LAYERS
+    ])
     return counts
+
+
+FORECAST_TABLES = ("predictions_overall", "predictions_category", "predictions_region")
+
+
+def run_forecasts(
+    spark: SparkSession,
+    root: str,
+    database: str,
+    stream_table: str | None = None,
+    horizon: int = forecast.HORIZON,
+) -> dict[str, int]:
+    """Forecasts from the published star schema, published as three tables.
+
+    The streamed orders of stream_table join the overall series if that table exists;
+    without it the batch alone counts. Returns the row count of every table.
+    """
+    use_database(spark, database)
+    fact, dates, products, regions = (
+        scan(spark, f"{database}.{name}") for name in ("fact_orders", "dim_date", "dim_product", "dim_region")
+    )
+    overall = forecast.monthly_sales(fact, dates)
+    streamed = scan_if_exists(spark, stream_table) if stream_table else None
+    if streamed is not None:
+        overall = forecast.merged_months(overall, forecast.monthly_stream(streamed))
+    last = forecast.last_month(dates)
+    by_category = forecast.monthly_sales_by(fact, dates, products, "product_key", "category")
+    by_region = forecast.monthly_sales_by(fact, dates, regions, "region_key", "region")
+    results = dict(zip(FORECAST_TABLES, (
+        forecast.forecast_overall(overall, horizon),
+        forecast.forecast_category(by_category, horizon=horizon, last=last),
+        forecast.forecast_region(by_region, horizon=horizon, last=last),
+    )))
+    run = f"{root.rstrip('/')}/forecasts-{uuid.uuid4().hex}"
+    for name, rows in results.items():
+        write_files(rows.coalesce(1), f"{run}/{name}")
+    switch_tables(spark, [Switch(f"{database}.{name}", f"{run}/{name}", rows.schema) for name, rows in results.items()])
+    return {name: scan(spark, f"{database}.{name}").count() for name in results}

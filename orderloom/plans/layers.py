@@ -7,6 +7,7 @@ scans read only the columns they use.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,16 @@ class Layers:
         self.raw_bytes = raw_bytes
         self.root = root.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        self._paths: dict[str, str] = {}
         self._partition_by = {"fact_orders": ("order_year",)} if fact_by_year else {}
         table = self.table
+
+        def fact() -> DataFrame:
+            rows = star.fact_orders(table("silver"))
+            if known_customers is not None:
+                rows = star.with_known_customers(rows, table("dim_customer"))
+            return star.with_order_year(rows) if fact_by_year else rows
+
         self._recipes: dict[str, Callable[[], DataFrame]] = {
             "bronze": lambda: rename_by_heading(raw()),
             "silver": lambda: clean(table("bronze"), profile),
@@ -51,15 +60,15 @@ class Layers:
             else star.refreshed_customers(known_customers, table("silver")),
             "dim_product": lambda: star.dim_product(table("silver")),
             "dim_region": lambda: star.dim_region(table("silver")),
-            "fact_orders": lambda: star.with_order_year(star.fact_orders(table("silver")))
-            if fact_by_year
-            else star.fact_orders(table("silver")),
+            "fact_orders": fact,
             "arrivals": lambda: prepared(table("bronze"), STREAM),
             "clean_arrivals": lambda: cleaned_stream(table("arrivals")),
         }
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Where the layer was written."""
+        self.table(name)
+        return self._paths[name]
 
     def partition_by(self, name: str) -> tuple[str, ...]:
         return self._partition_by.get(name, ())
@@ -72,10 +81,12 @@ class Layers:
         """
         if name not in self._schemas:
             layer = self._recipes[name]()
+            # A path of its own for each attempt: one that failed is not in the way of the next.
+            path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
             with sized_shuffles(self.spark, self._input_bytes(name)):
-                write_files(layer, self.path(name), self.partition_by(name))
-            self._schemas[name] = layer.schema
-        return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
+                write_files(layer, path, self.partition_by(name))
+            self._schemas[name], self._paths[name] = layer.schema, path
+        return self.spark.read.schema(self._schemas[name]).parquet(self._paths[name])
 
     def _input_bytes(self, name: str) -> int:
         """Size of what a layer is made from; the recipe has written it by now."""

@@ -36,7 +36,11 @@ def rename_by_position(df: DataFrame) -> DataFrame:
 
 def rename_by_heading(df: DataFrame) -> DataFrame:
     """Bronze names by heading, whatever order the file has them in."""
-    found = {re.sub(r"[^a-z0-9]+", "_", h.strip().lower()): h for h in df.columns}
+    names = [re.sub(r"[^a-z0-9]+", "_", h.strip().lower()) for h in df.columns]
+    found = dict(zip(names, df.columns))
+    twice = sorted({n for n in names if names.count(n) > 1} & set(ORDER_LINE_COLUMNS))
+    if twice:
+        raise ValueError(f"several headings of the input mean the same column: {twice}")
     missing = [c for c in ORDER_LINE_COLUMNS if c not in found]
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -27,3 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path, for whatever store the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, without opening any file."""
+    system, target = _file_system(spark, pattern)
+    return [str(status.getPath()) for status in system.globStatus(target) or []]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)

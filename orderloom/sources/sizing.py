@@ -11,27 +11,36 @@ PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
 
 # Parquet grows two- to threefold in a shuffle: 64 MB read are some 150 MB sorted.
 BYTES_PER_PARTITION = 64 * 1024 * 1024
-# Beyond this the bookkeeping of map outputs costs more than larger partitions do.
-MOST_PARTITIONS = 100_000
 
 # Largest dimension, in bytes of the files read for it, that is sent to every
 # executor whole.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+UNKNOWN_BYTES = 1 << 62
+
+
 def scan_bytes(scan: DataFrame) -> int:
-    """Bytes of the files a plain scan reads, as Spark's own statistics have it."""
+    """Bytes of the files a plain scan reads, as Spark's own statistics have it.
+
+    A session without access to them (Spark Connect) knows no size: then nothing counts
+    as small and the session's own settings hold.
+    """
+    if not hasattr(scan, "_jdf"):
+        return UNKNOWN_BYTES
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(table: DataFrame) -> bool:
+def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
     """Whether a table is small enough to broadcast; a plan too complex to judge is not."""
-    return scan_bytes(table) <= BROADCAST_BYTES
+    return scan_bytes(table) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def partitions_for(input_bytes: int, at_least: int) -> int:
+    if input_bytes >= UNKNOWN_BYTES:
+        return at_least
     needed = -(-input_bytes // BYTES_PER_PARTITION)
-    return max(at_least, min(needed, MOST_PARTITIONS))
+    return max(at_least, needed)
 
 
 @contextmanager

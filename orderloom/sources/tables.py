@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -95,6 +96,54 @@ def point_table_at(
     spark.catalog.refreshTable(quoted(name))
 
 
+class Switch(NamedTuple):
+    """A table and the written files it is to show."""
+
+    name: str
+    path: str
+    schema: T.StructType
+    partition_by: Sequence[str] = ()
+
+
+def switch_tables(spark: SparkSession, switches: Sequence[Switch]) -> None:
+    """Point several tables at new files, all or none.
+
+    All are first built under second names, where most can go wrong. Then each is renamed
+    into place and the table it replaces kept aside; an error undoes the renames done so
+    far. A name is missing only between two renames. The old tables go at the end; files
+    of external tables stay.
+    """
+    staged, aside = (lambda n: f"{n}__next"), (lambda n: f"{n}__before")
+    for new in switches:
+        layout = f"PARTITIONED BY ({', '.join(new.partition_by)})" if new.partition_by else ""
+        drop(spark, staged(new.name))
+        spark.sql(
+            f"CREATE TABLE {quoted(staged(new.name))} ({new.schema.toDDL()}) USING PARQUET {layout} LOCATION '{new.path}'"
+        )
+        if new.partition_by:
+            spark.catalog.recoverPartitions(quoted(staged(new.name)))
+    undo: list[tuple[str, str]] = []
+    try:
+        for new in switches:
+            if spark.catalog.tableExists(quoted(new.name)):
+                drop(spark, aside(new.name))
+                rename(spark, new.name, aside(new.name))
+                undo.append((aside(new.name), new.name))
+            rename(spark, staged(new.name), new.name)
+            undo.append((new.name, staged(new.name)))
+    except Exception:
+        for now, before in reversed(undo):
+            rename(spark, now, before)
+        raise
+    for new in switches:
+        drop(spark, aside(new.name))
+        spark.catalog.refreshTable(quoted(new.name))
+
+
+def rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted(name)} RENAME TO {quoted(to)}")
+
+
 def _is_external_with(spark: SparkSession, name: str, schema: T.StructType) -> bool:
     current = scan_if_exists(spark, name)
     if current is None or spark.catalog.getTable(quoted(name)).tableType != "EXTERNAL":

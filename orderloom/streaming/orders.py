@@ -15,10 +15,14 @@ from orderloom.schema import (
     ORDER_LINE_SCHEMA,
     STREAM,
 )
-from orderloom.sources.tables import point_table_at, quoted
+from orderloom.sources.folders import folder_names, remove_folder
+from orderloom.sources.tables import point_table_at, quoted, replace_table
 
 DATA_SOURCE = "streaming"
 
+# Folders of live totals that stay: the newest, and one a reader may have open.
+KEPT_TOTALS = 2
+
 
 def arriving_lines(
     spark: SparkSession,
@@ -85,8 +89,13 @@ def with_last_updated(totals: DataFrame) -> DataFrame:
 
 
 def recomputed_totals(clean_lines: DataFrame) -> DataFrame:
-    """Live totals from everything cleaned so far (batch)."""
-    return with_last_updated(category_region_totals(clean_lines))
+    """Live totals from everything cleaned so far (batch), in order."""
+    return with_last_updated(category_region_totals(clean_lines)).orderBy("category", "region")
+
+
+def publish_totals(clean_lines: DataFrame, name: str, root: str) -> None:
+    """Recompute the live totals and replace their table."""
+    replace_table(recomputed_totals(clean_lines), name, root)
 
 
 def running_totals(
@@ -102,7 +111,7 @@ def running_totals(
     State is one row per category and region. Each micro-batch writes the full
     totals into a folder of its own, so a repeated batch replaces only itself
     and readers keep the folder they opened; a table, if named, is then pointed
-    at it.
+    at it. Folders older than the last KEPT_TOTALS are removed.
     """
     lines = arriving_lines(spark, clean_path, CLEAN_STREAM_SCHEMA, files_per_batch)
 
@@ -111,6 +120,9 @@ def running_totals(
         with_last_updated(totals).repartition(1).write.mode("overwrite").parquet(path)
         if table:
             point_table_at(spark, table, path, LIVE_TOTALS_SCHEMA)
+        for old in totals_batches(spark, totals_path):
+            if old <= batch - KEPT_TOTALS:
+                remove_folder(spark, totals_folder(totals_path, old))
 
     return (
         category_region_totals(lines)
@@ -126,13 +138,18 @@ def totals_folder(totals_path: str, batch: int) -> str:
     return f"{totals_path.rstrip('/')}/batch={batch}"
 
 
+def totals_batches(spark: SparkSession, totals_path: str) -> list[int]:
+    """Numbers of the micro-batches whose totals are complete, from folder names alone."""
+    names = folder_names(spark, f"{totals_path.rstrip('/')}/batch=*/_SUCCESS")
+    return sorted(int(n.split("batch=")[1].split("/")[0]) for n in names)
+
+
 def latest_totals(spark: SparkSession, totals_path: str) -> DataFrame:
-    """The totals as of the newest micro-batch.
+    """The totals as of the newest complete micro-batch; opens that one's files only.
 
-    Every batch folder holds a few rows, so the newest is found by its
-    partition value alone.
+    Before the first one there are no rows.
     """
-    schema = T.StructType(LIVE_TOTALS_SCHEMA.fields + [T.StructField("batch", T.LongType())])
-    versions = spark.read.schema(schema).parquet(totals_path)
-    newest = versions.agg(F.max("batch")).scalar()
-    return versions.where(F.col("batch") == newest).drop("batch")
+    batches = totals_batches(spark, totals_path)
+    if not batches:
+        return spark.createDataFrame([], LIVE_TOTALS_SCHEMA)
+    return spark.read.schema(LIVE_TOTALS_SCHEMA).parquet(totals_folder(totals_path, batches[-1]))

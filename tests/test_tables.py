@@ -162,7 +162,7 @@ def test_shuffles_grow_with_the_input(spark):
         assert spark.conf.get(setting) == before
     with pytest.raises(KeyError):
         with sizing.sized_shuffles(spark, 10 * 2**40):
-            assert spark.conf.get(setting) == str(sizing.MOST_PARTITIONS)
+            assert spark.conf.get(setting) == str(10 * 2**40 // sizing.BYTES_PER_PARTITION)
             raise KeyError
     assert spark.conf.get(setting) == before
     assert sizing.partitions_for(64 * 2**30, 200) == 1024
