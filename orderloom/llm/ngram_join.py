@@ -34,16 +34,18 @@ from orderloom.llm.rows import to_rows, written
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 75  # percent
 
-# A bitmap grows with its set, so that it bounds large ones as well; tiles compare small
-# ones of one size first.
+# A bitmap grows with its set, so that it bounds large ones as well.
 LEAST_BITS = 512
 BITS_PER_SHINGLE = 2
 BAND_BASE = 4
 
 # Slots of the frequency estimate: a byte each, sent to every task; the size is fixed.
 FREQUENCY_SLOTS = 1 << 22
-# A slot is noted by a task if this many of its documents hold it.
-NOTED = 8
+# A slot is noted by a task if so many more of its documents hold it than four times the mean.
+NOTED = 2
+
+# A batch sends all nodes of a tile on, unless it has more of them than this.
+SENT_PER_TILE = 64
 
 # Most bits (16 MB) of a filter that keeps rows without a partner out of a shuffle.
 FILTER_BITS = 1 << 27
@@ -165,7 +167,7 @@ def bitmap(shingles: np.ndarray) -> bytes:
 
 def folded(bits: np.ndarray, words: int) -> np.ndarray:
     """A bitmap made as small as another one: halves laid over each other."""
-    return np.bitwise_or.reduce(bits.reshape(-1, words), 0)
+    return np.bitwise_or.reduce(bits.reshape(*bits.shape[:-1], -1, words), -2)
 
 
 def packed(keys: np.ndarray) -> bytes:
@@ -199,13 +201,6 @@ def shared(left: np.ndarray, right: np.ndarray) -> int:
     return int((right[at] == left).sum())
 
 
-def _small(bitmaps: pa.Array) -> np.ndarray:
-    """Bitmaps of the least size, a row each."""
-    words = LEAST_BITS // 64
-    rows = [folded(np.frombuffer(b, np.uint64), words) for b in bitmaps.to_pylist()]
-    return np.array(rows, np.uint64).reshape(-1, words)
-
-
 def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
     """A class per slot, growing with the logarithm of the documents counted there; 0 for rare shingles."""
 
@@ -323,13 +318,29 @@ def _to_least(keys: np.ndarray, nodes: np.ndarray, counts: np.ndarray):
     return keys[first], nodes[first], np.add.reduceat(counts, first), pairs
 
 
+def _thinned(keys: np.ndarray, nodes: np.ndarray):
+    """Like _to_least, but only tiles of many nodes are reduced to the least one; others stay as they are."""
+    order = np.argsort(keys, kind="stable")
+    keys, nodes = keys[order], nodes[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    large = np.repeat(sizes > SENT_PER_TILE, sizes)
+    tiles, least, counts, pairs = _to_least(keys[large], nodes[large], np.ones(int(large.sum()), np.int64))
+    some = ~large
+    return (
+        np.concatenate([keys[some], tiles]),
+        np.concatenate([nodes[some], least]),
+        np.concatenate([np.ones(int(some.sum()), np.int64), counts]),
+        pairs,
+    )
+
+
 def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
     """Rows (a, b, null): a node of a tile and the tile's least one, or that of its own batch;
     and rows (null, null, tile) of the tiles with three nodes or more.
 
-    A task first finds the least node of each of its tiles, so it sends one entry per tile,
-    and a tile that holds a third of all nodes reaches the next step as one entry per
-    batch. Entries travel packed, by ranges of the tile's hash. A tile of two nodes has
+    Of a tile that has many nodes in a batch only the least one is sent on, so a tile that
+    holds a third of all nodes reaches the next step as few entries per batch. Entries travel packed, by ranges of the tile's hash. A tile of two nodes has
     one pair, so it is done with these.
     """
     least_parts = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -338,8 +349,7 @@ def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
     def make_local():
         def run(batches):
             for batch in batches:
-                keys, nodes = _tile_entries(batch, similarity)
-                keys, least, counts, pairs = _to_least(keys, nodes, np.ones(len(keys), np.int64))
+                keys, least, counts, pairs = _thinned(*_tile_entries(batch, similarity))
                 part = ((keys >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -480,80 +490,146 @@ def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, cr
     mixed_tiles = written(
         entries(Filter(crowded.select(short)))
         .groupBy("tile")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"))
+        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"), F.min("node").alias("least"))
         .filter("low <> high")
-        .select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
+        .select("tile", "least", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
         "mixed-tiles",
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = written(
-        entries(Filter(mixed_tiles.select(short))).join(mixed_tiles, "tile").distinct().withColumn("own", own), "mixed-entries"
+        entries(Filter(mixed_tiles.select(short)))
+        .join(mixed_tiles, "tile")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(*GROUP[:2], F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "tile", "node", "class"),
+        "mixed-entries",
     )
-
-    def make_small():
-        def run(batches):
-            for batch in batches:
-                small = [b.tobytes() for b in _small(batch.column("bitmap"))]
-                yield {c: batch.column(c) for c in ("node", "n")} | {"bitmap": pa.array(small, pa.binary())}
-
-        return run
-
-    concerned = nodes.join(placed.select("node").distinct(), "node", "left_semi").select("node", "n", "bitmap")
-    small = to_rows(concerned, make_small, "node long, n long, bitmap binary")
-    spread = (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "class")
-        .join(small, "node")
+    none = lambda kind: F.lit(None).cast(kind)
+    members = placed.select(*GROUP, "node").distinct().join(nodes.select("node", "n", "bitmap"), "node")
+    rows = members.select(*GROUP, none("long").alias("tile"), "node", none("long").alias("class"), none("int").alias("own"), "n", "bitmap")
+    rows = rows.unionByName(
+        placed.select(*GROUP, "tile", "node", "class", "own", none("long").alias("n"), none("binary").alias("bitmap"))
     )
-    ordered = spread.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
+    ordered = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("tile").asc_nulls_first())
     return to_rows(ordered, partial(_make_tiles, similarity), "a long, b long").distinct()
 
 
-def _make_tiles(similarity: int):
-    names = ("tile", "i", "j", "own", "node", "class", "n")
-
-    def pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        tile, i, j = rows["tile"], rows["i"], rows["j"]
-        first = np.arange(len(tile))
-        for step in range(1, len(tile)):
-            first = first[first + step < len(tile)]
-            second = first + step
-            same = (tile[first] == tile[second]) & (i[first] == i[second]) & (j[first] == j[second])
-            first, second = first[same], second[same]
-            if not len(first):
-                break
-            n, m = rows["n"][first], rows["n"][second]
-            ask = (rows["class"][first] != rows["class"][second]) & (100 * n >= similarity * m) & (100 * m >= similarity * n)
-            ask &= (i[first] == j[first]) | (rows["own"][first] != rows["own"][second])
-            x, y, n, m = first[ask], second[ask], n[ask], m[ask]
-            bound = overlap_bound(rows["bitmap"][x], rows["bitmap"][y], n, m)
-            close = similar(bound, n, m, similarity)
-            found.append(np.stack([rows["node"][x[close]], rows["node"][y[close]]], 1))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        every = np.concatenate(found)
-        every = np.unique(np.sort(every, 1), axis=0)
-        return every[:, 0], every[:, 1]
+# Tiles with one least node mostly hold the same nodes, so they are worked off together: a
+# pair is then looked at once, and a node's bitmap is sent once.
+GROUP = ("least", "blocks", "i", "j")
+
+
+# Pairs a task holds before it compares their bitmaps.
+PAIRS_AT_ONCE = 1_000_000
+# Bytes of bitmaps on either side of one comparison.
+SETTLED_BYTES = 4 << 20
+
+
+class _Group:
+    """The tiles of one group: first its members with their bitmaps, then tile by tile."""
+
+    def __init__(self, key: tuple, similarity: int):
+        self.key, self.similarity = key, similarity
+        self.across = key[2] != key[3]
+        self.members: list[tuple[int, int, np.ndarray]] = []
+        self.asked = np.zeros(0, np.int64)
+        self.codes: list[np.ndarray] = []
+        self.waiting = 0
+
+    def add_members(self, rows: dict) -> None:
+        bitmaps = [np.frombuffer(b, np.uint64) for b in rows["bitmap"]]
+        self.members += zip(rows["node"].tolist(), rows["n"].tolist(), bitmaps)
+
+    def add_tile(self, rows: dict) -> None:
+        """Asks for all pairs of a tile of different components and of sizes that allow a link."""
+        if not hasattr(self, "nodes"):
+            self.members.sort(key=lambda m: m[0])
+            self.nodes = np.array([m[0] for m in self.members], np.int64)
+            self.sizes = np.array([m[1] for m in self.members], np.int64)
+        at, first = np.unique(np.searchsorted(self.nodes, rows["node"]), return_index=True)
+        classes, own, n = rows["class"][first], rows["own"][first], self.sizes[at]
+        for step in range(1, len(at)):
+            ask = classes[:-step] != classes[step:]
+            ask &= (100 * n[:-step] >= self.similarity * n[step:]) & (100 * n[step:] >= self.similarity * n[:-step])
+            if self.across:
+                ask &= own[:-step] != own[step:]
+            if ask.any():
+                self.codes.append(at[:-step][ask] * len(self.nodes) + at[step:][ask])
+                self.waiting += len(self.codes[-1])
+
+    def settle(self) -> dict:
+        """Of the pairs asked for since the last time, those that their bitmaps leave possible."""
+        asked = np.setdiff1d(np.concatenate(self.codes), self.asked) if self.codes else np.zeros(0, np.int64)
+        if not len(asked):
+            return {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}
+        self.asked, self.codes, self.waiting = np.union1d(self.asked, asked), [], 0
+        if not hasattr(self, "widths"):
+            self.widths = np.array([len(m[2]) for m in self.members], np.int64)
+            self.place = np.zeros(len(self.members), np.int64)
+            self.bitmaps = {}
+            for width in np.unique(self.widths).tolist():
+                own = np.flatnonzero(self.widths == width)
+                self.place[own] = np.arange(len(own))
+                self.bitmaps[width] = np.stack([self.members[k][2] for k in own])
+        x, y = np.divmod(asked, len(self.nodes))
+        kept = np.zeros(len(asked), bool)
+        for u, v in np.unique(np.stack([self.widths[x], self.widths[y]], 1), axis=0).tolist():
+            alike = np.flatnonzero((self.widths[x] == u) & (self.widths[y] == v))
+            words, at_once = min(u, v), max(1, SETTLED_BYTES // (8 * max(u, v)))
+            for i in range(0, len(alike), at_once):
+                k = alike[i : i + at_once]
+                left = folded(self.bitmaps[u][self.place[x[k]]], words)
+                right = folded(self.bitmaps[v][self.place[y[k]]], words)
+                n, m = self.sizes[x[k]], self.sizes[y[k]]
+                kept[k] = similar(overlap_bound(left, right, n, m), n, m, self.similarity)
+        return {"a": pa.array(self.nodes[x[kept]]), "b": pa.array(self.nodes[y[kept]])}
+
+
+def _runs(batches) -> Iterator[tuple[tuple, bool, dict]]:
+    """Rows of equal (group, tile), also across batches: group, whether they are members, columns."""
+    held: list[dict] = []
+
+    def joined() -> tuple[tuple, bool, dict]:
+        first = held[0]
+        rows = {c: np.concatenate([h[c] for h in held]) for c in first if c != "bitmap"}
+        rows["bitmap"] = [b for h in held for b in h["bitmap"]]
+        return tuple(int(first[c][0]) for c in GROUP), bool(first["member"][0]), rows
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        filled = {c: batch.column(c).fill_null(0).to_numpy() for c in (*GROUP, "tile", "node", "class", "own", "n")}
+        filled["member"] = batch.column("tile").is_null().to_numpy(zero_copy_only=False)
+        bitmaps = batch.column("bitmap")
+        keys = [filled[c] for c in (*GROUP, "tile", "member")]
+        change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        for start, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+            part = {c: v[start:end] for c, v in filled.items()}
+            part["bitmap"] = bitmaps.slice(start, end - start).to_pylist() if part["member"][0] else []
+            if held and any(held[0][c][0] != part[c][0] for c in (*GROUP, "tile", "member")):
+                yield joined()
+                held = []
+            held.append(part)
+    if held:
+        yield joined()
+
 
+def _make_tiles(similarity: int):
     def run(batches) -> Iterator[dict]:
-        kept: dict[str, np.ndarray] | None = None
-        for batch in batches:
-            rows = {c: batch.column(c).to_numpy() for c in names} | {"bitmap": _small(batch.column("bitmap"))}
-            if kept is not None:
-                rows = {c: np.concatenate([kept[c], rows[c]]) for c in rows}
-            if not len(rows["tile"]):
-                continue
-            last = np.flatnonzero(
-                (rows["tile"] != rows["tile"][-1]) | (rows["i"] != rows["i"][-1]) | (rows["j"] != rows["j"][-1])
-            )
-            cut = last[-1] + 1 if len(last) else 0  # the last tile may go on in the next batch
-            kept = {c: v[cut:] for c, v in rows.items()}
-            a, b = pairs({c: v[:cut] for c, v in rows.items()})
-            yield {"a": pa.array(a), "b": pa.array(b)}
-        if kept is not None:
-            a, b = pairs(kept)
-            yield {"a": pa.array(a), "b": pa.array(b)}
+        group: _Group | None = None
+        for key, are_members, rows in _runs(batches):
+            if group is None or key != group.key:
+                if group is not None:
+                    yield group.settle()
+                group = _Group(key, similarity)
+            if are_members:
+                group.add_members(rows)
+            else:
+                group.add_tile(rows)
+                if group.waiting > PAIRS_AT_ONCE:
+                    yield group.settle()
+        if group is not None:
+            yield group.settle()
 
     return run
 
@@ -588,7 +664,6 @@ def near_duplicates(
     links = written(_links(likely, docs, nodes, size, similarity), "star-links")
     crowded = stars.filter("tile is not null").select("tile")
     cross = written(_cross_pairs(signatures, nodes, components(links), crowded, similarity, block), "cross-pairs")
-    cross = written(_bounded(cross, nodes, similarity), "likely-cross-pairs")
     if not cross.isEmpty():
         links = links.unionByName(_links(cross, docs, nodes, size, similarity))
     roots = nodes.select("node", "least_id").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
