@@ -12,11 +12,15 @@ import regex
 from pyspark.sql import DataFrame
 
 from orderloom.llm.rows import add_columns, texts_of
-from orderloom.llm.units import MOST_UNITS, SPACED_WORDS, UnitCache
+from orderloom.llm.units import SPACED_WORDS, UnitCache
 
 # The vocabulary is a file of fixed size, sent to every task.
 MOST_VOCABULARY_BYTES = 64 * 1024 * 1024
 
+# A task holds two Python processes, one that encodes and one that decodes, and the pairs
+# of a slice; so it remembers and takes at a time less than the other token operators.
+MOST_UNITS, SLICE_CHARS = 400_000, 8_000_000
+
 # The published split pattern of this tokenizer kind, with white space spelled out.
 # Fixed value.
 _PIECES = regex.compile(
@@ -132,10 +136,10 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, most_units: int = MOST_UNITS):
+    def __init__(self, vocabulary: Vocabulary, most_units: int = MOST_UNITS, slice_chars: int = SLICE_CHARS):
         self.vocabulary = vocabulary
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-        self.cache = UnitCache(self._units, self._encode, most_units)
+        self.cache = UnitCache(self._units, self._encode, most_units, slice_chars)
 
     def _units(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -186,7 +190,7 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
     A null or empty text has no ids. The contents of special tokens in a text are the
     special ids. Each distinct unit (a run of non-space characters with the blank
     before it, or a run of white space) is merged once per batch and remembered by
-    its task, up to units.MOST_UNITS; repeated rows cost a look-up. Texts of any
+    its task, up to MOST_UNITS; repeated rows cost a look-up. Texts of any
     length go through whole. Other columns pass through; one named like the result
     gives way to it.
     """

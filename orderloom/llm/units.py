@@ -27,6 +27,14 @@ class _Numbers(dict):
         return number
 
 
+def gathered(flat: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Pieces of flat that start at first and have these lengths, one after the other."""
+    if not len(first):
+        return flat[:0]
+    ends = np.cumsum(lengths)
+    return flat[np.arange(ends[-1]) + np.repeat(first - (ends - lengths), lengths)]
+
+
 class UnitCache:
     """Ids of texts, put together from the ids of their units.
 
@@ -39,8 +47,9 @@ class UnitCache:
         split: Callable[[str], list[str]],
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
         most: int = MOST_UNITS,
+        slice_chars: int = SLICE_CHARS,
     ):
-        self.split, self.encode, self.most = split, encode, most
+        self.split, self.encode, self.most, self.slice_chars = split, encode, most, slice_chars
         self._forget()
 
     def _forget(self) -> None:
@@ -54,7 +63,7 @@ class UnitCache:
         held: list[str] = []
         size = 0
         for text in texts:
-            if held and size + len(text) > SLICE_CHARS:
+            if held and size + len(text) > self.slice_chars:
                 out += self._slice(held)
                 held, size = [], 0
             held.append(text)
@@ -77,10 +86,5 @@ class UnitCache:
         return [self._gather(units) for units in per_text]
 
     def _gather(self, units: np.ndarray) -> np.ndarray:
-        if not len(units):
-            return np.zeros(0, np.uint32)
         first = self.starts[units]
-        lengths = self.starts[units + 1] - first
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1]) + np.repeat(first - (ends - lengths), lengths)
-        return self.flat[at]
+        return gathered(self.flat, first, self.starts[units + 1] - first)
