@@ -21,6 +21,7 @@ import os
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.rows import texts_of, to_rows, written
-from orderloom.llm.units import MOST_UNITS, WORDS, UnitCache
+from orderloom.llm.units import MOST_UNITS, WORDS, UnitCache, gathered
 from orderloom.llm.bpe import read_vocabulary
 
 # Fixed values of the format.
@@ -42,6 +43,15 @@ FRAME_BYTES = 1 << 20
 FRAME_DOCUMENTS = 4096
 LARGEST_FRAME = (1 << 32) - 1
 CHUNK = 5_000
+# Marks that stand as a word of their own behind letters. Fixed values.
+MARKS = frozenset(".,;:!?")
+
+
+def in_order(numbers: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of flat, which belong to these numbers, by ascending number."""
+    order = np.argsort(numbers, kind="stable")
+    firsts = np.cumsum(lengths) - lengths
+    return gathered(flat, firsts[order], lengths[order]), lengths[order]
 
 
 class LibraryEncoder:
@@ -60,20 +70,51 @@ class LibraryEncoder:
         parts = json.loads(file_text)
         steps = (parts["normalizer"] or {}).get("normalizers", [])
         self.folds = any(step["type"] == "Lowercase" for step in steps)
+        ends = parts["model"].get("end_of_word_suffix")
+        self.word_ends = None
+        if ends:
+            self.word_ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.word_ends[[i for t, i in parts["model"]["vocab"].items() if t.endswith(ends)]] = True
         # Special tokens are found before any folding, so a text that might hold one is left as it is.
         self.marks = {t["content"][:2] for t in parts["added_tokens"]} | {t["content"][:2].upper() for t in parts["added_tokens"]}
         self.cache = UnitCache(WORDS, self._encode, most_units)
 
     def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, lengths = [], []
-        for i in range(0, len(units), CHUNK):
-            ids: list[int] = []
-            for found in self.tokenizer.encode_batch_fast(units[i : i + CHUNK], add_special_tokens=False):
-                own = found.ids
-                ids += own
-                lengths.append(len(own))
-            flat.append(np.array(ids, np.uint32))
-        return np.concatenate(flat), np.array(lengths, np.int64)
+        """Ids of distinct units, many in one call.
+
+        Units of letters, and of letters before one mark, are put in one text with line
+        feeds between. They are one and two words to the tokenizer, so ids that end a word
+        tell where each ends. Where the words do not come out as many as they should, and
+        for all other units, each is encoded on its own.
+        """
+        alike: dict[int, list[int]] = {1: [], 2: []}
+        for k, unit in enumerate(units if self.word_ends is not None else ()):
+            if unit.isalpha():
+                alike[1].append(k)
+            elif unit[-1] in MARKS and unit[:-1].isalpha():
+                alike[2].append(k)
+        alone = np.ones(len(units), bool)
+        done: list[int] = []
+        flat: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        for words, plain in alike.items():
+            for i in range(0, len(plain), CHUNK):
+                some = plain[i : i + CHUNK]
+                text = "\n".join([units[k] for k in some])
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(self.word_ends[ids]) + 1
+                if len(ends) == words * len(some) and ends[-1] == len(ids):
+                    alone[some] = False
+                    done += some
+                    flat.append(ids)
+                    lengths.append(np.diff(ends[words - 1 :: words], prepend=0))
+        rest = np.flatnonzero(alone).tolist()
+        for i in range(0, len(rest), CHUNK):
+            some = rest[i : i + CHUNK]
+            own = [e.ids for e in self.tokenizer.encode_batch_fast([units[k] for k in some], add_special_tokens=False)]
+            flat.append(np.fromiter(chain.from_iterable(own), np.uint32))
+            lengths.append(np.fromiter(map(len, own), np.int64, len(own)))
+        return in_order(np.array(done + rest, np.int64), np.concatenate(flat), np.concatenate(lengths))
 
     def _folded(self, text: str) -> str:
         """A-Z as a-z where the tokenizer does so itself, so that fewer units are distinct."""
