@@ -7,24 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.schema import ORDER_LINE_COLUMNS
 
 GOOD = {
-    "row_id": "1", "order_id": "CA-2016-152156", "order_date": "2016-11-08", "ship_date": "2016-11-11",
-    "ship_mode": "Second Class", "customer_id": "CG-12520", "customer_name": "Claire Gute",
-    "segment": "Consumer", "country": "United States", "city": "Henderson", "state": "Kentucky",
-    "postal_code": "42420", "region": "South", "product_id": "FUR-BO-10001798",
-    "category": "Furniture", "sub_category": "Bookcases", "product_name": "Bush Somerset",
-    "sales": "261.96", "quantity": "2", "discount": "0.0", "profit": "41.9136",
+    "row_id": "1", "order_id": "N-1001", "order_date": "2016-11-17", "ship_date": "2016-11-19",
+    "ship_mode": "Standard", "customer_id": "K-7", "customer_name": "Orla Brandt", "segment": "Consumer",
+    "country": "Ireland", "city": "Galway", "state": "Connacht", "postal_code": "40917", "region": "Coast",
+    "product_id": "CHA-77", "category": "Seating", "sub_category": "Stools", "product_name": "Oak stool",
+    "sales": "118.4", "quantity": "2", "discount": "0.05", "profit": "12.3456",
 }
 
-# The five faults a cleaning run has to catch, next to the good line they are based on.
+# One line per fault that a cleaning run has to catch.
 FAULTY = [
-    {"row_id": "99001", "order_id": "TEST-0001", "customer_id": None, "ship_mode": "  Second Class  "},
-    {"row_id": "99002", "product_name": "Duplicate Row Test"},
-    {"row_id": "99003", "order_id": "TEST-0003", "order_date": "08-11-2016", "ship_date": "11-11-2016",
-     "customer_name": "  Spacey Name  ", "segment": "  Corporate  ", "city": "  Los Angeles  ",
-     "product_id": "TEST-PROD-003", "sales": "14.62"},
-    {"row_id": "99004", "order_id": "TEST-0004", "product_id": "TEST-PROD-004", "sales": "-50.00",
-     "profit": "-383.031"},
-    {"row_id": "99005", "order_id": None, "product_id": "TEST-PROD-005", "sales": "22.368"},
+    {"row_id": "7001", "order_id": "N-2001", "ship_mode": " Standard", "customer_id": None},
+    {"row_id": "7002", "product_name": "Oak stool, listed again"},
+    {"row_id": "7003", "order_id": "N-2003", "order_date": "17.11.2016", "ship_date": "19.11.2016",
+     "customer_name": " Ben Fynn   ", "segment": "   Trade", "city": "  Sligo ", "product_id": "CHA-78",
+     "sales": "9.75"},
+    {"row_id": "7004", "order_id": "N-2004", "product_id": "LMP-04", "sales": "-20.5", "profit": "-31.25"},
+    {"row_id": "7005", "order_id": None, "product_id": "LMP-05", "sales": "7.125"},
 ]
 
 

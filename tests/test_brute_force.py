@@ -31,7 +31,7 @@ def random_lines(seed, n=400):
             segment=pick.choice(["Consumer", "Corporate"]),
             product_id=product,
             product_name=pick.choice(["A", "B"]),
-            category=pick.choice(["Furniture", "Technology", "Office"]),
+            category=pick.choice(["Seating", "Technology", "Office"]),
             region=pick.choice(["West", "East"]),
             sales=pick.choice(["abc", None, "-1", "0", "10.01", "99.9999", "1e2"]),
             quantity=pick.choice(["0", "1", "7", None]),

@@ -60,7 +60,7 @@ def test_monthly_series(lines):
     assert (months[23].total_sales, months[23].total_profit, months[23].total_orders) == (120.0, 3.0, 2)
     by_category = forecast.monthly_sales_by(fact, dates, star.dim_product(lines), "product_key", "category")
     assert {(r.category, r.month_index): r.total_sales for r in by_category.collect()} == {
-        ("Furniture", 23): 100.0, ("Tech", 23): 20.0, ("Furniture", 24): 300.0, ("Furniture", 25): 500.0,
+        ("Seating", 23): 100.0, ("Tech", 23): 20.0, ("Seating", 24): 300.0, ("Seating", 25): 500.0,
     }
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
 from checks.oracles import ORACLES
-from orderloom.plans.catalog import all_queries
+from orderloom.operators.cleaning import clean
+from orderloom.plans.catalog import LAYER_QUERIES, all_queries, layers_of
+from orderloom.schema import BATCH_V2, Rule
 
 FOLDER = os.environ.get("ORDERLOOM_TEST_DATA", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -46,3 +50,15 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_flagship(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_the_sql_takes_nothing_from_the_library():
+    source = (Path(driver.__file__).parent / "checks" / "oracles.py").read_text()
+    assert "orderloom" not in source
+
+
+def test_a_flipped_rule_turns_a_query_red(spark, sql, monkeypatch):
+    rules = tuple(Rule(r.name, "sales < 0") if r.name == "negative_sales" else r for r in BATCH_V2.rules)
+    monkeypatch.setitem(LAYER_QUERIES, "silver_v2", lambda t: clean(t.table("bronze"), replace(BATCH_V2, rules=rules)))
+    got = LAYER_QUERIES["silver_v2"](layers_of(spark, FOLDER)).count()
+    assert got != len(sql.execute(ORACLES["silver_v2"]).fetchall())

@@ -42,7 +42,7 @@ def test_rerun_adds_nothing_and_new_files_only_their_rows(spark, folders):
     assert clean_once(spark, folders).count() == 1
     assert clean_once(spark, folders).count() == 1
     arrive(spark, folders["raw"], line(row_id="2", order_id="B"), line(row_id="3", sales="0"))
-    assert sorted(r.order_id for r in clean_once(spark, folders).collect()) == ["B", "CA-2016-152156"]
+    assert sorted(r.order_id for r in clean_once(spark, folders).collect()) == ["B", "N-1001"]
 
 
 def totals_once(spark, folders, table=None):
@@ -57,13 +57,13 @@ def test_running_totals_equal_a_recompute(spark, folders):
     clean_once(spark, folders)
     first = totals_once(spark, folders)
     assert first.schema == LIVE_TOTALS_SCHEMA
-    assert {(r.region, r.total_orders) for r in first.collect()} == {("South", 1), ("West", 1)}
+    assert {(r.region, r.total_orders) for r in first.collect()} == {("Coast", 1), ("West", 1)}
     arrive(spark, folders["raw"], line(row_id="3", order_id="C", discount="0.25"))
     lines = clean_once(spark, folders)
     second = totals_once(spark, folders).drop("last_updated")
     again = category_region_totals(lines)
     assert sorted(second.collect()) == sorted(again.collect())
-    assert {r.region: r.total_orders for r in second.collect()} == {"South": 2, "West": 1}
+    assert {r.region: r.total_orders for r in second.collect()} == {"Coast": 2, "West": 1}
     assert orders.recomputed_totals(lines).where("last_updated IS NULL").count() == 0
     assert totals_once(spark, folders).count() == 2
 
@@ -101,3 +101,15 @@ def test_stream_schema_is_the_batch_schema(spark, folders):
     lines = orders.arriving_lines(spark, folders["raw"])
     assert lines.isStreaming and lines.schema == ORDER_LINE_SCHEMA
     assert orders.cleaned_stream(lines).select(F.col("processed_at")).schema[0].dataType.simpleString() == "timestamp"
+
+
+def test_old_totals_go_and_only_the_newest_is_opened(spark, folders):
+    assert orders.latest_totals(spark, folders["totals"]).count() == 0
+    for k in range(4):
+        rows = text_lines(spark, line(row_id=str(k), order_id=f"T{k}"))
+        clean = orders.cleaned_stream(rows)
+        clean.write.mode("append").parquet(folders["clean"])
+        orders.running_totals(spark, folders["clean"], folders["totals"], folders["check_totals"]).awaitTermination()
+    assert len(orders.totals_batches(spark, folders["totals"])) == orders.KEPT_TOTALS
+    latest = orders.latest_totals(spark, folders["totals"])
+    assert len(latest.inputFiles()) == 1 and latest.first().total_orders == 4
