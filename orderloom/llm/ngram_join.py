@@ -11,7 +11,10 @@ Size-banded tiles with bitmap signatures:
 3.  In each tile every node is paired with the least one. A pair's bitmaps bound its
     overlap from above; what they leave is settled by intersecting the sorted sets.
     Components of these links join most nodes of most tiles.
-4.  Tiles that still hold nodes of different components are split into blocks, and all
+4.  In tiles that still hold nodes of different components, nodes are paired with some
+    more least ones the same way, so that a large group of near copies becomes one
+    component with few pairs.
+5.  Tiles that still hold nodes of different components are split into blocks, and all
     their pairs of different components are bounded by bitmaps and then settled.
 
 Nothing is capped: a tile of any size is worked off, in blocks.
@@ -53,8 +56,15 @@ FILTER_BITS = 1 << 27
 # Nodes of a block of a large tile.
 BLOCK = 2_000
 
+# Least nodes of a tile that its other nodes are compared with before all pairs are.
+REPRESENTATIVES = 8
+ALL = 1 << 62
+
 # Shingles whose tiles one task sorts at a time.
-ENTRIES_PER_PARTITION = 2_000_000
+ENTRIES_PER_PARTITION = 1_000_000
+# Bytes of signatures whose tiles a task holds at a time: a shingle of the prefix is 6 bytes
+# there and some 60 while its tile is sought.
+SIGNATURE_BYTES = 2 << 20
 
 # Bytes of a text hashed at a time; each takes some 40 bytes of working memory.
 CHUNK_BYTES = 1 << 20
@@ -391,7 +401,7 @@ def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
 
         return run
 
-    local = to_rows(signatures.select("node", "n", "prefix"), make_local, "part int, tiles binary, nodes binary, crowd binary")
+    local = to_rows(signatures.select("node", "n", "prefix"), make_local, "part int, tiles binary, nodes binary, crowd binary", SIGNATURE_BYTES)
     return to_rows(local.repartition(parts, "part"), make_merged, "a long, b long, tile long")
 
 
@@ -464,9 +474,19 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
     return to_rows(joined, make_exact, "a long, b long")
 
 
-def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, crowded: DataFrame, similarity: int, block: int) -> DataFrame:
+def _cross_pairs(
+    signatures: DataFrame,
+    nodes: DataFrame,
+    classes: DataFrame,
+    crowded: DataFrame,
+    similarity: int,
+    block: int,
+    most_partners: int = ALL,
+) -> DataFrame:
     """Pairs of different components within a tile that sizes and bitmaps leave possible.
 
+    With most_partners, only those with one of so many least nodes of a tile.
+
     Only tiles of three nodes or more are looked at; those of one component are found by
     an aggregate and dropped. A tile of more than `block` nodes is split into blocks, and
     each pair of blocks is work of its own.
@@ -483,7 +503,7 @@ def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, cr
 
             return run
 
-        rows = to_rows(signatures.select("node", "n", "prefix"), make, "tile long, node long")
+        rows = to_rows(signatures.select("node", "n", "prefix"), make, "tile long, node long", SIGNATURE_BYTES)
         return rows.join(classes, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("class"))
 
     short = F.shiftright("tile", 16).alias("tile")  # the lower 16 bits of a tile are empty
@@ -492,16 +512,20 @@ def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, cr
         .groupBy("tile")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"), F.min("node").alias("least"))
         .filter("low <> high")
-        .select("tile", "least", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
+        .select("tile", "least", "size", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
         "mixed-tiles",
     )
+    per_least = mixed_tiles.groupBy("least").agg(F.ceil(F.sum("size") / ENTRIES_PER_SHARE).cast("int").alias("shares"))
+    shared_out = mixed_tiles.join(per_least, "least").select(
+        "tile", "least", "blocks", F.pmod(F.xxhash64("tile"), F.col("shares")).cast("int").alias("share")
+    )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = written(
         entries(Filter(mixed_tiles.select(short)))
-        .join(mixed_tiles, "tile")
+        .join(shared_out, "tile")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*GROUP[:2], F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "tile", "node", "class"),
+        .select(*GROUP[:3], F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "tile", "node", "class"),
         "mixed-entries",
     )
     none = lambda kind: F.lit(None).cast(kind)
@@ -511,12 +535,14 @@ def _cross_pairs(signatures: DataFrame, nodes: DataFrame, classes: DataFrame, cr
         placed.select(*GROUP, "tile", "node", "class", "own", none("long").alias("n"), none("binary").alias("bitmap"))
     )
     ordered = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("tile").asc_nulls_first())
-    return to_rows(ordered, partial(_make_tiles, similarity), "a long, b long").distinct()
+    return to_rows(ordered, partial(_make_tiles, similarity, most_partners), "a long, b long").distinct()
 
 
 # Tiles with one least node mostly hold the same nodes, so they are worked off together: a
 # pair is then looked at once, and a node's bitmap is sent once.
-GROUP = ("least", "blocks", "i", "j")
+# One with very many entries is split by tile into shares.
+GROUP = ("least", "share", "blocks", "i", "j")
+ENTRIES_PER_SHARE = 20_000
 
 
 # Pairs a task holds before it compares their bitmaps.
@@ -528,9 +554,9 @@ SETTLED_BYTES = 4 << 20
 class _Group:
     """The tiles of one group: first its members with their bitmaps, then tile by tile."""
 
-    def __init__(self, key: tuple, similarity: int):
-        self.key, self.similarity = key, similarity
-        self.across = key[2] != key[3]
+    def __init__(self, key: tuple, similarity: int, most_partners: int):
+        self.key, self.similarity, self.most_partners = key, similarity, most_partners
+        self.across = key[-2] != key[-1]
         self.members: list[tuple[int, int, np.ndarray]] = []
         self.asked = np.zeros(0, np.int64)
         self.codes: list[np.ndarray] = []
@@ -541,20 +567,24 @@ class _Group:
         self.members += zip(rows["node"].tolist(), rows["n"].tolist(), bitmaps)
 
     def add_tile(self, rows: dict) -> None:
-        """Asks for all pairs of a tile of different components and of sizes that allow a link."""
+        """Asks for pairs of a tile of different components and of sizes that allow a link.
+
+        With most_partners, only the so many least nodes are paired with the others.
+        """
         if not hasattr(self, "nodes"):
             self.members.sort(key=lambda m: m[0])
             self.nodes = np.array([m[0] for m in self.members], np.int64)
             self.sizes = np.array([m[1] for m in self.members], np.int64)
         at, first = np.unique(np.searchsorted(self.nodes, rows["node"]), return_index=True)
         classes, own, n = rows["class"][first], rows["own"][first], self.sizes[at]
-        for step in range(1, len(at)):
-            ask = classes[:-step] != classes[step:]
-            ask &= (100 * n[:-step] >= self.similarity * n[step:]) & (100 * n[step:] >= self.similarity * n[:-step])
+        for k in range(min(len(at) - 1, self.most_partners)):
+            rest = slice(k + 1, None)
+            ask = classes[rest] != classes[k]
+            ask &= (100 * n[rest] >= self.similarity * n[k]) & (100 * n[k] >= self.similarity * n[rest])
             if self.across:
-                ask &= own[:-step] != own[step:]
+                ask &= own[rest] != own[k]
             if ask.any():
-                self.codes.append(at[:-step][ask] * len(self.nodes) + at[step:][ask])
+                self.codes.append(at[k] * len(self.nodes) + at[rest][ask])
                 self.waiting += len(self.codes[-1])
 
     def settle(self) -> dict:
@@ -614,14 +644,14 @@ def _runs(batches) -> Iterator[tuple[tuple, bool, dict]]:
         yield joined()
 
 
-def _make_tiles(similarity: int):
+def _make_tiles(similarity: int, most_partners: int):
     def run(batches) -> Iterator[dict]:
         group: _Group | None = None
         for key, are_members, rows in _runs(batches):
             if group is None or key != group.key:
                 if group is not None:
                     yield group.settle()
-                group = _Group(key, similarity)
+                group = _Group(key, similarity, most_partners)
             if are_members:
                 group.add_members(rows)
             else:
@@ -663,9 +693,12 @@ def near_duplicates(
     likely = written(_bounded(pairs, nodes, similarity), "likely-pairs")
     links = written(_links(likely, docs, nodes, size, similarity), "star-links")
     crowded = stars.filter("tile is not null").select("tile")
-    cross = written(_cross_pairs(signatures, nodes, components(links), crowded, similarity, block), "cross-pairs")
-    if not cross.isEmpty():
-        links = links.unionByName(_links(cross, docs, nodes, size, similarity))
+    for most_partners in (REPRESENTATIVES, ALL):
+        cross = written(
+            _cross_pairs(signatures, nodes, components(links), crowded, similarity, block, most_partners), "cross-pairs"
+        )
+        if not cross.isEmpty():
+            links = written(links.unionByName(_links(cross, docs, nodes, size, similarity)), "links")
     roots = nodes.select("node", "least_id").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("least_id").alias("component"))
     named = written(roots.join(least, "root").select("node", "component"), "named")

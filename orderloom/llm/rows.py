@@ -27,6 +27,22 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+# Bytes of a batch that an operator works on at a time; a single longer row goes alone.
+SLICE_BYTES = 8 << 20
+
+
+def slices(batches: Iterator[Batch], most_bytes: int = SLICE_BYTES) -> Iterator[Batch]:
+    """The batches in slices of bounded size, so that long texts do not add up in a task."""
+    for batch in batches:
+        step = max(1, batch.num_rows // (batch.nbytes // most_bytes + 1))
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            if part.num_rows > 1 and part.nbytes > 2 * most_bytes:
+                yield from slices(iter([part]), most_bytes)
+            else:
+                yield part
+
+
 def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Iterable[str] = ()) -> DataFrame:
     """df with columns computed from each Arrow batch; nothing is shuffled.
 
@@ -41,19 +57,21 @@ def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Itera
 
     def run(batches: Iterator[Batch]) -> Iterator[Batch]:
         step = make()
-        for batch in batches:
+        for batch in slices(batches):
             columns = [batch.column(i) for i in kept] + step(batch)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
-def to_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[Batch]], Iterator[dict]]], schema: str) -> DataFrame:
+def to_rows(
+    df: DataFrame, make: Callable[[], Callable[[Iterator[Batch]], Iterator[dict]]], schema: str, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Rows of another shape and number: make() returns a function from a task's batches to column dicts."""
     shape = T._parse_datatype_string(schema)
 
     def run(batches: Iterator[Batch]) -> Iterator[Batch]:
-        for columns in make()(batches):
+        for columns in make()(slices(batches, slice_bytes)):
             yield pa.RecordBatch.from_arrays([columns[n] for n in shape.names], names=shape.names)
 
     return df.mapInArrow(run, shape)

@@ -82,6 +82,8 @@ def test_equals_all_pairs(spark, seed, block):
 def test_one_large_group_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SENT_PER_TILE", 3)
     monkeypatch.setattr(ngram_join, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(ngram_join, "ENTRIES_PER_SHARE", 100)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 1)
     rng = random.Random(9)
     base = [f"w{k}" for k in range(80)]
     rows = []
