@@ -33,12 +33,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.rows import texts_of, to_rows, written
-from orderloom.llm.units import MOST_UNITS, WORDS, UnitCache, gathered
+from orderloom.llm.units import WORDS, UnitCache, gathered
 from orderloom.llm.bpe import read_vocabulary
 
 # Fixed values of the format.
 INDEX_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
+# Input splits that make one file: more text in a task means fewer units to encode again.
+SPLITS_PER_SHARD = 2
+# Distinct units a writing task remembers (some 350 MB with their ids).
+MOST_UNITS = 1_200_000
+
 FRAME_BYTES = 1 << 20
 FRAME_DOCUMENTS = 4096
 LARGEST_FRAME = (1 << 32) - 1
@@ -247,8 +252,8 @@ def write_token_files(
     """Writes the ids of every text, each followed by end_id, and returns the manifest.
 
     The manifest has one row per file: shard, path, n_docs, n_tokens. Shards follow
-    each other in ascending id (null ids first, equal ids by text), one per input
-    split. A task writes its own new file and the manifest names only the files of
+    each other in ascending id (null ids first, equal ids by text), one per
+    SPLITS_PER_SHARD input splits. A task writes its own new file and the manifest names only the files of
     finished tasks, so a retried or doubled task leaves no row twice; the manifest is
     a written table. Null texts count as empty and hold end_id alone; an empty table
     gives an empty manifest. Columns other than id and text are not stored.
@@ -256,7 +261,7 @@ def write_token_files(
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast(read_vocabulary(tokenizer_path))
     rows = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    shards = max(1, rows.rdd.getNumPartitions())
+    shards = max(1, -(-rows.rdd.getNumPartitions() // SPLITS_PER_SHARD))
     ordered = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
     end = np.array([end_id], np.uint32)
 
