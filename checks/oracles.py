@@ -94,10 +94,10 @@ CASTS = {
     "row_id": "TRY_CAST(row_id AS BIGINT)",
     "order_date": "CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE)",
     "ship_date": "CAST(try_strptime(ship_date, '%Y-%m-%d') AS DATE)",
-    "sales": "TRY_CAST(sales AS DECIMAL(18,4))",
+    "sales": "TRY_CAST(sales AS DECIMAL(24,6))",
     "quantity": "TRY_CAST(quantity AS INTEGER)",
-    "discount": "TRY_CAST(discount AS DECIMAL(6,4))",
-    "profit": "TRY_CAST(profit AS DECIMAL(18,4))",
+    "discount": "TRY_CAST(discount AS DECIMAL(12,6))",
+    "profit": "TRY_CAST(profit AS DECIMAL(24,6))",
 }
 
 
@@ -316,6 +316,34 @@ def rule_report(source: str) -> str:
     return f"SELECT rule, violations, violations = 0 AS passed FROM ({rules} UNION ALL {duplicates}) AS r"
 
 
+# What a raw line loses when it is typed, in the order of its columns.
+FLAWS = {}
+for _column, _cast in CASTS.items():
+    FLAWS[f"unreadable_{_column}"] = f"trim({_column}) <> '' AND {_cast} IS NULL"
+    if _column in ("sales", "discount", "profit"):
+        FLAWS[f"not_exact_{_column}"] = f"TRY_CAST({_column} AS DECIMAL(38,18)) <> {_cast}"
+
+
+def flaw_list() -> str:
+    parts = ", ".join(f"CASE WHEN {lost} THEN '{name}' END" for name, lost in FLAWS.items())
+    return f"concat_ws(',', {parts})"
+
+
+def flaw_report() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {lost}) AS violations,"
+        f" count(*) FILTER (WHERE {lost}) = 0 AS passed FROM bronze"
+        for name, lost in FLAWS.items()
+    )
+
+
+def quarantine(trim_columns: tuple[str, ...], rules: Rules) -> str:
+    return f"""SELECT {as_shown()}, flaws, reject_reason FROM (
+        SELECT *, {reason(rules)} AS reject_reason
+        FROM (SELECT {lines(trim_columns)}, {flaw_list()} AS flaws FROM bronze) AS t) AS q
+      WHERE reject_reason IS NOT NULL OR flaws <> ''"""
+
+
 def step_counts() -> str:
     names = list(V2)
     removed = " UNION ALL ".join(
@@ -387,17 +415,14 @@ BODIES = {
     "silver_dedup": f"SELECT {as_shown()} FROM ({unique_lines('prepared')}) AS u",
     "silver_v1": f"SELECT {as_shown()} FROM silver_one",
     "silver_v2": f"SELECT {as_shown()} FROM silver",
-    "dq_report": rule_report("prepared"),
+    "dq_report": f"{rule_report('prepared')} UNION ALL {flaw_report()}",
     "dq_validation_v1": rule_report("silver_one"),
     "dq_validation_v2": rule_report("silver"),
     "dq_checks_passed_v1": "SELECT count(*) FILTER (WHERE passed) AS checks_passed,"
     f" count(*) AS checks_made FROM ({rule_report('silver_one')}) AS r",
     "dq_step_counts": step_counts(),
-    "dq_quarantine": f"SELECT {as_shown()}, reject_reason FROM"
-    f" (SELECT *, {reason(V2)} AS reject_reason FROM prepared) AS q WHERE reject_reason IS NOT NULL",
-    "dq_quarantine_stream": f"SELECT {as_shown()}, reject_reason FROM"
-    f" (SELECT *, {reason(STREAM)} AS reject_reason FROM stream_prepared) AS q"
-    " WHERE reject_reason IS NOT NULL",
+    "dq_quarantine": quarantine(BATCH_TEXT_COLUMNS, V2),
+    "dq_quarantine_stream": quarantine(STREAM_TEXT_COLUMNS, STREAM),
     "dq_duplicate_keys": "SELECT order_id, product_id, count(*) AS copies FROM good"
     " GROUP BY order_id, product_id HAVING count(*) > 1",
     "stream_rules": STREAM_LINES,

@@ -24,7 +24,7 @@ from orderloom.schema import (
 
 
 def typed(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> DataFrame:
-    """Cast to the schema; what cannot be read becomes null instead of failing the job."""
+    """Cast to the schema; what cannot be read becomes null instead of failing the job (see flaws)."""
     present = dict(df.dtypes)
 
     def cast(field: T.StructField) -> Column:
@@ -38,6 +38,36 @@ def typed(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> DataFrame:
     return df.select(*[cast(f).alias(f.name) for f in schema])
 
 
+def flaws(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> Column:
+    """Names of what a raw line loses when it is typed; empty for a line read in full.
+
+    unreadable_<column>: there is text, but no value could be read from it.
+    not_exact_<column>: the amount has more decimals than its type holds, so it was rounded.
+    """
+    kinds = dict(df.dtypes)
+    found = []
+    for field in schema:
+        if isinstance(field.dataType, T.StringType) or kinds[field.name] != "string":
+            continue
+        raw = F.col(field.name)
+        if isinstance(field.dataType, T.DateType):
+            value = F.try_to_date(raw, DATE_FORMAT)
+        else:
+            value = raw.try_cast(field.dataType)
+        found.append(F.when((F.trim(raw) != "") & value.isNull(), F.lit(f"unreadable_{field.name}")))
+        if isinstance(field.dataType, T.DecimalType):
+            whole = raw.try_cast(T.DecimalType(38, 18))
+            found.append(F.when(whole != value, F.lit(f"not_exact_{field.name}")))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def flaw_names(schema: T.StructType = ORDER_LINE_SCHEMA) -> list[str]:
+    typed_fields = [f for f in schema if not isinstance(f.dataType, T.StringType)]
+    return [f"unreadable_{f.name}" for f in typed_fields] + [
+        f"not_exact_{f.name}" for f in typed_fields if isinstance(f.dataType, T.DecimalType)
+    ]
+
+
 def trimmed(df: DataFrame, columns: Sequence[str] = BATCH_TEXT_COLUMNS) -> DataFrame:
     """Strip leading and trailing spaces of the text columns."""
     return df.withColumns({c: F.trim(c) for c in columns})

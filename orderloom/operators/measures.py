@@ -142,7 +142,7 @@ def with_share(amounts: DataFrame, measure: str, name: str = "share_pct") -> Dat
     The sum is a scalar subquery over the grouped rows: no window that pulls
     all groups into one task.
     """
-    whole = amounts.agg(_exact(measure, 4)).scalar()
+    whole = amounts.agg(_exact(measure, 6)).scalar()
     return amounts.withColumn(name, percent(measure, whole))
 
 

@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderloom.operators.cleaning import prepared, reject_reason
-from orderloom.schema import BATCH_V2, DEDUP_KEY, Profile
+from orderloom.operators.cleaning import flaw_names, flaws, prepared, reject_reason, trimmed, typed
+from orderloom.schema import BATCH_V2, DEDUP_KEY, ORDER_LINE_SCHEMA, Profile
 
 
 def _broken(keep: str) -> Column:
@@ -53,13 +54,28 @@ def validation_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def flaw_report(raw: DataFrame) -> DataFrame:
+    """One line per way a value can get lost in typing: how many raw lines lose one so."""
+    names = flaw_names()
+    judged = raw.select(flaws(raw).alias("flaws"))
+    return _unpivoted(judged.agg(*[F.count_if(F.array_contains("flaws", n)).alias(n) for n in names]), names)
+
+
+def full_report(raw: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
+    """Rules and lost values of raw lines in one report."""
+    return rule_report(prepared(raw, profile), profile).unionByName(flaw_report(raw))
+
+
 def quarantine(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
-    """Rows that break a rule, with the first one they break; no shuffle."""
-    return (
-        prepared(df, profile)
-        .withColumn("reject_reason", reject_reason(profile))
-        .where("reject_reason IS NOT NULL")
-    )
+    """Rows that break a rule, with the first one they break, and rows that lose a value.
+
+    reject_reason is null for a row that stays in silver; flaws names what it lost there.
+    No shuffle.
+    """
+    marked = df.withColumn("flaws", F.array_join(flaws(df), ","))
+    schema = T.StructType(ORDER_LINE_SCHEMA.fields + [T.StructField("flaws", T.StringType())])
+    rows = trimmed(typed(marked, schema), profile.text_columns)
+    return rows.withColumn("reject_reason", reject_reason(profile)).where("reject_reason IS NOT NULL OR flaws <> ''")
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:

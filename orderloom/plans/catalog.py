@@ -236,7 +236,7 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_dedup": silver_dedup,
     "silver_v1": lambda t: shown(cleaning.clean(t.table("bronze"), BATCH_V1)),
     "silver_v2": lambda t: shown(cleaning.clean(t.table("bronze"), BATCH_V2)),
-    "dq_report": lambda t: quality.rule_report(cleaning.prepared(t.table("bronze"))),
+    "dq_report": lambda t: quality.full_report(t.table("bronze")),
     "dq_validation_v1": lambda t: dq_validation(t, "silver_v1"),
     "dq_validation_v2": lambda t: dq_validation(t, "silver"),
     "dq_checks_passed_v1": lambda t: quality.validation_summary(dq_validation(t, "silver_v1")),

@@ -14,11 +14,11 @@ ORDER_LINE_HEADINGS = (
     "Sub-Category", "Product Name", "Sales", "Quantity", "Discount", "Profit",
 )
 
-# Money is exact: double sums depend on the order in which partitions merge.
-# Four decimals hold every amount of the data, and a precision of 18 is stored
-# and read as a long.
-MONEY = T.DecimalType(18, 4)
-RATE = T.DecimalType(6, 4)
+# Money is exact: double sums depend on the order in which partitions merge. 18 digits
+# before the point and six behind hold every amount that a double holds to the cent; what
+# does not fit is reported (cleaning.flaws), not rounded in silence.
+MONEY = T.DecimalType(24, 6)
+RATE = T.DecimalType(12, 6)
 
 ORDER_LINE_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
@@ -55,6 +55,7 @@ CLEAN_STREAM_SCHEMA = T.StructType(
     ]
 )
 
+# The columns of the live totals.
 LIVE_TOTALS_SCHEMA = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("region", T.StringType()),
@@ -73,10 +74,8 @@ BASE_YEAR = 2015
 DEDUP_KEY = ("order_id", "product_id")
 
 # postal_code is a number in a batch file and text in the stream.
-BATCH_TEXT_COLUMNS = (
-    "order_id", "ship_mode", "customer_id", "customer_name", "segment",
-    "country", "city", "state", "region", "product_id", "category",
-    "sub_category", "product_name",
+BATCH_TEXT_COLUMNS = tuple(
+    f.name for f in ORDER_LINE_SCHEMA if isinstance(f.dataType, T.StringType) and f.name != "postal_code"
 )
 STREAM_TEXT_COLUMNS = BATCH_TEXT_COLUMNS + ("postal_code",)
 

@@ -38,7 +38,7 @@ def test_dim_date(spark, silver):
     rows = {r.date_key: r for r in star.dim_date(silver).collect()}
     assert set(rows) == {20161117, 20170105}
     day = rows[20161117]
-    assert (day.year, day.month, day.quarter, day.day, day.month_name) == (2016, 11, 4, 8, "November")
+    assert (day.year, day.month, day.quarter, day.day, day.month_name) == (2016, 11, 4, 17, "November")
     assert star.dim_date(silver.withColumn("order_date", F.lit(None).cast("date"))).count() == 0
 
 
