@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.rows import LOWER, UPPER, add_columns
+from orderloom.llm.rows import LOWER, UPPER, add_columns, written
 
-# The rule list is sent to every task. It is an argument held on the driver already;
-# a million rules take some 500 MB as a trie, so that is the proven bound.
-MOST_RULES = 1_000_000
+# Rules in one trie, which every task builds from a broadcast list: a rule takes some 1.8 KB
+# there, so 200,000 take up to 360 MB of a task. More rules are matched in several passes.
+RULES_PER_TRIE = 200_000
 
 
 class Rule(NamedTuple):
@@ -25,6 +25,11 @@ class Rule(NamedTuple):
     def text(self) -> str:
         return self.host + self.path
 
+    @property
+    def rank(self) -> list[int]:
+        """Longer is greater: host labels, then the path; allow beats block."""
+        return [self.host.count("."), len(self.path), int(self.verdict == "allow")]
+
 
 def url_host(url: Column) -> Column:
     """From the first :// up to / ? # or the end, A-Z lower-cased; empty without ://."""
@@ -90,7 +95,13 @@ class UrlTrie:
         return best
 
 
-def with_verdict(df: DataFrame, rules: Iterable[Rule], url: str = "url", default: str = "allow") -> DataFrame:
+def with_verdict(
+    df: DataFrame,
+    rules: Iterable[Rule],
+    url: str = "url",
+    default: str = "allow",
+    rules_per_trie: int = RULES_PER_TRIE,
+) -> DataFrame:
     """df with host, path, rule (text or null) and verdict of every url.
 
     A rule fits its host and all subdomains where the url's path starts with the
@@ -100,22 +111,30 @@ def with_verdict(df: DataFrame, rules: Iterable[Rule], url: str = "url", default
     like a result give way to it. Without rules every url gets the default.
     """
     rules = list(rules)
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules are more than a task may hold ({MOST_RULES})")
     source = F.col(f"`{url}`")
-    parsed = df.withColumns({"host": url_host(source), "path": url_path(source)})
-    sent = df.sparkSession.sparkContext.broadcast(rules)
+    out = df.withColumns({"host": url_host(source), "path": url_path(source)})
+    for start in range(0, max(1, len(rules)), rules_per_trie):
+        sent = df.sparkSession.sparkContext.broadcast(rules[start : start + rules_per_trie])
+
+        def make(sent=sent, start=start):
+            trie = UrlTrie(sent.value)
+
+            def judge(batch):
+                hosts, paths = (batch.column(c).to_pylist() for c in ("host", "path"))
+                found = [trie.match(h, p) for h, p in zip(hosts, paths)]
+                judged = [(r.text, r.verdict, r.rank) if r else (None, default, None) for r in found]
+                if start:
+                    before = zip(*(batch.column(c).to_pylist() for c in ("rule", "verdict", RANK)))
+                    judged = [old if old[2] and old[2] >= (new[2] or []) else new for old, new in zip(before, judged)]
+                kinds = (pa.string(), pa.string(), pa.list_(pa.int32()))
+                return [pa.array([j[k] for j in judged], kind) for k, kind in enumerate(kinds)]
 
-    def make():
-        trie = UrlTrie(sent.value)
+            return judge
 
-        def judge(batch):
-            found = [trie.match(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
-            return [
-                pa.array([r and r.text for r in found], pa.string()),
-                pa.array([r.verdict if r else default for r in found], pa.string()),
-            ]
+        if start:
+            out = written(out, "verdicts")
+        out = add_columns(out, make, f"rule string, verdict string, {RANK} array<int>")
+    return out.drop(RANK)
 
-        return judge
 
-    return add_columns(parsed, make, "rule string, verdict string")
+RANK = "_rule_rank"

@@ -52,6 +52,7 @@ def test_odd_urls(spark):
     assert sorted(got.columns) == sorted(["page_id", "url", "more", "host", "path", "rule", "verdict"])
     rows = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got.collect()}
     assert rows == {(i, h, p, r, v) for i, _, h, p, r, v in urls}
+    assert sorted(map(repr, with_verdict(df, RULES, rules_per_trie=1).collect())) == sorted(map(repr, got.collect()))
     assert with_verdict(df.limit(0), RULES).count() == 0
     assert {r["verdict"] for r in with_verdict(df, [], default="block").collect()} == {"block"}
 
