@@ -350,8 +350,9 @@ def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
     and rows (null, null, tile) of the tiles with three nodes or more.
 
     Of a tile that has many nodes in a batch only the least one is sent on, so a tile that
-    holds a third of all nodes reaches the next step as few entries per batch. Entries travel packed, by ranges of the tile's hash. A tile of two nodes has
-    one pair, so it is done with these.
+    holds a third of all nodes reaches the next step as few entries per batch. Entries
+    travel packed, by parts of the tile's hash. A tile of two nodes has one pair, so it is
+    done with these.
     """
     least_parts = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least_parts, -(-entries // ENTRIES_PER_PARTITION))
@@ -679,8 +680,8 @@ def near_duplicates(
     words. Two rows link when 100 * overlap >= similarity * union, and component_id is the
     least id that a row reaches by links. No words, or a null text: an empty set, linked
     with nothing. Equal sets are one node throughout, so repeated rows cost nothing; a
-    null id takes part but never names a component unless all its ids are null. An empty
-    table gives an empty result; other columns of df are not read.
+    null id takes part but never names a component unless all its ids are null. Ids are
+    integers. An empty table gives an empty result; other columns of df are not read.
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     signatures = written(_signatures(docs, size, similarity), "signatures")
