@@ -222,7 +222,7 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
             for batch in batches:
                 slots = [(shingle(t) >> np.uint64(42)).astype(np.int32) for t in batch.column("text").to_pylist()]
                 if slots:
-                    counts += np.bincount(np.concatenate(slots), minlength=FREQUENCY_SLOTS).astype(np.int32)
+                    np.add.at(counts, np.concatenate(slots), 1)
             noted = np.flatnonzero(counts >= NOTED + 4 * counts.mean())
             yield {"slot": pa.array(noted.astype(np.int32)), "n": pa.array(counts[noted].astype(np.int64))}
 
@@ -395,6 +395,7 @@ def _stars(signatures: DataFrame, similarity: int, entries: int) -> DataFrame:
                     else:
                         held.append((tiles, nodes, crowd))
             keys, nodes, crowd = (b"".join(h[k] for h in held) for k in range(3))
+            held.clear()
             tiles, _, counts, pairs = _to_least(
                 unpacked(keys), np.frombuffer(nodes, np.int64), np.frombuffer(crowd, np.uint8).astype(np.int64)
             )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -43,6 +44,18 @@ def slices(batches: Iterator[Batch], most_bytes: int = SLICE_BYTES) -> Iterator[
                 yield part
 
 
+def give_back() -> None:
+    """Returns memory that is free inside this Python process to the system.
+
+    Spark keeps its Python processes between tasks, and the allocators keep what a task
+    has freed; over several stages of one job that would add up beside the JVM.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Iterable[str] = ()) -> DataFrame:
     """df with columns computed from each Arrow batch; nothing is shuffled.
 
@@ -60,6 +73,8 @@ def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Itera
         for batch in slices(batches):
             columns = [batch.column(i) for i in kept] + step(batch)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        del step
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -73,6 +88,7 @@ def to_rows(
     def run(batches: Iterator[Batch]) -> Iterator[Batch]:
         for columns in make()(slices(batches, slice_bytes)):
             yield pa.RecordBatch.from_arrays([columns[n] for n in shape.names], names=shape.names)
+        give_back()
 
     return df.mapInArrow(run, shape)
 
