@@ -128,6 +128,36 @@ QUERIES = {
 # Not here, as SQL cannot express a fitted model, a tokenizer or a file format:
 # op1, op4, op5, op6 and op7. Their tests hold them against brute force.
 ORACLES = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, least(len(w), 5) AS size, array_to_string(list_slice(w, i, i + 4), ' ') AS shown
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+            FROM shingles x JOIN shingles y ON x.shown = y.shown AND x.size = y.size AND x.doc_id < y.doc_id
+            GROUP BY x.doc_id, y.doc_id
+        ), links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+        ), edges AS (
+            SELECT a, b FROM links UNION SELECT b, a FROM links
+        ), reached AS (
+            SELECT a AS doc_id, b AS other FROM edges
+            UNION
+            SELECT reached.doc_id, edges.b FROM reached JOIN edges ON reached.other = edges.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles,
+               least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id)
+        GROUP BY d.doc_id
+    """,
     "op3_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
