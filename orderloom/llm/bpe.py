@@ -17,9 +17,9 @@ from orderloom.llm.units import SPACED_WORDS, UnitCache
 # The vocabulary is a file of fixed size, sent to every task.
 MOST_VOCABULARY_BYTES = 64 * 1024 * 1024
 
-# A task holds two Python processes, one that encodes and one that decodes, and the pairs
-# of a slice; so it remembers and takes at a time less than the other token operators.
-MOST_UNITS, SLICE_CHARS = 400_000, 8_000_000
+# A task holds the pairs of a slice beside its units, so it remembers and takes at a time
+# less than the other token operators.
+MOST_UNITS, SLICE_CHARS = 300_000, 6_000_000
 
 # The published split pattern of this tokenizer kind, with white space spelled out.
 # Fixed value.
@@ -176,6 +176,18 @@ class Encoder:
         return self.cache.ids(texts)
 
 
+class Decoder:
+    def __init__(self, vocabulary: Vocabulary):
+        self.table = [vocabulary.bytes.get(i, b"") for i in range(max(vocabulary.bytes) + 1)]
+
+    def text(self, ids: bytes | None) -> str | None:
+        if ids is None:
+            return None
+        found = np.frombuffer(ids, "<u4")
+        found = found[found < len(self.table)].tolist()
+        return b"".join(map(self.table.__getitem__, found)).decode("utf-8", "replace")
+
+
 def read_vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         text = file.read()
@@ -217,16 +229,24 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "d
     sent = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def make():
-        known = Vocabulary(sent.value).bytes
-        table = [known.get(i, b"") for i in range(max(known) + 1)]
+        decoder = Decoder(Vocabulary(sent.value))
+        return lambda batch: [pa.array([decoder.text(b) for b in batch.column(ids).to_pylist()], pa.string())]
 
-        def one(binary):
-            if binary is None:
-                return None
-            found = np.frombuffer(binary, "<u4")
-            found = found[found < len(table)].tolist()
-            return b"".join(map(table.__getitem__, found)).decode("utf-8", "replace")
+    return add_columns(df, make, f"`{text}` string")
 
-        return lambda batch: [pa.array([one(b) for b in batch.column(ids).to_pylist()], pa.string())]
 
-    return add_columns(df, make, f"`{text}` string")
+def round_trip(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """encode and decode in one Python process: df without its text, with its ids and what they decode to."""
+    sent = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+
+    def make():
+        vocabulary = Vocabulary(sent.value)
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+
+        def step(batch):
+            coded = [f.astype("<u4").tobytes() for f in encoder.ids(texts_of(batch, text))]
+            return [pa.array(coded, pa.binary()), pa.array([decoder.text(c) for c in coded], pa.string())]
+
+        return step
+
+    return add_columns(df, make, f"`{ids}` binary, `{decoded}` string", [text])

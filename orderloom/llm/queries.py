@@ -57,7 +57,7 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_and_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), BYTE_BPE).drop("text"), BYTE_BPE)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), BYTE_BPE)
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orderloom.llm.bpe import Encoder, Vocabulary, decode, encode, read_vocabulary
+from orderloom.llm.bpe import Encoder, Vocabulary, decode, encode, read_vocabulary, round_trip
 from orderloom.llm.queries import BYTE_BPE
 
 LIBRARY = Tokenizer.from_file(BYTE_BPE)
@@ -70,6 +70,9 @@ def test_columns(spark):
         assert ids == library(row["text"] or "")
         assert row["decoded"] == LIBRARY.decode(ids, skip_special_tokens=False) == (row["text"] or "")
     assert encode(df.limit(0), BYTE_BPE).count() == 0
+    both = round_trip(df, BYTE_BPE)
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, coded.drop("text").collect()))
 
 
 def test_decoding_bad_ids(spark):
