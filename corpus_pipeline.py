@@ -16,9 +16,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_quality(docs, model).filter("predicted = 1").select(*docs.columns)
 
 
+# Sites from which a long line is boilerplate; the README says why it is not 2.
+LONG_LINE_SITES = 3
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated boilerplate; one that held nothing else goes."""
-    cleaned = line_dedup.without_boilerplate(docs)
+    cleaned = line_dedup.without_boilerplate(docs, long_sites=LONG_LINE_SITES)
     left = cleaned.filter("n_removed = 0 or trim(text) <> ''")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

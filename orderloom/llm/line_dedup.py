@@ -10,6 +10,9 @@ from orderloom.llm.rows import without, written
 # A line on this many sites or more is boilerplate.
 LEAST_SITES = 8
 
+# A line of this many words or more does not recur by chance; callers may give such lines a lower bar.
+LONG_WORDS = 50
+
 # 2^12 registers: a relative standard error of 1.6 %. Estimates within NEAR of the
 # threshold, six standard errors, are settled by exact counts.
 SKETCH_LOG2 = 12
@@ -22,18 +25,30 @@ def line_key(line: Column) -> Column:
     return F.when(bare != "", F.xxhash64(bare))
 
 
-def _lines(df: DataFrame, id: str, text: str, site: str) -> DataFrame:
-    """One narrow row per line that is not blank: its key, site, document and position."""
-    return df.select(
+def is_long(line: Column, words: int = LONG_WORDS) -> Column:
+    """Whether a line has so many words, runs of characters other than white space of ASCII."""
+    # So many words need one character each and one between two; the pattern looks at nothing shorter.
+    return (F.length(line) >= 2 * words - 1) & (F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")) >= words)
+
+
+def _lines(df: DataFrame, id: str, text: str, site: str, least_sites: int, long_sites: int | None) -> DataFrame:
+    """One narrow row per line that is not blank: its key, its bar, site, document and position."""
+    if long_sites is None:
+        entry = lambda line: F.struct(line_key(line).alias("line"), F.lit(least_sites).alias("bar"))
+    else:
+        bar = lambda line: F.when(is_long(line), long_sites).otherwise(least_sites)
+        entry = lambda line: F.struct(line_key(line).alias("line"), bar(line).alias("bar"))
+    rows = df.select(
         F.col(f"`{id}`").alias("doc"),
         F.xxhash64(f"`{text}`").alias("version"),
         F.xxhash64(F.coalesce(F.col(f"`{site}`").cast("string"), F.lit(""))).alias("site"),
-        F.posexplode(F.transform(F.split(f"`{text}`", "\n"), line_key)).alias("at", "line"),
-    ).filter("line is not null")
+        F.posexplode(F.transform(F.split(f"`{text}`", "\n"), entry)).alias("at", "entry"),
+    )
+    return rows.select("doc", "version", "site", "at", "entry.line", "entry.bar").filter("line is not null")
 
 
-def boilerplate_lines(lines: DataFrame, least_sites: int = LEAST_SITES, near: float = NEAR) -> DataFrame:
-    """Lines on at least so many sites, with the place of their first occurrence.
+def boilerplate_lines(lines: DataFrame, near: float = NEAR) -> DataFrame:
+    """Lines on at least as many sites as their bar says, with the place of their first occurrence.
 
     Lines that do not occur that often at all, or on one site only, cannot be; a hash
     aggregate with map-side combining removes them, and a hot line is one row per task.
@@ -42,25 +57,26 @@ def boilerplate_lines(lines: DataFrame, least_sites: int = LEAST_SITES, near: fl
     """
     often = written(
         lines.groupBy("line")
-        .agg(F.count("*").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"))
-        .filter((F.col("n") >= least_sites) & (F.lit(least_sites < 2) | (F.col("low") != F.col("high"))))
-        .select("line"),
+        .agg(F.count("*").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"), F.min("bar").alias("bar"))
+        .filter((F.col("n") >= F.col("bar")) & ((F.col("bar") < 2) | (F.col("low") != F.col("high"))))
+        .select("line", "bar"),
         "line-often",
     )
     per_site = written(
-        lines.join(often, "line").groupBy("line", "site").agg(F.min(F.struct("doc", "at")).alias("first")), "line-sites"
+        lines.drop("bar").join(often, "line").groupBy("line", "bar", "site").agg(F.min(F.struct("doc", "at")).alias("first")),
+        "line-sites",
     )
-    spread = per_site.groupBy("line").agg(
+    spread = per_site.groupBy("line", "bar").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_LOG2))).alias("sites"), F.min("first").alias("first")
     )
-    low, high = least_sites * (1 - near), least_sites * (1 + near)
+    low, high = F.col("bar") * (1 - near), F.col("bar") * (1 + near)
     spread = written(spread.filter(F.col("sites") >= low), "line-spread")
     unsure = spread.filter(F.col("sites") <= high).select("line", "first")
     exact = (
         per_site.join(unsure.select("line"), "line", "left_semi")
-        .groupBy("line")
+        .groupBy("line", "bar")
         .agg(F.countDistinct("site").alias("sites"))
-        .filter(F.col("sites") >= least_sites)
+        .filter(F.col("sites") >= F.col("bar"))
     )
     sure = spread.filter(F.col("sites") > high).select("line", "first")
     return written(sure.unionByName(unsure.join(exact.select("line"), "line")), "boilerplate")
@@ -73,12 +89,14 @@ def without_boilerplate(
     site: str = "source",
     least_sites: int = LEAST_SITES,
     near: float = NEAR,
+    long_sites: int | None = None,
 ) -> DataFrame:
     """df with each boilerplate line left only where it occurs first; n_lines and n_removed added.
 
     Lines are split at line feeds and compared without the blanks around them. A line on
-    least_sites distinct sites or more is boilerplate; of its occurrences the first, by
-    (id, position), stays, so no content is lost from the corpus. A null site counts as
+    least_sites distinct sites or more is boilerplate, and with long_sites a line of
+    LONG_WORDS words from so many on; of its occurrences the first, by (id, position),
+    stays, so no content is lost from the corpus. A null site counts as
     one site of its own. A null text stays null and has no lines; an empty text has one
     blank line, and blank lines always stay. Rows repeated with the same id and text are
     treated alike. A null id comes first. Columns named like a result give way to it.
@@ -86,8 +104,8 @@ def without_boilerplate(
     What is shuffled: narrow line rows for the counts, the positions to remove, and the
     documents once, joined with those positions (Spark broadcasts them if they are few).
     """
-    lines = _lines(df, id, text, site)
-    boilerplate = boilerplate_lines(lines, least_sites, near)
+    lines = _lines(df, id, text, site, least_sites, long_sites)
+    boilerplate = boilerplate_lines(lines, near)
     gone = (
         lines.join(boilerplate, "line")
         .filter(~F.struct("doc", "at").eqNullSafe(F.col("first")))

@@ -55,3 +55,15 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame(ROWS, "doc_id int, text string, source string")
     plan = without_boilerplate(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_lines_have_a_bar_of_their_own(spark):
+    long, short = " ".join(f"w{k}" for k in range(50)), " ".join(f"w{k}" for k in range(49))
+    bare = long.replace(" ", "\t ")
+    rows = [(k, f"{long}\n{short}\n{bare}\nown {k}", f"s{k}") for k in range(3)]
+    rows += [(10 + k, f"two {long}\nown {10 + k}", f"s{k}") for k in range(2)]
+    rows += [(20 + k, f"one {long}", "s1") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in without_boilerplate(df, long_sites=3).collect()}
+    assert got == {d: t if d not in (1, 2) else f"{short}\nown {d}" for d, t, _ in rows}
+    assert {r["doc_id"]: r["text"] for r in without_boilerplate(df).collect()} == {d: t for d, t, _ in rows}

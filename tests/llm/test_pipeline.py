@@ -81,3 +81,11 @@ def test_odd_documents_pass_every_filter_without_a_crash(spark):
             assert kept <= len(rows)
             if name in ("near_duplicates", "contamination", "tokens"):
                 assert kept == len(rows)
+
+
+def test_a_long_passage_on_few_sources_stays_once(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    rows = [(k, f"{passage}\nown line {k}", "en", f"s{k % 3}", 0) for k in range(12)]
+    docs = spark.createDataFrame(rows, table(spark, FOLDER, "documents").schema)
+    left = rows_of(corpus_pipeline.line_stage(spark, docs, FOLDER))
+    assert [r[1] for r in left] == [rows[0][1]] + [f"own line {k}" for k in range(1, 12)]
