@@ -21,9 +21,9 @@ LONG_LINE_SITES = 3
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated boilerplate; one that held nothing else goes."""
+    """Documents without repeated boilerplate; one that held nothing else but white space goes."""
     cleaned = line_dedup.without_boilerplate(docs, long_sites=LONG_LINE_SITES)
-    left = cleaned.filter("n_removed = 0 or trim(text) <> ''")
+    left = cleaned.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

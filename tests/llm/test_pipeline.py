@@ -89,3 +89,14 @@ def test_a_long_passage_on_few_sources_stays_once(spark):
     docs = spark.createDataFrame(rows, table(spark, FOLDER, "documents").schema)
     left = rows_of(corpus_pipeline.line_stage(spark, docs, FOLDER))
     assert [r[1] for r in left] == [rows[0][1]] + [f"own line {k}" for k in range(1, 12)]
+
+
+def test_copies_with_blank_lines_leave_no_document_without_words(spark):
+    texts = ["A a\n\nB b\n\nC c", "D d\n \t\n\r\nE e", "F f"]
+    rows = [(20 * n + k, t, "en", f"s{k}", 0) for n, t in enumerate(texts) for k in range(9)]
+    blank = [(100, "\n\n", "en", "s1", 2), (101, None, "en", "s1", None), (102, "A a\n\nown", "en", "s1", 0)]
+    docs = spark.createDataFrame(rows + blank, table(spark, FOLDER, "documents").schema)
+    left = {r[0]: r[1] for r in rows_of(corpus_pipeline.line_stage(spark, docs, FOLDER))}
+    found = cleaned_lines([(r[0], r[1], r[3]) for r in rows + blank], line_dedup.LEAST_SITES)
+    assert left == {d: t for d, t, _, gone in found if not gone or t.strip(" \t\n\v\f\r")}
+    assert sorted(left) == [0, 20, 40, 100, 101, 102] and left[102] == "\nown"
