@@ -52,8 +52,9 @@ def boilerplate_lines(lines: DataFrame, near: float = NEAR) -> DataFrame:
 
     Lines that do not occur that often at all, or on one site only, cannot be; a hash
     aggregate with map-side combining removes them, and a hot line is one row per task.
-    A sketch per other line, merged by aggregation, estimates its sites. Estimates near
-    the threshold are replaced by exact distinct counts.
+    One more such aggregate over the other lines' rows gives a sketch of each line's sites
+    and its first occurrence. Only lines whose estimate is near the threshold have their
+    (line, site) pairs made distinct and counted.
     """
     often = written(
         lines.groupBy("line")
@@ -62,24 +63,22 @@ def boilerplate_lines(lines: DataFrame, near: float = NEAR) -> DataFrame:
         .select("line", "bar"),
         "line-often",
     )
-    per_site = written(
-        lines.drop("bar").join(often, "line").groupBy("line", "bar", "site").agg(F.min(F.struct("doc", "at")).alias("first")),
-        "line-sites",
-    )
-    spread = per_site.groupBy("line", "bar").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_LOG2))).alias("sites"), F.min("first").alias("first")
+    lines = lines.drop("bar")
+    spread = (
+        lines.join(often, "line")
+        .groupBy("line", "bar")
+        .agg(
+            F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_LOG2))).alias("sites"),
+            F.min(F.struct("doc", "at")).alias("first"),
+        )
     )
     low, high = F.col("bar") * (1 - near), F.col("bar") * (1 + near)
     spread = written(spread.filter(F.col("sites") >= low), "line-spread")
-    unsure = spread.filter(F.col("sites") <= high).select("line", "first")
-    exact = (
-        per_site.join(unsure.select("line"), "line", "left_semi")
-        .groupBy("line", "bar")
-        .agg(F.countDistinct("site").alias("sites"))
-        .filter(F.col("sites") >= F.col("bar"))
-    )
+    unsure = spread.filter(F.col("sites") <= high)
+    pairs = written(lines.join(unsure.select("line", "bar"), "line").select("line", "bar", "site").distinct(), "line-sites")
+    exact = pairs.groupBy("line", "bar").count().filter(F.col("count") >= F.col("bar")).select("line")
     sure = spread.filter(F.col("sites") > high).select("line", "first")
-    return written(sure.unionByName(unsure.join(exact.select("line"), "line")), "boilerplate")
+    return written(sure.unionByName(unsure.select("line", "first").join(exact, "line")), "boilerplate")
 
 
 def without_boilerplate(

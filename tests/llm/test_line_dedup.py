@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from orderloom.llm import line_dedup
 from orderloom.llm.line_dedup import without_boilerplate
 
 
@@ -67,3 +68,17 @@ def test_long_lines_have_a_bar_of_their_own(spark):
     got = {r["doc_id"]: r["text"] for r in without_boilerplate(df, long_sites=3).collect()}
     assert got == {d: t if d not in (1, 2) else f"{short}\nown {d}" for d, t, _ in rows}
     assert {r["doc_id"]: r["text"] for r in without_boilerplate(df).collect()} == {d: t for d, t, _ in rows}
+
+
+def test_only_lines_near_the_threshold_have_their_sites_listed(spark, monkeypatch):
+    tables = {}
+
+    def kept(df, label, write=line_dedup.written):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(line_dedup, "written", kept)
+    rows = [(k, "on many sites", f"s{k % 40}") for k in range(80)] + [(100 + k, "near it", f"s{k % 8}") for k in range(16)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    assert without_boilerplate(df).filter("n_removed = 1").count() == 79 + 15
+    assert tables["line-sites"].count() == 8
