@@ -82,10 +82,10 @@ def _spans(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, most_chars: int) -> Iterable[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size, each collected when its turn comes."""
+    """The distinct items in blocks of bounded size, each collected when its turn comes."""
     items = benchmark.select(
         F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")
-    ).filter("text is not null and item is not null")
+    ).filter("text is not null and item is not null").distinct()
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()["chars"]
     count = -(-total // most_chars) or 1
     for k in range(count):

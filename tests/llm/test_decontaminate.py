@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from orderloom.llm.decontaminate import hit_words, with_overlap
+from orderloom.llm.decontaminate import _blocks, hit_words, with_overlap
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -77,3 +77,11 @@ def test_empty_tables(spark, cases):
     assert with_overlap(docs.limit(0), benchmark).count() == 0
     nothing = with_overlap(docs, benchmark.limit(0)).collect()
     assert len(nothing) == len(cases[0]) and not any(r["hits"] or r["items"] for r in nothing)
+
+
+def test_a_repeated_item_is_collected_once(spark):
+    rows = [(1, "the same passage again")] * 300 + [(k, f"passage number {k}") for k in range(2, 22)]
+    benchmark = spark.createDataFrame(rows, "item_id int, text string")
+    blocks = list(_blocks(benchmark, "item_id", "text", 200))
+    assert sorted(r for b in blocks for r in b) == sorted({(str(k), t) for k, t in rows})
+    assert len(blocks) == 2
