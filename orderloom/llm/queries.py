@@ -13,6 +13,7 @@ from orderloom.llm import (
     line_dedup,
     ngram_join,
     quality,
+    token_alignment,
     token_counts,
     token_files,
     toxicity,
@@ -112,6 +113,14 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.without_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return token_alignment.aligned(docs, BYTE_BPE, PIECES, groups=digest).withColumnsRenamed(
+        {"id": "doc_id", "groups": "groups_sha256"}
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_join": op2_ngram_join,
@@ -123,6 +132,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # Not here, as SQL cannot express a fitted model, a tokenizer or a file format:

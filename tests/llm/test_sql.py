@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data"
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLES) <= set(QUERIES)
 
 
