@@ -18,6 +18,7 @@ from orderloom.llm import (
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 from orderloom.llm.rows import table
 from orderloom.sources.folders import new_folder
@@ -113,6 +114,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.without_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
@@ -132,6 +137,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
     "op13_token_alignment": op13_token_alignment,
 }
 
