@@ -13,6 +13,7 @@ from orderloom.llm import (
     line_dedup,
     ngram_join,
     quality,
+    quality_rules,
     token_alignment,
     token_counts,
     token_files,
@@ -118,6 +119,10 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
@@ -138,6 +143,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
     "op11_whitening": op11_whitening,
+    "op12_quality_rules": op12_quality_rules,
     "op13_token_alignment": op13_token_alignment,
 }
 

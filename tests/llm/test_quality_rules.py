@@ -1,0 +1,180 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from orderloom.llm import quality_rules as rules
+from orderloom.llm.queries import QUERIES
+from orderloom.sources import sizing
+
+WORD = re.compile(rules.WORD)
+
+
+def counted(text: str | None) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed, in plain Python."""
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    hit = {k for i, w in enumerate(windows) if times[w] > 1 for k in range(i, i + 3)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit),
+        len(words) < 50 or 100 * len(hit) > 50 * len(words),
+    )
+
+
+def point(n, chars, symbols, lines, repeated, _):
+    ratios = (n, chars / n, 1 + 100 * symbols / n, 1 + 100 * lines / n, 1 + 100 * repeated / n)
+    return [min(math.floor(512 * math.log2(r) + 0.5), rules.LARGEST) for r in ratios]
+
+
+def estimated(mean, covariance):
+    spread = covariance + np.diag(np.square(rules.LEAST_SPREADS))
+    return mean, np.linalg.inv(spread), np.linalg.det(spread)
+
+
+def of_points(x, factor=1.0):
+    return estimated(x.mean(0), np.cov(x.T, bias=True) * factor)
+
+
+def squared(x, estimate):
+    away = x - estimate[0]
+    return np.einsum("ij,jk,ik->i", away, estimate[1], away)
+
+
+def robust_distances(x: np.ndarray) -> np.ndarray:
+    """The module's steps with numpy, rings and all."""
+    q = np.percentile(x, [25, 50, 75], axis=0)
+    found = []
+    for start in (of_points(x), estimated(q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2))):
+        best, least = start, math.inf
+        for _ in range(rules.MOST_STEPS):
+            ring = np.floor(rules.RINGS * np.log2(1 + squared(x, best)))
+            last = np.sort(ring)[math.ceil(rules.COVERAGE * len(x)) - 1]
+            after = of_points(x[ring <= last])
+            if not after[2] < least * (1 - 1e-9):
+                break
+            best, least = after, after[2]
+        found.append((least, best))
+    best = min(found, key=lambda f: f[0])[1]
+    within = squared(x, best) / rules.consistency(rules.COVERAGE, 5) <= rules.squared_distance(rules.WITHIN, 5)
+    return squared(x, of_points(x[within], rules.consistency(rules.WITHIN, 5)))
+
+
+def text_of(rng, words: int, symbols: int = 0) -> str:
+    out = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) + "#" * symbols for _ in range(words)]
+    return "\n".join(" ".join(out[i : i + 12]) for i in range(0, words, 12))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = np.random.default_rng(11)
+    rows = []
+    for lang, source, n in (("en", "big", 240), ("en", "s1", 60), ("en", "s2", 55), ("de", None, 130), (None, "s3", 20)):
+        for _ in range(n):
+            rows.append((len(rows), text_of(rng, int(rng.lognormal(5, 0.5)) + 50), lang, source))
+    outliers = [len(rows) + k for k in range(12)]
+    rows += [(i, text_of(rng, 150, symbols=4), "en", "big") for i in outliers]
+    rows += [(900, None, "en", "big"), (901, "", "en", "s1"), (902, "few words", None, None), (903, "again and again " * 60, "de", None)]
+    rows += [(904, rows[3][1], "en", "big"), (904, rows[3][1], "en", "big"), (None, rows[4][1], "en", "big")]
+    rows += [(905, "ein Wort für Wort für Wort für\n" * 3 + text_of(rng, 400), "de", None), (906, "\x0b\x0c\r\n\t  ", "de", None)]
+    return rows, outliers
+
+
+def frame(spark, rows):
+    shape = "doc_id long, text string, lang string, source string, kept string, DISTANCE int, cell int, n_words string"
+    return spark.createDataFrame([(*r, "x", 1, 2, None) for r in rows], shape).repartition(4)
+
+
+def expected_rows(rows):
+    cells = {}
+    stats = [counted(r[1]) for r in rows]
+    own = {}
+    for r, s in zip(rows, stats):
+        if not s[-1]:
+            own.setdefault((r[2], r[3]), []).append(r)
+    together = Counter()
+    for (lang, _), members in own.items():
+        if len(members) < rules.LEAST_POINTS:
+            together[lang] += len(members)
+    for k, (r, s) in enumerate(zip(rows, stats)):
+        if not s[-1]:
+            key = (r[2], r[3])
+            name = key if len(own[key]) >= rules.LEAST_POINTS else (r[2],) if together[r[2]] >= rules.LEAST_POINTS else ()
+            cells.setdefault(name, []).append(k)
+    distances = [None] * len(rows)
+    for members in cells.values():
+        if len(members) >= rules.LEAST_POINTS:
+            found = robust_distances(np.array([point(*stats[k]) for k in members], float))
+            for k, d in zip(members, found.tolist()):
+                distances[k] = d
+    far = rules.squared_distance(rules.KEPT, 5)
+    return [(*s, d, not s[-1] and not (d is not None and d > far)) for s, d in zip(stats, distances)]
+
+
+def by_id(ids, values):
+    return sorted(zip([str(i) for i in ids], values), key=repr)
+
+
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_equals_brute_force(spark, corpus, monkeypatch, broadcasts):
+    if not broadcasts:
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    rows, outliers = corpus
+    got = rules.judged(frame(spark, rows)).collect()
+    expected = expected_rows(rows)
+    counts = [*rules.COUNTS, "base_failed", "kept"]
+    assert by_id([r.id for r in got], [tuple(r[c] for c in counts) for r in got]) == by_id(
+        [r[0] for r in rows], [(*e[:6], e[7]) for e in expected]
+    )
+    ours = {r.id: r.distance for r in got}
+    for row, e in zip(rows, expected):
+        assert (ours[row[0]] is None) == (e[6] is None)
+        assert e[6] is None or ours[row[0]] == pytest.approx(e[6], rel=1e-6)
+    kept = {r.id: r.kept for r in got}
+    assert not any(kept[i] for i in outliers) and sum(kept[k] for k in range(485)) >= 480
+
+
+def test_empty_and_alone(spark):
+    assert rules.judged(frame(spark, [])).collect() == []
+    rng = np.random.default_rng(1)
+    got = rules.judged(frame(spark, [(1, text_of(rng, 80), "en", "a"), (2, None, None, None)])).collect()
+    assert {(r.id, r.kept, r.distance) for r in got} == {(1, True, None), (2, False, None)}
+
+
+def test_copies_of_one_text_are_no_outliers(spark):
+    text = text_of(np.random.default_rng(2), 90)
+    got = rules.judged(frame(spark, [(k, text, "en", "a") for k in range(150)])).collect()
+    assert all(r.kept and r.distance == 0 for r in got)
+
+
+def test_long_text_is_counted_whole(spark):
+    words = [f"w{k}" for k in range(200_000)]
+    text = " ".join(words) + " w0 w1 w2"
+    row = rules.with_counts(spark.createDataFrame([(text,)], "text string")).first()
+    assert (row.n_words, row.n_repeat_words, row.base_failed) == (200_003, 6, False)
+
+
+def test_shares_of_a_normal_distribution():
+    assert rules.normal_share(rules.squared_distance(0.975, 5), 5) == pytest.approx(0.975)
+    assert rules.squared_distance(0.95, 2) == pytest.approx(-2 * math.log(0.05))
+    draws = np.square(np.random.default_rng(4).normal(size=(200_000, 5))).sum(1)
+    assert rules.squared_distance(0.75, 5) == pytest.approx(np.quantile(draws, 0.75), rel=0.01)
+
+
+def test_the_query_counts_the_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    got = QUERIES["op12_quality_rules"](spark, folder)
+    found = {r.doc_id: tuple(r[c] for c in (*rules.COUNTS, "base_failed")) for r in got.collect()}
+    assert found == {d.doc_id: counted(d.text) for d in docs}
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    rules.judged(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).explain()
+    assert not re.search("Arrow|Python|Pandas", capsys.readouterr().out)
