@@ -403,6 +403,45 @@ ENRICHED_COLUMNS = FACT_COLUMNS + (
     "segment", "product_id", "product_name", "category", "sub_category", "region", "state", "city",
 )
 
+# Lines of a source with types of its own, and what silver's types lose of each.
+TYPED_LINES = """
+  SELECT row_id, TRY_CAST(sales AS DOUBLE) / CASE WHEN quantity = '13' THEN 7 ELSE 1 END AS sales,
+    CASE quantity WHEN '19' THEN 19.5 WHEN '21' THEN 3e9 ELSE CAST(quantity AS DOUBLE) END AS quantity,
+    CASE WHEN quantity <> '5' THEN TRY_CAST(discount AS DOUBLE) END AS discount,
+    CASE WHEN quantity <> '7' THEN TRY_CAST(profit AS DOUBLE) END AS profit,
+    CAST(ship_date AS DATE) AS ship_date, quantity AS pieces
+  FROM bronze"""
+TYPED_FLAWS = {
+    "unreadable_row_id": None,
+    "unreadable_ship_date": None,
+    "not_exact_ship_date": "pieces = '3'",
+    "unreadable_sales": None,
+    "not_exact_sales": "sales <> CAST(CAST(sales AS DECIMAL(24,6)) AS DOUBLE)",
+    "unreadable_quantity": "pieces = '21'",
+    "not_exact_quantity": "pieces = '19'",
+    "unreadable_discount": "pieces = '5'",
+    "not_exact_discount": None,
+    "unreadable_profit": "pieces = '7'",
+    "not_exact_profit": None,
+}
+
+
+def typed_flaws() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {lost or 'false'}) AS violations,"
+        f" count(*) FILTER (WHERE {lost or 'false'}) = 0 AS passed FROM ({TYPED_LINES}) AS t"
+        for name, lost in TYPED_FLAWS.items()
+        if name != "unreadable_row_id"
+    )
+
+
+def typed_quarantine() -> str:
+    parts = ", ".join(f"CASE WHEN {lost} THEN '{name}' END" for name, lost in TYPED_FLAWS.items() if lost)
+    return f"""SELECT CAST(row_id AS BIGINT) AS row_id, CAST(CAST(sales AS DECIMAL(24,6)) AS DOUBLE) AS sales,
+        CASE WHEN pieces <> '21' THEN CAST(floor(quantity) AS INTEGER) END AS quantity, discount, profit, ship_date, flaws
+      FROM (SELECT *, concat_ws(',', {parts}) AS flaws FROM ({TYPED_LINES}) AS t) AS q WHERE flaws <> ''"""
+
+
 BODIES = {
     "scan_order_lines": "SELECT * FROM bronze",
     "bronze_rename": "SELECT * FROM bronze",
@@ -423,6 +462,8 @@ BODIES = {
     "dq_step_counts": step_counts(),
     "dq_quarantine": quarantine(BATCH_TEXT_COLUMNS, V2),
     "dq_quarantine_stream": quarantine(STREAM_TEXT_COLUMNS, STREAM),
+    "dq_typed_flaws": typed_flaws(),
+    "dq_typed_quarantine": typed_quarantine(),
     "dq_duplicate_keys": "SELECT order_id, product_id, count(*) AS copies FROM good"
     " GROUP BY order_id, product_id HAVING count(*) > 1",
     "stream_rules": STREAM_LINES,

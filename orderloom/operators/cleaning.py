@@ -23,48 +23,85 @@ from orderloom.schema import (
 )
 
 
+def _read_as(source: Column, kind: str, field: T.StructField) -> Column:
+    """A value as its field's type, null where it cannot be read."""
+    if kind == field.dataType.simpleString():
+        return source
+    if isinstance(field.dataType, T.DateType) and kind == "string":
+        return F.try_to_date(source, DATE_FORMAT)
+    return source.try_cast(field.dataType)
+
+
 def typed(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> DataFrame:
     """Cast to the schema; what cannot be read becomes null instead of failing the job (see flaws)."""
-    present = dict(df.dtypes)
+    kinds = dict(df.dtypes)
+    return df.select(*[_read_as(F.col(f.name), kinds[f.name], f).alias(f.name) for f in schema])
+
+
+# Whole numbers by width: a wider one holds every narrower one. Fixed values.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
 
-    def cast(field: T.StructField) -> Column:
-        source = F.col(field.name)
-        if present[field.name] == field.dataType.simpleString():
-            return source
-        if isinstance(field.dataType, T.DateType) and present[field.name] == "string":
-            return F.try_to_date(source, DATE_FORMAT)
-        return source.try_cast(field.dataType)
+def _may_lose(kind: str, field: T.StructField) -> bool:
+    """Whether values of one type can get lost, or change, on the way to a field's type."""
+    wanted = field.dataType.simpleString()
+    if kind == wanted or isinstance(field.dataType, T.StringType):
+        return False
+    return not (kind in _WHOLE and wanted in _WHOLE and _WHOLE.index(kind) < _WHOLE.index(wanted))
 
-    return df.select(*[cast(f).alias(f.name) for f in schema])
+
+def _may_round(kind: str, field: T.StructField) -> bool:
+    """Whether a value can be read only in part. Text is read in full or not at all, but for decimals."""
+    return _may_lose(kind, field) and (kind != "string" or isinstance(field.dataType, T.DecimalType))
+
+
+def _decimals(text: Column) -> Column:
+    """Decimals that a number written out needs, the zeros at its end left out; an exponent moves its point."""
+    fraction = F.regexp_extract(text, r"\.(\d*?)0*(?:[eE]|\s*$)", 1)
+    zeros = F.regexp_extract(text, r"(0*)(?:\.0*)?(?:[eE]|\s*$)", 1)
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?\d+)", 1).try_cast("int"), F.lit(0))
+    return F.when(F.length(fraction) > 0, F.length(fraction)).otherwise(-F.length(zeros)) - exponent
+
+
+def _changed(source: Column, kind: str, field: T.StructField) -> Column:
+    """Whether a value that can be read comes out as another one."""
+    value = _read_as(source, kind, field)
+    if kind != "string":  # the way back shows it
+        return value.try_cast(kind) != source
+    whole = source.try_cast(T.DecimalType(38, 18))
+    # Beyond 18 decimals, and with an exponent, the digits themselves are looked at.
+    unclear = (F.length(source) > 18) | source.contains("e") | source.contains("E")
+    more = source.rlike("^[^eE]*[1-9]") & (_decimals(source) > field.dataType.scale)
+    return value.isNotNull() & ((whole != value) | (unclear & more))
 
 
 def flaws(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> Column:
     """Names of what a raw line loses when it is typed; empty for a line read in full.
 
-    unreadable_<column>: there is text, but no value could be read from it.
-    not_exact_<column>: the amount has more decimals than its type holds, so it was rounded.
+    Every pair of source and target type is tested, whatever types the raw lines have:
+    unreadable_<column>: there is a value (of a text: more than blanks), but the field's type cannot hold it.
+    not_exact_<column>: the type holds another value, rounded or cut: of text, an amount with
+    more decimals than its type; of any other type, a value that the way back does not give again.
     """
     kinds = dict(df.dtypes)
     found = []
     for field in schema:
-        if isinstance(field.dataType, T.StringType) or kinds[field.name] != "string":
+        source, kind = F.col(field.name), kinds[field.name]
+        if not _may_lose(kind, field):
             continue
-        raw = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            value = F.try_to_date(raw, DATE_FORMAT)
-        else:
-            value = raw.try_cast(field.dataType)
-        found.append(F.when((F.trim(raw) != "") & value.isNull(), F.lit(f"unreadable_{field.name}")))
-        if isinstance(field.dataType, T.DecimalType):
-            whole = raw.try_cast(T.DecimalType(38, 18))
-            found.append(F.when(whole != value, F.lit(f"not_exact_{field.name}")))
+        there = F.trim(source) != "" if kind == "string" else source.isNotNull()
+        found.append(F.when(there & _read_as(source, kind, field).isNull(), F.lit(f"unreadable_{field.name}")))
+        if _may_round(kind, field):
+            found.append(F.when(_changed(source, kind, field), F.lit(f"not_exact_{field.name}")))
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
-def flaw_names(schema: T.StructType = ORDER_LINE_SCHEMA) -> list[str]:
-    typed_fields = [f for f in schema if not isinstance(f.dataType, T.StringType)]
-    return [f"unreadable_{f.name}" for f in typed_fields] + [
-        f"not_exact_{f.name}" for f in typed_fields if isinstance(f.dataType, T.DecimalType)
+def flaw_names(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> list[str]:
+    """Names that flaws can give for lines of these types."""
+    kinds = dict(df.dtypes)
+    fields = [f for f in schema if _may_lose(kinds[f.name], f)]
+    return [f"unreadable_{f.name}" for f in fields] + [
+        f"not_exact_{f.name}" for f in fields if _may_round(kinds[f.name], f)
     ]
 
 

@@ -55,9 +55,15 @@ def validation_summary(report: DataFrame) -> DataFrame:
 
 
 def flaw_report(raw: DataFrame) -> DataFrame:
-    """One line per way a value can get lost in typing: how many raw lines lose one so."""
-    names = flaw_names()
+    """One line per way a value can get lost in typing: how many raw lines lose one so.
+
+    Which ways there are depends on the types of the raw lines; lines that come typed as
+    they are to be have none, and the report no row.
+    """
+    names = flaw_names(raw)
     judged = raw.select(flaws(raw).alias("flaws"))
+    if not names:
+        return judged.select(F.lit("").alias("rule"), F.lit(0).cast("long").alias("violations"), F.lit(True).alias("passed")).limit(0)
     return _unpivoted(judged.agg(*[F.count_if(F.array_contains("flaws", n)).alias(n) for n in names]), names)
 
 

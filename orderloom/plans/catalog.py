@@ -15,7 +15,7 @@ from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V1, BATCH_V2, DATE_FORMAT, ORDER_LINE_SCHEMA, STREAM
 from orderloom.sources.files import rename_by_position
 from orderloom.sources.folders import new_folder
-from orderloom.sources.trade import line_bytes, raw_order_lines
+from orderloom.sources.trade import line_bytes, raw_order_lines, typed_order_lines
 from orderloom.streaming import orders as streaming
 
 # The Type 1 example refreshes the dimension of the orders before this day.
@@ -67,6 +67,12 @@ def silver_dedup(t: Layers) -> DataFrame:
     return shown(cleaning.deduplicated(cleaning.prepared(t.table("bronze"))))
 
 
+def dq_typed_quarantine(t: Layers) -> DataFrame:
+    """Lines that come typed and lose a value on the way to silver's types."""
+    rows = quality.quarantine(typed_order_lines(t.table("bronze")))
+    return shown(rows.where("flaws <> ''").select("row_id", "sales", "quantity", "discount", "profit", "ship_date", "flaws"))
+
+
 def stream_rules(t: Layers) -> DataFrame:
     return shown(streaming.cleaned_stream(t.table("arrivals")).drop("processed_at"))
 
@@ -243,6 +249,8 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_step_counts": lambda t: quality.step_counts(t.table("bronze")),
     "dq_quarantine": lambda t: shown(quality.quarantine(t.table("bronze"))),
     "dq_quarantine_stream": lambda t: shown(quality.quarantine(t.table("bronze"), STREAM)),
+    "dq_typed_flaws": lambda t: quality.flaw_report(typed_order_lines(t.table("bronze"))),
+    "dq_typed_quarantine": dq_typed_quarantine,
     "dq_duplicate_keys": lambda t: quality.duplicate_keys(
         cleaning.valid(cleaning.prepared(t.table("bronze")))
     ),

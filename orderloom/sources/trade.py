@@ -88,3 +88,27 @@ def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
         values[name].cast("string").alias(heading)
         for name, heading in zip(ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS)
     ])
+
+
+# Types that numbers and dates of a source have whose lines do not come as text.
+TYPED_SOURCE = {
+    "row_id": "long", "order_date": "date", "ship_date": "timestamp", "postal_code": "long",
+    "sales": "double", "quantity": "double", "discount": "double", "profit": "double",
+}
+
+
+def typed_order_lines(bronze: DataFrame) -> DataFrame:
+    """The lines as a source with types of its own has them.
+
+    By their own quantity, some carry what the types of silver cannot hold: sales with more
+    decimals, half a piece, a profit or discount out of range, a time of day on the day of shipping.
+    """
+    rows = bronze.select(*[F.col(c).try_cast(TYPED_SOURCE.get(c, "string")).alias(c) for c in bronze.columns])
+    pieces = F.col("quantity")
+    return rows.withColumns({
+        "sales": F.when(pieces == 13, F.col("sales") / 7).otherwise(F.col("sales")),
+        "quantity": F.when(pieces == 19, pieces + 0.5).when(pieces == 21, F.lit(3e9)).otherwise(pieces),
+        "profit": F.when(pieces == 7, F.lit(2e19)).otherwise(F.col("profit")),
+        "discount": F.when(pieces == 5, F.lit(float("nan"))).otherwise(F.col("discount")),
+        "ship_date": F.when(pieces == 3, F.col("ship_date") + F.expr("INTERVAL 9 HOURS")).otherwise(F.col("ship_date")),
+    })

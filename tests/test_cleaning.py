@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import quality
-from orderloom.operators.cleaning import clean, deduplicated, prepared, typed, valid
+from orderloom.operators.cleaning import clean, deduplicated, flaw_names, flaws, prepared, typed, valid
 from orderloom.schema import BATCH_V1, BATCH_V2, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, STREAM
 from tests.lines import GOOD, faulty_lines, line, text_lines
 
@@ -194,3 +194,58 @@ def test_lost_values_are_reported(spark):
     kept = {r.row_id: r for r in typed(rows).collect()}
     assert kept[5].sales == 2 * 10**14 and kept[5].profit == Decimal("200000000000000.25")
     assert kept[9].discount == 100
+
+
+def typed_lines(spark, *rows: dict, **types: str):
+    """Lines that come with types of their own, as from a typed table."""
+    kinds = {"row_id": "long", "order_date": "date", "ship_date": "date", "postal_code": "long",
+             "sales": "double", "quantity": "double", "discount": "double", "profit": "double"} | types
+    text = text_lines(spark, *[{k: None if v is None else str(v) for k, v in line(**r).items()} for r in rows])
+    return text.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in text.columns])
+
+
+def test_typed_lines_report_what_they_lose(spark):
+    rows = typed_lines(
+        spark,
+        {},
+        {"row_id": 2, "sales": 0.12345678, "quantity": 3.7, "profit": 2e19},
+        {"row_id": 3, "sales": "NaN", "discount": "Infinity"},
+        {"row_id": 4, "sales": 0.1, "discount": 0.3333333, "quantity": 3e9},
+        {"row_id": 5, "sales": 1e17, "profit": -0.000001},
+    )
+    found = {r.row_id: r.flaws for r in quality.quarantine(rows).collect()}
+    assert found == {
+        2: "not_exact_sales,not_exact_quantity,unreadable_profit",
+        3: "unreadable_sales,unreadable_discount",
+        4: "unreadable_quantity,not_exact_discount",
+    }
+    report = {r.rule: (r.violations, r.passed) for r in quality.flaw_report(rows).collect()}
+    assert {k: v[0] for k, v in report.items() if v[0]} == {
+        "not_exact_sales": 1, "not_exact_quantity": 1, "unreadable_profit": 1, "unreadable_sales": 1,
+        "unreadable_discount": 1, "unreadable_quantity": 1, "not_exact_discount": 1,
+    }
+    assert report["not_exact_profit"] == (0, True) and "unreadable_row_id" not in report
+
+
+def test_other_source_types(spark):
+    rows = typed_lines(
+        spark, {}, {"row_id": 2, "ship_date": "2016-11-19 08:30:00", "sales": "1.23456789", "quantity": 3_000_000_000},
+        {"row_id": 3, "sales": "99999999999999999999999.5", "discount": 0.1},
+        row_id="int", ship_date="timestamp", sales="decimal(38,8)", quantity="long", discount="float", profit="decimal(24,6)",
+    )
+    found = {r.row_id: r.flaws for r in quality.quarantine(rows).collect()}
+    assert found == {2: "not_exact_ship_date,not_exact_sales,unreadable_quantity", 3: "unreadable_sales"}
+    assert flaw_names(typed(rows)) == []
+    assert quality.flaw_report(typed(rows)).collect() == [] and quality.flaw_report(typed(rows)).columns == ["rule", "violations", "passed"]
+    assert quality.quarantine(typed(rows)).where("flaws <> ''").count() == 0
+
+
+@pytest.mark.parametrize("text, lost", [
+    ("0.1234567", "not_exact"), ("0.100000000", None), ("0.1000000000000000000000001", "not_exact"), ("1e-7", "not_exact"),
+    ("1.5e-5", None), ("1.5E-6", "not_exact"), ("1e-25", "not_exact"), ("1000e-9", None), ("100e-9", "not_exact"),
+    ("0e-30", None), ("12.50e3", None), ("1e17", None), ("1e18", "unreadable"), (" 7 ", None), ("-0.0000001", "not_exact"),
+    ("1.2.3", "unreadable"), ("", None), ("   ", None), (None, None), ("000000000000000000000.5", None), ("0." + "0" * 30, None),
+])
+def test_text_amounts(spark, text, lost):
+    found = text_lines(spark, line(sales=text)).select(F.array_join(flaws(text_lines(spark, line(sales=text))), ",").alias("f"))
+    assert found.first().f == (f"{lost}_sales" if lost else "")
