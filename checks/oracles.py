@@ -442,11 +442,30 @@ def typed_quarantine() -> str:
       FROM (SELECT *, concat_ws(',', {parts}) AS flaws FROM ({TYPED_LINES}) AS t) AS q WHERE flaws <> ''"""
 
 
+# Records of a CSV file: those of three pieces are cut off after the sales, the product of those
+# of seven has a comma without quotes, and of those of nine a line feed within quotes.
+CSV_RECORD = (
+    "concat_ws(',', "
+    + ", ".join(f"coalesce({c}, '')" for c in ORDER_LINE_COLUMNS[: ORDER_LINE_COLUMNS.index("product_name")])
+    + ", coalesce(product_name, '') || CASE WHEN quantity = '7' THEN ', blue' ELSE '' END, coalesce(sales, '')"
+    + ")"
+)
+CSV_BROKEN = f"""SELECT {CSV_RECORD} || CASE WHEN quantity = '7' THEN
+      concat(',', quantity, ',', discount, ',', profit) ELSE '' END AS broken_record,
+    'broken_record' AS reject_reason, CAST(NULL AS BIGINT) AS row_id
+  FROM bronze WHERE quantity IN ('3', '7')"""
+CSV_WHOLE = """SELECT * REPLACE (
+    CASE WHEN quantity = '9' THEN product_name || chr(10) || '(new)' ELSE product_name END AS product_name)
+  FROM bronze WHERE quantity NOT IN ('3', '7')"""
+
+
 BODIES = {
     "scan_order_lines": "SELECT * FROM bronze",
     "bronze_rename": "SELECT * FROM bronze",
     "try_parse_date": "SELECT row_id, order_date AS order_date_text,"
     f" {CASTS['order_date']} AS order_date FROM bronze",
+    "csv_whole_lines": CSV_WHOLE,
+    "csv_broken_lines": CSV_BROKEN,
     "silver_typed": f"SELECT {as_shown()} FROM (SELECT {lines()} FROM bronze) AS t",
     "silver_trim": f"SELECT {lines(BATCH_TEXT_COLUMNS, cast=False)} FROM bronze",
     "silver_not_null": f"SELECT {as_shown()} FROM prepared WHERE order_id IS NOT NULL"

@@ -16,6 +16,7 @@ from orderloom.functions.keys import unique_per_key
 from orderloom.schema import (
     BATCH_TEXT_COLUMNS,
     BATCH_V2,
+    BROKEN_RECORD,
     DATE_FORMAT,
     DEDUP_KEY,
     ORDER_LINE_SCHEMA,
@@ -110,9 +111,14 @@ def trimmed(df: DataFrame, columns: Sequence[str] = BATCH_TEXT_COLUMNS) -> DataF
     return df.withColumns({c: F.trim(c) for c in columns})
 
 
+def whole_lines(df: DataFrame) -> DataFrame:
+    """Lines that were read as records of the right width; all, where broken ones are not marked."""
+    return df.where(F.col(BROKEN_RECORD).isNull()).drop(BROKEN_RECORD) if BROKEN_RECORD in df.columns else df
+
+
 def prepared(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
-    """Typed and trimmed, before any row is judged."""
-    return trimmed(typed(df), profile.text_columns)
+    """Whole lines, typed and trimmed, before any row is judged."""
+    return trimmed(typed(whole_lines(df)), profile.text_columns)
 
 
 def reject_reason(profile: Profile) -> Column:

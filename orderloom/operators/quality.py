@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.cleaning import flaw_names, flaws, prepared, reject_reason, trimmed, typed
-from orderloom.schema import BATCH_V2, DEDUP_KEY, ORDER_LINE_SCHEMA, Profile
+from orderloom.schema import BATCH_V2, BROKEN_RECORD, DEDUP_KEY, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, Profile
 
 
 def _broken(keep: str) -> Column:
@@ -22,6 +22,18 @@ def _unpivoted(row: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
+def _without_broken_values(raw: DataFrame) -> DataFrame:
+    """Raw lines with a broken_record column, and no values where it says that a line is broken."""
+    if BROKEN_RECORD not in raw.columns:
+        return raw.withColumn(BROKEN_RECORD, F.lit(None).cast("string"))
+    return raw.withColumns({c: F.when(F.col(BROKEN_RECORD).isNull(), F.col(c)) for c in ORDER_LINE_COLUMNS})
+
+
+def _reason(profile: Profile) -> Column:
+    """Name of the first thing wrong with a line: it is broken, or the first rule that it breaks."""
+    return F.when(F.col(BROKEN_RECORD).isNotNull(), BROKEN_RECORD).otherwise(reject_reason(profile))
+
+
 def rule_report(rows: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     """One line per rule: how many of the rows break it, and whether it passed.
 
@@ -58,13 +70,17 @@ def flaw_report(raw: DataFrame) -> DataFrame:
     """One line per way a value can get lost in typing: how many raw lines lose one so.
 
     Which ways there are depends on the types of the raw lines; lines that come typed as
-    they are to be have none, and the report no row.
+    they are to be have none. Lines that a file's reader marked as broken have a line of
+    their own and lose nothing else.
     """
-    names = flaw_names(raw)
-    judged = raw.select(flaws(raw).alias("flaws"))
+    marked = BROKEN_RECORD in raw.columns
+    names = flaw_names(raw) + [BROKEN_RECORD] * marked
+    lines = _without_broken_values(raw)
+    judged = lines.select(flaws(lines).alias("flaws"), BROKEN_RECORD)
     if not names:
         return judged.select(F.lit("").alias("rule"), F.lit(0).cast("long").alias("violations"), F.lit(True).alias("passed")).limit(0)
-    return _unpivoted(judged.agg(*[F.count_if(F.array_contains("flaws", n)).alias(n) for n in names]), names)
+    lost = [F.count_if(F.array_contains("flaws", n)).alias(n) for n in flaw_names(raw)]
+    return _unpivoted(judged.agg(*lost, *[F.count(BROKEN_RECORD).alias(BROKEN_RECORD)] * marked), names)
 
 
 def full_report(raw: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
@@ -75,13 +91,16 @@ def full_report(raw: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
 def quarantine(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     """Rows that break a rule, with the first one they break, and rows that lose a value.
 
-    reject_reason is null for a row that stays in silver; flaws names what it lost there.
+    reject_reason is null for a row that stays in silver; flaws names what it lost there. Of a
+    line that a file's reader marked as broken the text is kept in broken_record, and no value.
     No shuffle.
     """
-    marked = df.withColumn("flaws", F.array_join(flaws(df), ","))
-    schema = T.StructType(ORDER_LINE_SCHEMA.fields + [T.StructField("flaws", T.StringType())])
-    rows = trimmed(typed(marked, schema), profile.text_columns)
-    return rows.withColumn("reject_reason", reject_reason(profile)).where("reject_reason IS NOT NULL OR flaws <> ''")
+    lines = _without_broken_values(df)
+    marked = lines.withColumn("flaws", F.array_join(flaws(lines), ","))
+    extra = [T.StructField(c, T.StringType()) for c in ("flaws", BROKEN_RECORD)]
+    rows = trimmed(typed(marked, T.StructType(ORDER_LINE_SCHEMA.fields + extra)), profile.text_columns)
+    found = rows.withColumn("reject_reason", _reason(profile)).where("reject_reason IS NOT NULL OR flaws <> ''")
+    return found if BROKEN_RECORD in df.columns else found.drop(BROKEN_RECORD)
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:
@@ -93,10 +112,12 @@ def step_counts(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     """Rows before, removed by and after each cleaning step.
 
     Rules are counted in one global aggregate; only the keys of valid rows are shuffled.
-    The rules are the first steps, in order; removing duplicates is the last.
+    The rules are the first steps, in order; removing duplicates is the last. Where a file's
+    reader marks broken lines, they go before all others.
     """
-    names = [rule.name for rule in profile.rules]
-    judged = prepared(df, profile).withColumn("reason", reject_reason(profile))
+    names = [BROKEN_RECORD] * (BROKEN_RECORD in df.columns) + [rule.name for rule in profile.rules]
+    lines = T.StructType(ORDER_LINE_SCHEMA.fields + [T.StructField(BROKEN_RECORD, T.StringType())])
+    judged = trimmed(typed(_without_broken_values(df), lines), profile.text_columns).withColumn("reason", _reason(profile))
     counted = judged.agg(
         F.count_if(F.col("reason").isNull()).alias("valid_rows"),
         *[F.count_if(F.col("reason") == n).alias(n) for n in names],

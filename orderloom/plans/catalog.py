@@ -12,10 +12,10 @@ from orderloom.functions.dates import ist_label
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators import cleaning, forecast, measures, quality, star
 from orderloom.plans.layers import Layers
-from orderloom.schema import BATCH_V1, BATCH_V2, DATE_FORMAT, ORDER_LINE_SCHEMA, STREAM
-from orderloom.sources.files import rename_by_position
+from orderloom.schema import BATCH_V1, BATCH_V2, BROKEN_RECORD, DATE_FORMAT, ORDER_LINE_SCHEMA, STREAM
+from orderloom.sources.files import read_order_records, rename_by_heading, rename_by_position
 from orderloom.sources.folders import new_folder
-from orderloom.sources.trade import line_bytes, raw_order_lines, typed_order_lines
+from orderloom.sources.trade import csv_text, line_bytes, raw_order_lines, typed_order_lines
 from orderloom.streaming import orders as streaming
 
 # The Type 1 example refreshes the dimension of the orders before this day.
@@ -48,6 +48,18 @@ def shown(df: DataFrame) -> DataFrame:
     return df.withColumns(decimals) if decimals else df
 
 
+def _from_csv(t: Layers) -> DataFrame:
+    """The raw lines, written as CSV files with broken records in between and read back."""
+    path = new_folder(t.spark, "csv")
+    csv_text(t.table("bronze")).write.text(path)
+    return rename_by_heading(read_order_records(t.spark, path, header=False))
+
+
+def csv_broken_lines(t: Layers) -> DataFrame:
+    rows = quality.quarantine(_from_csv(t))
+    return rows.where(F.col(BROKEN_RECORD).isNotNull()).select(BROKEN_RECORD, "reject_reason", "row_id")
+
+
 # --- bronze and silver -----------------------------------------------------
 
 def try_parse_date(t: Layers) -> DataFrame:
@@ -235,6 +247,8 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "scan_order_lines": lambda t: t.table("bronze"),
     "bronze_rename": lambda t: rename_by_position(t.raw()),
     "try_parse_date": try_parse_date,
+    "csv_whole_lines": lambda t: cleaning.whole_lines(_from_csv(t)),
+    "csv_broken_lines": csv_broken_lines,
     # silver
     "silver_typed": lambda t: shown(cleaning.typed(t.table("bronze"))),
     "silver_trim": lambda t: cleaning.trimmed(t.table("bronze")),

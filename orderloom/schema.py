@@ -44,6 +44,9 @@ ORDER_LINE_SCHEMA = T.StructType([
     T.StructField("profit", MONEY),
 ])
 
+# The text of a record that a file's reader could not take apart; null for a whole line.
+BROKEN_RECORD = "broken_record"
+
 ORDER_LINE_COLUMNS = tuple(ORDER_LINE_SCHEMA.fieldNames())
 
 # What a stream cleaning run appends: the order line, when and by which feed.

@@ -112,3 +112,23 @@ def typed_order_lines(bronze: DataFrame) -> DataFrame:
         "discount": F.when(pieces == 5, F.lit(float("nan"))).otherwise(F.col("discount")),
         "ship_date": F.when(pieces == 3, F.col("ship_date") + F.expr("INTERVAL 9 HOURS")).otherwise(F.col("ship_date")),
     })
+
+
+def csv_text(bronze: DataFrame) -> DataFrame:
+    """The lines as records of a CSV file, in one text column.
+
+    By their own quantity, some are cut off after the sales, some have a comma in the name
+    of the product that no quotes protect, and some a line feed that quotes do.
+    """
+    pieces = F.col("quantity")
+    name = F.when(pieces == "9", F.concat(F.col("product_name"), F.lit("\n(new)"))).otherwise(F.col("product_name"))
+
+    def field(column: str) -> Column:
+        value = F.coalesce(name if column == "product_name" else F.col(column), F.lit(""))
+        quotes = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        written = F.when(value.rlike('[",\n]'), quotes).otherwise(value)
+        return F.when(pieces == "7", F.concat(value, F.lit(", blue"))).otherwise(written) if column == "product_name" else written
+
+    last = ORDER_LINE_COLUMNS.index("sales") + 1
+    whole, cut = (F.concat_ws(",", *[field(c) for c in columns]) for columns in (ORDER_LINE_COLUMNS, ORDER_LINE_COLUMNS[:last]))
+    return bronze.select(F.when(pieces == "3", cut).otherwise(whole).alias("value"))

@@ -5,7 +5,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators import measures, star
+from orderloom.operators import cleaning, measures, quality, star
 from orderloom.plans.batch import BATCH_LAYERS, run_batch, run_forecasts
 from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V1, LIVE_TOTALS_SCHEMA, ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS
@@ -44,6 +44,55 @@ def test_reordered_csv_is_refused_not_mislabelled(spark, tmp_path):
     assert files.rename_by_heading(own_headings).first().customer_name == "Orla Brandt"
 
 
+@pytest.fixture()
+def broken_csv(tmp_path):
+    """Two whole orders, one of them with a line feed in quotes, one cut off and one with a comma too many."""
+    path = tmp_path / "broken.csv"
+    write_csv(path, [GOOD, line(row_id="2", order_id="N-2", product_name="Oak stool,\n2nd choice")])
+    values = [line(row_id="3", order_id="N-3")[c] for c in ORDER_LINE_COLUMNS]
+    cut = ",".join(values[: ORDER_LINE_COLUMNS.index("sales") + 1])
+    shifted = ",".join(["4", "N-4", *values[2:]]).replace("Oak stool", "Oak, stool")
+    with open(path, "a", newline="") as out:
+        out.write(cut + "\r\n" + shifted + "\r\n")
+    return str(path), cut, shifted
+
+
+@pytest.mark.parametrize("multi_line", [None, True])
+def test_broken_records_are_set_aside(spark, broken_csv, multi_line):
+    path, cut, shifted = broken_csv
+    bronze = files.rename_by_heading(files.read_order_records(spark, path, multi_line=multi_line))
+    assert bronze.columns == [*ORDER_LINE_COLUMNS, "broken_record"]
+    silver = {r.row_id: r.product_name for r in cleaning.clean(bronze).collect()}
+    assert silver == {1: "Oak stool", 2: "Oak stool,\n2nd choice"}
+    found = quality.quarantine(bronze).collect()
+    assert sorted((r.broken_record, r.reject_reason, r.flaws, r.row_id, r.sales) for r in found) == sorted(
+        (text, "broken_record", "", None, None) for text in (cut, shifted)
+    )
+    report = {r.rule: r.violations for r in quality.full_report(bronze).collect()}
+    assert report["broken_record"] == 2 and sum(report.values()) == 2
+    steps = [tuple(r)[1:] for r in quality.step_counts(bronze).collect()]
+    assert steps[0] == ("broken_record", 4, 2, 2) and steps[-1] == ("duplicate_key", 2, 0, 2)
+
+
+def test_without_line_feeds_in_quotes_files_are_split(spark, broken_csv, tmp_path):
+    path, cut, shifted = broken_csv
+    assert files.has_quoted_line_feeds(spark, path)
+    plain = str(tmp_path / "plain.csv")
+    write_csv(plain, [GOOD, line(row_id="2", product_name='6" "Wall" Clock')])
+    assert not files.has_quoted_line_feeds(spark, plain)
+    split = cleaning.whole_lines(files.rename_by_heading(files.read_order_records(spark, path, multi_line=False)))
+    assert [r.row_id for r in split.collect()] == ["1"]  # the halves of the other order are broken records
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_order_csv(spark, path).collect()
+
+
+def test_batch_run_over_broken_records(spark, broken_csv, tmp_path, database):
+    counts = run_batch(spark, lambda: files.read_order_records(spark, broken_csv[0]), str(tmp_path / "lake"), database)
+    assert (counts["bronze"], counts["silver"], counts["fact_orders"]) == (4, 2, 2)
+    kept = tables.scan(spark, f"{database}.bronze")
+    assert kept.where("broken_record IS NOT NULL").count() == 2
+
+
 def test_rename_by_position_checks_the_width(spark):
     df = text_lines(spark, GOOD)
     assert files.rename_by_position(df.toDF(*ORDER_LINE_HEADINGS)).columns == list(ORDER_LINE_COLUMNS)
