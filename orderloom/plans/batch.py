@@ -12,7 +12,15 @@ from orderloom.operators import forecast
 from orderloom.operators.star import unresolved_keys
 from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V2, Profile
-from orderloom.sources.tables import Switch, scan, scan_if_exists, switch_tables, use_database, write_files
+from orderloom.sources.tables import (
+    Switch,
+    recover_switches,
+    scan,
+    scan_if_exists,
+    switch_tables,
+    use_database,
+    write_files,
+)
 
 BATCH_LAYERS = (
     "bronze", "silver", "dim_date", "dim_customer", "dim_product", "dim_region", "fact_orders",
@@ -35,10 +43,12 @@ def run_batch(
     """Write all layers under a new folder of root, then switch the tables to it.
 
     A run that fails, also while it switches tables, leaves them as they were, and can
-    simply be started again. An earlier customer dimension is refreshed (Type 1), not replaced.
+    simply be started again; one that is killed there leaves a journal under root, by which
+    the next run first puts them right. An earlier customer dimension is refreshed (Type 1), not replaced.
     Returns the row count of every layer.
     """
     use_database(spark, database)
+    recover_switches(spark, root)
     layers = Layers(
         spark,
         raw,
@@ -60,7 +70,7 @@ def run_batch(
     switch_tables(spark, [
         Switch(f"{database}.{name}", layers.path(name), layers.table(name).schema, layers.partition_by(name))
         for name in BATCH_LAYERS
-    ])
+    ], root)
     return counts
 
 
@@ -80,6 +90,7 @@ def run_forecasts(
     without it the batch alone counts. Returns the row count of every table.
     """
     use_database(spark, database)
+    recover_switches(spark, root)
     fact, dates, products, regions = (
         scan(spark, f"{database}.{name}") for name in ("fact_orders", "dim_date", "dim_product", "dim_region")
     )
@@ -98,5 +109,5 @@ def run_forecasts(
     run = f"{root.rstrip('/')}/forecasts-{uuid.uuid4().hex}"
     for name, rows in results.items():
         write_files(rows.coalesce(1), f"{run}/{name}")
-    switch_tables(spark, [Switch(f"{database}.{name}", f"{run}/{name}", rows.schema) for name, rows in results.items()])
+    switch_tables(spark, [Switch(f"{database}.{name}", f"{run}/{name}", rows.schema) for name, rows in results.items()], root)
     return {name: scan(spark, f"{database}.{name}").count() for name in results}

@@ -45,3 +45,8 @@ def folder_names(spark: SparkSession, pattern: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     system, target = _file_system(spark, path)
     system.delete(target, True)
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return bool(system.exists(target))

@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from orderloom.sources.folders import file_exists, folder_names, remove_folder
+
 
 def use_database(spark: SparkSession, database: str) -> None:
     """Create the database if needed and make it the current one."""
@@ -72,28 +74,19 @@ def point_table_at(
     path: str,
     schema: T.StructType | None = None,
     partition_by: Sequence[str] = (),
+    root: str | None = None,
 ) -> None:
     """Make a table show the files under path, which are complete by then.
 
-    An external table of the same shape is switched in one step. Any other is
-    built under a second name first, so that the name is missing only between
-    a drop and a rename; files of external tables stay in either case.
+    An external table of the same shape is switched in one step. Any other is switched as
+    switch_tables does it; files of external tables stay in either case.
     """
     schema = schema or spark.read.parquet(path).schema
     if not partition_by and _is_external_with(spark, name, schema):
         spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(quoted(name))
     else:
-        staged = f"{name}__next"
-        layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        drop(spark, staged)
-        spark.sql(
-            f"CREATE TABLE {quoted(staged)} ({schema.toDDL()}) USING PARQUET {layout} LOCATION '{path}'"
-        )
-        if partition_by:
-            spark.catalog.recoverPartitions(quoted(staged))
-        drop(spark, name)
-        spark.sql(f"ALTER TABLE {quoted(staged)} RENAME TO {quoted(name)}")
-    spark.catalog.refreshTable(quoted(name))
+        switch_tables(spark, [Switch(name, path, schema, partition_by)], root)
 
 
 class Switch(NamedTuple):
@@ -105,39 +98,96 @@ class Switch(NamedTuple):
     partition_by: Sequence[str] = ()
 
 
-def switch_tables(spark: SparkSession, switches: Sequence[Switch]) -> None:
+JOURNAL_FOLDER = "_switches"
+JOURNAL_SCHEMA = "name string, path string, had_one boolean"
+
+
+def _staged(name: str) -> str:
+    return f"{name}__next"
+
+
+def _aside(name: str) -> str:
+    return f"{name}__before"
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(quoted(name))
+
+
+def switch_tables(spark: SparkSession, switches: Sequence[Switch], root: str | None = None) -> None:
     """Point several tables at new files, all or none.
 
-    All are first built under second names, where most can go wrong. Then each is renamed
-    into place and the table it replaces kept aside; an error undoes the renames done so
-    far. A name is missing only between two renames. The old tables go at the end; files
-    of external tables stay.
+    All are first built under second names, where most can go wrong. Then a journal with every
+    name and its new files is written under root, and each table is renamed into place and the
+    one it replaces kept aside. An error or interrupt undoes the renames done so far. A run that
+    is killed leaves the journal, and recover_switches settles it; without a root there is none.
+    A name is missing only between two renames. The old tables go at the end; files of external
+    tables stay.
     """
-    staged, aside = (lambda n: f"{n}__next"), (lambda n: f"{n}__before")
     for new in switches:
         layout = f"PARTITIONED BY ({', '.join(new.partition_by)})" if new.partition_by else ""
-        drop(spark, staged(new.name))
+        drop(spark, _staged(new.name))
         spark.sql(
-            f"CREATE TABLE {quoted(staged(new.name))} ({new.schema.toDDL()}) USING PARQUET {layout} LOCATION '{new.path}'"
+            f"CREATE TABLE {quoted(_staged(new.name))} ({new.schema.toDDL()}) USING PARQUET {layout} LOCATION '{new.path}'"
         )
         if new.partition_by:
-            spark.catalog.recoverPartitions(quoted(staged(new.name)))
-    undo: list[tuple[str, str]] = []
+            spark.catalog.recoverPartitions(quoted(_staged(new.name)))
+        drop(spark, _aside(new.name))
+    entries = [(new.name, new.path, _exists(spark, new.name)) for new in switches]
+    journal = f"{root.rstrip('/')}/{JOURNAL_FOLDER}/{uuid.uuid4().hex}" if root else None
+    if journal:
+        write_files(spark.createDataFrame(entries, JOURNAL_SCHEMA).coalesce(1), journal)
     try:
-        for new in switches:
-            if spark.catalog.tableExists(quoted(new.name)):
-                drop(spark, aside(new.name))
-                rename(spark, new.name, aside(new.name))
-                undo.append((aside(new.name), new.name))
-            rename(spark, staged(new.name), new.name)
-            undo.append((new.name, staged(new.name)))
-    except Exception:
-        for now, before in reversed(undo):
-            rename(spark, now, before)
+        for name, _, had_one in entries:
+            if had_one:
+                rename(spark, name, _aside(name))
+            rename(spark, _staged(name), name)
+    except BaseException:
+        _settle(spark, entries)
+        if journal:
+            remove_folder(spark, journal)
         raise
-    for new in switches:
-        drop(spark, aside(new.name))
-        spark.catalog.refreshTable(quoted(new.name))
+    _settle(spark, entries)
+    if journal:
+        remove_folder(spark, journal)
+
+
+def recover_switches(spark: SparkSession, root: str) -> int:
+    """Settle the switches that a killed run has left under root; returns how many there were.
+
+    To be called at the start of a run, before any table is read; one run at a time may switch
+    tables under a root. A switch that had reached its last table is finished, any other is undone.
+    """
+    journals = folder_names(spark, f"{root.rstrip('/')}/{JOURNAL_FOLDER}/*")
+    for journal in journals:
+        if file_exists(spark, f"{journal}/_SUCCESS"):  # else no table had been touched
+            _settle(spark, [tuple(r) for r in spark.read.schema(JOURNAL_SCHEMA).parquet(journal).collect()])
+        remove_folder(spark, journal)
+    return len(journals)
+
+
+def _settle(spark: SparkSession, entries: Sequence[tuple[str, str, bool]]) -> None:
+    """Finish a switch if every table is in place, or undo it; can itself be cut short and repeated.
+
+    A staged table is renamed last of all, so while one is left the switch has not ended; undoing
+    drops the staged tables at its very end.
+    """
+    if not any(_exists(spark, _staged(name)) for name, _, _ in entries):
+        for name, _, _ in entries:
+            drop(spark, _aside(name))
+            if _exists(spark, name):
+                spark.catalog.refreshTable(quoted(name))
+        return
+    for name, path, had_one in entries:
+        if _exists(spark, _aside(name)):
+            drop(spark, name)
+            rename(spark, _aside(name), name)
+        elif not had_one and _exists(spark, name):
+            drop(spark, name)
+        if _exists(spark, name):
+            spark.catalog.refreshTable(quoted(name))
+    for name, _, _ in entries:
+        drop(spark, _staged(name))
 
 
 def rename(spark: SparkSession, name: str, to: str) -> None:
@@ -153,6 +203,7 @@ def _is_external_with(spark: SparkSession, name: str, schema: T.StructType) -> b
 
 def replace_table(df: DataFrame, name: str, root: str) -> None:
     """Replace a table, also from a query that reads that same table."""
+    recover_switches(df.sparkSession, root)
     path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     write_files(df, path)
-    point_table_at(df.sparkSession, name, path, df.schema)
+    point_table_at(df.sparkSession, name, path, df.schema, root=root)

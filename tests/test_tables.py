@@ -279,6 +279,133 @@ def test_switching_tables_is_all_or_nothing(spark, tmp_path, monkeypatch):
         tables.drop(spark, name)
 
 
+class Killed(BaseException):
+    """Ends a run where it stands: from then on nothing of it works any more."""
+
+
+def killed_at(monkeypatch, call: int):
+    """From the so-manieth rename or drop of a table on, the run is dead."""
+    rename, drop, count = tables.rename, tables.drop, [0]
+
+    def dying(act):
+        def step(*args):
+            count[0] += 1
+            if count[0] >= call:
+                raise Killed
+            act(*args)
+
+        return step
+
+    monkeypatch.setattr(tables, "rename", dying(rename))
+    monkeypatch.setattr(tables, "drop", dying(drop))
+
+
+def test_a_switch_killed_anywhere_is_settled(spark, tmp_path, monkeypatch):
+    names, root = [f"t_kill{k}" for k in range(3)], str(tmp_path / "lake")
+    old, new = (spark.range(1).withColumn("v", F.lit(v)) for v in ("old", "new"))
+    shown = lambda n: None if tables.scan_if_exists(spark, n) is None else tables.scan(spark, n).first().v
+    seen = set()
+    for call in range(1, 40):
+        for k, name in enumerate(names):
+            tables.drop(spark, name)
+            if k != 1:  # one of the tables is new
+                tables.replace_table(old, name, str(tmp_path / f"old{call}"))
+        switches = []
+        for name in names:
+            path = str(tmp_path / f"new{call}" / name)
+            tables.write_files(new, path)
+            switches.append(tables.Switch(name, path, new.schema))
+        ended = True
+        with monkeypatch.context() as patch:
+            killed_at(patch, call)
+            try:
+                tables.switch_tables(spark, switches, root)
+            except Killed:
+                ended = False
+        tables.recover_switches(spark, root)
+        found = [shown(n) for n in names]
+        assert found in (["old", None, "old"], ["new", "new", "new"])
+        seen.add(found[0])
+        assert tables.recover_switches(spark, root) == 0
+        assert not any(tables.scan_if_exists(spark, f"{n}__before") for n in names)
+        if ended:
+            break
+    assert ended and call > 12 and seen == {"old", "new"}
+    for name in names:
+        tables.drop(spark, name)
+
+
+def test_settling_can_be_killed_too(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    frames = [spark.range(1).withColumn("v", F.lit(v)) for v in ("old", "new")]
+    names = ["t_twice0", "t_twice1"]
+    switches = []
+    for name in names:
+        tables.replace_table(frames[0], name, root)
+        tables.write_files(frames[1], f"{root}/new/{name}")
+        switches.append(tables.Switch(name, f"{root}/new/{name}", frames[1].schema))
+    with monkeypatch.context() as patch:
+        killed_at(patch, 8)  # after four drops and three renames: the second table is aside, not yet replaced
+        with pytest.raises(Killed):
+            tables.switch_tables(spark, switches, root)
+    for call in range(1, 5):
+        with monkeypatch.context() as patch:
+            killed_at(patch, call)
+            with pytest.raises(Killed):
+                tables.recover_switches(spark, root)
+    assert tables.recover_switches(spark, root) == 1
+    assert {tables.scan(spark, n).first().v for n in names} == {"old"}
+    for name in names:
+        tables.drop(spark, name)
+
+
+def test_an_interrupt_undoes_the_switch(spark, tmp_path, monkeypatch, database):
+    root = str(tmp_path / "lake")
+    tables.use_database(spark, database)
+    known = [("K-7", "Old name", "Old", 7), ("GONE", "Left", "Old", 8)]
+    before = spark.createDataFrame(known, "customer_id string, customer_name string, segment string, customer_key long")
+    tables.replace_table(before, f"{database}.dim_customer", root)
+    rename = tables.rename
+
+    def interrupted(session, name, to):
+        if to.endswith("dim_customer"):
+            monkeypatch.setattr(tables, "rename", rename)
+            raise KeyboardInterrupt
+        rename(session, name, to)
+
+    monkeypatch.setattr(tables, "rename", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        run_batch(spark, lambda: text_lines(spark, GOOD), root, database)
+    assert {r.customer_key for r in tables.scan(spark, f"{database}.dim_customer").collect()} == {7, 8}
+    assert tables.scan_if_exists(spark, f"{database}.silver") is None
+
+
+def test_a_run_killed_between_two_renames_keeps_its_keys(spark, tmp_path, monkeypatch, database):
+    root = str(tmp_path / "lake")
+    tables.use_database(spark, database)
+    known = [("K-7", "Old name", "Old", 7), ("GONE", "Left", "Old", 8)]
+    before = spark.createDataFrame(known, "customer_id string, customer_name string, segment string, customer_key long")
+    tables.replace_table(before, f"{database}.dim_customer", root)
+    rename, dead = tables.rename, []
+
+    def dying(session, name, to):
+        if dead or to.endswith("dim_customer"):  # the old one is aside, the new one not yet in place
+            dead.append(to)
+            raise Killed
+        rename(session, name, to)
+
+    rows = text_lines(spark, GOOD)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "rename", dying)
+        with pytest.raises(Killed):
+            run_batch(spark, lambda: rows, root, database)
+    assert tables.scan_if_exists(spark, f"{database}.dim_customer") is None
+    run_batch(spark, lambda: rows, root, database)
+    customers = {r.customer_id: r.customer_key for r in tables.scan(spark, f"{database}.dim_customer").collect()}
+    assert customers == {"K-7": 7, "GONE": 8}
+    assert tables.scan(spark, f"{database}.fact_orders").first().customer_key == 7
+
+
 def test_batch_over_customers_with_other_keys(spark, tmp_path, database):
     root = str(tmp_path / "lake")
     tables.use_database(spark, database)
