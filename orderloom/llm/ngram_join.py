@@ -11,11 +11,13 @@ Size-banded tiles with bitmap signatures:
 3.  In each tile every node is paired with the least one. A pair's bitmaps bound its
     overlap from above; what they leave is settled by intersecting the sorted sets.
     Components of these links join most nodes of most tiles.
-4.  In tiles that still hold nodes of different components, nodes are paired with some
-    more least ones the same way, so that a large group of near copies becomes one
-    component with few pairs.
-5.  Tiles that still hold nodes of different components are split into blocks, and all
-    their pairs of different components are bounded by bitmaps and then settled.
+4.  Tiles that still hold nodes of different components are worked off in groups, by blocks of
+    bounded size. By bitmaps alone a first task tells which nodes may still have a link to
+    another component; only their sets are sent to the second task of the group. That one
+    bounds pairs by bitmaps, settles them by intersecting the sorted sets and joins nodes as it
+    goes: pairs that are joined already are passed over, first those with the least nodes of
+    a tile, so that a large group of near copies takes few of them. It emits the links that
+    joined something, a tree: never more rows than the group has nodes.
 
 Nothing is capped: a tile of any size is worked off, in blocks.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import components
-from orderloom.llm.rows import to_rows, written
+from orderloom.llm.rows import Scratch, to_rows, written
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 75  # percent
@@ -53,12 +55,12 @@ SENT_PER_TILE = 64
 # Most bits (16 MB) of a filter that keeps rows without a partner out of a shuffle.
 FILTER_BITS = 1 << 27
 
-# Nodes of a block of a large tile.
+# Nodes of a block of a large tile, and shingles (8 bytes each) of its sets.
 BLOCK = 2_000
+BLOCK_SHINGLES = 2_000_000
 
 # Least nodes of a tile that its other nodes are compared with before all pairs are.
 REPRESENTATIVES = 8
-ALL = 1 << 62
 
 # Shingles whose tiles one task sorts at a time.
 ENTRIES_PER_PARTITION = 1_000_000
@@ -432,17 +434,16 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     return to_rows(joined, make, "a long, b long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, similarity: int) -> DataFrame:
-    """The pairs that are similar, by intersecting their sorted sets.
+def _sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, scratch: Scratch) -> DataFrame:
+    """node and its sorted set, for the nodes of wanted.
 
     The sets are made again from the texts of the nodes concerned. A fixed-size filter on
     ids keeps other documents from being shingled and shuffled.
     """
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     numbered = F.coalesce(F.col("id"), F.lit(0)).cast("long")
     ids = Filter(nodes.join(wanted, "node", "left_semi").select(F.coalesce("least_id", F.lit(0)).alias("id")))
 
-    def make_sets():
+    def make():
         shingle = Shingler(size)
 
         def run(batches):
@@ -456,8 +457,14 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
 
         return run
 
-    made = to_rows(docs.select(numbered.alias("number"), "text"), make_sets, "node long, set binary")
-    sets = written(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    made = to_rows(docs.select(numbered.alias("number"), "text"), make, "node long, set binary")
+    return scratch.written(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, similarity: int, scratch: Scratch) -> DataFrame:
+    """The pairs that are similar, by intersecting their sorted sets."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(wanted, docs, nodes, size, scratch)
 
     def make_exact():
         def run(batches):
@@ -473,48 +480,54 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, simil
         return run
 
     joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    return to_rows(joined, make_exact, "a long, b long")
+    links = scratch.written(to_rows(joined, make_exact, "a long, b long"), "links")
+    scratch.remove(sets)
+    return links
 
 
-def _cross_pairs(
-    signatures: DataFrame,
-    nodes: DataFrame,
-    classes: DataFrame,
-    crowded: DataFrame,
-    similarity: int,
-    block: int,
-    most_partners: int = ALL,
-) -> DataFrame:
-    """Pairs of different components within a tile that sizes and bitmaps leave possible.
+# Tiles with one least node mostly hold the same nodes, so they are worked off together: a
+# pair is then looked at once, and a node's bitmap is sent once.
+# One with very many entries is split by tile into shares.
+GROUP = ("least", "share", "blocks", "i", "j")
+ENTRIES_PER_SHARE = 20_000
 
-    With most_partners, only those with one of so many least nodes of a tile.
 
-    Only tiles of three nodes or more are looked at; those of one component are found by
-    an aggregate and dropped. A tile of more than `block` nodes is split into blocks, and
-    each pair of blocks is work of its own.
-    """
+def _placed(signatures: DataFrame, classes: DataFrame, crowded: DataFrame, similarity: int, block: int, scratch: Scratch) -> DataFrame:
+    """Nodes of the tiles that hold several components, by the groups that work them off.
 
-    def entries(wanted: Filter) -> DataFrame:
-        def make():
-            def run(batches):
-                for batch in batches:
-                    keys, owners = _tile_entries(batch, similarity)
-                    keys = keys.view(np.int64)
-                    chosen = wanted.may_hold(keys >> 16)
-                    yield {"tile": pa.array(keys[chosen]), "node": pa.array(owners[chosen])}
+    Only tiles of three nodes or more are looked at; those of one component are found by an
+    aggregate and dropped. A tile of more than `block` nodes, or of more than BLOCK_SHINGLES
+    shingles, is split into blocks, and each pair of blocks is work of its own.
+    """
+    short = F.shiftright("tile", 16).alias("tile")  # the lower 16 bits of a tile are empty
+    wanted = Filter(crowded.select(short))
 
-            return run
+    def make():
+        def run(batches):
+            for batch in batches:
+                keys, owners = _tile_entries(batch, similarity)
+                keys = keys.view(np.int64)
+                chosen = wanted.may_hold(keys >> 16)
+                yield {"tile": pa.array(keys[chosen]), "node": pa.array(owners[chosen])}
 
-        rows = to_rows(signatures.select("node", "n", "prefix"), make, "tile long, node long", SIGNATURE_BYTES)
-        return rows.join(classes, "node", "left").select("tile", "node", F.coalesce("root", "node").alias("class"))
+        return run
 
-    short = F.shiftright("tile", 16).alias("tile")  # the lower 16 bits of a tile are empty
-    mixed_tiles = written(
-        entries(Filter(crowded.select(short)))
-        .groupBy("tile")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size"), F.min("node").alias("least"))
+    rows = to_rows(signatures.select("node", "n", "prefix"), make, "tile long, node long", SIGNATURE_BYTES)
+    sizes = signatures.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"))
+    described = sizes.join(classes, "node", "left").select("node", "n", F.coalesce("root", "node").alias("class"))
+    entries = scratch.written(rows.join(described, "node").distinct(), "entries")
+    blocks = F.ceil(F.greatest(F.col("size") / block, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed_tiles = scratch.written(
+        entries.groupBy("tile")
+        .agg(
+            F.min("class").alias("low"),
+            F.max("class").alias("high"),
+            F.count("*").alias("size"),
+            F.sum("n").alias("shingles"),
+            F.min("node").alias("least"),
+        )
         .filter("low <> high")
-        .select("tile", "least", "size", F.ceil(F.col("size") / block).cast("int").alias("blocks")),
+        .select("tile", "least", "size", blocks.alias("blocks")),
         "mixed-tiles",
     )
     per_least = mixed_tiles.groupBy("least").agg(F.ceil(F.sum("size") / ENTRIES_PER_SHARE).cast("int").alias("shares"))
@@ -522,29 +535,52 @@ def _cross_pairs(
         "tile", "least", "blocks", F.pmod(F.xxhash64("tile"), F.col("shares")).cast("int").alias("share")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = written(
-        entries(Filter(mixed_tiles.select(short)))
-        .join(shared_out, "tile")
+    placed = scratch.written(
+        entries.join(shared_out, "tile")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(*GROUP[:3], F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "tile", "node", "class"),
-        "mixed-entries",
+        "placed",
     )
-    none = lambda kind: F.lit(None).cast(kind)
-    members = placed.select(*GROUP, "node").distinct().join(nodes.select("node", "n", "bitmap"), "node")
-    rows = members.select(*GROUP, none("long").alias("tile"), "node", none("long").alias("class"), none("int").alias("own"), "n", "bitmap")
-    rows = rows.unionByName(
-        placed.select(*GROUP, "tile", "node", "class", "own", none("long").alias("n"), none("binary").alias("bitmap"))
+    scratch.remove(entries, mixed_tiles)
+    return placed
+
+
+def _by_group(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of a group together: first its members with what is known of them, then tile by tile."""
+    known = members.columns[len(GROUP) + 1 :]
+    tiles = ("tile", "class", "own")
+    rows = members.withColumns({c: F.lit(None).cast(placed.schema[c].dataType) for c in tiles}).unionByName(
+        placed.withColumns({c: F.lit(None).cast(members.schema[c].dataType) for c in known})
     )
-    ordered = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("tile").asc_nulls_first())
-    return to_rows(ordered, partial(_make_tiles, similarity, most_partners), "a long, b long").distinct()
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("tile").asc_nulls_first())
 
 
-# Tiles with one least node mostly hold the same nodes, so they are worked off together: a
-# pair is then looked at once, and a node's bitmap is sent once.
-# One with very many entries is split by tile into shares.
-GROUP = ("least", "share", "blocks", "i", "j")
-ENTRIES_PER_SHARE = 20_000
+def _cross_links(
+    signatures: DataFrame,
+    nodes: DataFrame,
+    docs: DataFrame,
+    classes: DataFrame,
+    crowded: DataFrame,
+    size: int,
+    similarity: int,
+    block: int,
+    scratch: Scratch,
+) -> DataFrame:
+    """Links between nodes of different components that share a tile: enough to join all that link."""
+    placed = _placed(signatures, classes, crowded, similarity, block, scratch)
+    bits = nodes.select("node", "n", "bitmap")
+    members = placed.select(*GROUP, "node").distinct().join(bits, "node").select(*GROUP, "node", "n", "bitmap")
+    key = ", ".join(f"{c} {placed.schema[c].dataType.simpleString()}" for c in GROUP)
+    named = f"{key}, node long"
+    possible = scratch.written(to_rows(_by_group(placed, members), partial(_worked_off, _Possible, similarity), named), "possible")
+    sets = _sets(possible.select("node").distinct(), docs, nodes, size, scratch)
+    members = possible.join(bits, "node").join(sets, "node").select(*GROUP, "node", "n", "bitmap", "set")
+    rows = placed.join(possible, [*GROUP, "node"], "left_semi")
+    tree = to_rows(_by_group(rows, members), partial(_worked_off, _Joined, similarity), "a long, b long")
+    links = scratch.written(tree.distinct(), "cross-links")
+    scratch.remove(placed, possible, sets)
+    return links
 
 
 # Pairs a task holds before it compares their bitmaps.
@@ -554,56 +590,88 @@ SETTLED_BYTES = 4 << 20
 
 
 class _Group:
-    """The tiles of one group: first its members with their bitmaps, then tile by tile."""
+    """The tiles of one group: first its members, then tile by tile."""
 
-    def __init__(self, key: tuple, similarity: int, most_partners: int):
-        self.key, self.similarity, self.most_partners = key, similarity, most_partners
+    def __init__(self, key: tuple, similarity: int):
+        self.key, self.similarity = key, similarity
         self.across = key[-2] != key[-1]
-        self.members: list[tuple[int, int, np.ndarray]] = []
+        self.members: list[tuple] = []
+        self.tiles: list[tuple[np.ndarray, np.ndarray]] = []
         self.asked = np.zeros(0, np.int64)
         self.codes: list[np.ndarray] = []
         self.waiting = 0
 
     def add_members(self, rows: dict) -> None:
         bitmaps = [np.frombuffer(b, np.uint64) for b in rows["bitmap"]]
-        self.members += zip(rows["node"].tolist(), rows["n"].tolist(), bitmaps)
+        sets = [np.frombuffer(b, np.uint64) for b in rows.get("set", [])] or [None] * len(bitmaps)
+        self.members += zip(rows["node"].tolist(), rows["n"].tolist(), bitmaps, sets)
+
+    def _start(self) -> None:
+        self.members.sort(key=lambda m: m[0])
+        self.nodes = np.array([m[0] for m in self.members], np.int64)
+        self.sizes = np.array([m[1] for m in self.members], np.int64)
+        self.root = np.zeros(len(self.members), np.int64)  # the component of each member, as far as known
+        self.widths = np.array([len(m[2]) for m in self.members], np.int64)
+        self.place = np.zeros(len(self.members), np.int64)
+        self.bitmaps = {}
+        for width in np.unique(self.widths).tolist():
+            own = np.flatnonzero(self.widths == width)
+            self.place[own] = np.arange(len(own))
+            self.bitmaps[width] = np.stack([self.members[k][2] for k in own])
 
     def add_tile(self, rows: dict) -> None:
-        """Asks for pairs of a tile of different components and of sizes that allow a link.
-
-        With most_partners, only the so many least nodes are paired with the others.
-        """
+        """Asks for pairs with the least nodes of a tile."""
         if not hasattr(self, "nodes"):
-            self.members.sort(key=lambda m: m[0])
-            self.nodes = np.array([m[0] for m in self.members], np.int64)
-            self.sizes = np.array([m[1] for m in self.members], np.int64)
+            self._start()
         at, first = np.unique(np.searchsorted(self.nodes, rows["node"]), return_index=True)
-        classes, own, n = rows["class"][first], rows["own"][first], self.sizes[at]
-        for k in range(min(len(at) - 1, self.most_partners)):
+        if not self.tiles:
+            self.first_class = {}
+        self._learn(at, rows["class"][first])
+        self.tiles.append((at, rows["own"][first]))
+        self._ask(self.tiles[-1], 0, REPRESENTATIVES)
+
+    def _learn(self, at: np.ndarray, classes: np.ndarray) -> None:
+        """Numbers the components of members seen for the first time."""
+        for k in np.flatnonzero(self.root[at] == 0).tolist():
+            self.root[at[k]] = self.first_class.setdefault(int(classes[k]), len(self.first_class) + 1)
+
+    def _ask(self, tile: tuple[np.ndarray, np.ndarray], first: int, last: int) -> None:
+        """Asks for pairs of different components, and of sizes that allow a link."""
+        at, own = tile
+        n = self.sizes[at]
+        for k in range(first, min(len(at) - 1, last)):
             rest = slice(k + 1, None)
-            ask = classes[rest] != classes[k]
+            ask = self.open(at[k], at[rest])
             ask &= (100 * n[rest] >= self.similarity * n[k]) & (100 * n[k] >= self.similarity * n[rest])
             if self.across:
                 ask &= own[rest] != own[k]
             if ask.any():
                 self.codes.append(at[k] * len(self.nodes) + at[rest][ask])
                 self.waiting += len(self.codes[-1])
-
-    def settle(self) -> dict:
-        """Of the pairs asked for since the last time, those that their bitmaps leave possible."""
+            if self.waiting > PAIRS_AT_ONCE:
+                self.settle()
+
+    def open(self, x, y) -> np.ndarray:
+        """Whether pairs of members have still to be looked at."""
+        return self.root[y] != self.root[x]
+
+    def finish(self) -> None:
+        """All pairs of every tile that are still to be looked at."""
+        self.settle()
+        for tile in self.tiles:
+            self._ask(tile, REPRESENTATIVES, len(tile[0]))
+        self.settle()
+
+    def settle(self) -> None:
+        """Looks at the pairs asked for since the last time; those that bitmaps leave possible are found."""
         asked = np.setdiff1d(np.concatenate(self.codes), self.asked) if self.codes else np.zeros(0, np.int64)
+        self.codes, self.waiting = [], 0
+        x, y = np.divmod(asked, max(1, len(self.members)))
+        still = self.open(x, y)
+        asked, x, y = asked[still], x[still], y[still]
         if not len(asked):
-            return {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())}
-        self.asked, self.codes, self.waiting = np.union1d(self.asked, asked), [], 0
-        if not hasattr(self, "widths"):
-            self.widths = np.array([len(m[2]) for m in self.members], np.int64)
-            self.place = np.zeros(len(self.members), np.int64)
-            self.bitmaps = {}
-            for width in np.unique(self.widths).tolist():
-                own = np.flatnonzero(self.widths == width)
-                self.place[own] = np.arange(len(own))
-                self.bitmaps[width] = np.stack([self.members[k][2] for k in own])
-        x, y = np.divmod(asked, len(self.nodes))
+            return
+        self.asked = np.union1d(self.asked, asked)
         kept = np.zeros(len(asked), bool)
         for u, v in np.unique(np.stack([self.widths[x], self.widths[y]], 1), axis=0).tolist():
             alike = np.flatnonzero((self.widths[x] == u) & (self.widths[y] == v))
@@ -614,17 +682,58 @@ class _Group:
                 right = folded(self.bitmaps[v][self.place[y[k]]], words)
                 n, m = self.sizes[x[k]], self.sizes[y[k]]
                 kept[k] = similar(overlap_bound(left, right, n, m), n, m, self.similarity)
-        return {"a": pa.array(self.nodes[x[kept]]), "b": pa.array(self.nodes[y[kept]])}
+        self.found(x[kept], y[kept])
+
+
+class _Possible(_Group):
+    """Which members bitmaps leave a link to another component."""
+
+    def _start(self) -> None:
+        super()._start()
+        self.marked = np.zeros(len(self.members), bool)
+
+    def open(self, x, y) -> np.ndarray:
+        return super().open(x, y) & ~(self.marked[x] & self.marked[y])
+
+    def found(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.marked[x] = self.marked[y] = True
+
+    def rows(self) -> dict:
+        nodes = self.nodes[self.marked]
+        kinds = [pa.int64(), *[pa.int32()] * (len(GROUP) - 1)]
+        return {c: pa.array([v] * len(nodes), k) for c, v, k in zip(GROUP, self.key, kinds)} | {"node": pa.array(nodes)}
+
+
+class _Joined(_Group):
+    """The links that join members, by exact intersection."""
+
+    def __init__(self, key: tuple, similarity: int):
+        super().__init__(key, similarity)
+        self.tree: list[tuple[int, int]] = []
+
+    def found(self, x: np.ndarray, y: np.ndarray) -> None:
+        for i, j in zip(x.tolist(), y.tolist()):
+            if self.root[i] == self.root[j]:
+                continue
+            left, right = self.members[i][3], self.members[j][3]
+            if similar(shared(left, right), len(left), len(right), self.similarity):
+                self.tree.append((i, j))
+                self.root[self.root == self.root[j]] = self.root[i]
+
+    def rows(self) -> dict:
+        ends = np.array(self.tree, np.int64).reshape(-1, 2)
+        return {"a": pa.array(self.nodes[ends[:, 0]]), "b": pa.array(self.nodes[ends[:, 1]])}
 
 
 def _runs(batches) -> Iterator[tuple[tuple, bool, dict]]:
     """Rows of equal (group, tile), also across batches: group, whether they are members, columns."""
     held: list[dict] = []
+    binary = ("bitmap", "set")
 
     def joined() -> tuple[tuple, bool, dict]:
         first = held[0]
-        rows = {c: np.concatenate([h[c] for h in held]) for c in first if c != "bitmap"}
-        rows["bitmap"] = [b for h in held for b in h["bitmap"]]
+        rows = {c: np.concatenate([h[c] for h in held]) for c in first if c not in binary}
+        rows |= {c: [b for h in held for b in h[c]] for c in first if c in binary}
         return tuple(int(first[c][0]) for c in GROUP), bool(first["member"][0]), rows
 
     for batch in batches:
@@ -632,12 +741,13 @@ def _runs(batches) -> Iterator[tuple[tuple, bool, dict]]:
             continue
         filled = {c: batch.column(c).fill_null(0).to_numpy() for c in (*GROUP, "tile", "node", "class", "own", "n")}
         filled["member"] = batch.column("tile").is_null().to_numpy(zero_copy_only=False)
-        bitmaps = batch.column("bitmap")
         keys = [filled[c] for c in (*GROUP, "tile", "member")]
         change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
         for start, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
             part = {c: v[start:end] for c, v in filled.items()}
-            part["bitmap"] = bitmaps.slice(start, end - start).to_pylist() if part["member"][0] else []
+            for c in binary:
+                if c in batch.schema.names:
+                    part[c] = batch.column(c).slice(start, end - start).to_pylist() if part["member"][0] else []
             if held and any(held[0][c][0] != part[c][0] for c in (*GROUP, "tile", "member")):
                 yield joined()
                 held = []
@@ -646,22 +756,22 @@ def _runs(batches) -> Iterator[tuple[tuple, bool, dict]]:
         yield joined()
 
 
-def _make_tiles(similarity: int, most_partners: int):
+def _worked_off(kind: type[_Group], similarity: int):
     def run(batches) -> Iterator[dict]:
         group: _Group | None = None
         for key, are_members, rows in _runs(batches):
             if group is None or key != group.key:
-                if group is not None:
-                    yield group.settle()
-                group = _Group(key, similarity, most_partners)
+                if group is not None and group.tiles:
+                    group.finish()
+                    yield group.rows()
+                group = kind(key, similarity)
             if are_members:
                 group.add_members(rows)
             else:
                 group.add_tile(rows)
-                if group.waiting > PAIRS_AT_ONCE:
-                    yield group.settle()
-        if group is not None:
-            yield group.settle()
+        if group is not None and group.tiles:
+            group.finish()
+            yield group.rows()
 
     return run
 
@@ -685,25 +795,23 @@ def near_duplicates(
     integers. An empty table gives an empty result; other columns of df are not read.
     """
     docs = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    scratch = Scratch(df.sparkSession)
     signatures = written(_signatures(docs, size, similarity), "signatures")
     entries = int(signatures.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("bytes")).first()["bytes"]) // 6
-    nodes = written(
+    nodes = scratch.written(
         signatures.filter("n > 0").groupBy("node", "n", "bitmap").agg(F.min("id").alias("least_id")), "nodes"
     )
-    stars = written(_stars(signatures, similarity, entries), "stars")
+    stars = scratch.written(_stars(signatures, similarity, entries), "stars")
     pairs = stars.filter("a is not null").select("a", "b").distinct()
-    likely = written(_bounded(pairs, nodes, similarity), "likely-pairs")
-    links = written(_links(likely, docs, nodes, size, similarity), "star-links")
+    likely = scratch.written(_bounded(pairs, nodes, similarity), "likely-pairs")
+    links = _links(likely, docs, nodes, size, similarity, scratch)
     crowded = stars.filter("tile is not null").select("tile")
-    for most_partners in (REPRESENTATIVES, ALL):
-        cross = written(
-            _cross_pairs(signatures, nodes, components(links), crowded, similarity, block, most_partners), "cross-pairs"
-        )
-        if not cross.isEmpty():
-            links = written(links.unionByName(_links(cross, docs, nodes, size, similarity)), "links")
-    roots = nodes.select("node", "least_id").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    across = _cross_links(signatures, nodes, docs, components(links), crowded, size, similarity, block, scratch)
+    roots = nodes.select("node", "least_id").join(components(links.unionByName(across)), "node", "left")
+    roots = roots.withColumn("root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("least_id").alias("component"))
     named = written(roots.join(least, "root").select("node", "component"), "named")
+    scratch.remove(nodes, stars, likely, links, across)
     return signatures.select("id", "node", "n").join(named, "node", "left").select(
         "id",
         F.col("n").alias("n_shingles"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.sources.folders import new_folder
+from orderloom.sources.folders import new_folder, remove_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -107,3 +107,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables written on the way to a result, removed once what reads them is written too."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        """As the function of that name."""
+        path = new_folder(self.spark, label)
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(found)] = (found, path)
+        return found
+
+    def remove(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove_folder(self.spark, self.paths.pop(id(table))[1])
