@@ -24,7 +24,7 @@ from orderloom.schema import (
 )
 
 
-def _read_as(source: Column, kind: str, field: T.StructField) -> Column:
+def read_as(source: Column, kind: str, field: T.StructField) -> Column:
     """A value as its field's type, null where it cannot be read."""
     if kind == field.dataType.simpleString():
         return source
@@ -36,7 +36,7 @@ def _read_as(source: Column, kind: str, field: T.StructField) -> Column:
 def typed(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> DataFrame:
     """Cast to the schema; what cannot be read becomes null instead of failing the job (see flaws)."""
     kinds = dict(df.dtypes)
-    return df.select(*[_read_as(F.col(f.name), kinds[f.name], f).alias(f.name) for f in schema])
+    return df.select(*[read_as(F.col(f.name), kinds[f.name], f).alias(f.name) for f in schema])
 
 
 # Whole numbers by width: a wider one holds every narrower one. Fixed values.
@@ -66,7 +66,7 @@ def _decimals(text: Column) -> Column:
 
 def _changed(source: Column, kind: str, field: T.StructField) -> Column:
     """Whether a value that can be read comes out as another one."""
-    value = _read_as(source, kind, field)
+    value = read_as(source, kind, field)
     if kind != "string":  # the way back shows it
         return value.try_cast(kind) != source
     whole = source.try_cast(T.DecimalType(38, 18))
@@ -91,7 +91,7 @@ def flaws(df: DataFrame, schema: T.StructType = ORDER_LINE_SCHEMA) -> Column:
         if not _may_lose(kind, field):
             continue
         there = F.trim(source) != "" if kind == "string" else source.isNotNull()
-        found.append(F.when(there & _read_as(source, kind, field).isNull(), F.lit(f"unreadable_{field.name}")))
+        found.append(F.when(there & read_as(source, kind, field).isNull(), F.lit(f"unreadable_{field.name}")))
         if _may_round(kind, field):
             found.append(F.when(_changed(source, kind, field), F.lit(f"not_exact_{field.name}")))
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")

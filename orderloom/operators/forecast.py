@@ -1,8 +1,9 @@
 """Monthly trend and straight-line forecasts, for all groups in one plan.
 
-A least-squares line on one feature is an aggregate (regr_slope,
-regr_intercept), so every category or region is fitted in the same grouped
-query: nothing is looped over or brought to the driver.
+A least-squares line on one feature is a handful of sums, so every category or
+region is fitted in the same grouped query: nothing is looped over or brought to
+the driver. The sums are decimals, so they do not depend on the order in which
+partitions merge.
 """
 
 from __future__ import annotations
@@ -88,29 +89,63 @@ def _exact_sum(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(30,2)")).cast("double")
 
 
+# Types of the exact sums: a product of two of them has 38 digits, the most a decimal has.
+_VALUE, _COUNT, _TIMES, _SUM, _CROSS = "decimal(24,6)", "decimal(10,0)", "decimal(12,0)", "decimal(25,6)", "decimal(27,6)"
+
+
+def _fit_sums(measure: str, label: str) -> list[Column]:
+    """n, sums of x, y, x², xy and y², least and largest y over the months that have the measure."""
+    y = F.col(measure).cast(_VALUE)
+    x = F.when(y.isNotNull(), F.col("month_index"))
+    sums = {
+        "n": F.count(y),
+        "x": F.sum(x),
+        "xx": F.sum(x * x),
+        "y": F.sum(y),
+        "xy": F.sum(x.cast(_COUNT) * y),
+        "yy": F.sum(y * y),
+        "least": F.min(y),
+        "most": F.max(y),
+    }
+    return [c.alias(f"_{label}_{name}") for name, c in sums.items()]
+
+
+def _fit(label: str) -> list[Column]:
+    """Slope, intercept and R² in closed form; null without two different months."""
+    n, x, xx, y, xy, yy, least, most = (
+        F.col(f"_{label}_{name}") for name in ("n", "x", "xx", "y", "xy", "yy", "least", "most")
+    )
+    spread = F.nullif(n * xx - x * x, F.lit(0))
+    rise = n.cast(_COUNT) * xy.cast(_CROSS) - x.cast(_TIMES) * y.cast(_SUM)
+    start = xx.cast(_TIMES) * y.cast(_SUM) - x.cast(_COUNT) * xy.cast(_CROSS)
+    scatter = n * yy.cast("double") - y.cast("double") * y.cast("double")
+    share = F.least(F.lit(1.0), rise.cast("double") * rise.cast("double") / (spread * F.greatest(scatter, F.lit(1e-300))))
+    return [
+        (rise.cast("double") / spread).alias(f"{label}_slope"),
+        (start.cast("double") / spread).alias(f"{label}_intercept"),
+        F.when(spread.isNotNull(), F.when(least == most, F.lit(1.0)).otherwise(share)).alias(f"{label}_r2"),
+    ]
+
+
 def trend(monthly: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Slope, intercept and R² of every measure, per group.
 
-    Groups with a single month have no line and are left out.
+    Groups with a single month have no line and are left out. The normal equations are made
+    of exact sums, amounts counting to six decimals, and solved once per group: the same lines
+    to the last bit however the months are dealt over partitions.
     """
-    fits = []
-    for measure, label in MEASURES.items():
-        fits += [
-            F.regr_slope(measure, "month_index").alias(f"{label}_slope"),
-            F.regr_intercept(measure, "month_index").alias(f"{label}_intercept"),
-            F.regr_r2(measure, "month_index").alias(f"{label}_r2"),
-        ]
+    sums = [c for measure, label in MEASURES.items() for c in _fit_sums(measure, label)]
     return (
         monthly.where("month_index IS NOT NULL")
         .groupBy(*groups)
         .agg(
-            *fits,
+            *sums,
             F.count("*").alias("months"),
             F.min("month_index").alias("first_index"),
             F.max("month_index").alias("last_index"),
         )
         .where("first_index < last_index")
-        .drop("first_index")
+        .select(*groups, *[c for label in MEASURES.values() for c in _fit(label)], "months", "last_index")
     )
 
 

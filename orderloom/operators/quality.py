@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.operators.cleaning import flaw_names, flaws, prepared, reject_reason, trimmed, typed
+from orderloom.operators.cleaning import flaw_names, flaws, prepared, read_as, reject_reason, trimmed, typed
 from orderloom.schema import BATCH_V2, BROKEN_RECORD, DEDUP_KEY, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, Profile
 
 
@@ -108,6 +108,11 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*DEDUP_KEY).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def _step_names(df: DataFrame, profile: Profile) -> list[str]:
+    """The cleaning steps that judge a line by itself."""
+    return [BROKEN_RECORD] * (BROKEN_RECORD in df.columns) + [rule.name for rule in profile.rules]
+
+
 def step_counts(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     """Rows before, removed by and after each cleaning step.
 
@@ -115,7 +120,7 @@ def step_counts(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
     The rules are the first steps, in order; removing duplicates is the last. Where a file's
     reader marks broken lines, they go before all others.
     """
-    names = [BROKEN_RECORD] * (BROKEN_RECORD in df.columns) + [rule.name for rule in profile.rules]
+    names = _step_names(df, profile)
     lines = T.StructType(ORDER_LINE_SCHEMA.fields + [T.StructField(BROKEN_RECORD, T.StringType())])
     judged = trimmed(typed(_without_broken_values(df), lines), profile.text_columns).withColumn("reason", _reason(profile))
     counted = judged.agg(
@@ -137,3 +142,37 @@ def step_counts(df: DataFrame, profile: Profile = BATCH_V2) -> DataFrame:
         ))
         rows_in = rows_in - gone
     return totals.select(F.inline(F.array(*steps)))
+
+
+def with_observed(raw: DataFrame, observation: Observation, profile: Profile = BATCH_V2) -> DataFrame:
+    """raw, counted while it is written: what step_counts and flaw_report would read it again for.
+
+    The observation then has raw_rows, a count per cleaning step that judges a line by itself,
+    and one per way to lose a value; observed_steps and observed_flaws put them in order. An
+    input without rows may give none.
+    """
+    kept = {c: f"_raw_{c}" for c in raw.columns}
+    lines = _without_broken_values(raw.withColumns({k: F.col(c) for c, k in kept.items()}))
+    kinds = dict(lines.dtypes)
+    values = {f.name: read_as(F.col(f.name), kinds[f.name], f) for f in ORDER_LINE_SCHEMA}
+    judged = trimmed(lines.withColumn("_flaws", flaws(lines)).withColumns(values), profile.text_columns)
+    counts = [F.count("*").alias("raw_rows")]
+    counts += [F.count_if(F.col("_reason") == n).alias(n) for n in _step_names(raw, profile)]
+    counts += [F.count_if(F.array_contains("_flaws", n)).alias(n) for n in flaw_names(raw)]
+    observed = judged.withColumn("_reason", _reason(profile)).observe(observation, *counts)
+    return observed.select(*[F.col(k).alias(c) for c, k in kept.items()])
+
+
+def observed_steps(observed: dict[str, int], unique_rows: int, raw: DataFrame, profile: Profile = BATCH_V2) -> list[dict]:
+    """The rows of step_counts from what was observed and the number of rows that silver has."""
+    rows, steps = observed.get("raw_rows", 0), []
+    for name in [*_step_names(raw, profile), "duplicate_key"]:
+        gone = rows - unique_rows if name == "duplicate_key" else observed.get(name, 0)
+        steps.append({"step_number": len(steps) + 1, "step": name, "rows_before": rows, "rows_removed": gone, "rows_after": rows - gone})
+        rows -= gone
+    return steps
+
+
+def observed_flaws(observed: dict[str, int], raw: DataFrame) -> dict[str, int]:
+    """How many raw lines lose a value, by way, from what was observed."""
+    return {name: observed.get(name, 0) for name in flaw_names(raw)}

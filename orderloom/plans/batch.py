@@ -33,19 +33,30 @@ DIMENSION_KEYS = {
 }
 
 
+class BatchCounts(dict):
+    """Rows of every layer, by name.
+
+    steps: rows before, removed by and after each cleaning step; flaws: lines that lost a
+    value in typing, by way. Both are counted while bronze is written.
+    """
+
+    steps: list[dict]
+    flaws: dict[str, int]
+
+
 def run_batch(
     spark: SparkSession,
     raw: Callable[[], DataFrame],
     root: str,
     database: str,
     profile: Profile = BATCH_V2,
-) -> dict[str, int]:
+) -> BatchCounts:
     """Write all layers under a new folder of root, then switch the tables to it.
 
     A run that fails, also while it switches tables, leaves them as they were, and can
     simply be started again; one that is killed there leaves a journal under root, by which
     the next run first puts them right. An earlier customer dimension is refreshed (Type 1), not replaced.
-    Returns the row count of every layer.
+    Returns the row count of every layer, with the counts of the cleaning steps.
     """
     use_database(spark, database)
     recover_switches(spark, root)
@@ -56,8 +67,10 @@ def run_batch(
         profile,
         known_customers=scan_if_exists(spark, f"{database}.dim_customer"),
         fact_by_year=True,
+        count_steps=True,
     )
-    counts = {name: layers.row_count(name) for name in BATCH_LAYERS}
+    counts = BatchCounts({name: layers.row_count(name) for name in BATCH_LAYERS})
+    counts.steps, counts.flaws = layers.steps(), layers.flaws()
     if counts["fact_orders"] != counts["silver"]:
         raise RuntimeError(f"fact rows differ from silver rows: {counts}")
     for name, key in DIMENSION_KEYS.items():

@@ -10,10 +10,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-from orderloom.operators import star
+from orderloom.operators import quality, star
 from orderloom.operators.cleaning import clean, prepared
 from orderloom.schema import BATCH_V1, BATCH_V2, STREAM, Profile
 from orderloom.sources.files import rename_by_heading
@@ -34,11 +34,16 @@ class Layers:
         known_customers: DataFrame | None = None,
         fact_by_year: bool = False,
         raw_bytes: Callable[[], int] = lambda: 0,
+        count_steps: bool = False,
     ):
+        """With count_steps the cleaning steps are counted while bronze is written (see observed)."""
         self.spark = spark
         self.raw = raw
         self.raw_bytes = raw_bytes
         self.root = root.rstrip("/")
+        self.profile = profile
+        self.count_steps = count_steps
+        self.observed: dict[str, int] = {}
         self._schemas: dict[str, T.StructType] = {}
         self._paths: dict[str, str] = {}
         self._partition_by = {"fact_orders": ("order_year",)} if fact_by_year else {}
@@ -81,11 +86,16 @@ class Layers:
         """
         if name not in self._schemas:
             layer = self._recipes[name]()
+            schema, observation = layer.schema, Observation() if self.count_steps and name == "bronze" else None
+            if observation is not None:
+                layer = quality.with_observed(layer, observation, self.profile)
             # A path of its own for each attempt: one that failed is not in the way of the next.
             path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
             with sized_shuffles(self.spark, self._input_bytes(name)):
                 write_files(layer, path, self.partition_by(name))
-            self._schemas[name], self._paths[name] = layer.schema, path
+            self._schemas[name], self._paths[name] = schema, path
+            if observation is not None and self.row_count(name):
+                self.observed = observation.get
         return self.spark.read.schema(self._schemas[name]).parquet(self._paths[name])
 
     def _input_bytes(self, name: str) -> int:
@@ -100,6 +110,14 @@ class Layers:
         }
         return scan_bytes(self.table(sources.get(name, "silver")))
 
+    def steps(self) -> list[dict]:
+        """Rows before, removed by and after each cleaning step; bronze is not read again for it."""
+        return quality.observed_steps(self.observed, self.row_count("silver"), self.table("bronze"), self.profile)
+
+    def flaws(self) -> dict[str, int]:
+        """How many lines of bronze lose a value when they are typed, by way."""
+        return quality.observed_flaws(self.observed, self.table("bronze"))
+
     def row_count(self, name: str) -> int:
         """Rows of a written layer; reads no column, only the files' footers."""
         return self.table(name).count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -58,13 +59,63 @@ def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.partitionBy(*partition_by).mode("errorifexists").parquet(path)
 
 
+SCHEMA_LOG = "_schemas"
+
+
+def logged_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of all files appended to a folder, from its schema log; None without one."""
+    versions = sorted(folder_names(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}/version=*/_SUCCESS"))
+    if not versions:
+        return None
+    text = spark.read.text(versions[-1].removesuffix("/_SUCCESS"), wholetext=True).first()
+    return T.StructType.fromJson(json.loads(text.value))
+
+
+def merged_schema(known: T.StructType, new: T.StructType) -> T.StructType:
+    """known and the columns of new that it lacks; a column of another type is refused.
+
+    Names are compared as Spark does, without case.
+    """
+    fields = {f.name.lower(): f for f in known}
+    for field in new:
+        before = fields.setdefault(field.name.lower(), T.StructField(field.name, field.dataType))
+        if before.dataType != field.dataType:
+            raise ValueError(
+                f"column {field.name} comes as {field.dataType.simpleString()}, the files have {before.dataType.simpleString()}"
+            )
+    return T.StructType(list(fields.values()))
+
+
 def append_files(df: DataFrame, path: str) -> None:
-    """Append to a folder; new columns are welcome (see scan_files)."""
-    df.write.mode("append").parquet(path)
+    """Append to a folder; new columns are welcome, a column of another type is not (ValueError).
+
+    The union of all columns is kept as a small versioned file beside the data, so that neither
+    the next append nor a read has to open every file for it. A folder without one, which was
+    written otherwise, is looked through once. Of two appends that add a column at the same
+    time, the one that comes second to the log fails before it writes data.
+    """
+    spark, folder = df.sparkSession, path.rstrip("/")
+    known = logged_schema(spark, folder)
+    missing = known is None
+    if missing:
+        there = bool(folder_names(spark, f"{folder}/*.parquet"))
+        known = spark.read.option("mergeSchema", True).parquet(folder).schema if there else T.StructType()
+    schema = merged_schema(T.StructType([T.StructField(f.name, f.dataType) for f in known]), df.schema)
+    if missing or len(schema) > len(known):
+        number = len(folder_names(spark, f"{folder}/{SCHEMA_LOG}/version=*")) + 1
+        line = spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
+        line.coalesce(1).write.mode("errorifexists").text(f"{folder}/{SCHEMA_LOG}/version={number:06d}")
+    df.write.mode("append").parquet(folder)
 
 
 def scan_files(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Read a folder; with merge_schema, files of differing width line up by name."""
+    """Read a folder; with merge_schema, files of differing width line up by name.
+
+    The columns come from the schema log where there is one, and no file is opened for them.
+    """
+    known = logged_schema(spark, path) if merge_schema else None
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ from orderloom.schema import (
     STREAM,
 )
 from orderloom.sources.folders import folder_names, remove_folder
-from orderloom.sources.tables import point_table_at, quoted, replace_table
+from orderloom.sources.tables import point_table_at, quoted, recover_switches, replace_table
 
 DATA_SOURCE = "streaming"
 
@@ -113,13 +113,14 @@ def running_totals(
     and readers keep the folder they opened; a table, if named, is then pointed
     at it. Folders older than the last KEPT_TOTALS are removed.
     """
+    recover_switches(spark, totals_path)
     lines = arriving_lines(spark, clean_path, CLEAN_STREAM_SCHEMA, files_per_batch)
 
     def publish(totals: DataFrame, batch: int) -> None:
         path = totals_folder(totals_path, batch)
         with_last_updated(totals).repartition(1).write.mode("overwrite").parquet(path)
         if table:
-            point_table_at(spark, table, path, LIVE_TOTALS_SCHEMA)
+            point_table_at(spark, table, path, LIVE_TOTALS_SCHEMA, root=totals_path)
         for old in totals_batches(spark, totals_path):
             if old <= batch - KEPT_TOTALS:
                 remove_folder(spark, totals_folder(totals_path, old))

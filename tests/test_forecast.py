@@ -157,3 +157,36 @@ def test_model_quality_and_rank(spark):
     rank = forecast.forecast_rank(forecast.forecast_category(categories), forecast.forecast_region(regions))
     first = {(r.kind, r.name) for r in rank.where("sales_rank = 1").collect()}
     assert first == {("category", "A"), ("region", "A")}
+
+
+def test_lines_do_not_depend_on_the_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [
+        (f"g{g}", 2015 + m // 12, m % 12 + 1, float(v), float(-v / 7), int(n), m + 1)
+        for g in range(4) for m, (v, n) in enumerate(zip(rng.lognormal(14, 2, 90), rng.integers(0, 10**6, 90)))
+    ]
+    frame = spark.createDataFrame(rows, "g STRING, " + SERIES)
+    def fitted(partitions):
+        return sorted(tuple(r) for r in forecast.trend(frame.repartition(partitions, "month_index"), ["g"]).collect())
+
+    assert fitted(1) == fitted(200) == fitted(7)
+    by_group = {g: [r for r in rows if r[0] == g] for g in ("g0", "g3")}
+    columns = forecast.trend(frame, ["g"]).columns
+    for r in fitted(3):
+        found = dict(zip(columns, r))
+        assert 0 <= found["sales_r2"] <= 1 and 0 <= found["orders_r2"] <= 1
+        if r[0] in by_group:
+            x, y = (np.array([row[k] for row in by_group[r[0]]], float) for k in (6, 3))
+            slope, start = np.polyfit(x, y, 1)
+            assert found["sales_slope"] == pytest.approx(slope, rel=1e-7) and found["sales_intercept"] == pytest.approx(start, rel=1e-7)
+            assert found["sales_r2"] == pytest.approx(np.corrcoef(x, y)[0, 1] ** 2, rel=1e-7)
+
+
+def test_flat_and_missing_measures(spark):
+    flat = [(2015, m, 5.0, None if m < 3 else 1.0 * m, 7, m) for m in range(1, 7)] + [(2016, 1, None, None, None, 13)]
+    found = forecast.trend(spark.createDataFrame(flat, SERIES)).first()
+    assert (found.sales_slope, found.sales_intercept, found.sales_r2, found.months) == (0.0, 5.0, 1.0, 7)
+    assert found.profit_slope == pytest.approx(1) and found.profit_r2 == pytest.approx(1)
+    lone = [(2015, 1, 5.0, 1.0, None, 1), (2015, 2, 6.0, None, None, 2)]
+    found = forecast.trend(spark.createDataFrame(lone, SERIES)).first()
+    assert found.sales_slope == 1.0 and found.profit_slope is None and found.orders_r2 is None

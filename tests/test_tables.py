@@ -141,6 +141,40 @@ def test_append_with_a_new_column(spark, tmp_path):
     assert rows == {0: None, 1: None, 2: "late"}
 
 
+def test_appended_files_keep_a_schema_log(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    assert tables.logged_schema(spark, path) is None
+    tables.append_files(spark.range(2).withColumn("v", F.lit(1.5)), path)
+    tables.append_files(spark.range(2, 3), path)  # fewer columns: no new version
+    tables.append_files(spark.range(3, 4).withColumn("note", F.lit("late")), path)
+    assert tables.logged_schema(spark, path).simpleString() == "struct<id:bigint,v:double,note:string>"
+    assert len(folders.folder_names(spark, f"{path}/_schemas/version=*")) == 2
+    rows = {r.id: (r.v, r.note) for r in tables.scan_files(spark, path, merge_schema=True).collect()}
+    assert rows == {0: (1.5, None), 1: (1.5, None), 2: (None, None), 3: (None, "late")}
+    for wrong in (spark.range(1).withColumn("v", F.lit("text")), spark.range(1).withColumn("NOTE", F.lit(1))):
+        with pytest.raises(ValueError, match="(?i)v comes as string|note comes as int"):
+            tables.append_files(wrong, path)
+    assert tables.scan_files(spark, path, merge_schema=True).count() == 4
+
+
+def test_a_folder_without_a_schema_log_gets_one(spark, tmp_path):
+    path = str(tmp_path / "old")
+    spark.range(1).write.parquet(path)
+    spark.range(1).withColumn("w", F.lit(True)).write.mode("append").parquet(path)
+    tables.append_files(spark.range(5, 6), path)
+    assert tables.scan_files(spark, path, merge_schema=True).dtypes == [("id", "bigint"), ("w", "boolean")]
+    assert tables.scan_files(spark, path, merge_schema=True).count() == 3
+    with pytest.raises(ValueError):
+        tables.append_files(spark.range(1).withColumn("w", F.lit(1)), path)
+
+
+def test_a_logged_read_opens_no_file(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    tables.append_files(spark.range(2), path)
+    (tmp_path / "feed" / "part-broken.parquet").write_bytes(b"no parquet at all")
+    assert tables.scan_files(spark, path, merge_schema=True).columns == ["id"]
+
+
 def test_replace_a_table_from_itself(spark, tmp_path):
     root = str(tmp_path / "versions")
     tables.drop(spark, "t_self")
@@ -191,6 +225,19 @@ def test_batch_run_publishes_and_can_be_repeated(spark, tmp_path, database):
     assert one_year.count() == 1
 
 
+def test_a_batch_run_counts_its_steps_while_it_writes(spark, tmp_path, database):
+    lost = [line(row_id="21", order_id="L1", sales="0.1234567"), line(row_id="22", order_id="L2", quantity="many")]
+    rows = text_lines(spark, GOOD, *[line(**f) for f in FAULTY], *lost)
+    counts = run_batch(spark, lambda: rows, str(tmp_path / "lake"), database)
+    bronze = tables.scan(spark, f"{database}.bronze")
+    assert bronze.columns == list(ORDER_LINE_COLUMNS) and {r.row_id for r in bronze.collect()} >= {"1", "7005", "21"}
+    assert counts.steps == [r.asDict() for r in quality.step_counts(bronze).collect()]
+    assert counts.flaws == {r.rule: r.violations for r in quality.flaw_report(bronze).collect()}
+    assert counts.steps[-1]["rows_after"] == counts["silver"] and counts.flaws["unreadable_quantity"] == 1
+    none = run_batch(spark, lambda: rows.limit(0), str(tmp_path / "lake"), database)
+    assert {s["rows_before"] for s in none.steps} == {0} and set(none.flaws.values()) == {0}
+
+
 def test_failed_run_leaves_the_tables(spark, tmp_path, database):
     root = str(tmp_path / "lake")
     run_batch(spark, lambda: text_lines(spark, GOOD), root, database)
