@@ -560,6 +560,8 @@ BODIES = {
     " FROM arrivals GROUP BY category, region",
     "live_totals": "SELECT round(sum(total_sales), 2) AS total_sales,"
     " CAST(sum(total_orders) AS BIGINT) AS total_orders, round(sum(total_profit), 2) AS total_profit FROM live",
+    "live_last_updated": "SELECT strftime(CAST(max(order_date) AS TIMESTAMP) + INTERVAL 330 MINUTE,"
+    " '%d-%m-%Y %H:%M:%S') AS last_updated_ist FROM arrivals",
     "live_by_category": "SELECT category, round(sum(total_sales), 2) AS total_sales FROM live GROUP BY category",
     "live_by_region_category": "SELECT region, category, round(sum(total_sales), 2) AS total_sales"
     " FROM live GROUP BY region, category",

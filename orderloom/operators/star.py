@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.joins import looked_up
 from orderloom.functions.keys import date_key, first_per_key, surrogate_key
 
 CUSTOMER_ATTRIBUTES = ("customer_name", "segment")
@@ -130,18 +131,13 @@ def fact_orders_joined(
 
     For dimensions whose keys come from elsewhere. A line with no match keeps
     its place with a null key. Region parts may be null, so they are compared
-    null-safely.
+    null-safely. Members that most lines have do not hold it up (see looked_up).
     """
-    places = regions.select(*[F.col(c).alias(f"_{c}") for c in REGION_KEY], "region_key")
-    same_place = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in REGION_KEY]
-    return (
-        lines
-        .join(dates.select("order_date", "date_key"), "order_date", "left")
-        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
-        .join(products.select("product_id", "product_key"), "product_id", "left")
-        .join(places, same_place, "left")
-        .select(*FACT_COLUMNS)
-    )
+    fact = looked_up(lines, dates.select("order_date", "date_key"), ["order_date"])
+    fact = looked_up(fact, customers.select("customer_id", "customer_key"), ["customer_id"])
+    fact = looked_up(fact, products.select("product_id", "product_key"), ["product_id"])
+    fact = looked_up(fact, regions.select(*REGION_KEY, "region_key"), REGION_KEY, null_safe=True)
+    return fact.select(*FACT_COLUMNS)
 
 
 def fact_enriched(
@@ -151,20 +147,18 @@ def fact_enriched(
     products: DataFrame,
     regions: DataFrame,
 ) -> DataFrame:
-    """The fact with the columns of all four dimensions, one row per fact row."""
-    return (
-        fact
-        .join(dates, "date_key", "left")
-        .join(customers, "customer_key", "left")
-        .join(products, "product_key", "left")
-        .join(regions, "region_key", "left")
-    )
+    """The fact with the columns of all four dimensions, one row per fact row, hot keys spread."""
+    for dimension, key in ((dates, "date_key"), (customers, "customer_key"), (products, "product_key"), (regions, "region_key")):
+        fact = looked_up(fact, dimension, [key])
+    return fact
 
 
 def refreshed_customers(existing: DataFrame, lines: DataFrame) -> DataFrame:
     """Type 1 refresh: newest name and segment overwrite, keys stay.
 
-    New customers are added, customers without new lines stay as they were.
+    New customers are added, customers without new lines stay as they were. The lines count as
+    newer than what is known, whatever their dates: the dimension holds none to compare with.
+    Lines that arrive late are to be refreshed together with the later ones, or not at all.
     """
     latest = newest(lines, "customer_id", CUSTOMER_ATTRIBUTES)
     known, new = existing.alias("known"), latest.alias("new")

@@ -135,6 +135,15 @@ def gold_category_region(t: Layers) -> DataFrame:
     return measures.category_region_totals(t.table("clean_arrivals"))
 
 
+def live_last_updated(t: Layers) -> DataFrame:
+    """The newest day of arrivals as the time of their live totals, in India time.
+
+    The totals carry the clock's time when they are published; here they take one from the data.
+    """
+    newest = t.table("clean_arrivals").agg(F.max("order_date")).scalar().cast("timestamp")
+    return measures.last_updated_ist(gold_category_region(t).withColumn("last_updated", newest))
+
+
 # --- gold ------------------------------------------------------------------
 
 def _star(t: Layers) -> list[DataFrame]:
@@ -326,6 +335,7 @@ LAYER_QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
         t.table("clean_arrivals")
     ),
     "live_totals": lambda t: measures.live_totals(gold_category_region(t)),
+    "live_last_updated": live_last_updated,
     "live_by_category": lambda t: measures.live_by(gold_category_region(t), "category"),
     "live_by_region_category": lambda t: measures.live_by(
         gold_category_region(t), "region", "category"

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.functions.joins import hot_keys, looked_up
 from orderloom.functions.keys import key_clashes, surrogate_key
 from orderloom.operators import star
 from orderloom.operators.cleaning import clean
+from orderloom.sources import sizing
 from tests.lines import GOOD, line, text_lines
 
 
@@ -155,3 +159,52 @@ def test_hot_keys_are_split_in_full_size_joins(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture()
+def nothing_is_small(monkeypatch, spark):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_lines(spark, n=24_000):
+    """Lines of which a third have one customer and a sixth none."""
+    member = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 6 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("c"), (F.col("id") % 900).cast("string")))
+    return spark.range(n).select("id", member.alias("customer_id"))
+
+
+def test_a_hot_key_is_spread_over_all_tasks(spark, nothing_is_small):
+    lines = hot_lines(spark)
+    members = lines.where("customer_id IS NOT NULL AND customer_id <> 'c7'").select("customer_id").distinct().withColumn(
+        "customer_key", F.xxhash64("customer_id"))
+    got = looked_up(lines, members, ["customer_id"])
+    assert got.columns == ["id", "customer_id", "customer_key"]
+    expected = {r.id: (r.customer_id, r.customer_key) for r in lines.join(members, "customer_id", "left").collect()}
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    assert {r.id: (r.customer_id, r.customer_key) for r in rows} == expected and len(rows) == 24_000
+    per_task = Counter(r.task for r in rows)
+    assert max(per_task.values()) < 3 * 24_000 / 16
+    hot = {r["_hot_key"]: r["_hot_parts"] for r in hot_keys(lines, ["customer_id"], 16).collect()}
+    assert len(hot) == 2 and max(hot.values()) >= 8
+
+
+def test_hot_places_with_nulls(spark, nothing_is_small):
+    rows = [(k, None if k % 2 else "a", "s", None if k % 3 else str(k % 30)) for k in range(3000)]
+    lines = spark.createDataFrame(rows, "id int, region string, state string, city string")
+    places = lines.select("region", "state", "city").distinct().withColumn("region_key", F.hash("region", "state", "city"))
+    got = looked_up(lines, places, ["region", "state", "city"], null_safe=True)
+    assert got.count() == 3000 and got.where("region_key IS NULL").count() == 0
+    assert got.where("region_key <> hash(region, state, city)").count() == 0
+
+
+def test_no_lines_and_no_members(spark, nothing_is_small):
+    lines, members = hot_lines(spark, 50), spark.createDataFrame([], "customer_id string, customer_key long")
+    assert looked_up(lines, members, ["customer_id"]).where("customer_key IS NULL").count() == 50
+    assert looked_up(lines.limit(0), members, ["customer_id"]).count() == 0
