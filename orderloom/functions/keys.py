@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,13 +58,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
 def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
     """first_per_key where few keys occur twice: only lines of such keys are moved.
 
-    Keys with several lines are found by a hash aggregate over the bare keys. All other
-    lines pass by an anti join; whether the found keys are broadcast is left to their
-    size. The input is read twice, which costs less than moving every line.
+    One hash aggregate over bare keys and the first order column finds the keys with several
+    lines and the value of the line that stays. All other lines of those keys go in one pass
+    over the lines, by an anti join; whether the found keys are broadcast is left to their
+    size. Only keys whose surviving line that value does not settle (two lines that share it,
+    or more than two lines) have theirs put in order; without such a key, adaptive execution
+    leaves that pass out.
     """
-    several = df.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(
-        *[F.col(k).alias(f"_{k}") for k in keys]
+    column, way = next(iter(order.items()))
+    least, most = F.min(column), F.max(column)
+    found = df.groupBy(*keys).agg(
+        F.count("*").alias("_copies"),
+        F.count(column).alias("_known"),
+        (most if way == "desc" else least).alias("_first"),
+        least.eqNullSafe(most).alias("_same"),
+    ).where("_copies > 1")
+    several = found.select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        "_first",
+        ((F.col("_copies") > 2) | (F.col("_same") & (F.col("_known") != 1))).alias("_unsettled"),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    alone = df.join(several, same, "left_anti")
-    return alone.unionByName(first_per_key(df.join(several, same, "left_semi"), keys, order))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    goes = F.col("_unsettled") | ~F.col(column).eqNullSafe(F.col("_first"))
+    settled = df.join(several, same & goes, "left_anti")
+    unsettled = df.join(several.where("_unsettled"), same, "left_semi")
+    return settled.unionByName(first_per_key(unsettled, keys, order))

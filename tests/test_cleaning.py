@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.functions.keys import first_per_key, unique_per_key
 from orderloom.operators import quality
 from orderloom.operators.cleaning import clean, deduplicated, flaw_names, flaws, prepared, typed, valid
 from orderloom.schema import BATCH_V1, BATCH_V2, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, STREAM
@@ -249,3 +251,28 @@ def test_other_source_types(spark):
 def test_text_amounts(spark, text, lost):
     found = text_lines(spark, line(sales=text)).select(F.array_join(flaws(text_lines(spark, line(sales=text))), ",").alias("f"))
     assert found.first().f == (f"{lost}_sales" if lost else "")
+
+
+def test_survivors_of_every_kind_of_repetition(spark):
+    """Two lines, many lines, lines that share a row_id, lines without one: as a window over all lines picks them."""
+    rng = random.Random(6)
+    rows = [
+        line(row_id=rng.choice([None, *map(str, range(6))]), order_id=f"O{rng.randrange(60)}" if rng.random() < 0.9 else None,
+             product_id="P", product_name=rng.choice("abc"), sales=str(rng.randrange(3)))
+        for _ in range(240)
+    ]
+    df = prepared(text_lines(spark, *rows)).repartition(5)
+    order = {"row_id": "asc"}
+    for way in (order, {"row_id": "desc"}):
+        found = unique_per_key(df, ["order_id", "product_id"], way)
+        wanted = first_per_key(df, ["order_id", "product_id"], way)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_lines_are_read_once_where_row_ids_settle_all(spark, tmp_path):
+    rows = text_lines(spark, GOOD, line(row_id="0"), line(row_id="3", order_id="B"), line(row_id="4", order_id="C"))
+    rows.write.parquet(str(tmp_path / "bronze"))
+    found = deduplicated(prepared(spark.read.parquet(str(tmp_path / "bronze"))))
+    assert ids(found) == [0, 3, 4]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") <= 2
