@@ -30,7 +30,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import components
@@ -237,7 +237,7 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, size: int, similarity: int) -> DataFrame:
-    """id, node, n, bitmap and prefix (the first shingles in the common order) of every document."""
+    """id, carried, node, n, bitmap and prefix (the first shingles in the common order) of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, size))
 
     def make():
@@ -256,6 +256,7 @@ def _signatures(docs: DataFrame, size: int, similarity: int) -> DataFrame:
                     prefixes.append(packed(first) if n else b"")
                 yield {
                     "id": batch.column("id"),
+                    "carried": batch.column("carried"),
                     "node": pa.array(nodes, pa.int64()),
                     "n": pa.array(sizes, pa.int64()),
                     "bitmap": pa.array(bitmaps, pa.binary()),
@@ -264,7 +265,7 @@ def _signatures(docs: DataFrame, size: int, similarity: int) -> DataFrame:
 
         return run
 
-    return to_rows(docs, make, "id long, node long, n long, bitmap binary, prefix binary")
+    return to_rows(docs, make, "id long, carried long, node long, n long, bitmap binary, prefix binary")
 
 
 _TILE = ~np.uint64(0xFFFF)
@@ -783,9 +784,13 @@ def near_duplicates(
     size: int = WORDS_PER_SHINGLE,
     similarity: int = SIMILARITY,
     block: int = BLOCK,
+    carried: Column | None = None,
 ) -> DataFrame:
     """One row per row of df: id, n_shingles and component_id.
 
+    With carried, a column of longs, that as well and group: the same number for all rows of a
+    component, whatever their ids; null for rows without words.
+
     Words are runs of characters other than white space of ASCII, A-Z lower-cased; a set
     holds the distinct shingles of `size` words, or the whole sequence if there are fewer
     words. Two rows link when 100 * overlap >= similarity * union, and component_id is the
@@ -794,7 +799,11 @@ def near_duplicates(
     null id takes part but never names a component unless all its ids are null. Ids are
     integers. An empty table gives an empty result; other columns of df are not read.
     """
-    docs = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    docs = df.select(
+        F.col(f"`{id}`").cast("long").alias("id"),
+        F.col(f"`{text}`").alias("text"),
+        (F.lit(None) if carried is None else carried).cast("long").alias("carried"),
+    )
     scratch = Scratch(df.sparkSession)
     signatures = written(_signatures(docs, size, similarity), "signatures")
     entries = int(signatures.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("bytes")).first()["bytes"]) // 6
@@ -810,10 +819,11 @@ def near_duplicates(
     roots = nodes.select("node", "least_id").join(components(links.unionByName(across)), "node", "left")
     roots = roots.withColumn("root", F.coalesce("root", "node"))
     least = roots.groupBy("root").agg(F.min("least_id").alias("component"))
-    named = written(roots.join(least, "root").select("node", "component"), "named")
+    named = written(roots.join(least, "root").select("node", "root", "component"), "named")
     scratch.remove(nodes, stars, likely, links, across)
-    return signatures.select("id", "node", "n").join(named, "node", "left").select(
+    return signatures.select("id", "carried", "node", "n").join(named, "node", "left").select(
         "id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
+        *(["carried", F.when(F.col("n") > 0, F.col("root")).alias("group")] if carried is not None else []),
     )

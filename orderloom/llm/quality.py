@@ -202,6 +202,7 @@ def fit(
 
 
 def with_features(df: DataFrame, text: str = "text", drop: Sequence[str] = ()) -> DataFrame:
+    """df with the measures of each whole text; all are 0 for null and empty ones. Rows that repeat measure alike."""
     def make():
         return lambda batch: [pa.array([features(t) for t in texts_of(batch, text)], pa.list_(pa.float64()))]
 
@@ -221,12 +222,15 @@ def train(
     It takes the most_rows labels that come first by a hash of the id, so the sample is
     the same in every run; only their ids (bounded by most_rows) are broadcast and only
     their features are collected. Null ids, labels and labels without a document are passed over.
+    An id counts once: with its larger label, and the document whose text has the least digest.
     """
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
-    known = known.filter("id is not null and label is not null")
-    sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(most_rows)
-    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = with_features(texts.join(F.broadcast(sample), "id"), "text", ["text"]).toPandas()
+    known = known.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
+    sample = known.orderBy(F.xxhash64("id"), "id").limit(most_rows)
+    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("version"))
+    measured = with_features(texts.join(F.broadcast(sample), "id"), "text", ["text"])
+    one = F.min_by(F.struct("features", "label"), F.col("version")).alias("row")
+    rows = measured.groupBy("id").agg(one).select("id", "row.*").toPandas()
     rows = rows.sort_values("id", kind="stable")
     measured = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(measured, rows["label"].to_numpy(int))

@@ -37,15 +37,20 @@ RULES = (
 
 
 def remainder(id: str, parts: int) -> Column:
-    """Which of so many parts an id belongs to, by the crc32 of its digits."""
+    """Which of so many parts an id belongs to, by the crc32 of its digits; null without an id."""
     return F.crc32(F.col(id).cast("string").cast("binary")) % parts
 
 
+def held_out(id: str, parts: int, part: int) -> Column:
+    """Whether a document's label is kept from the model; a document without an id has none to keep."""
+    return F.coalesce(remainder(id, parts) == part, F.lit(False)).alias("held_out")
+
+
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").filter(remainder("doc_id", 3) != 1)
     scored = quality.with_quality(docs, quality.train(docs, labels))
-    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out("doc_id", 3, 1), "score", "predicted")
 
 
 def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +93,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").filter(remainder("doc_id", 5) != 0)
     scored = toxicity.with_toxicity(docs, toxicity.train(docs, labels))
-    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out("doc_id", 5, 0), "score", "predicted")
 
 
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:

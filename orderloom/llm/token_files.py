@@ -20,8 +20,8 @@ import json
 import os
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,9 @@ SPLITS_PER_SHARD = 2
 # Distinct units a writing task remembers (some 350 MB with their ids).
 MOST_UNITS = 1_200_000
 
+# Characters of a text that decide which file it goes to among rows of one id.
+RANGE_CHARS = 32
+
 FRAME_BYTES = 1 << 20
 FRAME_DOCUMENTS = 4096
 LARGEST_FRAME = (1 << 32) - 1
@@ -203,12 +206,13 @@ class ShardReader:
             raise ValueError("not a token file: broken tables")
         self.index = [struct.unpack_from("<QQqq", tail, 8 + 32 * k) for k in range(frames)]
         self.entries = [struct.unpack_from("<III", tail, 16 + 32 * frames + 12 * k) for k in range(frames)]
+        self.places = [0, *accumulate(e[0] for e in self.entries)]
         self.unpacker = zstandard.ZstdDecompressor()
         self.opened = 0
 
     def frame(self, k: int) -> Iterator[tuple[int | None, np.ndarray]]:
         packed_size, size, checksum = self.entries[k]
-        self.source.seek(sum(e[0] for e in self.entries[:k]))
+        self.source.seek(self.places[k])
         try:
             raw = self.unpacker.decompress(self.source.read(packed_size), max_output_size=size)
         except zstandard.ZstdError as error:
@@ -229,12 +233,13 @@ class ShardReader:
     def documents(self, wanted: Iterable[int] | None = None) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(id, tokens before it in this file, ids); of the wanted ids only, if given."""
         asked = None if wanted is None else sorted(set(wanted))
+        chosen = set(asked or ())
         start = 0
         for k, (_, tokens, first, last) in enumerate(self.index):
             here = asked is None or np.searchsorted(asked, first) < np.searchsorted(asked, last, "right")
             at = start
             for doc_id, ids in self.frame(k) if here else ():
-                if asked is None or doc_id in asked:
+                if asked is None or doc_id in chosen:
                     yield doc_id, at, ids
                 at += len(ids)
             start += tokens
@@ -251,9 +256,10 @@ def write_token_files(
 ) -> DataFrame:
     """Writes the ids of every text, each followed by end_id, and returns the manifest.
 
-    The manifest has one row per file: shard, path, n_docs, n_tokens. Shards follow
-    each other in ascending id (null ids first, equal ids by text), one per
-    SPLITS_PER_SHARD input splits. A task writes its own new file and the manifest names only the files of
+    The manifest has one row per file: shard, path, n_docs, n_tokens, and first_id and last_id, the
+    range of its ids (null where it has none). Shards follow each other in ascending id (null ids
+    first, equal ids by text), one per SPLITS_PER_SHARD input splits; rows that share an id, or have
+    none, are dealt over several where they are many, by the first RANGE_CHARS of their text. A task writes its own new file and the manifest names only the files of
     finished tasks, so a retried or doubled task leaves no row twice; the manifest is
     a written table. Null texts count as empty and hold end_id alone; an empty table
     gives an empty manifest. Columns other than id and text are not stored.
@@ -261,14 +267,17 @@ def write_token_files(
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast(read_vocabulary(tokenizer_path))
     rows = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    shards = max(1, -(-rows.rdd.getNumPartitions() // SPLITS_PER_SHARD))
-    ordered = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
+    shards = max(1, -(-_splits(rows) // SPLITS_PER_SHARD))
+    # Rows without an id, and copies, are parted by how their texts start and then by number.
+    numbered = rows.withColumns({"start": F.substring("text", 1, RANGE_CHARS), "row": F.monotonically_increasing_id()})
+    ordered = numbered.repartitionByRange(shards, "id", "start", "row").sortWithinPartitions("id", "text", "row")
+    ordered = ordered.select("id", "text")
     end = np.array([end_id], np.uint32)
 
     def make():
         def run(batches):
             target, base = pafs.FileSystem.from_uri(folder)
-            writer = encoder = None
+            writer = encoder = first_id = last_id = None
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -280,6 +289,8 @@ def write_token_files(
                     writer, encoder = ShardWriter(sink, frame_bytes), LibraryEncoder(sent.value)
                 for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts_of(batch, "text"))):
                     writer.add(doc_id, np.concatenate([ids, end]))
+                    first_id = doc_id if first_id is None else first_id
+                    last_id = doc_id if doc_id is not None else last_id
             if writer is not None:
                 writer.finish()
                 sink.close()
@@ -288,24 +299,37 @@ def write_token_files(
                     "file": pa.array([os.path.basename(path)]),
                     "n_docs": pa.array([writer.documents], pa.int64()),
                     "n_tokens": pa.array([writer.tokens], pa.int64()),
+                    "first_id": pa.array([first_id], pa.int64()),
+                    "last_id": pa.array([last_id], pa.int64()),
                 }
 
         return run
 
-    manifest = to_rows(ordered, make, "shard long, file string, n_docs long, n_tokens long")
-    found = manifest.select("shard", F.concat(F.lit(f"{folder}/"), "file").alias("path"), "n_docs", "n_tokens")
-    return written(found, "token-manifest")
+    manifest = to_rows(ordered, make, "shard long, file string, n_docs long, n_tokens long, first_id long, last_id long")
+    path = F.concat(F.lit(f"{folder}/"), "file").alias("path")
+    return written(manifest.select("shard", path, "n_docs", "n_tokens", "first_id", "last_id"), "token-manifest")
+
+
+def _splits(rows: DataFrame) -> int:
+    """Partitions that a scan comes in."""
+    return rows.select(F.spark_partition_id().alias("part")).distinct().count()
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
+def read_token_files(manifest: DataFrame, wanted: Sequence[int] | None = None) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens and ids (binary) from the files.
 
     One file is read by one task, a frame at a time. Counts before a file are a running
-    sum over the manifest, which has one row per file.
+    sum over the manifest, which has one row per file. With wanted, a list of ids, only their
+    documents: files whose range of ids holds none of them are not opened, and of the others only
+    the frames that may hold one are unpacked.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    spread = files.select("path", "first").repartition(max(1, manifest.count()))
+    asked = None if wanted is None else sorted({int(w) for w in wanted})
+    if asked is not None:
+        ids = F.lit(asked).cast("array<long>")
+        files = files.filter(F.exists(ids, lambda w: w.between(F.col("first_id"), F.col("last_id"))))
+    spread = files.select("path", "first").repartition(max(1, files.count()))
 
     def make():
         def run(batches):
@@ -313,7 +337,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     source, base = pafs.FileSystem.from_uri(path)
                     with source.open_input_file(base) as file:
-                        yield from _blocks(ShardReader(file).documents(), first)
+                        yield from _blocks(ShardReader(file).documents(asked), first)
 
         return run
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from orderloom.llm.bpe import Encoder, Vocabulary, decode, encode, read_vocabulary, round_trip
-from orderloom.llm.queries import BYTE_BPE
+from orderloom.llm.queries import BYTE_BPE, QUERIES
 
 LIBRARY = Tokenizer.from_file(BYTE_BPE)
 ENCODER = Encoder(Vocabulary(read_vocabulary(BYTE_BPE)))
@@ -81,3 +82,14 @@ def test_decoding_bad_ids(spark):
     df = spark.createDataFrame([(1, None), (2, b""), (3, ids(accent)), (4, ids(4_000_000_000))], "doc_id int, ids binary")
     got = {r["doc_id"]: r["decoded"] for r in decode(df, BYTE_BPE).collect()}
     assert got == {1: None, 2: "", 3: "�", 4: ""}
+
+
+def test_the_query_equals_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    expected = {}
+    for doc, text in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+        back = LIBRARY.decode(ids, skip_special_tokens=False).encode()
+        expected[doc] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(back).hexdigest())
+    got = QUERIES["op4_bpe"](spark, folder)
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()} == expected

@@ -111,3 +111,56 @@ def test_held_out_accuracy(spark, name, label, least):
     rows = scored.join(truth, "doc_id").collect()
     assert len(rows) > 50
     assert np.mean([r["predicted"] == r["truth"] for r in rows]) > least
+
+
+def test_convolution_equals_plain_loops():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{rng.integers(40)}" for _ in range(rng.integers(1, 30))) for _ in range(60)]
+    model = toxicity.fit(texts, np.array([k % 2 for k in range(60)]), epochs=2)
+    words = toxicity.Words()
+    rows = words.rows(texts + [""])
+    held = words.buckets()
+    responses = model.responses(held)
+    for row in rows:
+        vectors = [sum(model.embedding[b] for b in held[word]) for word in row]
+        pooled = []
+        for f, b in zip(model.filters, model.biases):
+            for k in range(f.shape[2]):
+                windows = [
+                    sum(float(vectors[at + o][d]) * float(f[o][d][k]) for o in range(len(f)) for d in range(f.shape[1]))
+                    for at in range(len(vectors) - len(f) + 1)
+                ]
+                pooled.append(max(windows) + float(b[k]))
+        expected = sum(max(p, 0.0) * float(w) for p, w in zip(pooled, model.weights)) + model.bias
+        assert model.logit(responses[row]) == pytest.approx(expected, rel=1e-4, abs=1e-4)
+
+
+def test_repeated_ids_train_once(spark):
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice(["fine", "good", "bad", "vile"]) for _ in range(20 + k))) for k in range(40)]
+    docs, again = (spark.createDataFrame(r, "doc_id int, text string") for r in (rows, rows + rows[:30] * 2))
+    marks = [(k, k % 2) for k in range(40)]
+    labels, twice = (spark.createDataFrame(m, "doc_id int, mark int") for m in (marks, marks + marks + [(0, 0), (1, 0)]))
+    one, other = (quality.train(d, m, label="mark") for d, m in ((docs, labels), (again, twice)))
+    assert one.base == other.base and all(np.array_equal(a, b) for a, b in zip(one.tables, other.tables))
+    one, other = (toxicity.train(d, m, label="mark") for d, m in ((docs, labels), (again, twice)))
+    assert np.array_equal(one.embedding, other.embedding) and one.bias == other.bias
+
+
+def test_the_training_texts_are_bounded_in_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, share: seen.append((texts, labels.tolist())))
+    docs = spark.createDataFrame([(k, "x" * 10) for k in range(30)] + [(99, "y" * 5000)], "doc_id int, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(99, 1)], "doc_id int, toxic int")
+    toxicity.train(docs, labels, most_bytes=100)
+    toxicity.train(docs, labels)
+    assert len(seen[0][0]) <= 10 and set(seen[0][0]) <= {"x" * 10} and len(seen[1][0]) == 31
+
+
+def test_a_document_without_an_id_is_not_held_out(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "some text"), (1, "more text")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name in ("op1_quality_classifier", "op7_toxicity"):
+        found = {r.doc_id: r.held_out for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert found[None] is False and found[1] is not None

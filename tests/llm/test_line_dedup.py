@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import pytest
@@ -8,7 +9,10 @@ from orderloom.llm import line_dedup
 from orderloom.llm.line_dedup import without_boilerplate
 
 
-def plain(rows, least):
+def plain(rows, least, long=None):
+    """Every line counted; long is the bar of lines of LONG_WORDS words and more, if they have one."""
+    words = re.compile(r"[^\x20\x09-\x0D]+").findall
+    bar = lambda bare: least if long is None or len(words(bare)) < line_dedup.LONG_WORDS else long
     sites, first = defaultdict(set), {}
     for doc, text, site in rows:
         for at, line in enumerate(text.split("\n") if text is not None else []):
@@ -23,7 +27,7 @@ def plain(rows, least):
             out.append((doc, None, 0, 0))
             continue
         lines = text.split("\n")
-        kept = [x for at, x in enumerate(lines) if len(sites[x.strip(" ")]) < least or first[x.strip(" ")] == (doc is not None, doc or 0, at)]
+        kept = [x for at, x in enumerate(lines) if len(sites[x.strip(" ")]) < bar(x.strip(" ")) or first[x.strip(" ")] == (doc is not None, doc or 0, at)]
         out.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=repr)
 

@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import ngram_join
 from orderloom.llm.components import components
@@ -127,3 +128,38 @@ def test_components(spark):
     linked = [(a, b) for a, b in pairs if a != b]
     assert got == roots({x for p in linked for x in p}, linked)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("n", [150, 300])
+def test_rows_grow_with_the_members_of_a_group(spark, monkeypatch, n):
+    """Documents that share a base and differ in three words each: most pairs lie about the threshold."""
+    rng = random.Random(3)
+    rows = []
+    for d in range(n):
+        words = [f"base{k}" for k in range(100)]
+        for at in rng.sample(range(100), 3):
+            words[at] = f"own{d}at{at}"
+        rows.append((d, " ".join(words)))
+    links = []
+    original = ngram_join._cross_links
+
+    def watched(*args):
+        found = original(*args)
+        links.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_cross_links", watched)
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(df).collect()}
+    assert got == plain(rows)
+    assert 0 < links[0] < n
+
+
+def test_rows_are_told_apart_by_what_they_carry(spark):
+    text = "one two three four five six"
+    rows = [(5, text, 1), (5, "other words", 2), (None, text, 3), (None, None, 4), (None, "alone", 5)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, mark long")
+    got = {r["carried"]: r for r in near_duplicates(df, carried=F.col("mark")).collect()}
+    assert got[1].group == got[3].group is not None and got[2].group not in (None, got[1].group, got[5].group)
+    assert got[4].group is None and got[5].group is not None and got[1].component_id == 5
+    assert near_duplicates(df).columns == ["id", "n_shingles", "component_id"]

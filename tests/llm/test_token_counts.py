@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 import random
 
-from orderloom.llm.queries import PIECES
+from orderloom.llm.queries import PIECES, QUERIES
 from orderloom.llm.token_counts import WORD_START, Pieces, count_words, load_pieces, with_token_counts
 
 
@@ -60,3 +60,15 @@ def test_a_small_memory_changes_nothing(spark):
     df = spark.createDataFrame([(k, f"w{k} common") for k in range(50)], "doc_id int, text string")
     one, other = (with_token_counts(df, PIECES, most_units=n).orderBy("doc_id").collect() for n in (1, 10_000))
     assert one == other
+
+
+def test_the_query_equals_brute_force(spark):
+    folder, pieces = "/root/testdata/sf0.001", Pieces(load_pieces(PIECES))
+    counts, expected = {}, {}
+    for doc, text in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        words = (text or "").split()
+        for word in set(words) - counts.keys():
+            counts[word] = every_segmentation(WORD_START + word, pieces)
+        expected[doc] = (len(words), sum(counts[w] for w in words))
+    got = QUERIES["op5_token_counts"](spark, folder)
+    assert {r.doc_id: (r.n_words, r.n_tokens) for r in got.collect()} == expected

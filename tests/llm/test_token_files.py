@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderloom.llm.queries import WORD_BPE
+from orderloom.llm.queries import QUERIES, WORD_BPE
 from orderloom.llm.bpe import read_vocabulary
 from orderloom.llm.token_files import LibraryEncoder, ShardReader, ShardWriter, read_token_files, write_token_files
 from orderloom.sources.folders import new_folder
@@ -93,3 +93,34 @@ def test_files_of_a_table(spark):
     got = read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc"))
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == expected
     assert read_token_files(write_token_files(df.limit(0), new_folder(spark, "files"), WORD_BPE, end_id=1)).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_over_files(spark):
+    df = spark.createDataFrame([(None, "the same text")] * 300 + [(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    manifest = write_token_files(df.repartition(10), new_folder(spark, "files"), WORD_BPE, end_id=1)
+    files = manifest.orderBy("shard").collect()
+    assert len(files) == 5 and max(f.n_docs for f in files) < 120
+    assert [(f.first_id, f.last_id) for f in files][-1][1] == 19 and files[0].first_id is None
+    rows = sorted(map(tuple, read_token_files(manifest).select("start", "doc_id").collect()))
+    assert [d for _, d in rows] == [None] * 300 + list(range(20))
+
+
+def test_some_documents_are_read_from_the_files_that_may_hold_them(spark):
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")).repartition(8)
+    manifest = write_token_files(df, new_folder(spark, "files"), WORD_BPE, end_id=1, frame_bytes=300)
+    whole = {r.doc_id: tuple(r) for r in read_token_files(manifest).collect()}
+    some = read_token_files(manifest, wanted=[3, 390, 390, 5_000])
+    assert {r.doc_id: tuple(r) for r in some.collect()} == {k: whole[k] for k in (3, 390)}
+    assert read_token_files(manifest, wanted=[]).count() == 0
+
+
+def test_the_query_equals_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    expected, start = [], 0
+    for doc, text in docs:
+        ids = LIBRARY.encode(text or "", add_special_tokens=False).ids + [1]
+        expected.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = QUERIES["op6_token_files"](spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert sorted(map(tuple, got.collect())) == expected
