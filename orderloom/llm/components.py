@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.rows import written
+from orderloom.llm.rows import Scratch
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,16 +17,25 @@ def components(links: DataFrame) -> DataFrame:
     before the shuffle, so a node with very many links is no single task's group. Nulls
     and links of a node to itself are passed over; no links give no rows.
     """
-    edges = written(_ordered(links.select("a", "b")), "links")
+    scratch = Scratch(links.sparkSession)
+    edges = scratch.written(_ordered(links.select("a", "b")), "links")
+    seen = _told(edges)
     while True:
-        after = written(_small_star(_large_star(edges)), "stars")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        after = scratch.written(_small_star(_large_star(edges)), "stars")
+        scratch.remove(edges)
+        edges, before, seen = after, seen, _told(after)
+        if seen == before:
             break
-        edges = after
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _told(edges: DataFrame) -> tuple:
+    """Number and digests of distinct edges, in whatever order; two sets agree in 128 bits by chance only."""
+    digests = F.xxhash64("a", "b"), F.xxhash64("b", "a", F.lit(1))
+    return tuple(edges.agg(F.count("*"), *[F.bit_xor(d) for d in digests]).first())
+
+
 def _ordered(edges: DataFrame) -> DataFrame:
     """Each link once, from its larger to its smaller node."""
     return edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.rows import add_columns, written
+from orderloom.llm.rows import add_columns, to_rows, written
 
 WINDOW = 10
 
@@ -34,7 +36,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """All windows of the items over word numbers; a word the items lack is number 0."""
 
-    def __init__(self, items: Iterable[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
         self.numbers: dict[bytes, int] = {}
         windows: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
@@ -81,7 +83,7 @@ def _spans(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
     return [{"start": at[a][0], "end": at[b - 1][1]} for a, b in ranges]
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, most_chars: int) -> Iterable[list[tuple[str, str]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str, most_chars: int) -> Iterator[list[tuple[str, str]]]:
     """The distinct items in blocks of bounded size, each collected when its turn comes."""
     items = benchmark.select(
         F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")
@@ -110,39 +112,73 @@ def with_overlap(
     Several items with one text all count; rows repeated in df are scanned alike. Other
     columns pass through; columns named like a result give way to it.
     """
-    ranges = "array<struct<start:int,end:int>>"
-    added = f"n_words long, hits {ranges}, spans {ranges}, items array<string>"
-    out, first = df, True
-    for block in _blocks(benchmark, item, item_text, automaton_chars):
-        sent = df.sparkSession.sparkContext.broadcast(block)
-
-        def make(sent=sent, first=first):
-            automaton = Automaton(sent.value, window)
-
-            def step(batch):
-                texts = batch.column(text).to_pylist()
-                before = None if first else zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist())
-                n, hits, spans, items = [], [], [], []
-                for t in texts:
-                    found = words_of(t)
-                    ranges, owners = automaton.scan(found)
-                    if before is not None:
-                        old_hits, old_items = next(before)
-                        ranges = merged(ranges + [(h["start"], h["end"]) for h in old_hits])
-                        owners |= set(old_items)
-                    n.append(len(found))
-                    hits.append([{"start": a, "end": b} for a, b in ranges])
-                    spans.append(_spans(t, ranges) if ranges else [])
-                    items.append(sorted(owners))
-                span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                return [pa.array(n, pa.int64()), pa.array(hits, span), pa.array(spans, span), pa.array(items, pa.list_(pa.string()))]
-
-            return step
-
-        if not first:
-            out = written(out, "overlap")
-        out, first = add_columns(out, make, added), False
-    return out
+    sent = df.sparkSession.sparkContext.broadcast
+    blocks = _blocks(benchmark, item, item_text, automaton_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _with_results(df, text, sent(first), window, None)
+    # Several blocks: each finds its hits in the texts; only they are carried on, and meet the rows once.
+    number, found = "_row" + "_" * max(map(len, df.columns)), "_found" + "_" * max(map(len, df.columns))  # longer than any
+    rows = written(df.withColumn(number, F.monotonically_increasing_id()), "overlap-rows")
+    texts = rows.select(F.col(number).alias("row"), F.col(f"`{text}`").alias("text"))
+    hits = [written(_hits(texts, sent(block), window), "overlap") for block in chain([first, second], blocks)]
+    flat = lambda c: F.flatten(F.collect_list(c)).alias(c)
+    joined = reduce(DataFrame.unionByName, hits).groupBy("row").agg(flat("hits"), flat("items"))
+    held = joined.select(F.col("row").alias(number), F.struct("hits", "items").alias(found))
+    return _with_results(rows.join(held, number, "left").drop(number), text, None, window, found)
+
+
+RANGES = "array<struct<start:int,end:int>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _hits(texts: DataFrame, sent, window: int) -> DataFrame:
+    """row, hits and items of the texts that one block of items hits."""
+
+    def make():
+        automaton = Automaton(sent.value, window)
+
+        def run(batches):
+            for batch in batches:
+                scanned = [automaton.scan(words_of(t)) for t in batch.column("text").to_pylist()]
+                hit = [k for k, (ranges, _) in enumerate(scanned) if ranges]
+                yield {
+                    "row": batch.column("row").take(pa.array(hit, pa.int64())),
+                    "hits": pa.array([[{"start": a, "end": b} for a, b in scanned[k][0]] for k in hit], _SPAN),
+                    "items": pa.array([sorted(scanned[k][1]) for k in hit], pa.list_(pa.string())),
+                }
+
+        return run
+
+    return to_rows(texts, make, f"row long, hits {RANGES}, items array<string>")
+
+
+def _with_results(df: DataFrame, text: str, sent, window: int, found: str | None) -> DataFrame:
+    """df with the results: of the automaton of one block, or of hits that a column holds."""
+
+    def make():
+        automaton = Automaton(sent.value, window) if found is None else None
+
+        def step(batch):
+            texts = batch.column(text).to_pylist()
+            before = batch.column(found).to_pylist() if found else [None] * len(texts)
+            n, hits, spans, items = [], [], [], []
+            for t, old in zip(texts, before):
+                words = words_of(t)
+                if automaton is not None:
+                    ranges, owners = automaton.scan(words)
+                else:
+                    ranges = merged([(h["start"], h["end"]) for h in old["hits"]]) if old else []
+                    owners = set(old["items"]) if old else set()
+                n.append(len(words))
+                hits.append([{"start": a, "end": b} for a, b in ranges])
+                spans.append(_spans(t, ranges) if ranges else [])
+                items.append(sorted(owners))
+            return [pa.array(n, pa.int64()), pa.array(hits, _SPAN), pa.array(spans, _SPAN), pa.array(items, pa.list_(pa.string()))]
+
+        return step
+
+    return add_columns(df, make, f"n_words long, hits {RANGES}, spans {RANGES}, items array<string>", [found] if found else [])
 
 
 def hit_words(hits: str = "hits"):
