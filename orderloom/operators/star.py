@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,13 @@ CUSTOMER_ATTRIBUTES = ("customer_name", "segment")
 PRODUCT_ATTRIBUTES = ("product_name", "category", "sub_category")
 REGION_KEY = ("region", "state", "city")
 
+# Natural key and surrogate key of the dimensions whose keys are digests.
+MEMBER_KEYS = {
+    "dim_customer": (("customer_id",), "customer_key"),
+    "dim_product": (("product_id",), "product_key"),
+    "dim_region": (REGION_KEY, "region_key"),
+}
+
 # The columns of the fact.
 FACT_COLUMNS = (
     "order_id", "ship_mode", "date_key", "customer_key", "product_key",
@@ -64,11 +71,11 @@ def dim_region(lines: DataFrame) -> DataFrame:
     )
 
 
-def fact_orders(lines: DataFrame) -> DataFrame:
+def fact_orders(lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """The fact straight from the lines: every key is computed, nothing is joined.
 
     Same rows as fact_orders_joined over the dimensions of the same lines,
-    without moving a single one of them.
+    without moving a single one of them. extra names columns of the lines that come along.
     """
     return lines.select(
         "order_id",
@@ -81,9 +88,28 @@ def fact_orders(lines: DataFrame) -> DataFrame:
         "quantity",
         "discount",
         "profit",
+        *extra,
     )
 
 
+def other_keys(dimension: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+    """Members whose key is not the digest of their natural key: it came from elsewhere, or another has it."""
+    return dimension.where(F.col(key) != surrogate_key(*natural)).select(*natural, F.col(key).alias("_other"))
+
+
+def fact_orders_with(lines: DataFrame, others: Mapping[str, DataFrame]) -> DataFrame:
+    """fact_orders, and the keys of the members that others lists per dimension (see other_keys).
+
+    All other keys are computed. What is looked up goes by natural key, as a digest may be shared.
+    """
+    for name, members in others.items():
+        natural, key = MEMBER_KEYS[name]
+        lines = looked_up(lines, members.withColumnRenamed("_other", f"_{key}"), natural, null_safe=True)
+    found = {MEMBER_KEYS[name][1] for name in others}
+    fact = fact_orders(lines, extra=[f"_{key}" for key in found])
+    return fact.withColumns({key: F.coalesce(f"_{key}", key) for key in found}).select(*FACT_COLUMNS)
+
+
 def with_known_customers(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """The fact with the keys a customer dimension really carries.
 

@@ -69,6 +69,7 @@ def run_batch(
         fact_by_year=True,
         count_steps=True,
     )
+    layers.resolve_clashes()
     counts = BatchCounts({name: layers.row_count(name) for name in BATCH_LAYERS})
     counts.steps, counts.flaws = layers.steps(), layers.flaws()
     if counts["fact_orders"] != counts["silver"]:

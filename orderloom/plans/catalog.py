@@ -30,7 +30,7 @@ _layers: dict[tuple[str, str], Layers] = {}
 
 
 def layers_of(spark: SparkSession, folder: str) -> Layers:
-    """The layers of a folder, built once per application."""
+    """The layers of a folder, built once per application; see forget_layers if its files change."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _layers:
         _layers[key] = Layers(
@@ -42,6 +42,12 @@ def layers_of(spark: SparkSession, folder: str) -> Layers:
     return _layers[key]
 
 
+def forget_layers(folder: str | None = None) -> None:
+    """Have the layers of a folder, or of all, built anew by the next query."""
+    for key in [k for k in _layers if folder is None or k[1] == folder]:
+        del _layers[key]
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Decimal columns as doubles, as reports show them."""
     decimals = {c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")}

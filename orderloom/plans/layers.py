@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from orderloom.functions.keys import key_clashes, rekeyed
 from orderloom.operators import quality, star
 from orderloom.operators.cleaning import clean, prepared
 from orderloom.schema import BATCH_V1, BATCH_V2, STREAM, Profile
@@ -22,6 +23,10 @@ from orderloom.sources.tables import write_files
 from orderloom.streaming.orders import cleaned_stream
 
 
+# Numbers tried before the natural keys of members that share a surrogate key.
+MOST_NUMBERS = 50
+
+
 class Layers:
     """Bronze, silver and gold of one raw source under one folder."""
 
@@ -49,10 +54,12 @@ class Layers:
         self._partition_by = {"fact_orders": ("order_year",)} if fact_by_year else {}
         table = self.table
 
+        self._known_customers = known_customers
+        self._rekeyed = {"dim_customer"} if known_customers is not None else set()
+
         def fact() -> DataFrame:
-            rows = star.fact_orders(table("silver"))
-            if known_customers is not None:
-                rows = star.with_known_customers(rows, table("dim_customer"))
+            others = {name: self._others(name) for name in sorted(self._rekeyed)}
+            rows = star.fact_orders_with(table("silver"), others) if others else star.fact_orders(table("silver"))
             return star.with_order_year(rows) if fact_by_year else rows
 
         self._recipes: dict[str, Callable[[], DataFrame]] = {
@@ -90,7 +97,7 @@ class Layers:
             if observation is not None:
                 layer = quality.with_observed(layer, observation, self.profile)
             # A path of its own for each attempt: one that failed is not in the way of the next.
-            path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
+            path = self._new_path(name)
             with sized_shuffles(self.spark, self._input_bytes(name)):
                 write_files(layer, path, self.partition_by(name))
             self._schemas[name], self._paths[name] = schema, path
@@ -98,6 +105,35 @@ class Layers:
                 self.observed = observation.get
         return self.spark.read.schema(self._schemas[name]).parquet(self._paths[name])
 
+    def _new_path(self, name: str) -> str:
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def _others(self, name: str) -> DataFrame:
+        """Members of a dimension with keys other than their digest, written: their size is known then."""
+        members = star.other_keys(self.table(name), *star.MEMBER_KEYS[name])
+        path = self._new_path(f"{name}-others")
+        write_files(members, path)
+        return self.spark.read.schema(members.schema).parquet(path)
+
+    def resolve_clashes(self) -> dict[str, int]:
+        """Gives members that share a surrogate key keys of their own, before the fact is written.
+
+        A dimension with such members is written once more; without any, which is nearly always,
+        only their keys are read. Returns how many numbers were tried per dimension concerned.
+        """
+        tried: dict[str, int] = {}
+        for name, (natural, key) in star.MEMBER_KEYS.items():
+            stays = self._known_customers if name == "dim_customer" else None
+            for number in range(1, MOST_NUMBERS + 1):
+                if key_clashes(self.table(name), key).isEmpty():
+                    break
+                path = self._new_path(name)
+                write_files(rekeyed(self.table(name), natural, key, number, stays), path)
+                self._paths[name] = path
+                self._rekeyed.add(name)
+                tried[name] = number
+        return tried
+
     def _input_bytes(self, name: str) -> int:
         """Size of what a layer is made from; the recipe has written it by now."""
         if name == "bronze":

@@ -5,6 +5,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.functions import keys
 from orderloom.operators import cleaning, measures, quality, star
 from orderloom.plans.batch import BATCH_LAYERS, run_batch, run_forecasts
 from orderloom.plans.layers import Layers
@@ -468,6 +469,36 @@ def test_batch_over_customers_with_other_keys(spark, tmp_path, database):
     assert {r.customer_id for r in customers.collect()} == {"K-7", "NEW", "GONE"}
 
 
+def test_members_that_share_a_key_get_keys_of_their_own(spark, tmp_path, monkeypatch, database):
+    monkeypatch.setattr(keys, "_digest", lambda text: F.pmod(F.xxhash64(text), F.lit(40)))
+    root = str(tmp_path / "lake")
+    rows = [
+        line(row_id=str(k), order_id=f"O{k}", customer_id=f"C{k % 11}", customer_name=f"name {k % 11}", product_id=f"P{k % 13}",
+             product_name=f"product {k % 13}", city=f"city {k % 9}", state=None if k % 9 == 4 else "S")
+        for k in range(60)
+    ]
+    def shown():
+        fact = tables.scan(spark, f"{database}.fact_orders")
+        for name, key in (("dim_customer", "customer_key"), ("dim_product", "product_key"), ("dim_region", "region_key")):
+            dimension = tables.scan(spark, f"{database}.{name}")
+            assert dimension.count() == dimension.select(key).distinct().count()
+            fact = fact.join(dimension, key)
+        return {(r.order_id, r.customer_id, r.product_id, r.city) for r in fact.collect()}
+
+    run_batch(spark, lambda: text_lines(spark, *rows[:30]), root, database)
+    assert shown() == {(f"O{k}", f"C{k % 11}", f"P{k % 13}", f"city {k % 9}") for k in range(30)}
+    known = {r.customer_id: r.customer_key for r in tables.scan(spark, f"{database}.dim_customer").collect()}
+    assert {r.n for r in spark.createDataFrame([(c,) for c in known], "c string").select(
+        keys.surrogate_key("c").alias("k")).groupBy("k").agg(F.count("*").alias("n")).collect()} != {1}
+    newer = [dict(r, customer_id=r["customer_id"].replace("C", "A")) for r in rows[30:45]] + rows[45:]
+    run_batch(spark, lambda: text_lines(spark, *newer), root, database)
+    assert shown() == {
+        (f"O{k}", ("A" if k < 45 else "C") + str(k % 11), f"P{k % 13}", f"city {k % 9}") for k in range(30, 60)
+    }
+    after = {r.customer_id: r.customer_key for r in tables.scan(spark, f"{database}.dim_customer").collect()}
+    assert known.items() <= after.items() and len(set(after.values())) == len(after) > 11
+
+
 def test_unresolved_keys_stop_a_batch(spark, tmp_path, database, monkeypatch):
     monkeypatch.setattr(star, "with_order_year", lambda fact: fact.withColumns(
         {"customer_key": F.lit(5).cast("long"), "order_year": F.lit(2016)}
