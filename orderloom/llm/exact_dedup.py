@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.joins import looked_up
 from orderloom.llm.rows import written
 
 # Digits are runs of bytes: the first separates most texts, later ones grow so that few
@@ -79,11 +80,11 @@ def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text", carried:
     single = reduce(DataFrame.unionByName, [a.select("id", "carried", "size") for a in alone])
     copies = reduce(DataFrame.unionByName, shared)
     order = F.struct(F.col("id").isNotNull().alias("known"), "id", "row")
-    best = copies.groupBy("key").agg(F.max(order).alias("best"))
+    best = written(copies.groupBy("key").agg(F.max(order).alias("best")), "radix-best")
     return single.select(
         "id", "carried", F.col("id").alias("keep_id"), F.col("size").alias("group_size"), F.lit(True).alias("kept")
     ).unionByName(
-        copies.join(best, "key").select(
+        looked_up(copies, best, ["key"]).select(
             "id", "carried", F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"), (F.col("best.row") == F.col("row")).alias("kept")
         )
     )
