@@ -236,7 +236,12 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "d
 
 
 def round_trip(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """encode and decode in one Python process: df without its text, with its ids and what they decode to."""
+    """encode and decode in one Python process: df without its text, with its ids and what they decode to.
+
+    Null and empty texts have no ids and decode to the empty text; rows that repeat are coded
+    alike, texts of any length whole. Columns named like a result give way to it; an empty table
+    gives an empty one.
+    """
     sent = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def make():
