@@ -42,13 +42,16 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame
     )
 
 
-def looked_up(lines: DataFrame, members: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+def looked_up(
+    lines: DataFrame, members: DataFrame, keys: Sequence[str], null_safe: bool = False, partitions: int | None = None
+) -> DataFrame:
     """lines with the columns of members, one row per key: a left join that a hot key cannot hold up.
 
     Members whose files are small are broadcast. Otherwise both sides are shuffled; the rows of a
     key that alone would fill half a partition or more are dealt over several, and only the
     members concerned are repeated for it. Rows without a key have no member and are dealt over
-    all partitions as well. With null_safe a null key part equals a null.
+    all partitions as well. With null_safe a null key part equals a null. partitions is how many
+    a shuffle makes, if the session's setting is not enough (without null_safe only).
     """
     named = [f"_member_{k}" for k in keys]
     right = members.withColumnsRenamed(dict(zip(keys, named)))
@@ -59,7 +62,8 @@ def looked_up(lines: DataFrame, members: DataFrame, keys: Sequence[str], null_sa
         off = conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
         small = right if off else F.broadcast(right)
         return lines.join(small, [equal(F.col(a), F.col(b)) for a, b in zip(keys, named)], "left").drop(*named)
-    partitions = int(conf.get(PARTITIONS_SETTING))
+    own = partitions is not None and not null_safe
+    partitions = partitions if own else int(conf.get(PARTITIONS_SETTING))
     hot = hot_keys(lines, keys, partitions)
     row = F.xxhash64(F.monotonically_increasing_id())  # mixed: rows of a key may come at regular places
     parts = F.when(F.col(_PARTS).isNotNull(), F.pmod(row, F.col(_PARTS))).otherwise(0).cast("int")
@@ -67,6 +71,8 @@ def looked_up(lines: DataFrame, members: DataFrame, keys: Sequence[str], null_sa
     right = right.withColumn(_HOT, digest_of([F.col(k) for k in named])).join(F.broadcast(hot), _HOT, "left")
     right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)))
     conditions = [equal(F.col(f"l.{a}"), F.col(f"r.{b}")) for a, b in zip(keys, named)]
-    spread = left.withColumn(_SALT, parts).drop(_HOT, _PARTS).alias("l")
-    met = spread.join(right.drop(_HOT, _PARTS).alias("r"), [*conditions, F.col(f"l.{_SALT}") == F.col(f"r.{_SALT}")], "left")
+    spread, right = left.withColumn(_SALT, parts).drop(_HOT, _PARTS), right.drop(_HOT, _PARTS)
+    if own:
+        spread, right = spread.repartition(partitions, *keys, _SALT), right.repartition(partitions, *named, _SALT)
+    met = spread.alias("l").join(right.alias("r"), [*conditions, F.col(f"l.{_SALT}") == F.col(f"r.{_SALT}")], "left")
     return met.select("l.*", *[F.col(f"r.{c}") for c in members.columns if c not in keys]).drop(_SALT)

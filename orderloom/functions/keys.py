@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.sources.folders import new_folder
+from orderloom.sources.sizing import hinted, line_scan_bytes, sized_shuffles
+
 
 def _digest(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("long")
@@ -86,12 +89,13 @@ def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
     """first_per_key where few keys occur twice: only lines of such keys are moved.
 
     One hash aggregate over bare keys and the first order column finds the keys with several
-    lines and the value of the line that stays. All other lines of those keys go in one pass
-    over the lines, by an anti join; whether the found keys are broadcast is left to their
-    size. Only keys whose surviving line that value does not settle (two lines that share it,
-    or more than two lines) have theirs put in order; without such a key, adaptive execution
-    leaves that pass out.
+    lines and the value of the line that stays. The found keys are written at once: their size
+    is known then, and unless they are many they are broadcast, so that whole lines stay where
+    they are. All other lines of those keys go in one pass over the lines, by an anti join. Only
+    keys whose surviving line that value does not settle (two lines that share it, or more than
+    two lines) have theirs put in order; without such a key, adaptive execution leaves that pass out.
     """
+    spark = df.sparkSession
     column, way = next(iter(order.items()))
     least, most = F.min(column), F.max(column)
     found = df.groupBy(*keys).agg(
@@ -105,8 +109,12 @@ def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
         "_first",
         ((F.col("_copies") > 2) | (F.col("_same") & (F.col("_known") != 1))).alias("_unsettled"),
     )
+    path = new_folder(spark, "repeated-keys")
+    with sized_shuffles(spark, line_scan_bytes(df)):
+        several.write.parquet(path)
+    several = spark.read.schema(several.schema).parquet(path)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     goes = F.col("_unsettled") | ~F.col(column).eqNullSafe(F.col("_first"))
-    settled = df.join(several, same & goes, "left_anti")
-    unsettled = df.join(several.where("_unsettled"), same, "left_semi")
+    settled = df.join(hinted(several), same & goes, "left_anti")
+    unsettled = df.join(hinted(several.where("_unsettled")), same, "left_semi")
     return settled.unionByName(first_per_key(unsettled, keys, order))

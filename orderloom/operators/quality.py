@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from orderloom.operators.cleaning import flaw_names, flaws, prepared, read_as, reject_reason, trimmed, typed
 from orderloom.schema import BATCH_V2, BROKEN_RECORD, DEDUP_KEY, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, Profile
+from orderloom.sources.sizing import line_scan_bytes, sized_shuffles
 
 
 def _broken(keep: str) -> Column:
@@ -55,8 +56,9 @@ def _key_known() -> Column:
 
 
 def _distinct_keys(rows: DataFrame) -> Column:
-    """How many keys the rows have, as a scalar subquery; only keys are shuffled."""
-    return rows.select(*DEDUP_KEY).distinct().agg(F.count("*")).scalar()
+    """How many keys the rows have, counted at once, in as many parts as their size asks for; only keys are shuffled."""
+    with sized_shuffles(rows.sparkSession, line_scan_bytes(rows)):
+        return F.lit(rows.select(*DEDUP_KEY).distinct().count()).cast("long")
 
 
 def validation_summary(report: DataFrame) -> DataFrame:

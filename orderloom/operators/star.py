@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.joins import looked_up
 from orderloom.functions.keys import date_key, first_per_key, surrogate_key
+from orderloom.sources.sizing import PARTITIONS_SETTING, fits_broadcast, line_scan_bytes, partitions_for
 
 CUSTOMER_ATTRIBUTES = ("customer_name", "segment")
 PRODUCT_ATTRIBUTES = ("product_name", "category", "sub_category")
@@ -47,10 +49,22 @@ def newest(lines: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """The attributes of every key as on its latest order, lowest row_id first.
 
     An id that came with two names is one member, so a fact line can never
-    match twice.
+    match twice. A hash aggregate first leaves one row per id and attributes, so
+    lines are not sorted; only those few rows are put in order.
     """
-    rows = lines.select(key, *attributes, "order_date", "row_id").where(F.col(key).isNotNull())
-    return first_per_key(rows, [key], {"order_date": "desc", "row_id": "asc"}).select(key, *attributes)
+    rows = lines.where(F.col(key).isNotNull()).groupBy(key, *attributes).agg(F.max(_recency()).alias("_recency"))
+    return first_per_key(rows, [key], {"_recency": "desc"}).select(key, *attributes)
+
+
+def _recency() -> Column:
+    """Order date and row_id as one number, larger for the line that counts: a later date, then a lower row_id.
+
+    A number can be aggregated by hash, a struct cannot. Nulls come last in both, beyond every
+    day and every row_id there can be.
+    """
+    day = F.coalesce(F.unix_date("order_date").cast("long"), F.lit(-(1 << 32)))
+    row = F.coalesce(F.col("row_id").cast("decimal(20,0)"), F.lit(Decimal(10**19)))
+    return (day.cast("decimal(11,0)") * F.lit(Decimal(10**20)) - row).cast("decimal(38,0)")
 
 
 def dim_customer(lines: DataFrame) -> DataFrame:
@@ -173,10 +187,17 @@ def fact_enriched(
     products: DataFrame,
     regions: DataFrame,
 ) -> DataFrame:
-    """The fact with the columns of all four dimensions, one row per fact row, hot keys spread."""
-    for dimension, key in ((dates, "date_key"), (customers, "customer_key"), (products, "product_key"), (regions, "region_key")):
-        fact = looked_up(fact, dimension, [key])
-    return fact
+    """The fact with the columns of all four dimensions, one row per fact row, hot keys spread.
+
+    Dimensions that are too large to broadcast come first: the lines are shuffled for them,
+    in as many parts as their size asks for, before the other columns make them wider.
+    """
+    dimensions = ((dates, "date_key"), (customers, "customer_key"), (products, "product_key"), (regions, "region_key"))
+    columns = fact.columns + [c for dimension, key in dimensions for c in dimension.columns if c != key]
+    partitions = partitions_for(line_scan_bytes(fact), int(fact.sparkSession.conf.get(PARTITIONS_SETTING)))
+    for dimension, key in sorted(dimensions, key=lambda d: fits_broadcast(d[0])):
+        fact = looked_up(fact, dimension, [key], partitions=partitions)
+    return fact.select(*columns)
 
 
 def refreshed_customers(existing: DataFrame, lines: DataFrame) -> DataFrame:

@@ -15,14 +15,22 @@ from orderloom.plans.layers import Layers
 from orderloom.schema import BATCH_V1, BATCH_V2, BROKEN_RECORD, DATE_FORMAT, ORDER_LINE_SCHEMA, STREAM
 from orderloom.sources.files import read_order_records, rename_by_heading, rename_by_position
 from orderloom.sources.folders import new_folder
+from orderloom.sources.sizing import line_scan_bytes, sized_shuffles
 from orderloom.sources.trade import csv_text, line_bytes, raw_order_lines, typed_order_lines
 from orderloom.streaming import orders as streaming
 
 # The Type 1 example refreshes the dimension of the orders before this day.
 REFRESH_DAY = "1999-01-01"
 
-# Files one micro-batch takes on: a backlog is worked off in steps that can be resumed.
-FILES_PER_BATCH = 4
+# Files one micro-batch takes on per core: a backlog is worked off in steps that can be resumed,
+# and each step keeps all cores busy.
+FILES_PER_CORE = 2
+
+# Codec of the CSV files; none of them is large enough to be split.
+CSV_COMPRESSION = "gzip"
+
+# Records per CSV file: a file with a line feed inside quotes is read by one task (some 25 MB of text).
+RECORDS_PER_FILE = 125_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +65,8 @@ def shown(df: DataFrame) -> DataFrame:
 def _from_csv(t: Layers) -> DataFrame:
     """The raw lines, written as CSV files with broken records in between and read back."""
     path = new_folder(t.spark, "csv")
-    csv_text(t.table("bronze")).write.text(path)
+    write = csv_text(t.table("bronze")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    write.text(path, compression=CSV_COMPRESSION)
     return rename_by_heading(read_order_records(t.spark, path, header=False))
 
 
@@ -111,11 +120,15 @@ def layer_row_counts(t: Layers) -> DataFrame:
 
 # --- streaming -------------------------------------------------------------
 
+def files_per_batch(spark: SparkSession) -> int:
+    return FILES_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def _stream_once(t: Layers) -> str:
     """Clean the arrivals as a stream of files; the path of the sink."""
     t.table("arrivals")
     sink = new_folder(t.spark, "stream-clean")
-    lines = streaming.arriving_lines(t.spark, t.path("arrivals"), ORDER_LINE_SCHEMA, FILES_PER_BATCH)
+    lines = streaming.arriving_lines(t.spark, t.path("arrivals"), ORDER_LINE_SCHEMA, files_per_batch(t.spark))
     query = streaming.append_available(
         streaming.cleaned_stream(lines), sink, new_folder(t.spark, "checkpoint")
     )
@@ -131,7 +144,7 @@ def stream_gold(t: Layers) -> DataFrame:
     """Live totals over what the cleaning stream has appended."""
     totals = new_folder(t.spark, "stream-totals")
     query = streaming.running_totals(
-        t.spark, _stream_once(t), totals, new_folder(t.spark, "checkpoint"), FILES_PER_BATCH
+        t.spark, _stream_once(t), totals, new_folder(t.spark, "checkpoint"), files_per_batch(t.spark)
     )
     query.awaitTermination()
     return streaming.latest_totals(t.spark, totals).drop("last_updated")
@@ -162,6 +175,14 @@ def scd1_customer(t: Layers) -> DataFrame:
     return star.refreshed_customers(before, silver.where(F.col("order_date") >= REFRESH_DAY))
 
 
+def _stored(t: Layers, rows: DataFrame, label: str) -> DataFrame:
+    """Rows made from silver, written with shuffles sized for it, and read back."""
+    path = new_folder(t.spark, label)
+    with sized_shuffles(t.spark, line_scan_bytes(t.table("silver"))):
+        rows.write.parquet(path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 def fact_keys_resolved(t: Layers) -> DataFrame:
     """Fact lines whose key no dimension holds, over customers that carry keys from elsewhere.
 
@@ -171,8 +192,10 @@ def fact_keys_resolved(t: Layers) -> DataFrame:
     silver = t.table("silver")
     before = star.dim_customer(silver.where(F.col("order_date") < REFRESH_DAY))
     known = before.withColumn("customer_key", surrogate_key(F.concat(F.lit("old-"), "customer_id")))
-    customers = star.refreshed_customers(known, silver.where(F.col("order_date") >= REFRESH_DAY))
+    customers = _stored(t, star.refreshed_customers(known, silver.where(F.col("order_date") >= REFRESH_DAY)), "customers")
+    # Written once: each dimension's check reads its own key, and none makes the fact again.
     fact = star.with_known_customers(star.fact_orders(silver), customers)
+    fact = _stored(t, fact.select("date_key", "customer_key", "product_key", "region_key"), "fact-keys")
     dates, _, products, regions = _star(t)
     return star.unresolved_keys(fact, {
         "dim_date": (dates, "date_key"),

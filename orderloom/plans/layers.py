@@ -18,7 +18,7 @@ from orderloom.operators import quality, star
 from orderloom.operators.cleaning import clean, prepared
 from orderloom.schema import BATCH_V1, BATCH_V2, STREAM, Profile
 from orderloom.sources.files import rename_by_heading
-from orderloom.sources.sizing import scan_bytes, sized_shuffles
+from orderloom.sources.sizing import scan_bytes, sized_lines, sized_shuffles
 from orderloom.sources.tables import write_files
 from orderloom.streaming.orders import cleaned_stream
 
@@ -74,7 +74,8 @@ class Layers:
             "dim_region": lambda: star.dim_region(table("silver")),
             "fact_orders": fact,
             "arrivals": lambda: prepared(table("bronze"), STREAM),
-            "clean_arrivals": lambda: cleaned_stream(table("arrivals")),
+            # From bronze, not from the arrivals: those are written for the stream of files only.
+            "clean_arrivals": lambda: cleaned_stream(table("bronze")),
         }
 
     def path(self, name: str) -> str:
@@ -98,7 +99,7 @@ class Layers:
                 layer = quality.with_observed(layer, observation, self.profile)
             # A path of its own for each attempt: one that failed is not in the way of the next.
             path = self._new_path(name)
-            with sized_shuffles(self.spark, self._input_bytes(name)):
+            with sized_shuffles(self.spark, sized_lines(self._input_bytes(name))):
                 write_files(layer, path, self.partition_by(name))
             self._schemas[name], self._paths[name] = schema, path
             if observation is not None and self.row_count(name):
@@ -142,7 +143,7 @@ class Layers:
             "silver": "bronze",
             "silver_v1": "bronze",
             "arrivals": "bronze",
-            "clean_arrivals": "arrivals",
+            "clean_arrivals": "bronze",
         }
         return scan_bytes(self.table(sources.get(name, "silver")))
 

@@ -11,6 +11,7 @@ from orderloom.functions.keys import first_per_key, unique_per_key
 from orderloom.operators import quality
 from orderloom.operators.cleaning import clean, deduplicated, flaw_names, flaws, prepared, typed, valid
 from orderloom.schema import BATCH_V1, BATCH_V2, ORDER_LINE_COLUMNS, ORDER_LINE_SCHEMA, STREAM
+from orderloom.sources import sizing
 from tests.lines import GOOD, faulty_lines, line, text_lines
 
 
@@ -276,3 +277,36 @@ def test_lines_are_read_once_where_row_ids_settle_all(spark, tmp_path):
     assert ids(found) == [0, 3, 4]
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") <= 2
+
+
+def test_whole_lines_stay_where_they_are(spark):
+    """Only lines whose order is unsettled are shuffled, so no exchange holds whole lines of the rest."""
+    found = deduplicated(prepared(text_lines(spark, GOOD, GOOD, line(row_id="3", order_id="B"))))
+    text = plan(found)
+    settled = text[: text.index("LeftSemi")]
+    assert "LeftAnti" in settled and "BroadcastHashJoin" in settled and "SortMergeJoin" not in text
+    assert found.count() == 2
+
+
+def test_many_repeated_keys_are_not_broadcast(spark, monkeypatch):
+    rows = text_lines(spark, GOOD, line(row_id="8"), line(row_id="9"), line(row_id="3", order_id="B"), line(row_id="4", order_id=None))
+    expected = ids(deduplicated(prepared(rows)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10b")
+        assert "strategy=broadcast" in deduplicated(prepared(rows))._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", 10)
+        found = deduplicated(prepared(rows))
+        assert "strategy=broadcast" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert ids(found) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_splits_are_bounded_while_lines_are_written(spark):
+    before = {s: spark.conf.get(s) for s in (sizing.PARTITIONS_SETTING, sizing.SPLIT_SETTING)}
+    with sizing.sized_shuffles(spark, sizing.sized_lines(1 << 30)):
+        assert spark.conf.get(sizing.SPLIT_SETTING) == f"{sizing.SPLIT_BYTES}b"
+        assert int(spark.conf.get(sizing.PARTITIONS_SETTING)) == 64
+    assert {s: spark.conf.get(s) for s in before} == before
+    assert [sizing._bytes(x) for x in ("134217728b", "128MB", "16m", "5")] == [134217728, 128 << 20, 16 << 20, 5]

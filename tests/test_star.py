@@ -208,3 +208,34 @@ def test_no_lines_and_no_members(spark, nothing_is_small):
     lines, members = hot_lines(spark, 50), spark.createDataFrame([], "customer_id string, customer_key long")
     assert looked_up(lines, members, ["customer_id"]).where("customer_key IS NULL").count() == 50
     assert looked_up(lines.limit(0), members, ["customer_id"]).count() == 0
+
+
+def test_members_are_found_without_sorting_lines(silver):
+    """Lines are aggregated by hash; what is put in order is one row per id and attributes."""
+    text = star.dim_customer(silver)._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+    below = text[text.rindex("Sort ["):]
+    assert below.count("HashAggregate") == 2 and "SortAggregate" not in text
+
+
+def test_newest_takes_missing_dates_and_numbers_last(spark):
+    rows = [(None, None), (None, 5), ("2017-01-05", None), ("2017-01-05", 9), ("2017-01-05", -9), ("1800-02-03", 1), (None, -(2**63))]
+    for left in range(len(rows)):
+        for right in range(left + 1, len(rows)):
+            named = [(f"{k}", "K", *rows[k]) for k in (left, right)]
+            lines = spark.createDataFrame(named, "name string, id string, order_date string, row_id long")
+            lines = lines.withColumn("order_date", F.to_date("order_date"))
+            key = lambda k: (rows[k][0] is not None, rows[k][0] or "", rows[k][1] is not None, -(rows[k][1] or 0))
+            assert star.newest(lines, "id", ["name"]).first().name == str(max((left, right), key=key))
+
+
+def test_enriched_lines_meet_large_dimensions_first(spark, silver, monkeypatch):
+    dims = dimensions(silver)
+    fact = star.fact_orders(silver)
+    expected = star.fact_enriched(fact, *dims)
+    monkeypatch.setattr(star, "fits_broadcast", lambda t: "date_key" in t.columns or "region_key" in t.columns)
+    monkeypatch.setattr("orderloom.functions.joins.fits_broadcast", lambda t: "date_key" in t.columns or "region_key" in t.columns)
+    monkeypatch.setattr(star, "partitions_for", lambda size, least: 7)
+    found = star.fact_enriched(fact, *dims)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.columns == expected.columns and sorted(found.collect()) == sorted(expected.collect())
+    assert "RepartitionByExpression" in text and ", 7" in text
