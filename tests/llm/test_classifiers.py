@@ -164,3 +164,48 @@ def test_a_document_without_an_id_is_not_held_out(spark, tmp_path):
     for name in ("op1_quality_classifier", "op7_toxicity"):
         found = {r.doc_id: r.held_out for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert found[None] is False and found[1] is not None
+
+
+def _marked(count: int, seed: int = 2) -> list[tuple[int, str, int]]:
+    rng = random.Random(seed)
+    words = [f"{a}{b}{c}" for a in "bdgklm" for b in "aeiou" for c in "nrst"]
+    rows = []
+    for k in range(count):
+        text = [rng.choice(words) for _ in range(40)]
+        if k % 3 == 0:
+            text[rng.randrange(40)] = rng.choice(["quaxo", "wyzzle"])
+        rows.append((k, " ".join(text), int(k % 3 == 0)))
+    return rows
+
+
+def test_every_labelled_row_is_counted(spark, monkeypatch):
+    """Beyond the driver's bound the model is made where the rows are, of all of them, however they are dealt."""
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 100)
+    monkeypatch.setattr(toxicity, "SHARE_ROWS", 150)
+    sizes = []
+    log_odds = toxicity._log_odds
+    monkeypatch.setattr(toxicity, "_log_odds", lambda seen, of: sizes.append((seen.sum(), sum(of))) or log_odds(seen, of))
+    rows = _marked(1500)
+    docs = spark.createDataFrame(rows, "doc_id int, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.drop("text"))
+    again = toxicity.train(docs.drop("toxic").repartition(7), docs.drop("text").repartition(3))
+    assert np.array_equal(model.embedding, again.embedding) and np.array_equal(model.thresholds, again.thresholds)
+    assert sizes[0] == sizes[1] and sizes[0][1] > 600
+    fresh = spark.createDataFrame(_marked(600, seed=9), "doc_id int, text string, toxic int")
+    scored = toxicity.with_toxicity(fresh, model).collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in scored]) > 0.95
+
+
+def test_parameters_there_and_back():
+    model, other = (toxicity._blank(np.random.default_rng(k)) for k in (1, 2))
+    model.bias = 0.5
+    toxicity._set_parameters(other, toxicity._parameters(model))
+    assert np.array_equal(toxicity._parameters(other), toxicity._parameters(model))
+    assert other.bias == 0.5 and all(np.array_equal(a, b) for a, b in zip(other.filters + other.biases, model.filters + model.biases))
+
+
+def test_one_label_far_from_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 3)
+    docs = spark.createDataFrame([(k, f"some text {k}") for k in range(8)], "doc_id int, text string")
+    model = toxicity.train(docs, docs.selectExpr("doc_id", "1 as toxic"))
+    assert toxicity.with_toxicity(docs, model).first()["score"] == pytest.approx(0.9)
