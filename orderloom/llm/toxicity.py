@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from copy import deepcopy
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.decontaminate import words_of
@@ -341,7 +343,8 @@ def fit_distributed(rows: DataFrame, share: float | None = None, rounds: int = R
         shares = -(-n // SHARE_ROWS)
         weights = [0.5 * n / max(1, int(k)) for k in sizes[1]]
         train = rows.where("part >= 10 and part < 16").withColumn("share", F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(shares)))
-        train = train.repartition(shares, "share").sortWithinPartitions("share", F.xxhash64("id"), "id")
+        train = train.withColumn("share", F.col("share").cast("int")).repartitionById(shares, "share")
+        train = train.sortWithinPartitions("share", F.xxhash64("id"), "id")
         train = written(train.select("share", "label", "text"), "shares")
         for number in range(rounds):
             _average_round(model, train, number, weights, batch, rate, seed)
@@ -408,7 +411,9 @@ def _average_round(model: ConvolutionalModel, train: DataFrame, number: int, wei
         return run
 
     moved = to_rows(train, make, ", ".join(["place int", *[f"{d} long" for d in _MOVES]]))
-    moved = moved.groupBy("place").agg(F.count("*").alias("shares"), *[F.sum(d).alias(d) for d in _MOVES]).toPandas()
+    moved = moved.groupBy("place").agg(F.count("*").alias("shares"), *[F.sum(d).alias(d) for d in _MOVES])
+    with _a_task_per_file(train.sparkSession):
+        moved = moved.toPandas()
     values = _parameters(model)
     values[moved["place"]] += moved[_MOVES].to_numpy(float) * MOVE_UNIT / moved["shares"].to_numpy(float)[:, None]
     _set_parameters(model, values)
@@ -416,6 +421,18 @@ def _average_round(model: ConvolutionalModel, train: DataFrame, number: int, wei
     sent.unpersist()
 
 
+@contextmanager
+def _a_task_per_file(spark: SparkSession) -> Iterator[None]:
+    """Within the block, small files are not read together: a share, which is one, is long work."""
+    setting = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, f"{1 << 40}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 class _Descent:
     """The gradient descent of one share, some texts at a time."""
 

@@ -209,3 +209,13 @@ def test_one_label_far_from_the_driver(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"some text {k}") for k in range(8)], "doc_id int, text string")
     model = toxicity.train(docs, docs.selectExpr("doc_id", "1 as toxic"))
     assert toxicity.with_toxicity(docs, model).first()["score"] == pytest.approx(0.9)
+
+
+def test_shares_descend_side_by_side(spark, tmp_path):
+    """Each share is a file of its own and a task of its own, though Spark would read such small files together."""
+    rows = spark.range(600).selectExpr("cast(id % 6 as int) as share", "id").repartitionById(6, "share")
+    rows.write.parquet(str(tmp_path / "shares"))
+    with toxicity._a_task_per_file(spark):
+        found = spark.read.parquet(str(tmp_path / "shares"))
+        by_task = found.groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("share").alias("shares")).collect()
+    assert [r["shares"] for r in by_task] == [1] * 6
