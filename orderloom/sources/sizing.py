@@ -13,6 +13,8 @@ PARTITIONS_SETTING = "spark.sql.shuffle.partitions"
 
 SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
 
+BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
+
 # Parquet grows two- to threefold in a shuffle: 64 MB read are some 150 MB sorted.
 BYTES_PER_PARTITION = 64 * 1024 * 1024
 
@@ -68,12 +70,18 @@ def hinted(table: DataFrame) -> DataFrame:
 
     A session that has broadcasts switched off gets none.
     """
-    own = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if own.startswith("-") or scan_bytes(table) <= _bytes(own) or not fits_broadcast(table):
+    off = table.sparkSession.conf.get(BROADCAST_SETTING).startswith("-")
+    if off or broadcast_by_itself(table) or not fits_broadcast(table):
         return table
     return F.broadcast(table)
 
 
+def broadcast_by_itself(table: DataFrame) -> bool:
+    """Whether Spark broadcasts a plain scan without being told to, by the session's own limit."""
+    own = table.sparkSession.conf.get(BROADCAST_SETTING)
+    return not own.startswith("-") and scan_bytes(table) <= _bytes(own)
+
+
 def partitions_for(input_bytes: int, at_least: int) -> int:
     if input_bytes >= UNKNOWN_BYTES:
         return at_least

@@ -11,11 +11,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS
-from orderloom.sources.sizing import scan_bytes
+from orderloom.sources.sizing import broadcast_by_itself, scan_bytes
 
 
 def _fault(quantity: int) -> Column:
-    return (F.col("l_quantity") == quantity) & (F.col("l_tax") < 0.035)
+    return (F.col("l_quantity") == quantity) & F.col("l_faulty")
+
+
+# What the raw lines take from lineitem, in the form in which a line is smallest when it is shuffled:
+# amounts as whole cents and days instead of doubles and times, tests of a value instead of the value.
+LINE_VALUES = {
+    "l_orderkey": "l_orderkey",
+    "l_linenumber": "l_linenumber",
+    "l_partkey": "l_partkey",
+    "l_quantity": "l_quantity",
+    "l_faulty": "l_tax < 0.035D",
+    "l_returned": "l_returnflag = 'R'",
+    "l_extendedprice": "CAST(l_extendedprice AS DECIMAL(18,2))",
+    "l_discount": "CAST(l_discount AS DECIMAL(4,2))",
+    "l_shipdate": "CAST(l_shipdate AS DATE)",
+}
 
 
 def _padded(value: Column) -> Column:
@@ -23,24 +38,27 @@ def _padded(value: Column) -> Column:
 
 
 def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
-    """lineitem with its order, customer, place and part.
+    """lineitem (see LINE_VALUES) with its order, customer, place and part.
 
     Left joins from lineitem keep every line. The customer side is put together
     before it meets the lines, so lineitem itself is shuffled for orders and
     parts only, or not at all where the other side is small enough for Spark to
-    broadcast.
+    broadcast. Parts that are too large for it come first, as an order makes a line
+    wider than a part does; small ones come last, as they are not shuffled with the line then.
     """
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
     place = table("nation").join(table("region"), F.expr("n_regionkey = r_regionkey"), "left")
     customer = table("customer").join(place, F.expr("c_nationkey = n_nationkey"), "left")
-    orders = table("orders").join(customer, F.expr("o_custkey = c_custkey"), "left")
-    return (
-        table("lineitem")
-        .join(orders, F.expr("l_orderkey = o_orderkey"), "left")
-        .join(table("part"), F.expr("l_partkey = p_partkey"), "left")
-    )
+    orders = table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders = orders.join(customer, F.expr("o_custkey = c_custkey"), "left")
+    part = table("part").select("p_partkey", "p_name", "p_type", "p_brand")
+    lines = table("lineitem").select(*[F.expr(value).alias(name) for name, value in LINE_VALUES.items()])
+    sides = [(orders, F.expr("l_orderkey = o_orderkey")), (part, F.expr("l_partkey = p_partkey"))]
+    for side, same in sides if broadcast_by_itself(part) else reversed(sides):
+        lines = lines.join(side, same, "left")
+    return lines
 
 
 def line_bytes(spark: SparkSession, folder: str) -> int:
@@ -49,16 +67,14 @@ def line_bytes(spark: SparkSession, folder: str) -> int:
 
 
 def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    sales = F.col("l_extendedprice").cast("decimal(18,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    sales, discount, order_date = F.col("l_extendedprice"), F.col("l_discount"), F.col("o_orderdate")
     profit = (sales * (F.lit("0.30").cast("decimal(3,2)") - 4 * discount)).cast("decimal(18,4)")
-    order_date = F.col("o_orderdate").cast("date")
     values = {
         "row_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "order_id": F.when(~_fault(31), _padded(F.col("l_orderkey").cast("string"))),
         "order_date": F.when(_fault(17), F.date_format(order_date, "dd-MM-yyyy"))
         .otherwise(order_date.cast("string")),
-        "ship_date": F.col("l_shipdate").cast("date"),
+        "ship_date": F.col("l_shipdate"),
         "ship_mode": _padded(F.col("o_orderpriority")),
         "customer_id": F.when(_fault(37), F.lit("   "))
         .when(~_fault(11), F.col("c_custkey").cast("string")),
@@ -75,7 +91,7 @@ def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
         "product_id": F.when(~_fault(41), _padded(F.col("l_partkey").cast("string"))),
         "category": F.col("p_type"),
         "sub_category": F.col("p_brand"),
-        "product_name": F.when(F.col("l_returnflag") == "R", F.concat(F.col("p_name"), F.lit(" II")))
+        "product_name": F.when(F.col("l_returned"), F.concat(F.col("p_name"), F.lit(" II")))
         .otherwise(F.col("p_name")),
         "sales": F.when(_fault(29), F.lit("n/a"))
         .when(_fault(23), (-sales).cast("string"))
