@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.dates import index_month, index_year, month_index, month_label
 from orderloom.operators.measures import per_member
+from orderloom.sources.sizing import PARTITIONS_SETTING, line_scan_bytes, partitions_for
 
 HORIZON = 3
 
@@ -54,13 +55,15 @@ def monthly_sales_by(
 ) -> DataFrame:
     """The monthly series of every category or region.
 
-    Dates are looked up first: a calendar is small, so this moves no lines.
+    Dates are looked up first: a calendar is small, so this moves no lines. A dimension too large
+    to broadcast moves the measures of the lines, in as many parts as their size asks for.
     """
+    partitions = partitions_for(line_scan_bytes(fact), int(fact.sparkSession.conf.get(PARTITIONS_SETTING)))
     dated = fact.where("date_key IS NOT NULL").join(
         dates.select("date_key", "year", "month"), "date_key", "left"
     )
     return _finished(
-        per_member(dated, dimension, key, [group], _line_sums(), ["year", "month"]), [group]
+        per_member(dated, dimension, key, [group], _line_sums(), ["year", "month"], partitions), [group]
     )
 
 

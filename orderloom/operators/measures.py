@@ -4,7 +4,8 @@ Charts by an attribute of a dimension never shuffle order lines. A dimension of
 checked small size is broadcast and the fact grouped by the attribute at once.
 Beyond that size the fact is first added up per surrogate key, which map tasks do
 before anything moves, and only those sums are joined: a key with a third of all
-rows costs one line per task either way.
+rows costs one line per task either way. By month as well, hardly two lines of a key
+add up: there the measures of the lines are moved, once and in as many parts as they need.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.amounts import percent, ratio, total
 from orderloom.functions.dates import ist_label
+from orderloom.functions.joins import looked_up
 from orderloom.sources.sizing import fits_broadcast
 
 
@@ -103,12 +105,21 @@ def per_member(
     attributes: Sequence[str],
     sums: Mapping[str, str | Column],
     own: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Exact sums of the fact by attributes of one dimension and its own columns."""
+    """Exact sums of the fact by attributes of one dimension and its own columns.
+
+    partitions is for own columns that leave a key few lines to add up, such as the month: a
+    dimension too large to broadcast is then looked up line by line, hot keys spread, in so many parts.
+    """
     members = dimension.select(key, *attributes)
     added = [F.sum(c).alias(name) for name, c in sums.items()]
     if fits_broadcast(members):
         return fact.join(F.broadcast(members), key, "left").groupBy(*attributes, *own).agg(*added)
+    if partitions is not None:
+        lines = fact.select(key, *own, *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in sums.items()])
+        found = looked_up(lines, members, [key], partitions=partitions)
+        return found.groupBy(*attributes, *own).agg(*[F.sum(name).alias(name) for name in sums])
     per_key = fact.groupBy(key, *own).agg(*added).join(members, key, "left")
     return per_key.groupBy(*attributes, *own).agg(*[F.sum(name).alias(name) for name in sums])
 

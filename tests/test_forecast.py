@@ -76,6 +76,20 @@ def test_large_dimensions_give_the_same_series(lines, monkeypatch):
     assert forecast.monthly_sales(fact, dates).count() == 3
 
 
+def test_lines_meet_a_large_dimension_in_parts_of_their_own(lines, monkeypatch):
+    """By key and month hardly two lines add up: their measures are moved once, in as many parts as they need."""
+    fact, dates, products = star.fact_orders(lines), star.dim_date(lines), star.dim_product(lines)
+    fact = fact.unionByName(fact.limit(1).withColumn("product_key", F.lit(None).cast("long")))
+    expected = sorted(forecast.monthly_sales_by(fact, dates, products, "product_key", "category").collect(), key=repr)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(forecast, "partitions_for", lambda size, least: 7, raising=False)
+    found = forecast.monthly_sales_by(fact, dates, products, "product_key", "category")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [product_key" not in plan
+    assert any("RepartitionByExpression [product_key" in row and row.endswith(", 7") for row in plan.splitlines())
+    assert sorted(found.collect(), key=repr) == expected
+
+
 def test_line_without_a_date_is_left_out_of_the_trend(lines):
     undated = lines.withColumn("order_date", F.when(F.col("row_id") != 4, F.col("order_date")))
     monthly = forecast.monthly_sales(star.fact_orders(undated), star.dim_date(lines))
