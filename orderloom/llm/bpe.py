@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -11,15 +12,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from orderloom.llm.rows import add_columns, texts_of
-from orderloom.llm.units import SPACED_WORDS, UnitCache
+from orderloom.llm.rows import add_columns, give_back, texts_of
+from orderloom.llm.units import SPACED_WORDS, Numbers, UnitCache, gathered
 
 # The vocabulary is a file of fixed size, sent to every task.
 MOST_VOCABULARY_BYTES = 64 * 1024 * 1024
 
 # A task holds the pairs of a slice beside its units, so it remembers and takes at a time
-# less than the other token operators.
-MOST_UNITS, SLICE_CHARS = 300_000, 6_000_000
+# less than the other token operators; two tasks and a JVM share an executor.
+MOST_UNITS, SLICE_CHARS, SLICE_BYTES = 300_000, 6_000_000, 4 << 20
 
 # The published split pattern of this tokenizer kind, with white space spelled out.
 # Fixed value.
@@ -47,7 +48,7 @@ class Vocabulary:
         self.bytes = {i: raw(t) for t, i in ids.items()}
         self.special = {t["content"]: t["id"] for t in parts["added_tokens"]}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
-        self.of_byte = np.zeros(256, np.int64)
+        self.of_byte = np.zeros(256, np.int32)
         for letter, byte in letters.items():
             self.of_byte[byte] = ids[letter]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -66,7 +67,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 if it is never merged."""
-        wanted = left << 32 | right
+        wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.order[at], -1)
 
@@ -84,8 +85,8 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     symbols = vocabulary.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
     n = len(symbols)
-    after = np.arange(1, n + 1)
-    before = np.arange(-1, n - 1)
+    after = np.arange(1, n + 1, dtype=np.int32)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     ends = np.cumsum(lengths)
     filled = lengths > 0
     after[ends[filled] - 1] = -1
@@ -105,7 +106,7 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
                 heapq.heappush(active, rank)
             index[rank].append(part)
 
-    note(np.flatnonzero(after >= 0))
+    note(np.flatnonzero(after >= 0).astype(np.int32))
     while active:
         rank = heapq.heappop(active)
         at = np.unique(np.concatenate(index.pop(rank)))
@@ -150,7 +151,8 @@ class Encoder:
         return units
 
     def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces: list[bytes] = []
+        pieces = Numbers()
+        number, which = pieces.__getitem__, array("i")
         owner_counts = np.zeros(len(units), np.int64)
         special = self.vocabulary.special
         for i, unit in enumerate(units):
@@ -161,8 +163,11 @@ class Encoder:
             else:
                 found = _PIECES(unit)
             owner_counts[i] = len(found)
-            pieces.extend(p.encode() for p in found)
-        ids, counts = merge_pieces(pieces, self.vocabulary)
+            which.extend(map(number, found))
+        ids, counts = merge_pieces([p.encode() for p in pieces], self.vocabulary)
+        order = np.frombuffer(which, np.int32)
+        first, counts = (np.cumsum(counts) - counts)[order], counts[order]
+        ids = gathered(ids, first, counts)
         firsts = np.cumsum(owner_counts) - owner_counts
         lengths = np.add.reduceat(counts, firsts)
         own = [i for i, u in enumerate(units) if u in special]
@@ -201,8 +206,9 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
 
     A null or empty text has no ids. The contents of special tokens in a text are the
     special ids. Each distinct unit (a run of non-space characters with the blank
-    before it, or a run of white space) is merged once per batch and remembered by
-    its task, up to MOST_UNITS; repeated rows cost a look-up. Texts of any
+    before it, or a run of white space) is merged once per slice (what its units share,
+    like a word with and without a comma, once for all of them) and remembered by its
+    task, up to MOST_UNITS; repeated rows cost a look-up. Texts of any
     length go through whole. Other columns pass through; one named like the result
     gives way to it.
     """
@@ -213,11 +219,12 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
 
         def step(batch):
             found = encoder.ids(texts_of(batch, text))
+            give_back()  # what merging has freed
             return [pa.array([f.astype("<u4").tobytes() for f in found], pa.binary())]
 
         return step
 
-    return add_columns(df, make, f"`{ids}` binary")
+    return add_columns(df, make, f"`{ids}` binary", slice_bytes=SLICE_BYTES)
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -250,8 +257,9 @@ def round_trip(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str
 
         def step(batch):
             coded = [f.astype("<u4").tobytes() for f in encoder.ids(texts_of(batch, text))]
+            give_back()  # what merging has freed
             return [pa.array(coded, pa.binary()), pa.array([decoder.text(c) for c in coded], pa.string())]
 
         return step
 
-    return add_columns(df, make, f"`{ids}` binary, `{decoded}` string", [text])
+    return add_columns(df, make, f"`{ids}` binary, `{decoded}` string", [text], SLICE_BYTES)

@@ -56,7 +56,9 @@ def give_back() -> None:
         trim(0)
 
 
-def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Iterable[str] = ()) -> DataFrame:
+def add_columns(
+    df: DataFrame, make: Callable[[], Step], added: str, drop: Iterable[str] = (), slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """df with columns computed from each Arrow batch; nothing is shuffled.
 
     make() runs once per task and returns the function from a batch to the added
@@ -70,7 +72,7 @@ def add_columns(df: DataFrame, make: Callable[[], Step], added: str, drop: Itera
 
     def run(batches: Iterator[Batch]) -> Iterator[Batch]:
         step = make()
-        for batch in slices(batches):
+        for batch in slices(batches, slice_bytes):
             columns = [batch.column(i) for i in kept] + step(batch)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         del step

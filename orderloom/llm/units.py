@@ -21,7 +21,9 @@ MOST_UNITS = 700_000
 SLICE_CHARS = 12_000_000
 
 
-class _Numbers(dict):
+class Numbers(dict):
+    """Strings by their number, in the order of their first look-up."""
+
     def __missing__(self, unit):
         number = self[unit] = len(self)
         return number
@@ -53,7 +55,7 @@ class UnitCache:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Numbers()
+        self.numbers = Numbers()
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from orderloom.llm import bpe
 from orderloom.llm.bpe import Encoder, Vocabulary, decode, encode, read_vocabulary, round_trip
 from orderloom.llm.queries import BYTE_BPE, QUERIES
 
@@ -54,6 +57,29 @@ def test_a_small_memory_changes_nothing():
         assert [i.tolist() for i in small.ids(ODD)] == [library(t) for t in ODD]
 
 
+def test_what_units_share_is_merged_once(monkeypatch):
+    taken = []
+    merge = bpe.merge_pieces
+    monkeypatch.setattr(bpe, "merge_pieces", lambda pieces, v: taken.extend(pieces) or merge(pieces, v))
+    texts = ["a word, a word. a word; it's word's", " word <|endoftext|>, word ,,", "<|endoftext|>", "word word"]
+    assert [i.tolist() for i in Encoder(ENCODER.vocabulary).ids(texts)] == [library(t) for t in texts]
+    assert taken.count(b" word") == 1 and len(taken) == len(set(taken))
+
+
+def test_memory_for_texts_of_new_words():
+    draw = random.Random(5)
+    words = ["".join(draw.choices(["re", "st", "an", "ä", "ou", "ch"], k=draw.randint(2, 5))) for _ in range(120_000)]
+    texts = [" ".join(f"{w}{draw.choice(['', ',', '.'])}" for w in draw.choices(words, k=500)) for _ in range(2000)]
+    encoder = Encoder(ENCODER.vocabulary)
+    tracemalloc.start()
+    try:
+        for start in range(0, len(texts), 500):
+            encoder.ids(texts[start : start + 500])
+        assert tracemalloc.get_traced_memory()[1] < 18e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_disordered_merges_are_refused():
     parts = json.loads(read_vocabulary(BYTE_BPE))
     parts["model"]["merges"].reverse()
