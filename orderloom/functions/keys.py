@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.sources.folders import new_folder
-from orderloom.sources.sizing import hinted, line_scan_bytes, sized_shuffles
+from orderloom.sources.sizing import broadcasts, hinted, line_scan_bytes, sized_shuffles
+
+# Bits of the digest that keys are first counted by: of 2 * 10^8 keys some 36,000 share one by chance.
+DIGEST_BITS = 40
 
 
 def _digest(text: Column) -> Column:
@@ -88,17 +91,24 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
 def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str]) -> DataFrame:
     """first_per_key where few keys occur twice: only lines of such keys are moved.
 
-    One hash aggregate over bare keys and the first order column finds the keys with several
+    A digest of the keys is counted first, so that of nearly all lines no more than that is shuffled;
+    unless very many come twice, only lines whose digest does are looked at again. One hash
+    aggregate over their bare keys and the first order column finds the keys with several
     lines and the value of the line that stays. The found keys are written at once: their size
     is known then, and unless they are many they are broadcast, so that whole lines stay where
     they are. All other lines of those keys go in one pass over the lines, by an anti join. Only
     keys whose surviving line that value does not settle (two lines that share it, or more than
     two lines) have theirs put in order; without such a key, adaptive execution leaves that pass out.
     """
-    spark = df.sparkSession
     column, way = next(iter(order.items()))
     least, most = F.min(column), F.max(column)
-    found = df.groupBy(*keys).agg(
+    size = line_scan_bytes(df)
+    digest = F.shiftright(F.xxhash64(*keys), 64 - DIGEST_BITS)
+    counted = df.groupBy(digest.alias("_digest")).agg(F.count("*").alias("_copies"))
+    twice = _kept(counted.where("_copies > 1").select("_digest"), "repeated-digests", size)
+    # A digest may be shared by two keys: these are told apart here.
+    rows = df.join(hinted(twice), digest == F.col("_digest"), "left_semi") if broadcasts(twice) else df
+    found = rows.groupBy(*keys).agg(
         F.count("*").alias("_copies"),
         F.count(column).alias("_known"),
         (most if way == "desc" else least).alias("_first"),
@@ -109,12 +119,18 @@ def unique_per_key(df: DataFrame, keys: Sequence[str], order: Mapping[str, str])
         "_first",
         ((F.col("_copies") > 2) | (F.col("_same") & (F.col("_known") != 1))).alias("_unsettled"),
     )
-    path = new_folder(spark, "repeated-keys")
-    with sized_shuffles(spark, line_scan_bytes(df)):
-        several.write.parquet(path)
-    several = spark.read.schema(several.schema).parquet(path)
+    several = _kept(several, "repeated-keys", size)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     goes = F.col("_unsettled") | ~F.col(column).eqNullSafe(F.col("_first"))
     settled = df.join(hinted(several), same & goes, "left_anti")
     unsettled = df.join(hinted(several.where("_unsettled")), same, "left_semi")
     return settled.unionByName(first_per_key(unsettled, keys, order))
+
+
+def _kept(rows: DataFrame, label: str, input_bytes: int) -> DataFrame:
+    """Rows made from so many bytes, written and read back: their size is known then."""
+    spark = rows.sparkSession
+    path = new_folder(spark, label)
+    with sized_shuffles(spark, input_bytes):
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -26,6 +26,10 @@ from orderloom.streaming.orders import cleaned_stream
 # Numbers tried before the natural keys of members that share a surrogate key.
 MOST_NUMBERS = 50
 
+# Layers of order lines, and the codec of their files: a fifth to a third fewer bytes than the session's own.
+LINE_LAYERS = ("bronze", "silver", "silver_v1", "fact_orders", "arrivals", "clean_arrivals")
+LINE_COMPRESSION = "zstd"
+
 
 class Layers:
     """Bronze, silver and gold of one raw source under one folder."""
@@ -100,7 +104,7 @@ class Layers:
             # A path of its own for each attempt: one that failed is not in the way of the next.
             path = self._new_path(name)
             with sized_shuffles(self.spark, sized_lines(self._input_bytes(name))):
-                write_files(layer, path, self.partition_by(name))
+                write_files(layer, path, self.partition_by(name), LINE_COMPRESSION if name in LINE_LAYERS else None)
             self._schemas[name], self._paths[name] = schema, path
             if observation is not None and self.row_count(name):
                 self.observed = observation.get

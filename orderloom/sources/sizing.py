@@ -66,14 +66,13 @@ def sized_lines(files_bytes: int) -> int:
 
 
 def hinted(table: DataFrame) -> DataFrame:
-    """The table, marked for a broadcast if it is small but too large for Spark to do so by itself.
+    """The table, marked for a broadcast if it is small but too large for Spark to do so by itself."""
+    return F.broadcast(table) if broadcasts(table) and not broadcast_by_itself(table) else table
 
-    A session that has broadcasts switched off gets none.
-    """
-    off = table.sparkSession.conf.get(BROADCAST_SETTING).startswith("-")
-    if off or broadcast_by_itself(table) or not fits_broadcast(table):
-        return table
-    return F.broadcast(table)
+
+def broadcasts(table: DataFrame) -> bool:
+    """Whether a hinted table is broadcast: a small one, unless the session has broadcasts switched off."""
+    return fits_broadcast(table) and not table.sparkSession.conf.get(BROADCAST_SETTING).startswith("-")
 
 
 def broadcast_by_itself(table: DataFrame) -> bool:

@@ -47,16 +47,16 @@ def overwrite(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(quoted(name))
 
 
-def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str | None = None) -> None:
     """Write a frame to a new folder.
 
     With partition columns the rows are first rebalanced on them: without it
     every task would open a file in every partition, and the rebalance splits a
-    partition value too large for one task.
+    partition value too large for one task. compression: the codec, if not the session's.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.partitionBy(*partition_by).mode("errorifexists").parquet(path)
+    df.write.partitionBy(*partition_by).mode("errorifexists").parquet(path, compression=compression)
 
 
 SCHEMA_LOG = "_schemas"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.packing import Packing
 from orderloom.schema import ORDER_LINE_COLUMNS, ORDER_LINE_HEADINGS
 from orderloom.sources.sizing import broadcast_by_itself, scan_bytes
 
@@ -32,6 +33,10 @@ LINE_VALUES = {
     "l_shipdate": "CAST(l_shipdate AS DATE)",
 }
 
+# Bits that the small numbers of a line and of an order mostly need.
+LINE_BITS = {"l_linenumber": 8, "l_quantity": 16, "l_faulty": 1, "l_returned": 1, "l_discount": 14, "l_shipdate": 20}
+ORDER_BITS = {"o_orderdate": 20}
+
 
 def _padded(value: Column) -> Column:
     return F.when(F.col("l_linenumber") == 1, F.concat(F.lit("  "), value, F.lit(" "))).otherwise(value)
@@ -45,6 +50,7 @@ def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     parts only, or not at all where the other side is small enough for Spark to
     broadcast. Parts that are too large for it come first, as an order makes a line
     wider than a part does; small ones come last, as they are not shuffled with the line then.
+    What is shuffled is packed (see Packing).
     """
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -53,11 +59,22 @@ def joined_trade(spark: SparkSession, folder: str) -> DataFrame:
     customer = table("customer").join(place, F.expr("c_nationkey = n_nationkey"), "left")
     orders = table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     orders = orders.join(customer, F.expr("o_custkey = c_custkey"), "left")
+    texts = ["o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "n_name", "r_name"]
+    orders = orders.select("o_orderkey", "c_custkey", *ORDER_BITS, *texts)
     part = table("part").select("p_partkey", "p_name", "p_type", "p_brand")
     lines = table("lineitem").select(*[F.expr(value).alias(name) for name, value in LINE_VALUES.items()])
+    small = broadcast_by_itself(part)
+    packings = {
+        "line": Packing(lines, LINE_BITS, label="line"),
+        "order": Packing(orders, ORDER_BITS, texts, label="order"),
+        "part": Packing(part, {}, [] if small else ["p_name", "p_type", "p_brand"], label="part"),
+    }
+    lines, orders, part = (packings[k].packed(rows) for k, rows in (("line", lines), ("order", orders), ("part", part)))
     sides = [(orders, F.expr("l_orderkey = o_orderkey")), (part, F.expr("l_partkey = p_partkey"))]
-    for side, same in sides if broadcast_by_itself(part) else reversed(sides):
+    for side, same in sides if small else reversed(sides):
         lines = lines.join(side, same, "left")
+    for packing in packings.values():
+        lines = packing.unpacked(lines)
     return lines
 
 

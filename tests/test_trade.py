@@ -76,3 +76,15 @@ def test_lines_are_shuffled_without_texts_and_times(spark, folder, no_broadcast)
         lines, plan = plan, plan.children().head()
     types = {lines.output().apply(i).name(): lines.output().apply(i).dataType().simpleString() for i in range(lines.output().size())}
     assert not {"string", "timestamp_ntz"} & set(types.values()) and types["l_extendedprice"] == "decimal(18,2)"
+
+
+def test_numbers_and_texts_are_shuffled_as_one_column_each(spark, folder, no_broadcast):
+    no_broadcast()
+    plan = raw_order_lines(spark, folder)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    lines, orders = plan.children().head(), plan.children().last()
+    names = lambda side: {side.output().apply(i).name() for i in range(side.output().size())}
+    assert {"_line_numbers", "_line_rest", "_part_texts", "_part_rest"} < names(lines)
+    assert names(orders) == {"o_orderkey", "c_custkey", "_order_numbers", "_order_texts", "_order_rest"}
+    assert not {"l_quantity", "l_shipdate", "p_name", "p_type"} & names(lines)
